@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidentia.llm import bpe, media, token_counts, url_filter
+from evidentia.llm import bpe, lattice_lm, media, suffix_dedup, token_counts, url_filter
 from evidentia.llm.scratch import Scratch
 
 
@@ -45,12 +45,24 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup(table(spark, sf_dir, "documents"), "doc_id", "text", Scratch(spark, "suffixes"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, "text", public_tokenizers.path("word_bpe_49k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    train = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    return lattice_lm.score(docs, "doc_id", "text", train, public_tokenizers.path("piece_bpe_32k.model"), Scratch(spark, "lattice"))
+
+
 OP4_SQL = r"""
 WITH p AS (
   SELECT page_id,
@@ -76,7 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_media_columns": op3_media_columns,
     "op4_url_filter": op4_url_filter,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op9_token_counts": op9_token_counts,
+    "op10_lattice_lm": op10_lattice_lm,
 }
 
 #: Operators without an entry cannot be said in SQL; tests/llm holds them against brute force.
