@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidentia.llm import bpe, lattice_lm, media, suffix_dedup, token_counts, url_filter
+from evidentia.llm import bpe, decontam, lattice_lm, media, ngram_join, quality, secret_scan, suffix_dedup, token_counts, url_filter
 from evidentia.llm.scratch import Scratch
 
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf_dir, "documents"), "doc_id", "text", Scratch(spark, "ngrams"))
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, "text", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, decoded_col="decoded")
@@ -45,12 +49,29 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    judged = quality.classify(docs, table(spark, sf_dir, "labels"), Scratch(spark, "quality"), keep_text=False)
+    return judged.select("doc_id", "source", "lang", "p_quality", "p_toxic", "site_shift", "posterior", "accepted")
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.dedup(table(spark, sf_dir, "documents"), "doc_id", "text", Scratch(spark, "suffixes"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.matches(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
+    return found.filter("contaminated")
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each candidate; values leave as digests only."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), "text").select("doc_id", F.posexplode("candidates").alias("finding", "c"))
+    return found.select("doc_id", "finding", F.sha2("c.value", 256).alias("value_sha256"), F.length("c.value").alias("n_chars"), "c.score", (F.col("c.score") >= secret_scan.ACCEPT).alias("is_secret"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, "text", public_tokenizers.path("word_bpe_49k.json"))
@@ -85,10 +106,14 @@ FROM r
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_media_columns": op3_media_columns,
     "op4_url_filter": op4_url_filter,
+    "op5_quality": op5_quality,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_decontamination": op7_decontamination,
+    "op8_secret_scan": op8_secret_scan,
     "op9_token_counts": op9_token_counts,
     "op10_lattice_lm": op10_lattice_lm,
 }

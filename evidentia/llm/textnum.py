@@ -131,9 +131,9 @@ def shingle_sets(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     short = np.flatnonzero((count > 0) & (count < k))
     if len(short):
         extra = np.zeros(len(short), U)
-        for i, d in enumerate(short):
-            for x in w.hash[w.first[d] : w.first[d + 1]]:
-                extra[i] = extra[i] * U(0x9FB21C651E98DF25) + x
+        for j in range(k - 1):
+            has = np.flatnonzero(count[short] > j)
+            extra[has] = extra[has] * U(0x9FB21C651E98DF25) + w.hash[w.first[short[has]] + j]
         h = np.concatenate([h, mix(extra + U(k) + count[short].astype(U) * U(0xA24BAED4963EE407))])
         doc = np.concatenate([doc, short])
     order = np.lexsort((h, doc))
