@@ -22,7 +22,7 @@ from evidentia.llm.scratch import Scratch, open_folder
 from evidentia.llm.textnum import U
 
 #: Bytes of text in a chunk (one text may be longer), and keys in a range.
-CHUNK_BYTES, RANGE_KEYS = 4 << 20, 1_500_000
+CHUNK_BYTES, RANGE_KEYS = 2 << 20, 1_000_000
 POINTER = "chunk long, folder string, file string, offset long, length long"
 KEYS = "r int, chunk long, keys binary, counts binary"
 
@@ -75,8 +75,26 @@ def store_chunks(df: DataFrame, text_col: str, scratch: Scratch, extra: str = ""
     return scratch.keep(src.mapInArrow(run, f"{POINTER}, idx int, n_bytes long{', ' + extra if extra else ''}"), "rows")
 
 
-def pointers(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("chunk").agg(*(F.first(c).alias(c) for c in ("folder", "file", "offset", "length")))
+class Chunks:
+    """The pointers of the chunks of a table of rows, and functions over chunks. Pointers are few bytes, the chunks behind them are not: so the number
+    of tasks follows from the number of chunks, and adaptive coalescing, which sees only the pointers, has no say."""
+
+    def __init__(self, rows: DataFrame, scratch: Scratch):
+        found = rows.groupBy("chunk").agg(*(F.first(c).alias(c) for c in ("folder", "file", "offset", "length")))
+        self.df = scratch.keep(found, "pointers")
+        self.tasks = max(1, -(-self.df.count() // 3))
+
+    def each(self, f: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+        return self.df.repartition(self.tasks, "chunk").groupBy("chunk").applyInArrow(f, schema)
+
+    def with_replies(self, replies: DataFrame, f: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+        """``f(pointer, replies)`` for each chunk."""
+        left, right = (df.repartition(self.tasks, "chunk").groupBy("chunk") for df in (self.df, replies))
+        return left.cogroup(right).applyInArrow(f, schema)
+
+
+def by_range(sent: DataFrame, ranges: int):
+    return sent.repartition(ranges, "r").groupBy("r")
 
 
 @functools.lru_cache(maxsize=8)
@@ -117,7 +135,7 @@ def to_rows(chunk: int, keys: np.ndarray, counts: np.ndarray, ranges: int) -> pa
     })
 
 
-def total(sent: DataFrame) -> DataFrame:
+def total(sent: DataFrame, ranges: int) -> DataFrame:
     """Answer each packed row of keys with the keys' total numbers, up to 255: (chunk, r, counts)."""
 
     def add(table: pa.Table) -> pa.Table:
@@ -129,7 +147,7 @@ def total(sent: DataFrame) -> DataFrame:
         ends = np.append(0, np.cumsum([len(p) for p in parts]))
         return pa.table({"chunk": table.column("chunk"), "r": table.column("r"), "counts": pa.array([sums[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())})
 
-    return sent.groupBy("r").applyInArrow(add, "chunk long, r int, counts binary")
+    return by_range(sent, ranges).applyInArrow(add, "chunk long, r int, counts binary")
 
 
 def answer(replies: pa.Table, dtype=np.uint8, col: str = "counts") -> np.ndarray:
@@ -139,8 +157,3 @@ def answer(replies: pa.Table, dtype=np.uint8, col: str = "counts") -> np.ndarray
     order = np.argsort(replies.column("r").to_numpy())
     got = replies.column(col).to_pylist()
     return np.concatenate([np.frombuffer(got[i], dtype) for i in order])
-
-
-def per_chunk(index: DataFrame, replies: DataFrame, f: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
-    """``f(pointer rows, replies)`` for each chunk."""
-    return index.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(f, schema)

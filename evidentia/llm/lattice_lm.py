@@ -163,7 +163,7 @@ def score(df: DataFrame, id_col: str, text_col: str, train: Column, path: str, s
     spark = df.sparkSession
     src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     rows = ex.store_chunks(src, "text", scratch, "train boolean", lambda t: [t.column("train").combine_chunks()])
-    index = scratch.keep(ex.pointers(rows), "index")
+    chunks = ex.Chunks(rows, scratch)
     size, train_rows = rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)), F.coalesce(F.sum(F.col("train").cast("long")), F.lit(0))).first()
     ranges = ex.ranges_for(int(size) // 24)
     id_type = df.schema[id_col].dataType.simpleString()
@@ -178,7 +178,7 @@ def score(df: DataFrame, id_col: str, text_col: str, train: Column, path: str, s
                 out.append((r, table.column("chunk")[0].as_py(), c.keys[lo:hi].tobytes(), c.counts[lo:hi].astype("<i4").tobytes(), np.diff(ends).astype("<i4").tobytes(), flat.tobytes()))
         return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int32(), pa.int64(), *[pa.binary()] * 4))], names=["r", "chunk", "keys", "counts", "sizes", "words"])
 
-    sent = scratch.keep(index.groupBy("chunk").applyInArrow(words, SENT), "words")
+    sent = scratch.keep(chunks.each(words, SENT), "words")
 
     def merged(table: pa.Table) -> pa.Table:
         """The range's different words, each with its training number and bytes."""
@@ -194,7 +194,7 @@ def score(df: DataFrame, id_col: str, text_col: str, train: Column, path: str, s
         c = np.bincount(which, counts, minlength=len(own)).astype("<i8")
         return pa.table({"r": table.column("r")[:1], "keys": pa.array([own.tobytes()], pa.binary()), "counts": pa.array([c.tobytes()], pa.binary()), "sizes": pa.array([n.astype("<i4").tobytes()], pa.binary()), "words": pa.array([text.tobytes()], pa.binary())})
 
-    known = scratch.keep(sent.groupBy("r").applyInArrow(merged, TABLE), "table")
+    known = scratch.keep(ex.by_range(sent, ranges).applyInArrow(merged, TABLE), "table")
     pieces, start_p = vocabulary(path)
 
     def blocks(row: dict, pick: np.ndarray):
@@ -225,7 +225,7 @@ def score(df: DataFrame, id_col: str, text_col: str, train: Column, path: str, s
                         counts += lattice.forward(flat, offs, np.ones(len(some)))[1]
                     yield pa.RecordBatch.from_arrays([pa.array([int(c.sum())]), pa.array([int((c > 0).sum())]), pa.array([len(single)]), pa.array([counts.tobytes()], pa.binary())], names=["n", "v", "singles", "expected"])
 
-        return known.mapInArrow(run, "n long, v long, singles long, expected binary")
+        return known.repartition(ranges, "r").mapInArrow(run, "n long, v long, singles long, expected binary")
 
     def add(batches):
         n = v = s = 0
@@ -264,7 +264,7 @@ def score(df: DataFrame, id_col: str, text_col: str, train: Column, path: str, s
         at = [np.searchsorted(keys, np.frombuffer(k, U)) for k in asked.column("keys").to_pylist()]
         return pa.table({"chunk": asked.column("chunk"), "r": asked.column("r"), "counts": pa.array([c[i].tobytes() for i in at], pa.binary()), "scores": pa.array([value[i].tobytes() for i in at], pa.binary())})
 
-    answers = known.groupBy("r").cogroup(sent.select("r", "chunk", "keys").groupBy("r")).applyInArrow(replies, "chunk long, r int, counts binary, scores binary")
+    answers = ex.by_range(known, ranges).cogroup(ex.by_range(sent.select("r", "chunk", "keys"), ranges)).applyInArrow(replies, "chunk long, r int, counts binary, scores binary")
     answers = scratch.keep(answers, "answers")
     end_value = float(both(np.array([train_rows]), np.array([log_end]))[0])
     end_base = float(np.log10((train_rows + 1) / base_0))
@@ -298,5 +298,5 @@ def score(df: DataFrame, id_col: str, text_col: str, train: Column, path: str, s
             "base_score": per(np.log10((c + 1) / base_0)[ch.which]) + end_base, "score": total,
         })
 
-    out = ex.per_chunk(index, answers, sums, f"id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    out = chunks.with_replies(answers, sums, f"id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("id", id_col)

@@ -30,6 +30,8 @@ from evidentia.llm.scratch import Scratch, open_folder
 
 #: Payloads are padded with byte 255 to a positive multiple of WIDTH, the row length of the stored images.
 WIDTH = 576
+#: Bytes of a shard that are read together.
+RUN_BYTES = 16 << 20
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
 HEADER_BYTES = 33
 INDEX = "digest binary, shard string, offset long, length long"
@@ -144,7 +146,9 @@ def _ranges(df: DataFrame, fields: list[tuple[str, str]], length: int | None, ma
                 cols = [pa.array([g[i] for g in got], {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}[t]) for i, (_, t) in enumerate(fields)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *cols], names=[*kept, *(n for n, _ in fields)])
 
-    return df.repartition("shard").sortWithinPartitions("shard", "offset").mapInArrow(run, schema)
+    # a fixed number of tasks: index rows are small, but not what they point to
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, "shard", F.floor(F.col("offset") / RUN_BYTES)).sortWithinPartitions("shard", "offset").mapInArrow(run, schema)
 
 
 def metadata(index: DataFrame) -> DataFrame:

@@ -100,8 +100,8 @@ def _multiply(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("b", "tile").cogroup(cols.groupBy("b2", "tile2")).applyInArrow(product, "a long, b long")
 
 
-def _classes(src: DataFrame, id_col: str, text_col: str, scratch: Scratch, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pointers of the chunks, and for each row (chunk, idx): id, n, the component and its smallest id."""
+def _classes(src: DataFrame, id_col: str, text_col: str, scratch: Scratch, k: int, percent: int) -> tuple[ex.Chunks, DataFrame]:
+    """The chunks, and for each row (chunk, idx): id, n, the component and its smallest id."""
     id_type = src.schema[id_col].dataType.simpleString()
 
     def describe(part: pa.Table) -> list[pa.Array]:
@@ -112,7 +112,7 @@ def _classes(src: DataFrame, id_col: str, text_col: str, scratch: Scratch, k: in
     full = rows.filter("n > 0")
     reps = full.groupBy("sh").agg(F.min(F.struct("chunk", "idx")).alias("at"), F.min("id").alias("least"), F.max("n").alias("n"))
     reps = scratch.keep(reps.select("sh", "n", "least", "at.*"), "classes")
-    index = scratch.keep(ex.pointers(rows), "index")
+    chunks = ex.Chunks(rows, scratch)
     total_n = int(reps.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     ranges = ex.ranges_for(total_n * 3 // 10)
     mine = reps.select("chunk", "idx")
@@ -125,8 +125,8 @@ def _classes(src: DataFrame, id_col: str, text_col: str, scratch: Scratch, k: in
         at, _ = _leading(h, to, np.arange(part.num_rows), percent)
         return ex.to_rows(pointer.column("chunk")[0].as_py(), *ex.counted(h[at]), ranges)
 
-    sent = ex.per_chunk(index, mine, leading, ex.KEYS)
-    replies = scratch.keep(ex.total(sent), "shared")
+    sent = chunks.with_replies(mine, leading, ex.KEYS)
+    replies = scratch.keep(ex.total(sent, ranges), "shared")
     both = mine.select("chunk", "idx", F.lit(None).cast("int").alias("r"), F.lit(None).cast("binary").alias("counts")).unionByName(replies.select("chunk", F.lit(None).cast("int").alias("idx"), "r", "counts"))
 
     def survivors(pointer: pa.Table, got: pa.Table) -> pa.Table:
@@ -145,7 +145,7 @@ def _classes(src: DataFrame, id_col: str, text_col: str, scratch: Scratch, k: in
         tokens = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n[keep])), pa.int32()), pa.array(np.concatenate([h[to[i] : to[i + 1]] for i in keep]).view(np.int64) if len(keep) else np.zeros(0, np.int64)))
         return pa.table({"sh": pa.array(set_keys(h, to)[keep]), "n": pa.array(n[keep].astype(np.int64)), "tokens": tokens})
 
-    sets = scratch.keep(ex.per_chunk(index.join(mine.select("chunk").distinct(), "chunk", "left_semi"), both, survivors, "sh long, n long, tokens array<long>"), "sets")
+    sets = scratch.keep(chunks.with_replies(both, survivors, "sh long, n long, tokens array<long>"), "sets")
     spread = sets.select("sh", "n", F.explode("tokens").alias("t"))
     df_of = spread.groupBy("t").agg(F.count("*").alias("df")).filter("df > 1")
     prefix = spread.join(df_of, "t").groupBy("sh", "n").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("common"))
@@ -176,7 +176,7 @@ def _classes(src: DataFrame, id_col: str, text_col: str, scratch: Scratch, k: in
     named = scratch.keep(named.join(smallest, "c").select("sh", "component_id", F.col("c").alias("component")), "named")
     mine = ["chunk", "idx", "id", "n"]
     out = full.join(named, "sh", "left").select(*mine, "component", "component_id")
-    return index, out.unionByName(rows.filter("n = 0").select(*mine, F.lit(None).cast("long").alias("component"), F.col("id").alias("component_id")))
+    return chunks, out.unionByName(rows.filter("n = 0").select(*mine, F.lit(None).cast("long").alias("component"), F.col("id").alias("component_id")))
 
 
 def classes(df: DataFrame, id_col: str, text_col: str, scratch: Scratch, *, k: int = K, percent: int = PERCENT) -> DataFrame:
@@ -188,7 +188,7 @@ def classes(df: DataFrame, id_col: str, text_col: str, scratch: Scratch, *, k: i
 def deduplicate(df: DataFrame, id_col: str, text_col: str, scratch: Scratch, *, k: int, percent: int) -> DataFrame:
     """The rows of ``df`` less all but one of each component: the one with the smallest id. Rows without words all stay.
     The rows come out of the stored chunks, so texts are neither shuffled nor joined."""
-    index, rows = _classes(df, id_col, text_col, scratch, k, percent)
+    chunks, rows = _classes(df, id_col, text_col, scratch, k, percent)
     grouped = rows.filter("component is not null")
     # null ids come last
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "chunk", "idx")).alias("first")
@@ -199,4 +199,4 @@ def deduplicate(df: DataFrame, id_col: str, text_col: str, scratch: Scratch, *,
         part = ex.load(pointer).drop_columns(["_bytes"])
         return part.take(pa.array(np.sort(own.column("idx").to_numpy()))) if own.num_rows else part.slice(0, 0)
 
-    return ex.per_chunk(index, scratch.keep(kept, "kept"), take, schema)
+    return chunks.with_replies(scratch.keep(kept, "kept"), take, schema)

@@ -19,8 +19,11 @@ give empty tables. Matches never cross documents; a very long document is one ch
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,7 +72,7 @@ class Anchored:
         self.window = np.flatnonzero(np.cumsum(valid[: len(place)]) > 0)
         self.anchor = place[self.window]
         self.at, self.of = np.unique(self.anchor, return_inverse=True)
-        self.key = grams[self.at]
+        self.key = mix(grams[self.at] + U(1))  # anchors are minima of their hashes: mixed again, keys spread over all ranges
 
     def hash(self, start: np.ndarray, n: int) -> np.ndarray:
         return mix((self.prefix[start + n] - self.prefix[start]) * self.inverse[start] + U(n))
@@ -192,7 +195,7 @@ def merge_runs(runs: list[tuple[list[int], list[bytes]]]) -> list[tuple[int, int
 
 def resolve(table: pa.Table) -> pa.Table:
     """One range: merge the chunks' runs, then tell for each suffix and offset whether the window recurs (101 bits)."""
-    runs = [_read_run(b) for b in table.column("keys").to_pylist()]
+    runs = [_read_run(zlib.decompress(b)) for b in table.column("keys").to_pylist()]
     merged = merge_runs([(r[0], r[1]) for r in runs])
     n = len(merged)
     who = np.array([(x, i) for x, i, _ in merged], np.int64).reshape(n, 2)
@@ -225,23 +228,21 @@ def resolve(table: pa.Table) -> pa.Table:
 
 
 def _kind(t: pa.Table, kind: int) -> pa.Table:
-    return t.filter(pa.compute.equal(t.column("kind"), kind)) if t.num_rows else t
+    return t.filter(pc.equal(t.column("kind"), kind)) if t.num_rows else t
 
 
 def dedup(df: DataFrame, id_col: str, text_col: str, scratch: Scratch, *, hot_from: int = HOT) -> DataFrame:
     """Per row: id, ``n_bytes``, ``kept`` (remaining bytes), ``spans`` (start and length of each maximal removed run)."""
-    import pyarrow.compute  # noqa: F401
-
     rows = ex.store_chunks(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", scratch)
-    index = scratch.keep(ex.pointers(rows), "index")
-    ranges = ex.ranges_for(int(rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]) * 2 // OFFSETS)
+    chunks = ex.Chunks(rows, scratch)
+    ranges = ex.ranges_for(int(rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]) * 8 // OFFSETS)
     id_type = df.schema[id_col].dataType.simpleString()
 
     def anchors(table: pa.Table) -> pa.Table:
         c = Anchored(ex.load(table).column("text"))
         return ex.to_rows(table.column("chunk")[0].as_py(), *ex.counted(c.key), ranges)
 
-    replies = scratch.keep(ex.total(index.groupBy("chunk").applyInArrow(anchors, ex.KEYS)).withColumn("kind", F.lit(1)), "anchors")
+    replies = scratch.keep(ex.total(chunks.each(anchors, ex.KEYS), ranges).withColumn("kind", F.lit(1)), "anchors")
 
     def suffixes(pointer: pa.Table, reply: pa.Table) -> pa.Table:
         chunk = pointer.column("chunk")[0].as_py()
@@ -249,13 +250,13 @@ def dedup(df: DataFrame, id_col: str, text_col: str, scratch: Scratch, *, hot_fr
         runs, _, hot = _runs(c, ex.answer(reply), np.unique(c.key), ranges, hot_from)
         windows = c.window[np.isin(c.of, hot)]
         counted = ex.to_rows(chunk, *ex.counted(c.hash(windows, LENGTH)), ranges)
-        sorted_runs = pa.table({"r": pa.array(list(runs), pa.int32()), "chunk": pa.array([chunk] * len(runs), pa.int64()), "keys": pa.array(list(runs.values()), pa.binary()), "counts": pa.array([b""] * len(runs), pa.binary())})
+        sorted_runs = pa.table({"r": pa.array(list(runs), pa.int32()), "chunk": pa.array([chunk] * len(runs), pa.int64()), "keys": pa.array([zlib.compress(x, 1) for x in runs.values()], pa.binary()), "counts": pa.array([b""] * len(runs), pa.binary())})
         out = pa.concat_tables([counted, sorted_runs])
         return out.append_column("kind", pa.array([3] * counted.num_rows + [2] * len(runs), pa.int32()))
 
-    sent = scratch.keep(ex.per_chunk(index, replies, suffixes, ex.KEYS + ", kind int"), "runs")
-    merged = sent.filter("kind = 2").groupBy("r").applyInArrow(resolve, "chunk long, r int, counts binary").withColumn("kind", F.lit(2))
-    hot_counts = ex.total(sent.filter("kind = 3").drop("kind")).withColumn("kind", F.lit(3))
+    sent = scratch.keep(chunks.with_replies(replies, suffixes, ex.KEYS + ", kind int"), "runs")
+    merged = ex.by_range(sent.filter("kind = 2"), ranges).applyInArrow(resolve, "chunk long, r int, counts binary").withColumn("kind", F.lit(2))
+    hot_counts = ex.total(sent.filter("kind = 3").drop("kind"), ranges).withColumn("kind", F.lit(3))
 
     def cut(pointer: pa.Table, reply: pa.Table) -> pa.Table:
         part = ex.load(pointer)
@@ -290,4 +291,4 @@ def dedup(df: DataFrame, id_col: str, text_col: str, scratch: Scratch, *, hot_fr
         return pa.table({"id": part.column("id"), "n_bytes": np.diff(c.offs), "kept": packed(c.data[~gone], kept_before[c.offs]), "spans": spans})
 
     everything = replies.unionByName(scratch.keep(merged.unionByName(hot_counts), "recurring"))
-    return ex.per_chunk(index, everything, cut, f"id {id_type}, n_bytes long, kept binary, spans array<struct<start:long,length:long>>").withColumnRenamed("id", id_col)
+    return chunks.with_replies(everything, cut, f"id {id_type}, n_bytes long, kept binary, spans array<struct<start:long,length:long>>").withColumnRenamed("id", id_col)
