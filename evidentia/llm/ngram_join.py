@@ -122,8 +122,8 @@ def _classes(src: DataFrame, id_col: str, text_col: str, scratch: Scratch, k: in
             return ex.to_rows(0, np.zeros(0, U), np.zeros(0, np.uint8), ranges)
         part = ex.load(pointer).take(pa.array(np.sort(own.column("idx").to_numpy())))
         h, to = _sets(part, text_col, k)
-        at, _ = _leading(h, to, np.arange(part.num_rows), percent)
-        return ex.to_rows(pointer.column("chunk")[0].as_py(), *ex.counted(h[at]), ranges)
+        at, _ = _leading(h, to, np.arange(part.num_rows), percent)  # the smallest hashes: mixed again, keys spread over all ranges
+        return ex.to_rows(pointer.column("chunk")[0].as_py(), *ex.counted(mix(h[at] + U(1))), ranges)
 
     sent = chunks.with_replies(mine, leading, ex.KEYS)
     replies = scratch.keep(ex.total(sent, ranges), "shared")
@@ -138,8 +138,9 @@ def _classes(src: DataFrame, id_col: str, text_col: str, scratch: Scratch, k: in
         h, to = _sets(part, text_col, k)
         rows = np.arange(part.num_rows)
         at, ends = _leading(h, to, rows, percent)
-        keys = np.unique(h[at])
-        shared = np.append(0, np.cumsum(ex.answer(reply)[np.searchsorted(keys, h[at])] >= 2)) if len(at) else np.zeros(1, np.int64)
+        sent_keys = mix(h[at] + U(1))
+        keys = np.unique(sent_keys)
+        shared = np.append(0, np.cumsum(ex.answer(reply)[np.searchsorted(keys, sent_keys)] >= 2)) if len(at) else np.zeros(1, np.int64)
         n = np.diff(to)
         keep = rows[shared[ends[1:]] - shared[ends[:-1]] >= lead(at_least(n, percent))]
         tokens = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n[keep])), pa.int32()), pa.array(np.concatenate([h[to[i] : to[i + 1]] for i in keep]).view(np.int64) if len(keep) else np.zeros(0, np.int64)))
