@@ -115,6 +115,7 @@ def store(df: DataFrame, payload_col: str, scratch: Scratch) -> DataFrame:
                     info.size = len(png)
                     at = tar.offset + 512
                     tar.addfile(info, pa.BufferReader(png))
+                    tar.members.clear()  # else each header stays in memory until the shard ends
                     rows.append((digest, at, len(png)))
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([f"{folder}/{name}"] * len(rows), pa.string()), *(pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2))], names=["digest", "shard", "offset", "length"])
         finally:
