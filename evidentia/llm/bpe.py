@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from evidentia.llm.textnum import BASE, INVERSE, U, mix, packed, powers, raw, slices
 
-#: Bounds of the tables: token pairs, and pieces with their length; bytes of a long piece between emissions.
-PAIRS, PIECES, PIECE_BYTES, FLUSH = 1_000_000, 600_000, 48, 4096
+#: Bounds of the tables: token pairs, and pieces with their length; bytes of a long piece between emissions; bytes of text at once.
+PAIRS, PIECES, PIECE_BYTES, FLUSH, BATCH = 1_000_000, 600_000, 48, 4096, 1 << 20
 
 
 class Transducer:
@@ -205,16 +205,16 @@ def split(points: np.ndarray) -> np.ndarray:
 class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer, self.pattern = Transducer(ranks), pattern
-        self.known: dict[bytes, np.ndarray] = {}
+        self.known: dict[bytes, bytes] = {}  # packed ids: an array for each piece would take three times the memory
         size = np.zeros(max(ranks.values()) + 1, np.int64)
         for b, t in ranks.items():
             size[t] = len(b)
         self.size, self.at = size, np.cumsum(size) - size  # all tokens' bytes in one array, in the order of their ids
         self.flat = np.frombuffer(b"".join(b for b, _ in sorted(ranks.items(), key=lambda x: x[1])), np.uint8)
 
-    def piece(self, piece: bytes) -> np.ndarray:
+    def piece(self, piece: bytes) -> bytes:
         one = self.transducer.ranks.get(piece)
-        ids = np.array((one,) if one is not None else self.transducer.run(piece), np.uint32)
+        ids = one.to_bytes(4, "little") if one is not None else np.array(self.transducer.run(piece), "<u4").tobytes()
         if len(piece) <= PIECE_BYTES:
             if len(self.known) >= PIECES:
                 self.known.clear()
@@ -249,9 +249,9 @@ class Encoder:
             p = whole[b:e]
             ids = known.get(p)
             got.append(self.piece(p) if ids is None else ids)
-        size = np.fromiter(map(len, got), np.int64, len(got))
+        size = np.fromiter(map(len, got), np.int64, len(got)) // 4
         where = np.cumsum(size) - size
-        flat = np.concatenate(got) if got else np.zeros(0, np.uint32)
+        flat = np.frombuffer(b"".join(got), "<u4")
         n = size[which]
         to = np.append(0, np.cumsum(n))
         ids = flat[np.repeat(where[which] - to[:-1], n) + np.arange(to[-1])]
@@ -342,7 +342,7 @@ def encode(df: DataFrame, text_col: str, path: str, pattern: str, *, ids_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
         for whole in batches:
-            for lo, hi in slices(whole.column(text_col), 4 << 20):
+            for lo, hi in slices(whole.column(text_col), BATCH):
                 batch = whole.slice(lo, hi - lo)
                 ids, to = enc.encode_many(*raw(batch.column(text_col)))
                 cols = [batch.column(c) for c in kept]
