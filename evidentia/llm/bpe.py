@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from evidentia.llm.textnum import BASE, INVERSE, U, mix, packed, powers, raw, slices
 
 #: Bounds of the tables: token pairs, and pieces with their length; bytes of a long piece between emissions; bytes of text at once.
-PAIRS, PIECES, PIECE_BYTES, FLUSH, BATCH = 1_000_000, 600_000, 48, 4096, 1 << 20
+PAIRS, PIECES, PIECE_BYTES, FLUSH, BATCH = 1_000_000, 600_000, 48, 4096, 1 << 19
 
 
 class Transducer:

@@ -19,8 +19,8 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _POWERS: dict[int, np.ndarray] = {}
-#: Bytes of text handled at once, unless one text is longer.
-BLOCK = 1 << 21
+#: Bytes of text handled at once, unless one text is longer: some dozens of arrays of 8 bytes for each byte are alive then. Powers up to POWERS are kept.
+BLOCK, POWERS = 1 << 19, 3 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -38,7 +38,7 @@ def powers(base: int, n: int) -> np.ndarray:
         have = np.full(max(n, BLOCK + 1024), base, U)
         have[0] = 1
         have = np.cumprod(have, dtype=U)
-        if n <= 4 * BLOCK:
+        if n <= POWERS:
             _POWERS[base] = have
     return have[:n]
 
