@@ -2,19 +2,21 @@
 
 Texts become sequences of canonical words: outer punctuation goes, A-Z is lower-cased, numbers, units after a number and names
 (capitalised words within a sentence) become typed placeholders. Windows of WINDOW canonical words are hash-joined
-with those of the benchmark's items. Matches on one diagonal (a document position less an item position) form a candidate; its
+with those of the benchmark's items. Matches on one diagonal (a document position less an item position) form an occurrence, and so do those of
+several diagonals in order, since words put in or left out move the diagonal, within three times the item's length; each occurrence is judged alone. Its
 coverage is the share of the item's windows that matched, and its slots, the placeholders' values, must be consistent: an item's
-value maps to one value in the document wherever it recurs. So a question asked again with other numbers or names is found, and a
+value maps to one value in the occurrence wherever it recurs. So a question asked again with other numbers or names is found, once or several times in a document, and a
 chance meeting of templates is not. Windows with fewer than LITERAL plain words say nothing and are left out on both sides.
 
 Items shorter than WINDOW canonical words are one shorter window; items with fewer than LITERAL plain words cannot be matched. Null and empty texts
-match nothing. Repeated items or documents give their own rows, ties on the diagonal take the larger coverage, then the first. The item table is sent to the tasks in
+match nothing. Repeated items or documents give their own rows, a pair's row is of its best occurrence: contaminated, then most windows, then fewest slots that disagree. The item table is sent to the tasks in
 blocks of at most BLOCK_ITEMS items and BLOCK_BYTES of text, a pass over the documents for each: no join, no shuffle of texts, and
 no task gets more because an item is popular.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -101,6 +103,48 @@ class Canonical:
         return mix(h[at] + U(k)), at
 
 
+def _in_order(matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The longest run of (place in the text, place in the item, k) that rises in both; among equals the one that begins latest, so that it lies close."""
+    last: list[int] = []
+    tail: list[int] = []
+    before: list[int] = []
+    matches = sorted(matches, key=lambda m: (m[0], -m[1]))
+    for i, (_, y, _) in enumerate(matches):
+        n = bisect.bisect_left(last, y)
+        before.append(tail[n - 1] if n else -1)
+        last[n : n + 1] = [y]
+        tail[n : n + 1] = [i]
+    out, i = [], tail[-1] if tail else -1
+    while i >= 0:
+        out.append(matches[i])
+        i = before[i]
+    return out[::-1]
+
+
+def _occurrences(diagonals: dict[int, set[tuple[int, int]]], size: int, need: float) -> Iterator[list[tuple[int, int, int]]]:
+    """Matches (place in the text, place in the item, k) of each occurrence that covers enough: of each diagonal, then of all diagonals in order in
+    stretches of one and a half and of three times the item's ``size``, which overlap."""
+    for diagonal, places in diagonals.items():
+        if len(places) >= need:
+            yield sorted((diagonal + y, y, k) for y, k in places)
+    if len(diagonals) == 1:
+        return
+    every = sorted((diagonal + y, y, k) for diagonal, places in diagonals.items() for y, k in places)
+    at = [m[0] for m in every]
+    for span in (size + size // 2 + 1, 3 * size):
+        end = lo = 0
+        while end < len(every):
+            end = bisect.bisect_left(at, at[lo] + span)
+            part = every[lo:end]
+            while len({m[1] for m in part}) >= need:
+                chain = _in_order(part)
+                if len(chain) < need:
+                    break
+                yield chain
+                part = sorted(set(part) - set(chain))
+            lo = max(lo + 1, bisect.bisect_left(at, at[lo] + span // 3))
+
+
 class Templates:
     """Windows of a block of items: sorted hashes with item and position, by window length."""
 
@@ -118,7 +162,7 @@ class Templates:
                 self.by_k.append((k, h[order], at[order]))
 
     def search(self, arr: pa.Array) -> list[tuple[int, int, int, int, int, bool]]:
-        """(row, item, matched windows, slots, slots that disagree, consistent) of the best diagonal of each pair that covers enough."""
+        """(row, item, matched windows, slots, slots that disagree, consistent) of the best occurrence of each pair that covers enough."""
         d, c = Canonical(arr), self.c
         found: dict[tuple[int, int], dict[int, set[tuple[int, int]]]] = defaultdict(lambda: defaultdict(set))
         for k, table, places in self.by_k:
@@ -129,24 +173,27 @@ class Templates:
                 row = int(d.doc[x])
                 for y in places[lo[i] : hi[i]].tolist():
                     item = int(c.doc[y])
-                    found[row, item][(x - int(d.first[row])) - (y - int(c.first[item]))].add((y, k))
+                    y -= int(c.first[item])
+                    found[row, item][x - int(d.first[row]) - y].add((y, k))
         out = []
         for (row, item), diagonals in found.items():
-            need, best = self.count[item] * COVERAGE, None
-            # words put in or left out move the diagonal; windows of neighbouring diagonals in order are one match
-            total = {y for places in diagonals.values() for y, _ in places}
-            if len(total) < need:
+            need = max(1, self.count[item] * COVERAGE)
+            if len({y for places in diagonals.values() for y, _ in places}) < need:
                 continue
-            slots: dict[int, set[int]] = defaultdict(set)
-            for diagonal, places in diagonals.items():
-                for y, k in places:
-                    for j in range(y, y + k):
-                        if c.kind[j] != PLAIN:
-                            x = int(d.first[row]) + (j - int(c.first[item])) + diagonal
-                            slots[int(c.value[j])].add(int(d.value[x]))
-            wrong = sum(len(v) > 1 for v in slots.values())
-            best = (row, item, len(total), len(slots), wrong, wrong * 4 <= len(slots))
-            out.append(best)
+            from_x, from_y = int(d.first[row]), int(c.first[item])
+            best = None
+            for chain in _occurrences(diagonals, int(c.first[item + 1]) - from_y, need):
+                slots: dict[int, set[int]] = defaultdict(set)
+                for x, y, k in chain:
+                    for j in range(k):
+                        if c.kind[from_y + y + j] != PLAIN:
+                            slots[int(c.value[from_y + y + j])].add(int(d.value[from_x + x + j]))
+                wrong = sum(len(v) > 1 for v in slots.values())
+                rank = (wrong * 4 <= len(slots), len(chain), -wrong)
+                if best is None or rank > best[0]:
+                    best = (rank, (row, item, len(chain), len(slots), wrong, rank[0]))
+            if best:
+                out.append(best[1])
         return sorted(out)
 
 

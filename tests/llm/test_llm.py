@@ -186,6 +186,19 @@ def test_decontamination(spark):
     assert decontam.matches(docs.limit(0), "doc_id", "text", items, "item_id", "text").count() == 0
 
 
+def test_decontamination_judges_each_occurrence(spark):
+    item = "If a train leaves at 40 km and Anna Smith walks 40 m past the old red barn, how far is it to the mill by the river then?"
+    other = item.replace("40", "75").replace("Anna Smith", "Bert")
+    third = item.replace("40", "91").replace("Anna Smith", "Carl").replace("old red barn", "old and very large red barn")
+    filler = " ".join(f"w{i} of" for i in range(200))
+    parts = item.split(" walks ")
+    half = item.split()
+    scattered = f" {filler} ".join(" ".join(half[i : i + 10]) for i in range(0, len(half), 5))
+    docs = spark.createDataFrame([(0, item + " " + other), (1, other + " " + third), (2, third + " " + item.replace("old red", "old and red")), (3, f"{parts[0]} walks {parts[1]}"), (4, scattered)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert {r.doc_id for r in decontam.matches(docs, "doc_id", "text", items, "item_id", "text").filter("contaminated").collect()} == {0, 1, 2, 3}
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = queries.table(spark, sf, "documents"), queries.table(spark, sf, "labels")
