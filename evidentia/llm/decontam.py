@@ -6,9 +6,12 @@ with those of the benchmark's items. Matches on one diagonal (a document positio
 several diagonals in order, since words put in or left out move the diagonal, within three times the item's length; each occurrence is judged alone. Its
 coverage is the share of the item's windows that matched, and its slots, the placeholders' values, must be consistent: an item's
 value maps to one value in the occurrence wherever it recurs. So a question asked again with other numbers or names is found, once or several times in a document, and a
-chance meeting of templates is not. Windows with fewer than LITERAL plain words say nothing and are left out on both sides.
+chance meeting of templates is not. Template windows with fewer than LITERAL plain words say nothing and are left out on both sides.
 
-Items shorter than WINDOW canonical words are one shorter window; items with fewer than LITERAL plain words cannot be matched. Null and empty texts
+Besides, windows of the words as they stand, lower-cased and without outer punctuation, are matched in the same way; they have no placeholders and no
+LITERAL bound, so copies word for word are found whatever the item is made of and however it is capitalised or spaced. Number-heavy items with other numbers are not found.
+
+Items shorter than WINDOW words are one shorter window, down to a single word, which is then found wherever it stands. Null and empty texts
 match nothing. Repeated items or documents give their own rows, a pair's row is of its best occurrence: contaminated, then most windows, then fewest slots that disagree. The item table is sent to the tasks in
 blocks of at most BLOCK_ITEMS items and BLOCK_BYTES of text, a pass over the documents for each: no join, no shuffle of texts, and
 no task gets more because an item is popular.
@@ -83,23 +86,29 @@ class Canonical:
         if n:
             name &= _UPPER[w.original[start]]
         kind[name] = NAME
+        self.rows = w.rows
+        self.word, self.word_doc = value, doc  # the words as they stand
+        self.word_first = np.searchsorted(doc, np.arange(self.rows + 1))
         keep = np.ones(len(start), bool)
         keep[1:] = ~((kind[1:] == NAME) & (kind[:-1] == NAME) & ~first[1:])  # a name of several words is one
         self.kind, self.value, self.doc = kind[keep], value[keep], doc[keep]
         self.key = np.where(self.kind == PLAIN, self.value, _MARK[self.kind])
-        self.rows = w.rows
         self.first = np.searchsorted(self.doc, np.arange(self.rows + 1))
 
-    def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of windows of ``k`` words with enough plain ones, and the places of their first words."""
-        n = len(self.key) - k + 1
+    def windows(self, k: int, literal: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of windows of ``k`` words, as they stand or canonical ones with enough plain ones, and the places of their first words."""
+        key, doc = (self.word, self.word_doc) if literal else (self.key, self.doc)
+        n = len(key) - k + 1
         if n <= 0:
             return np.zeros(0, U), np.zeros(0, np.int64)
         h = np.zeros(n, U)
         for j in range(k):
-            h = h * U(0x9FB21C651E98DF25) + self.key[j : j + n]
-        plain = np.append(0, np.cumsum(self.kind == PLAIN))
-        at = np.flatnonzero((self.doc[:n] == self.doc[k - 1 : k - 1 + n]) & (plain[k:] - plain[:-k] >= LITERAL))
+            h = h * U(0x9FB21C651E98DF25) + key[j : j + n]
+        good = doc[:n] == doc[k - 1 : k - 1 + n]
+        if not literal:
+            plain = np.append(0, np.cumsum(self.kind == PLAIN))
+            good &= plain[k:] - plain[:-k] >= LITERAL
+        at = np.flatnonzero(good)
         return mix(h[at] + U(k)), at
 
 
@@ -146,55 +155,66 @@ def _occurrences(diagonals: dict[int, set[tuple[int, int]]], size: int, need: fl
 
 
 class Templates:
-    """Windows of a block of items: sorted hashes with item and position, by window length."""
+    """Windows of a block of items: sorted hashes with item and position, by window length, canonical and as they stand."""
 
     def __init__(self, texts: list[str | None]):
         c = Canonical(pa.array(texts, pa.string()))
-        size = np.diff(c.first)
-        self.c, self.by_k, self.count = c, [], np.zeros(len(texts), np.int64)
-        for k in sorted({WINDOW, *(int(s) for s in np.unique(size) if LITERAL <= s < WINDOW)}):
-            h, at = c.windows(k)
-            own = (size[c.doc[at]] >= WINDOW) if k == WINDOW else (size[c.doc[at]] == k)
-            h, at = h[own], at[own]
-            np.add.at(self.count, c.doc[at], 1)
-            order = np.argsort(h, kind="stable")
-            if len(h):
-                self.by_k.append((k, h[order], at[order]))
-
-    def search(self, arr: pa.Array) -> list[tuple[int, int, int, int, int, bool]]:
-        """(row, item, matched windows, slots, slots that disagree, consistent) of the best occurrence of each pair that covers enough."""
-        d, c = Canonical(arr), self.c
+        self.c, self.by_k, self.count = c, {}, {}
+        for literal in (False, True):
+            doc, size = (c.word_doc, np.diff(c.word_first)) if literal else (c.doc, np.diff(c.first))
+            self.by_k[literal], self.count[literal] = [], np.zeros(len(texts), np.int64)
+            for k in sorted({WINDOW, *(int(s) for s in np.unique(size) if (1 if literal else LITERAL) <= s < WINDOW)}):
+                h, at = c.windows(k, literal)
+                own = (size[doc[at]] >= WINDOW) if k == WINDOW else (size[doc[at]] == k)
+                h, at = h[own], at[own]
+                np.add.at(self.count[literal], doc[at], 1)
+                order = np.argsort(h, kind="stable")
+                if len(h):
+                    self.by_k[literal].append((k, h[order], at[order]))
+
+    def search(self, arr: pa.Array) -> list[tuple[int, int, int, int, int, int, bool]]:
+        """(row, item, matched windows, windows, slots, slots that disagree, consistent) of the best occurrence of each pair that covers enough.
+        Canonical windows come first, those as they stand where the former do not pass."""
+        d = Canonical(arr)
+        best = self._best(d, False)
+        for pair, got in self._best(d, True).items():
+            if pair not in best or not best[pair][-1]:
+                best[pair] = got
+        return sorted(best.values())
+
+    def _best(self, d: Canonical, literal: bool) -> dict[tuple[int, int], tuple[int, int, int, int, int, int, bool]]:
+        c, count = self.c, self.count[literal]
+        (d_doc, d_first), (c_doc, c_first) = ((o.word_doc, o.word_first) if literal else (o.doc, o.first) for o in (d, c))
         found: dict[tuple[int, int], dict[int, set[tuple[int, int]]]] = defaultdict(lambda: defaultdict(set))
-        for k, table, places in self.by_k:
-            h, at = d.windows(k)
+        for k, table, places in self.by_k[literal]:
+            h, at = d.windows(k, literal)
             lo, hi = np.searchsorted(table, h, "left"), np.searchsorted(table, h, "right")
             for i in np.flatnonzero(hi > lo).tolist():
                 x = int(at[i])
-                row = int(d.doc[x])
+                row = int(d_doc[x])
                 for y in places[lo[i] : hi[i]].tolist():
-                    item = int(c.doc[y])
-                    y -= int(c.first[item])
-                    found[row, item][x - int(d.first[row]) - y].add((y, k))
-        out = []
+                    item = int(c_doc[y])
+                    y -= int(c_first[item])
+                    found[row, item][x - int(d_first[row]) - y].add((y, k))
+        out = {}
         for (row, item), diagonals in found.items():
-            need = max(1, self.count[item] * COVERAGE)
+            need = max(1, count[item] * COVERAGE)
             if len({y for places in diagonals.values() for y, _ in places}) < need:
                 continue
-            from_x, from_y = int(d.first[row]), int(c.first[item])
+            from_x, from_y = int(d_first[row]), int(c_first[item])
             best = None
-            for chain in _occurrences(diagonals, int(c.first[item + 1]) - from_y, need):
+            for chain in _occurrences(diagonals, int(c_first[item + 1]) - from_y, need):
                 slots: dict[int, set[int]] = defaultdict(set)
-                for x, y, k in chain:
+                for x, y, k in () if literal else chain:
                     for j in range(k):
                         if c.kind[from_y + y + j] != PLAIN:
                             slots[int(c.value[from_y + y + j])].add(int(d.value[from_x + x + j]))
                 wrong = sum(len(v) > 1 for v in slots.values())
                 rank = (wrong * 4 <= len(slots), len(chain), -wrong)
-                if best is None or rank > best[0]:
-                    best = (rank, (row, item, len(chain), len(slots), wrong, rank[0]))
-            if best:
-                out.append(best[1])
-        return sorted(out)
+                if best is None or rank > best:
+                    best = rank
+                    out[row, item] = (row, item, len(chain), int(count[item]), len(slots), wrong, rank[0])
+        return out
 
 
 def _blocks(items: DataFrame, item_col: str, item_text: str):
@@ -223,8 +243,7 @@ def matches(docs: DataFrame, id_col: str, text_col: str, items: DataFrame, item_
                     part = batch.slice(lo, hi - lo)
                     got = templates.search(part.column(1))
                     r = [g[0] for g in got]
-                    windows = [int(templates.count[g[1]]) for g in got]
-                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(r, pa.int32())), names.take(pa.array([g[1] for g in got], pa.int32())), *(pa.array(x, t) for x, t in (([g[2] for g in got], pa.int64()), (windows, pa.int64()), ([g[2] / w for g, w in zip(got, windows, strict=True)], pa.float64()), ([g[3] for g in got], pa.int64()), ([g[4] for g in got], pa.int64()), ([g[5] for g in got], pa.bool_())))], names=[id_col, item_col, "matched", "windows", "coverage", "n_slots", "n_inconsistent", "contaminated"])
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(r, pa.int32())), names.take(pa.array([g[1] for g in got], pa.int32())), *(pa.array(x, t) for x, t in (([g[2] for g in got], pa.int64()), ([g[3] for g in got], pa.int64()), ([g[2] / g[3] for g in got], pa.float64()), ([g[4] for g in got], pa.int64()), ([g[5] for g in got], pa.int64()), ([g[6] for g in got], pa.bool_())))], names=[id_col, item_col, "matched", "windows", "coverage", "n_slots", "n_inconsistent", "contaminated"])
 
         found = src.mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
@@ -242,7 +261,7 @@ def clean(docs: DataFrame, text_col: str, items: DataFrame, item_col: str, item_
                 for lo, hi in slices(batch.column(text_col)):
                     part = batch.slice(lo, hi - lo)
                     keep = np.ones(part.num_rows, bool)
-                    keep[[g[0] for g in templates.search(part.column(text_col)) if g[5]]] = False
+                    keep[[g[0] for g in templates.search(part.column(text_col)) if g[6]]] = False
                     yield part.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, schema)

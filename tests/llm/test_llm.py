@@ -199,6 +199,16 @@ def test_decontamination_judges_each_occurrence(spark):
     assert {r.doc_id for r in decontam.matches(docs, "doc_id", "text", items, "item_id", "text").filter("contaminated").collect()} == {0, 1, 2, 3}
 
 
+def test_decontamination_finds_copies_word_for_word(spark):
+    numbers, short = "Compute 12 + 15 + 19 + 23 + 31 + 47 + 52", "Anna walks to the old mill"
+    names = "We saw Anna Smith give Bert Jones, Carl Maier, Dora Kent and Emil Falk to Gina Hall, Hugo Lenz and Ida Moor for Jon Kerr, Kai Lund and Lea Marx"
+    docs = spark.createDataFrame([(0, "So " + numbers + " now"), (1, "so " + names.lower() + " then"), (2, names.replace(" Bert", "  Bert").upper()), (3, "and anna walks to the old mill again"), (4, "Compute 1 + 2 of the old mill")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, numbers), (8, names), (9, "Well, " + short), (10, short), (11, None), (12, " ")], "item_id long, text string")
+    got = decontam.matches(docs, "doc_id", "text", items, "item_id", "text").filter("contaminated").collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(0, 7), (1, 8), (2, 8), (3, 10)} and all(r.coverage == 1 for r in got)
+    assert [r.doc_id for r in decontam.clean(docs, "text", items, "item_id", "text").collect()] == [4]
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = queries.table(spark, sf, "documents"), queries.table(spark, sf, "labels")
