@@ -1,7 +1,8 @@
 """Secret scans with a random forest against false positives, in DataFrame and SQL functions only.
 
-Candidates: strings of key characters of at least MIN_ALONE, or of at least MIN_NAMED next to a word that names a secret, and whole private key
-blocks. Texts without any such string are passed over by one regex. Each candidate is described by its length, the changes
+Candidates: strings of key characters of at least MIN_ALONE, or of at least MIN_NAMED next to a word that names a secret; after such a word and a sign of
+assignment, the whole value up to the next space, less quotes and closing signs, if it holds other characters too; and whole private key
+blocks. Texts that can have none are passed over by one regex, wider than these rules. Each candidate is described by its length, the changes
 between character classes along it, dictionary coverage, signs of a path, and its neighbouring words. A random forest trained on labelled findings
 (built by rule from digests, ``labelled_findings``) gives the score; its trees are compiled into SQL CASE expressions, so
 scanning is one projection: no join, no shuffle, no model object on the executors. Key blocks are findings without a score below 1.
@@ -21,8 +22,11 @@ NAMING = "token|secret|passw|pwd|api.?key|access.?key|auth|credential|bearer|pri
 OTHER = "uuid|guid|commit|sha|hash|checksum|md5|digest|integrity|etag|revision|version|build|session id|order"
 PREFIX = "AKIA|ASIA|ghp_|gho_|github_pat_|glpat-|sk-|sk_live_|xox[bapr]-|AIza|eyJ"
 WORDS = "the|and|tion|ing|for|ent|ion|ter|ber|ver|ich|sch|ung|heit|keit|mente|que|ado|les|eur|http|https|www|com|org|net|html|user|file|path|data|test|example|name|index|page|image|src|main|java|python|config|default|your|here|value|string|number|change|placeholder"
-PRE = rf"[A-Za-z0-9+/_-]{{{MIN_ALONE}}}|(?i:{NAMING})\S{{0,12}}\s*[=:]|-----BEGIN"
+#: Over the lower-cased text, a superset of the candidates: a value of MIN_ALONE may end with two signs, and what lies between "api" and "key" varies.
+PRE = rf"[a-z0-9+/_.-]{{{MIN_ALONE - 2}}}|token|secret|passw|pwd|api|access|auth|credential|bearer|private|-----begin"
 VALUE = rf"[A-Za-z0-9+/_.-]{{{MIN_NAMED},}}={{0,2}}"
+ASSIGNED = rf"(?i)(?:{NAMING})[^\s=:]{{0,12}}\s?[=:]{{1,2}}>?\s?[\"'`(\[{{<]{{0,3}}(\S{{{MIN_NAMED},}})$"
+CLOSING = "\"'`,;.)]}>"
 BLOCK = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*-----END [A-Z ]*PRIVATE KEY-----"
 
 #: Name -> SQL over ``v`` (the value) and ``n`` (the neighbouring words, lower-cased).
@@ -112,15 +116,18 @@ def scan_column(spark: SparkSession, text: str) -> Column:
     t = f"coalesce(`{text}`, '')"
     long_enough = f"length(v) >= {MIN_ALONE} OR n rlike '{NAMING}'"
     near = "lower(concat_ws(' ', slice(w, greatest(i - 3, 1), i - greatest(i - 3, 1)), replace(w[i - 1], v, ' ')))"
-    one = f"transform(regexp_extract_all(w[i - 1], '{_sql(VALUE)}', 0), v -> named_struct('value', v, 'near', {near}))"
-    found = f"flatten(transform(filter(sequence(1, size(w)), i -> w[i - 1] rlike '{_sql(VALUE)}'), i -> {one}))"
+    values = f"regexp_extract_all(w[i - 1], '{_sql(VALUE)}', 0)"
+    context = "concat_ws(' ', slice(w, greatest(i - 3, 1), i - greatest(i - 3, 1) + 1))"
+    whole = f"filter(array(trim(TRAILING '{_sql(CLOSING)}' FROM regexp_extract({context}, '{_sql(ASSIGNED)}', 1))), v -> length(v) >= {MIN_NAMED} AND v rlike '[^A-Za-z0-9+/_.=-]')"
+    one = f"transform(concat({whole}, {values}), v -> named_struct('value', v, 'near', {near}))"
+    found = f"flatten(transform(filter(sequence(1, size(w)), i -> length(w[i - 1]) >= {MIN_NAMED}), i -> {one}))"
     kept = f"filter({found}, c -> element_at(transform(array(c), x -> element_at(transform(array(x.value), v -> element_at(transform(array(x.near), n -> {long_enough}), 1)), 1)), 1))"
     features = f"element_at(transform(array(c.value), v -> element_at(transform(array(c.near), n -> named_struct({struct})), 1)), 1)"
     scored = f"transform({kept}, c -> named_struct('value', c.value, 'near', c.near, 'score', element_at(transform(array({features}), f -> {score}), 1)))"
     words = f"element_at(transform(array(split({t}, '[ \\\\t\\\\n\\\\r]+')), w -> {scored}), 1)"
     blocks = f"transform(regexp_extract_all({t}, '{_sql(BLOCK)}', 0), v -> named_struct('value', v, 'near', '', 'score', 1.0D))"
     empty = "cast(array() as array<struct<value:string,near:string,score:double>>)"
-    return F.expr(f"CASE WHEN {t} rlike '{_sql(PRE)}' THEN concat({words}, {blocks}) ELSE {empty} END")
+    return F.expr(f"CASE WHEN lower({t}) rlike '{_sql(PRE)}' THEN concat({words}, {blocks}) ELSE {empty} END")
 
 
 def scan(df: DataFrame, text_col: str, *, out_col: str = "candidates") -> DataFrame:

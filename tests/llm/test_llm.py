@@ -233,6 +233,25 @@ def test_secrets(spark):
     assert held.selectExpr("label", f"named_struct({struct}) AS f").selectExpr(f"avg(cast({score} as int))").first()[0] > 0.95
 
 
+def test_secrets_alone_in_a_text(spark):
+    bare = ["Authorization bearer Ab3dE5gH7j", "password hunter2abc", "client secret Zk4.qW8e-Rt2", "x aB3dE5.gH7jK9.mN1pQ4.sT6v y"]
+    signs = ['password = "p@ssw0rd!23"', "passwd: q!7Zr#w9Lx", '{"api_key": "tR5$kL9&vB2x"}', "secret=Xy7%gH2!pQ4z,"]
+    plain = ["nothing of that kind", "das Passwort: übergeben wurde", "the secret: „wunderbar“ said"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(bare + signs + plain)], "doc_id int, text string")
+    filler = "some/long/path/of/more/than/twenty "
+    got = {r.doc_id: [(c.value, c.score) for c in r.candidates] for r in secret_scan.scan(docs, "text").collect()}
+    far = secret_scan.scan(docs.withColumn("text", F.concat(F.lit(filler * 3 + "a b c d "), "text")), "text").collect()
+    assert all(got[i] for i in range(len(bare + signs)))
+    for r in far:  # a text's findings do not depend on what else it holds
+        assert [(c.value, c.score) for c in r.candidates if c.value not in filler] == got[r.doc_id]
+    for i, v in enumerate(["p@ssw0rd!23", "q!7Zr#w9Lx", "tR5$kL9&vB2x", "Xy7%gH2!pQ4z"], len(bare)):
+        assert dict(got[i])[v] >= secret_scan.ACCEPT, (v, got[i])
+    assert dict(got[0])["Ab3dE5gH7j"] >= secret_scan.ACCEPT
+    assert not any(s >= secret_scan.ACCEPT for i in range(len(bare + signs), len(docs.collect())) for _, s in got[i]), got
+    left = {r.doc_id: r.text for r in secret_scan.redact(docs, "text").collect()}
+    assert left[len(bare)] == 'password = "[SECRET]"' and "Ab3dE5gH7j" not in left[0]
+
+
 def test_token_counts(spark, frame, rows):
     from tokenizers import Tokenizer
 
