@@ -7,7 +7,7 @@ its host's, with strengths fitted by moments, so sparse sites follow their paren
 document's own; a document is accepted if the posterior reaches ``ACCEPT``.
 
 Null or empty texts have no evidence of their own beyond the shape of an empty text and are judged like others. Null hosts and paths are sites of their own. Repeated rows
-count as they come; ties do not arise. Without labelled rows of both kinds, all documents get the prior 1/2 and are accepted. Only sums
+count as they come; ties do not arise. A model without labelled rows of both kinds is left out, its probability 1/2 for all; without both models, all documents get the prior 1/2 and are accepted. Only sums
 by site are shuffled (pre-aggregated); sites are broadcast up to ``SITES_BROADCAST`` rows, beyond that joined.
 """
 
@@ -71,11 +71,11 @@ def features(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (pair & U(0xFFFFFFFF)).astype(np.int32), np.searchsorted(pair >> U(32), np.arange(rows + 1))
 
 
-def fit(rows: list[np.ndarray], y: np.ndarray, *, l1: float = 0.4, steps: int = 150, rate: float = 0.3) -> tuple[np.ndarray, float]:
-    """Weights and bias by AdaGrad on all rows with soft thresholding."""
-    weights, bias = np.zeros(BUCKETS), 0.0
+def fit(rows: list[np.ndarray], y: np.ndarray, *, l1: float = 0.4, steps: int = 150, rate: float = 0.3) -> tuple[np.ndarray, float] | None:
+    """Weights and bias by AdaGrad on all rows with soft thresholding; None without rows of both kinds."""
     if not len(y) or y.all() or not y.any():
-        return weights, bias
+        return None
+    weights = np.zeros(BUCKETS)
     flat = np.concatenate(rows)
     used, flat = np.unique(flat, return_inverse=True)
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
@@ -96,8 +96,8 @@ def fit(rows: list[np.ndarray], y: np.ndarray, *, l1: float = 0.4, steps: int =
     return weights, bias
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, *, rows: int = TRAIN_ROWS) -> list[tuple[np.ndarray, float]]:
-    """Models of (good quality, toxic) from at most ``rows`` labelled documents. ``labels``: id, quality, toxic."""
+def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, *, rows: int = TRAIN_ROWS) -> list[tuple[np.ndarray, float] | None]:
+    """Models of (good quality, toxic), None where they cannot be fitted, from at most ``rows`` labelled documents. ``labels``: id, quality, toxic."""
     chosen = labels.filter(F.col("quality").isNotNull() & F.col("toxic").isNotNull()).select(F.col(id_col).alias("_id"), "quality", "toxic")
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id", "quality", "toxic").limit(rows)
     sample = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
@@ -115,18 +115,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, *, row
     return [fit(x, np.array(got[k], bool)) for k in ("quality", "toxic")]
 
 
-def evidence(df: DataFrame, text_col: str, models: list[tuple[np.ndarray, float]], *, keep_text: bool = True) -> DataFrame:
-    """Add ``p_quality``, ``p_toxic`` and ``evidence`` (log odds that the document is good and not toxic)."""
-    sent = df.sparkSession.sparkContext.broadcast([(np.flatnonzero(w), w[np.flatnonzero(w)], b) for w, b in models])
+def evidence(df: DataFrame, text_col: str, models: list[tuple[np.ndarray, float] | None], *, keep_text: bool = True) -> DataFrame:
+    """Add ``p_quality``, ``p_toxic`` and ``evidence`` (log odds that the document is good and not toxic, as far as there are models)."""
+    sent = df.sparkSession.sparkContext.broadcast([m and (np.flatnonzero(m[0]), m[0][np.flatnonzero(m[0])], m[1]) for m in models])
     kept = [f for f in df.schema if f.name not in ("p_quality", "p_toxic", "evidence") and (keep_text or f.name != text_col)]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "p_quality double, p_toxic double, evidence double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = []
-        for at, w, b in sent.value:
+        for m in sent.value:
             full = np.zeros(BUCKETS)
-            full[at] = w
-            dense.append((full, b))
+            if m:
+                full[m[0]] = m[1]
+            dense.append((full, m[2] if m else 0.0))
+        has_good, has_toxic = (m is not None for m in sent.value)
         for batch in batches:
             for lo, hi in slices(batch.column(text_col)):
                 part = batch.slice(lo, hi - lo)
@@ -134,7 +136,8 @@ def evidence(df: DataFrame, text_col: str, models: list[tuple[np.ndarray, float]
                 doc = np.repeat(np.arange(part.num_rows), np.diff(to))
                 z = [np.clip(np.bincount(doc, w[buckets], minlength=part.num_rows) + b, -20, 20) for w, b in dense]
                 good, toxic = (1 / (1 + np.exp(-x)) for x in z)
-                p = np.clip(good * (1 - toxic), 1e-6, 1 - 1e-6)
+                p = (good if has_good else 1) * (1 - toxic if has_toxic else 1) if has_good or has_toxic else np.full(part.num_rows, 0.5)
+                p = np.clip(p, 1e-6, 1 - 1e-6)
                 yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), *(pa.array(v) for v in (good, toxic, np.log(p / (1 - p))))], names=[*(f.name for f in kept), "p_quality", "p_toxic", "evidence"])
 
     return df.mapInArrow(run, schema)

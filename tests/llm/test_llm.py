@@ -220,6 +220,19 @@ def test_quality_held_out(spark):
     assert quality.classify(none, train.limit(0), Scratch(spark, "t")).count() == 2
 
 
+def test_quality_without_labels_of_both_kinds(spark):
+    good = [(i, f"a calm and useful text about rivers number {i}", "en", "s") for i in range(40)]
+    poor = [(i, f"BUY NOW!!! cheap cheap {i} $$$", "en", "s") for i in range(40, 80)]
+    docs = spark.createDataFrame(good + poor, "doc_id long, text string, lang string, source string")
+    labels = lambda rows: spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    for none in (labels([]), labels([(i, 1, 0) for i in range(1000, 1050)]), labels([(i, 1, 0) for i in range(40)])):
+        out = quality.classify(docs, none, Scratch(spark, "t")).collect()
+        assert len(out) == 80 and all(r.accepted and r.posterior == 0.5 and r.evidence == 0 for r in out)
+    for quality_of, toxic_of in ((lambda i: int(i < 40), lambda i: 0), (lambda i: 1, lambda i: int(i >= 40))):
+        out = quality.classify(docs, labels([(i, quality_of(i), toxic_of(i)) for i in range(0, 80, 2)]), Scratch(spark, "t")).collect()
+        assert all(r.accepted == (r.doc_id < 40) for r in out)
+
+
 def test_secrets(spark):
     key = hashlib.sha1(b"k").hexdigest()
     docs = spark.createDataFrame([(0, f'x token = "{key}" y {key}'), (1, f"commit {key} of the tree"), (2, None), (3, ""), (4, "plain words " * 2000)], "doc_id long, text string")
