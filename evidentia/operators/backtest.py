@@ -91,14 +91,28 @@ def greedy_matched(cases: DataFrame, controls: DataFrame, key: str, level: str,
     return both.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(run, f"case {kind}, control {kind}, distance double")
 
 
-def permutation_p(df: DataFrame, signal: str, outcome: str, observed: float, k: int, seed: int) -> DataFrame:
-    """(ge + 1) / (k + 1): mean signal of positives under k random relabelings by seeded hashes. Each draws every row's label with
-    the share of positives; rows are expanded k times in the map side and summed there."""
-    n = df.agg(F.avg(F.col(outcome).cast("double")).alias("_s"))
-    draws = df.crossJoin(F.broadcast(n)).withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(k))))
-    u = F.pmod(F.xxhash64(F.lit(seed), "_i", *[F.col(c) for c in df.columns]), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    means = draws.groupBy("_i").agg(F.avg(F.when(u < F.col("_s"), F.col(signal).cast("double"))).alias("m"))
-    return means.agg(((F.sum(F.when(F.col("m") >= observed, 1).otherwise(0)) + 1) / F.lit(float(k + 1))).alias("p"))
+def permutation_p(df: DataFrame, signal: str, outcome: str, tie: str, k: int = 2000, seed: int = 11, tasks: int = 32) -> DataFrame:
+    """(ge + 1) / (k + 1): permutations of the outcomes whose Spearman value (ordinal ranks, ties by ``tie``) reaches that of the data. The ranks are permutations of
+    the same numbers, so their products' sums are compared, as integers. Each task gets all rows, three columns of them, and its share of the permutations."""
+    import numpy as np
+    import pandas as pd
+
+    rows = df.select(F.col(tie).alias("tie"), F.col(signal).cast("double").alias("x"), F.col(outcome).cast("double").alias("y"), F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))).alias("task"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("tie", kind="stable")
+        n, first, y = len(pdf), int(pdf["task"].iloc[0]), pdf["y"].to_numpy()
+        by_signal = np.argsort(pdf["x"].to_numpy(), kind="stable")
+        x = np.empty(n, np.int64)
+        centred = np.arange(n) - n // 2
+        x[by_signal] = centred
+        value = lambda y: int(x[np.argsort(y, kind="stable")] @ centred)
+        observed = value(y)
+        ge = sum(value(np.random.default_rng([seed, i]).permutation(y)) >= observed for i in range(first, k, tasks))
+        return pd.DataFrame({"ge": [ge]})
+
+    counted = rows.groupBy("task").applyInPandas(run, "ge long")
+    return counted.agg(((F.coalesce(F.sum("ge"), F.lit(k)) + 1) / F.lit(float(k + 1))).alias("p"))
 
 
 def seeded_sample(df: DataFrame, key: str, seed: int, n: int) -> DataFrame:

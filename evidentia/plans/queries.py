@@ -324,7 +324,7 @@ def matched_controls_greedy(spark, d):
 
 @query()
 def permutation_test(spark, d):
-    return bt.permutation_p(_emerge(spark, d).select("o_custkey", "signal", "emerged"), "signal", "emerged", 1.0, 100, 7)
+    return bt.permutation_p(_emerge(spark, d).select("o_custkey", "signal", "emerged"), "signal", "emerged", "o_custkey", 2000, 7)
 
 
 @query("SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderdate < TIMESTAMP '1998-01-01') AND EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")

@@ -80,3 +80,19 @@ def test_stream_append(spark, tmp_path):
     for i in range(2):
         st.append_new(st.source(spark, str(tmp_path / "in"), src.schema), str(tmp_path / "out"), str(tmp_path / f"cp{i}"), "k").awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_permutation_p_of_the_data(spark):
+    from evidentia.operators import backtest as bt
+
+    p = lambda rows: bt.permutation_p(spark.createDataFrame(rows, "k int, s double, o boolean"), "s", "o", "k", 2000, 7).first().p
+    assert p([(i, float(i), i >= 20) for i in range(40)]) == 1 / 2001
+    assert p([(i, float(-i), i >= 20) for i in range(40)]) > 0.99
+    assert p([(i, float(i * 7 % 40), False) for i in range(40)]) == 1 and p([]) == 1
+    # of all 24 orders of four outcomes (ties by key), those with a Spearman value of that of the data or more
+    import itertools
+    s, o = [3, 1, 4, 2], [0, 1, 1, 0]
+    ranks = lambda v: [sorted(range(4), key=lambda i: (v[i], i)).index(j) for j in range(4)]
+    rho = lambda y: sum(a * b for a, b in zip(ranks(s), ranks(y), strict=True))
+    share = sum(rho(q) >= rho(o) for q in itertools.permutations(o)) / 24
+    assert abs(p([(i, float(s[i]), bool(o[i])) for i in range(4)]) - share) < 0.04
