@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.textnum import BASE, INVERSE, U, mix, packed, powers, raw, slices
+from evidentia.llm.textnum import Spans, equal_groups, packed, raw, slices
 
 #: Bounds of the tables: token pairs, and pieces with their length; bytes of a long piece between emissions; bytes of text at once.
 PAIRS, PIECES, PIECE_BYTES, FLUSH, BATCH = 1_000_000, 600_000, 48, 4096, 1 << 19
@@ -239,10 +240,7 @@ class Encoder:
         return self._gather(data, offs, begin, end)
 
     def _gather(self, data: np.ndarray, offs: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        h = np.zeros(len(data) + 1, U)
-        np.cumsum((data.astype(U) + U(1)) * powers(BASE, len(data)), dtype=U, out=h[1:])
-        key = mix((h[end] - h[begin]) * powers(INVERSE, len(h))[begin])
-        _, first, which = np.unique(key, return_index=True, return_inverse=True)
+        first, which = equal_groups(data, begin, end, Spans(data)(begin, end))
         whole, known = data.tobytes(), self.known
         got = []
         for b, e in zip(begin[first].tolist(), end[first].tolist(), strict=True):
@@ -267,15 +265,26 @@ class Encoder:
         ends = np.append(0, np.cumsum(n))
         return self.flat[np.repeat(self.at[ids] - ends[:-1], n) + np.arange(ends[-1])], ends[to]
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        ids = np.asarray(ids, np.int64)
-        return self.decode_many(ids, np.array([0, len(ids)]))[0].tobytes()
+    def decode_texts(self, ids: np.ndarray, to: np.ndarray) -> list[str]:
+        """Texts from ids through the streaming state machine, ``FLUSH`` tokens at a time; where each text's ids begin is in ``to``."""
+        out = []
+        for lo, hi in zip(to[:-1].tolist(), to[1:].tolist(), strict=True):
+            stream, parts = Utf8Stream(), []
+            for i in range(lo, hi, FLUSH):
+                some = ids[i : min(i + FLUSH, hi)]
+                parts.append(stream.feed(self.decode_many(some, np.array([0, len(some)]))[0].tobytes()))
+            parts.append(stream.feed(b"", final=True))
+            out.append("".join(parts))
+        return out
+
+
+_BEYOND_ASCII = re.compile(rb"[\x80-\xff]")
 
 
 class Utf8Stream:
     """An incremental UTF-8 state machine: feed bytes of tokens as they come, get the text that is complete so far.
     A token may end within a character; what is unfinished waits. Malformed input gives U+FFFD, once for each maximal
-    ill-formed part, as the Unicode Standard recommends."""
+    ill-formed part, as the Unicode Standard recommends. Between characters, a run of ASCII is one step."""
 
     def __init__(self):
         self.need, self.low, self.high, self.held = 0, 0x80, 0xBF, bytearray()
@@ -285,10 +294,9 @@ class Utf8Stream:
         while i < n:
             b = data[i]
             if not self.need:
-                j = i
-                while j < n and data[j] < 0x80:
-                    j += 1
-                if j > i:
+                if b < 0x80:
+                    found = _BEYOND_ASCII.search(data, i)
+                    j = found.start() if found else n
                     out.append(data[i:j].decode("ascii"))
                     i = j
                     continue
@@ -300,7 +308,7 @@ class Utf8Stream:
                 elif 0xF0 <= b <= 0xF4:
                     self.need, self.low, self.high = 3, 0x90 if b == 0xF0 else 0x80, 0x8F if b == 0xF4 else 0xBF
                 else:
-                    out.append("�")
+                    out.append("\ufffd")
                     i += 1
                     continue
                 self.held = bytearray([b])
@@ -312,10 +320,10 @@ class Utf8Stream:
                 if not self.need:
                     out.append(self.held.decode("utf-8"))
             else:
-                out.append("�")
+                out.append("\ufffd")
                 self.need = 0
         if final and self.need:
-            out.append("�")
+            out.append("\ufffd")
             self.need = 0
         return "".join(out)
 
@@ -329,8 +337,8 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 
 def encode(df: DataFrame, text_col: str, path: str, pattern: str, *, ids_col: str = "token_ids", n_col: str = "n_tokens", decoded_col: str | None = None) -> DataFrame:
-    """Add the ids of each text, packed as little-endian unsigned 32-bit integers, their number, and on request the bytes
-    decoded from them. Columns of these names are replaced; all others pass through.
+    """Add the ids of each text, packed as little-endian unsigned 32-bit integers, their number, and on request the UTF-8 bytes
+    of the text that the streaming state machine decodes from them. Columns of these names are replaced; all others pass through.
 
     One Arrow pass without a shuffle; a task holds one batch's texts and ids."""
     added = [(ids_col, "binary"), (n_col, "long"), *([(decoded_col, "binary")] if decoded_col else [])]
@@ -349,7 +357,7 @@ def encode(df: DataFrame, text_col: str, path: str, pattern: str, *, ids_col: st
                 cols.append(packed(ids, to * 4))
                 cols.append(pa.array(np.diff(to), pa.int64()))
                 if decoded_col:
-                    cols.append(packed(*enc.decode_many(ids, to)))
+                    cols.append(pa.array(enc.decode_texts(ids, to), pa.string()).cast(pa.binary()))
                 yield pa.RecordBatch.from_arrays(cols, names=[*kept, *(c for c, _ in added)])
 
     return src.mapInArrow(run, schema)
@@ -363,11 +371,8 @@ def decode(df: DataFrame, ids_col: str, path: str, pattern: str, *, text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
         for batch in batches:
-            out = []
-            for ids in batch.column(ids_col):
-                stream, got = Utf8Stream(), np.frombuffer(ids.as_py() or b"", "<u4")
-                parts = [stream.feed(enc.decode(got[i : i + 4096])) for i in range(0, len(got), 4096)]
-                out.append("".join(parts) + stream.feed(b"", final=True))
+            data, offs = raw(batch.column(ids_col))
+            out = enc.decode_texts(np.frombuffer(data.tobytes(), "<u4"), offs // 4)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(out, pa.string())], names=[*kept, text_col])
 
     return df.mapInArrow(run, schema)

@@ -13,7 +13,8 @@ class. Bounds on what can link, none of which loses a pair:
 
 Result: one row for each input row with its set size and the smallest id that links reach. Nulls, empty texts and texts without words have no set and
 are alone; repeated rows are one class. Empty tables give empty tables. Rows with a null id take part; ids of components are the smallest non-null ones.
-Hot pivots and blocks are salted by the number of their rows. Set members are compared by 64-bit hashes.
+Hot pivots are salted by the members of their rows' sets, so a very long text is a tile of its own. Equal sets are known by some 124 bits of
+independent hashes, a class is named by the number of one of its rows, and members of two sets are compared by 62-bit hashes.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ from evidentia.llm.scratch import Scratch
 from evidentia.llm.textnum import U, Words, mix, shingle_sets
 
 K, PERCENT = 3, 90
-#: Rows multiplied with one pivot in one group.
-TILE = 512
+#: Set members of the rows that are multiplied with one pivot in one group (one row may have more).
+TILE = 1 << 18
 
 
 def lead(n: np.ndarray) -> np.ndarray:
@@ -42,14 +43,14 @@ def at_least(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def set_keys(h: np.ndarray, to: np.ndarray) -> np.ndarray:
-    """A hash of each set: sum of its mixed members, and its size."""
+    """A hash of each set: sum of its mixed members' hashes, and its size."""
     sums = np.append(U(0), np.cumsum(mix(h ^ U(0xA5A5A5A5)), dtype=U))
     return mix(sums[to[1:]] - sums[to[:-1]] + np.diff(to).astype(U) * U(0x9E3779B97F4A7C15)).view(np.int64)
 
 
-def _sets(part: pa.Table, text_col: str, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _sets(part: pa.Table, text_col: str, k: int, *, other: bool = False) -> tuple[np.ndarray, ...]:
     column = part.column(text_col)
-    return shingle_sets(Words(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column), k)
+    return shingle_sets(Words(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column), k, other=other)
 
 
 def _leading(h: np.ndarray, to: np.ndarray, rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,11 +78,11 @@ def components(links: DataFrame, scratch: Scratch, label: str) -> DataFrame:
 
 
 def _multiply(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links among candidate pairs (a, b): for each column b in tiles of rows, overlap counts in one sparse product."""
-    tiles = pairs.groupBy("b").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    rows = pairs.join(tiles, "b").select("a", "b", F.pmod(F.xxhash64("a", "b"), F.col("tiles")).cast("int").alias("tile"))
-    rows = rows.join(sets.select(F.col("sh").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")), "a")
-    cols = tiles.join(sets.select(F.col("sh").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")), "b").withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    """Links among candidate pairs (a, b, na: the size of a's set): for each column b in tiles of rows, overlap counts in one sparse product."""
+    tiles = pairs.groupBy("b").agg(F.ceil(F.sum("na") / TILE).cast("int").alias("tiles"))
+    rows = pairs.join(tiles, "b").select("a", "b", "na", F.pmod(F.xxhash64("a", "b"), F.col("tiles")).cast("int").alias("tile"))
+    rows = rows.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
+    cols = tiles.join(sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")), "b").withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     cols = cols.select(F.col("b").alias("b2"), F.col("tile").alias("tile2"), "nb", "tb")
 
     def product(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -105,17 +106,17 @@ def _classes(src: DataFrame, id_col: str, text_col: str, scratch: Scratch, k: in
     id_type = src.schema[id_col].dataType.simpleString()
 
     def describe(part: pa.Table) -> list[pa.Array]:
-        h, to = _sets(part, text_col, k)
-        return [part.column(id_col).combine_chunks(), pa.array(set_keys(h, to)), pa.array(np.diff(to).astype(np.int64))]
+        h, to, other = _sets(part, text_col, k, other=True)
+        return [part.column(id_col).combine_chunks(), pa.array(set_keys(h, to)), pa.array(set_keys(other, to)), pa.array(np.diff(to).astype(np.int64))]
 
-    rows = ex.store_chunks(src, text_col, scratch, f"id {id_type}, sh long, n long", describe)
+    rows = ex.store_chunks(src, text_col, scratch, f"id {id_type}, sh long, sh2 long, n long", describe)
     full = rows.filter("n > 0")
-    reps = full.groupBy("sh").agg(F.min(F.struct("chunk", "idx")).alias("at"), F.min("id").alias("least"), F.max("n").alias("n"))
-    reps = scratch.keep(reps.select("sh", "n", "least", "at.*"), "classes")
+    reps = full.groupBy("sh", "sh2").agg(F.min(ex.row_number()).alias("node"), F.min("id").alias("least"), F.max("n").alias("n"))
+    reps = scratch.keep(reps, "classes")
     chunks = ex.Chunks(rows, scratch)
     total_n = int(reps.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     ranges = ex.ranges_for(total_n * 3 // 10)
-    mine = reps.select("chunk", "idx")
+    mine = reps.select(F.shiftright("node", ex.ROW_BITS).alias("chunk"), F.col("node").bitwiseAND((1 << ex.ROW_BITS) - 1).cast("int").alias("idx"))
 
     def leading(pointer: pa.Table, own: pa.Table) -> pa.Table:
         if not own.num_rows:
@@ -134,7 +135,8 @@ def _classes(src: DataFrame, id_col: str, text_col: str, scratch: Scratch, k: in
 
         own = got.filter(pc.is_valid(got.column("idx")))
         reply = got.filter(pc.is_valid(got.column("r")))
-        part = ex.load(pointer).take(pa.array(np.sort(own.column("idx").to_numpy())))
+        idx = np.sort(own.column("idx").to_numpy())
+        part = ex.load(pointer).take(pa.array(idx))
         h, to = _sets(part, text_col, k)
         rows = np.arange(part.num_rows)
         at, ends = _leading(h, to, rows, percent)
@@ -144,39 +146,40 @@ def _classes(src: DataFrame, id_col: str, text_col: str, scratch: Scratch, k: in
         n = np.diff(to)
         keep = rows[shared[ends[1:]] - shared[ends[:-1]] >= lead(at_least(n, percent))]
         tokens = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n[keep])), pa.int32()), pa.array(np.concatenate([h[to[i] : to[i + 1]] for i in keep]).view(np.int64) if len(keep) else np.zeros(0, np.int64)))
-        return pa.table({"sh": pa.array(set_keys(h, to)[keep]), "n": pa.array(n[keep].astype(np.int64)), "tokens": tokens})
+        nodes = pointer.column("chunk")[0].as_py() << ex.ROW_BITS | idx[keep].astype(np.int64)
+        return pa.table({"node": pa.array(nodes), "n": pa.array(n[keep].astype(np.int64)), "tokens": tokens})
 
-    sets = scratch.keep(chunks.with_replies(both, survivors, "sh long, n long, tokens array<long>"), "sets")
-    spread = sets.select("sh", "n", F.explode("tokens").alias("t"))
+    sets = scratch.keep(chunks.with_replies(both, survivors, "node long, n long, tokens array<long>"), "sets")
+    spread = sets.select("node", "n", F.explode("tokens").alias("t"))
     df_of = spread.groupBy("t").agg(F.count("*").alias("df")).filter("df > 1")
-    prefix = spread.join(df_of, "t").groupBy("sh", "n").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("common"))
+    prefix = spread.join(df_of, "t").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("common"))
     alone = F.col("n") - F.size("common")
     room = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone
-    prefix = prefix.select("sh", "n", alone.alias("alone"), F.posexplode(F.slice("common", F.lit(1), F.greatest(F.lit(0), room).cast("int"))).alias("i", "c"))
-    blocks = scratch.keep(prefix.select("sh", "n", F.col("c.t").alias("t"), (F.col("alone") + F.col("i")).alias("pos")), "blocks")
+    prefix = prefix.select("node", "n", alone.alias("alone"), F.posexplode(F.slice("common", F.lit(1), F.greatest(F.lit(0), room).cast("int"))).alias("i", "c"))
+    blocks = scratch.keep(prefix.select("node", "n", F.col("c.t").alias("t"), (F.col("alone") + F.col("i")).alias("pos")), "blocks")
 
     size_ok = F.least("n", "n2") * 100 >= percent * F.greatest("n", "n2")
-    pivots = blocks.groupBy("t").agg(F.min(F.struct("pos", "sh", "n")).alias("p"), F.count("*").alias("members")).filter("members > 1").select("t", F.col("p.sh").alias("sh2"), F.col("p.n").alias("n2"))
-    first = blocks.join(pivots, "t").filter((F.col("sh") != F.col("sh2")) & size_ok).select(F.col("sh").alias("a"), F.col("sh2").alias("b")).distinct()
+    pivots = blocks.groupBy("t").agg(F.min(F.struct("pos", "node", "n")).alias("p"), F.count("*").alias("members")).filter("members > 1").select("t", F.col("p.node").alias("node2"), F.col("p.n").alias("n2"))
+    first = blocks.join(pivots, "t").filter((F.col("node") != F.col("node2")) & size_ok).select(F.col("node").alias("a"), F.col("node2").alias("b"), F.col("n").alias("na")).distinct()
     links = scratch.keep(_multiply(scratch.keep(first, "first"), sets, percent), "links")
     comp = components(links, scratch, "components")
 
-    labelled = blocks.join(comp, blocks.sh == comp.node, "left").select("t", "sh", "n", "pos", F.coalesce("c", "sh").alias("c"))
+    labelled = blocks.join(comp, "node", "left").select("t", "node", "n", "pos", F.coalesce("c", "node").alias("c"))
     mixed = labelled.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("t")
     left = scratch.keep(labelled.join(mixed, "t"), "mixed")
-    right = left.select("t", F.col("sh").alias("sh2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("c").alias("c2"))
+    right = left.select("t", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("c").alias("c2"))
     # with i and j members before the first one in common, at most min(n - i, m - j) can be shared
     most = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
     bound = most * 100 >= percent * (F.col("n") + F.col("n2") - most)
-    rest = left.join(right, "t").filter((F.col("c") < F.col("c2")) & size_ok & bound).select(F.col("sh").alias("a"), F.col("sh2").alias("b")).distinct()
+    rest = left.join(right, "t").filter((F.col("c") < F.col("c2")) & size_ok & bound).select(F.col("node").alias("a"), F.col("node2").alias("b"), F.col("n").alias("na")).distinct()
     more = scratch.keep(_multiply(scratch.keep(rest, "rest"), sets, percent), "links")
     final = components(links.unionByName(more), scratch, "final")
 
-    named = reps.join(final, reps.sh == final.node, "left").select("sh", "least", F.coalesce("c", "sh").alias("c"))
+    named = reps.join(final, "node", "left").select("sh", "sh2", "least", F.coalesce("c", "node").alias("c"))
     smallest = named.groupBy("c").agg(F.min("least").alias("component_id"))
-    named = scratch.keep(named.join(smallest, "c").select("sh", "component_id", F.col("c").alias("component")), "named")
+    named = scratch.keep(named.join(smallest, "c").select("sh", "sh2", "component_id", F.col("c").alias("component")), "named")
     mine = ["chunk", "idx", "id", "n"]
-    out = full.join(named, "sh", "left").select(*mine, "component", "component_id")
+    out = full.join(named, ["sh", "sh2"], "left").select(*mine, "component", "component_id")
     return chunks, out.unionByName(rows.filter("n = 0").select(*mine, F.lit(None).cast("long").alias("component"), F.col("id").alias("component_id")))
 
 
@@ -190,6 +193,7 @@ def deduplicate(df: DataFrame, id_col: str, text_col: str, scratch: Scratch, *,
     """The rows of ``df`` less all but one of each component: the one with the smallest id. Rows without words all stay.
     The rows come out of the stored chunks, so texts are neither shuffled nor joined."""
     chunks, rows = _classes(df, id_col, text_col, scratch, k, percent)
+    size_col = ex.size_column(df.columns)
     grouped = rows.filter("component is not null")
     # null ids come last
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "chunk", "idx")).alias("first")
@@ -197,7 +201,7 @@ def deduplicate(df: DataFrame, id_col: str, text_col: str, scratch: Scratch, *,
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
     def take(pointer: pa.Table, own: pa.Table) -> pa.Table:
-        part = ex.load(pointer).drop_columns(["_bytes"])
+        part = ex.load(pointer).drop_columns([size_col])
         return part.take(pa.array(np.sort(own.column("idx").to_numpy()))) if own.num_rows else part.slice(0, 0)
 
     return chunks.with_replies(scratch.keep(kept, "kept"), take, schema)

@@ -14,7 +14,7 @@ Anchors with HOT or more occurrences (a passage in very many documents) take ano
 being one entry per chunk, so that no task gets all of them. Window and left-context equality rest on 64-bit hashes.
 
 Bytes are UTF-8; null is empty. Documents shorter than LENGTH lose nothing. Repeated rows count as occurrences of each other, ties do not matter, empty tables
-give empty tables. Matches never cross documents; a very long document is one chunk.
+give empty tables. Matches never cross documents; a very long document is one chunk, of any length.
 """
 
 from __future__ import annotations
@@ -35,17 +35,25 @@ LENGTH, K, HOT = 200, 100, 200
 OFFSETS = LENGTH - K + 1
 
 
-def sliding_argmin(h: np.ndarray, w: int) -> np.ndarray:
+#: Bits of a place in ``sliding_argmin``; longer arrays are cut.
+PLACE_BITS = 28
+
+
+def sliding_argmin(h: np.ndarray, w: int, bits: int = PLACE_BITS) -> np.ndarray:
     """For each p, the place of the smallest of h[p:p+w], by running minima over blocks of w; the first place on ties of
-    the upper bits, which is the same choice in equal windows."""
+    the upper bits, which is the same choice in equal windows. Arrays of more than 2^bits are done in parts that overlap by w - 1."""
     n = len(h)
-    key = (h >> U(28) << U(28)) | np.arange(n, dtype=U)
+    if n > 1 << bits:
+        step = (1 << bits) - w + 1
+        return np.concatenate([sliding_argmin(h[lo : lo + (1 << bits)], w, bits) + lo for lo in range(0, n - w + 1, step)])
+    low = U(PLACE_BITS)  # which bits count does not depend on the parts
+    key = (h >> low << low) | np.arange(n, dtype=U)
     pad = -n % w
     blocks = np.append(key, np.full(pad, ~U(0))).reshape(-1, w)
     left = np.minimum.accumulate(blocks, 1).reshape(-1)
     right = np.minimum.accumulate(blocks[:, ::-1], 1)[:, ::-1].reshape(-1)
     m = n - w + 1
-    return (np.minimum(right[:m], left[w - 1 : w - 1 + m]) & U((1 << 28) - 1)).astype(np.int64)
+    return (np.minimum(right[:m], left[w - 1 : w - 1 + m]) & U((1 << PLACE_BITS) - 1)).astype(np.int64)
 
 
 class Anchored:

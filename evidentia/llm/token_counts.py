@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from evidentia.llm.textnum import BASE, INVERSE, U, mix, powers, raw, slices
+from evidentia.llm.textnum import Spans, equal_groups, raw, slices
 
 #: Parts kept in the table, bytes of the longest one kept, and bytes of a batch.
 PARTS, PART_BYTES, BATCH = 600_000, 64, 4 << 20
@@ -63,9 +63,7 @@ class Counter:
         start[1:] &= ~inside[:-1] | edge[1:n]
         end[:-1] &= ~inside[1:] | edge[1:n]
         start, end = np.flatnonzero(start), np.flatnonzero(end) + 1
-        h = np.zeros(n + 1, U)
-        np.cumsum((data.astype(U) + U(1)) * powers(BASE, n), dtype=U, out=h[1:])
-        _, first, which = np.unique(mix((h[end] - h[start]) * powers(INVERSE, n + 1)[start]), return_index=True, return_inverse=True)
+        first, which = equal_groups(data, start, end, Spans(data)(start, end))
         whole, known = data.tobytes(), self.known
         parts = [whole[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
         got = list(map(known.get, parts))
