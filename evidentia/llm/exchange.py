@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.scratch import Scratch, open_folder
+from evidentia.llm.scratch import Scratch, open_folder, unused
 from evidentia.llm.textnum import U, give_back
 
 #: Bytes of text in a chunk (one text may be longer), and keys in a range.
@@ -37,11 +37,8 @@ def row_number() -> Column:
 
 
 def size_column(columns: list[str]) -> str:
-    """A name for the sizes that no column has."""
-    name, taken = "_bytes", {c.lower() for c in columns}
-    while name in taken:
-        name += "_"
-    return name
+    """The name of the column of sizes in chunks of a table with these columns."""
+    return unused("_bytes", columns)
 
 
 def store_chunks(df: DataFrame, text_col: str, scratch: Scratch, extra: str = "", describe: Callable[[pa.Table], list[pa.Array]] | None = None) -> DataFrame:

@@ -2,10 +2,14 @@
 
 The base folder is the cluster's ``spark.checkpoint.dir``. Only where that is unset and the session is a plain
 local one (as in tests) is a folder of this machine used; elsewhere the warehouse folder serves.
+
+Results are lazy, so an operator cannot know when its folder is no longer needed: whoever writes a result elsewhere calls ``drop`` (of one
+call) or ``drop_since`` (of all calls since a ``mark``); the rest goes when the driver's Python ends.
 """
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -24,11 +28,22 @@ def base_uri(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name that begins with ``name`` and that no column has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Scratch:
     """One folder per operator call; ``drop()`` removes it once the call's result has been written elsewhere."""
 
+    _open: list[Scratch] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.uri, self._n = spark, f"{base_uri(spark)}/{name}-{uuid.uuid4().hex}", 0
+        Scratch._open.append(self)
 
     def path(self, name: str) -> str:
         self._n += 1
@@ -46,7 +61,27 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     def drop(self) -> None:
-        self.remove(self.uri)
+        if self in Scratch._open:
+            Scratch._open.remove(self)
+            self.remove(self.uri)
+
+
+def mark() -> int:
+    return len(Scratch._open)
+
+
+def drop_since(at: int) -> None:
+    """Drop the folders of all calls since that mark."""
+    for s in Scratch._open[at:]:
+        s.drop()
+
+
+@atexit.register
+def _drop_all() -> None:
+    """At the driver's end, while its session is still there."""
+    for s in list(Scratch._open):
+        if s.spark.sparkContext._jsc is not None and not s.spark.sparkContext._jsc.sc().isStopped():
+            s.drop()
 
 
 def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
