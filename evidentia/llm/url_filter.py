@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evidentia.llm.scratch import unused
 from evidentia.llm.textnum import U, mix
 
 SHARD_KEYS, BROADCAST_BYTES, SALTS = 200_000, 8 << 20, 32
@@ -87,17 +88,26 @@ def in_cascade(blob: bytes, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return verdict
 
 
-def _keyed(df: DataFrame, key: Column, shards: int) -> DataFrame:
-    return df.withColumns({"_a": F.xxhash64(key), "_b": F.xxhash64(F.lit(1), key)}).withColumn("_shard", F.pmod("_a", F.lit(shards)).cast("int"))
+def _keyed(df: DataFrame, key: Column, shards: int, names: list[str]) -> DataFrame:
+    a, b, shard = names
+    return df.withColumns({a: F.xxhash64(key), b: F.xxhash64(F.lit(1), key)}).withColumn(shard, F.pmod(a, F.lit(shards)).cast("int"))
 
 
 def shard_count(n_rows: int) -> int:
     return max(1, -(-n_rows // SHARD_KEYS))
 
 
+def listed_keys(universe: DataFrame, key: Column, outside: DataFrame, outside_key: Column) -> DataFrame:
+    """(key, listed): the different keys of the universe, and whether a list from outside has them. One grouped union, no join; keys that only
+    the list has are left out, as the universe is complete. Null keys of the list match null keys."""
+    rows = universe.select(key.alias("key"), F.lit(True).alias("inside"), F.lit(False).alias("listed"))
+    rows = rows.unionByName(outside.select(outside_key.alias("key"), F.lit(False).alias("inside"), F.lit(True).alias("listed")))
+    return rows.groupBy("key").agg(F.max("inside").alias("inside"), F.max("listed").alias("listed")).filter("inside").select("key", "listed")
+
+
 def cascades(universe: DataFrame, key: Column, listed: Column, shards: int) -> DataFrame:
     """(shard, cascade): ``listed`` is a boolean column over the universe. A key counts as listed if any of its rows does."""
-    keys = _keyed(universe.select(key.alias("_key"), F.coalesce(listed, F.lit(False)).alias("_listed")), F.col("_key"), shards)
+    keys = _keyed(universe.select(key.alias("_key"), F.coalesce(listed, F.lit(False)).alias("_listed")), F.col("_key"), shards, ["_a", "_b", "_shard"])
     keys = keys.groupBy("_shard", "_a", "_b").agg(F.max("_listed").alias("_listed"))
 
     def build(table: pa.Table) -> pa.Table:
@@ -109,14 +119,16 @@ def cascades(universe: DataFrame, key: Column, listed: Column, shards: int) -> D
 
 
 def apply_cascades(df: DataFrame, key: Column, filters: DataFrame, shards: int, *, out_col: str = "listed") -> DataFrame:
-    """Add the exact membership of each row's key."""
-    df = _keyed(df, key, shards)
-    kept = [c for c in df.columns if c not in ("_a", "_b", "_shard", out_col)]
+    """Add the exact membership of each row's key; a column named like the new one is replaced."""
+    names = [unused(x, df.columns) for x in ("_a", "_b", "_shard", "_salt")]
+    of_a, of_b, of_shard, salt = names
+    df = _keyed(df, key, shards, names[:3])
+    kept = [c for c in df.columns if c not in names and c.lower() != out_col.lower()]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in kept), f"`{out_col}` boolean"])
 
     def judged(batch, blobs) -> pa.Array:
-        a, b = (batch.column(c).to_numpy().view(U) for c in ("_a", "_b"))
-        shard, got = batch.column("_shard").to_numpy(), np.zeros(batch.num_rows, bool)
+        a, b = (batch.column(c).to_numpy().view(U) for c in (of_a, of_b))
+        shard, got = batch.column(of_shard).to_numpy(), np.zeros(batch.num_rows, bool)
         for s in np.unique(shard):
             at = np.flatnonzero(shard == s)
             got[at] = in_cascade(blobs.get(int(s), b""), a[at], b[at])
@@ -131,11 +143,11 @@ def apply_cascades(df: DataFrame, key: Column, filters: DataFrame, shards: int,
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), judged(batch, sent.value)], names=[*kept, out_col])
 
         return df.mapInArrow(run, schema)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in kept]), F.lit(SALTS)).cast("int"))
-    spread = filters.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = df.withColumn(salt, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in kept]), F.lit(SALTS)).cast("int"))
+    spread = filters.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
     def both(rows: pa.Table, blob: pa.Table) -> pa.Table:
         blobs = dict(zip(blob.column("shard").to_pylist(), blob.column("cascade").to_pylist(), strict=True))
         return rows.select(kept).append_column(out_col, judged(rows.combine_chunks(), blobs))
 
-    return salted.groupBy("_shard", "_salt").cogroup(spread.groupBy("shard", "_salt")).applyInArrow(both, schema)
+    return salted.groupBy(of_shard, salt).cogroup(spread.groupBy("shard", salt)).applyInArrow(both, schema)
