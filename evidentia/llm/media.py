@@ -9,7 +9,7 @@ Reading: header-only range reads (the first 33 bytes: signature and IHDR) fill m
 stored bytes for features. Rows of one shard are read together, in offset order.
 
 Nulls are empty texts, which are one padded block. Repeated texts share digest and location. Empty tables give empty results.
-Other columns are kept. A payload is held whole in one task while it is written or read.
+Other columns are kept, but for the text and those named like new ones. A payload, however long, is held whole in one task while it is written or read.
 """
 
 from __future__ import annotations
@@ -26,15 +26,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.scratch import Scratch, open_folder
+from evidentia.llm.scratch import Scratch, open_folder, unused
 
 #: Payloads are padded with byte 255 to a positive multiple of WIDTH, the row length of the stored images.
 WIDTH = 576
-#: Bytes of a shard that are read together.
-RUN_BYTES = 16 << 20
+#: Bytes of a shard that are read together, and stored bytes for each task that reads.
+RUN_BYTES, READ_BYTES = 4 << 20, 32 << 20
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
 HEADER_BYTES = 33
 INDEX = "digest binary, shard string, offset long, length long"
+_HEADER = [("width", "int"), ("height", "int"), ("bit_depth", "int")]
+_READ = [("payload_bytes", "long"), ("payload_sha256", "string"), ("tail_crc32", "long"), ("media_sha256", "string"), ("feature", "string")]
+#: All columns that ``media_columns`` adds.
+ADDED = ["n_bytes", "digest", "shard", "offset", "length", *(n for n, _ in _HEADER + _READ)]
 
 
 def payload(text: Column) -> Column:
@@ -127,7 +131,7 @@ def store(df: DataFrame, payload_col: str, scratch: Scratch) -> DataFrame:
     return index.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("at")).select("digest", "at.*")
 
 
-def _ranges(df: DataFrame, fields: list[tuple[str, str]], length: int | None, make) -> DataFrame:
+def _ranges(df: DataFrame, tasks: int, fields: list[tuple[str, str]], length: int | None, make) -> DataFrame:
     """Read each row's byte range (its first ``length`` bytes, or all) and add the columns that ``make`` gives."""
     kept = df.columns
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), *(f"`{n}` {t}" for n, t in fields)])
@@ -147,32 +151,39 @@ def _ranges(df: DataFrame, fields: list[tuple[str, str]], length: int | None, ma
                 cols = [pa.array([g[i] for g in got], {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}[t]) for i, (_, t) in enumerate(fields)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *cols], names=[*kept, *(n for n, _ in fields)])
 
-    # a fixed number of tasks: index rows are small, but not what they point to
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # index rows are small, but not what they point to: the number of tasks follows from that
     return df.repartition(tasks, "shard", F.floor(F.col("offset") / RUN_BYTES)).sortWithinPartitions("shard", "offset").mapInArrow(run, schema)
 
 
-def metadata(index: DataFrame) -> DataFrame:
+def read_tasks(index: DataFrame) -> int:
+    return max(1, -(-int(index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]) // READ_BYTES))
+
+
+def metadata(index: DataFrame, tasks: int) -> DataFrame:
     """Width, height and bit depth by header-only range reads."""
-    return _ranges(index, [("width", "int"), ("height", "int"), ("bit_depth", "int")], HEADER_BYTES, png_header)
+    return _ranges(index, tasks, _HEADER, HEADER_BYTES, png_header)
 
 
-def read_back(index: DataFrame) -> DataFrame:
+def read_back(index: DataFrame, tasks: int) -> DataFrame:
     """Read and decode each stored payload once; add its digests, sizes and features."""
 
     def make(stored: bytes) -> tuple:
         samples = from_png(stored)
         return len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-32:]), hashlib.sha256(stored).hexdigest(), features(samples)
 
-    fields = [("payload_bytes", "long"), ("payload_sha256", "string"), ("tail_crc32", "long"), ("media_sha256", "string"), ("feature", "string")]
-    return _ranges(index, fields, None, make)
+    return _ranges(index, tasks, _READ, None, make)
 
 
 def media_columns(df: DataFrame, text_col: str, scratch: Scratch, *, id_col: str) -> DataFrame:
-    """``id_col``, unpadded bytes, digest and the columns of the stored form. Texts are read once and never shuffled: only ids and
-    digests meet the read-back rows. That join is on the digest; Spark splits a digest with very many rows."""
-    src = df.select(F.col(id_col), F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_bytes"), payload(F.col(text_col)).alias("payload"))
-    index = store(src, "payload", scratch)
-    found = scratch.keep(read_back(metadata(index)), "read")
-    rows = src.select(id_col, "n_bytes", F.unhex(F.sha2("payload", 256)).alias("digest"))
-    return rows.join(found, "digest")
+    """``df`` without its text, and with unpadded bytes, digest and the columns of the stored form (``ADDED``). Texts are read once and never
+    shuffled: only the other columns and digests meet the read-back rows. That join is on the digest; Spark splits a digest with very many rows."""
+    own = {c.lower() for c in ADDED}
+    if id_col.lower() in own:
+        raise ValueError(f"the id column cannot be named {id_col!r}: a new column has that name")
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in own and c != text_col]
+    body = unused("_payload", df.columns)
+    src = df.select(*kept, F.octet_length(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).cast("long").alias("n_bytes"), payload(F.col(f"`{text_col}`")).alias(body))
+    index = store(src, body, scratch)
+    tasks = read_tasks(index)
+    found = scratch.keep(read_back(metadata(index, tasks), tasks), "read")
+    return src.select(*kept, "n_bytes", F.unhex(F.sha2(body, 256)).alias("digest")).join(found, "digest")
