@@ -1,14 +1,15 @@
 """Quality classifier by hierarchical empirical Bayes.
 
 Document evidence: two sparse logistic models (good quality, toxic) over hashed words, word shapes and a few measures of the text, fitted
-with an L1 penalty on a bounded sample of labelled rows (``TRAIN_ROWS``, chosen by hash). Site evidence: the mean evidence of a
+with an L1 penalty on a bounded sample of labelled rows (``TRAIN_ROWS`` rows and ``TRAIN_FEATURES`` features in all, chosen by hash). Site evidence: the mean evidence of a
 host, and of a path in it, from grouped sums over all documents. A host's mean is shrunk toward the global mean, and a path's toward
 its host's, with strengths fitted by moments, so sparse sites follow their parents. The posterior adds the site's shift of log odds, damped by ``SITE_WEIGHT``, to the
 document's own; a document is accepted if the posterior reaches ``ACCEPT``.
 
 Null or empty texts have no evidence of their own beyond the shape of an empty text and are judged like others. Null hosts and paths are sites of their own. Repeated rows
 count as they come; ties do not arise. A model without labelled rows of both kinds is left out, its probability 1/2 for all; without both models, all documents get the prior 1/2 and are accepted. Only sums
-by site are shuffled (pre-aggregated); sites are broadcast up to ``SITES_BROADCAST`` rows, beyond that joined.
+by site are shuffled (pre-aggregated); sites are broadcast up to ``SITES_BROADCAST`` rows, beyond that joined with salted rows. Evidence is computed once and
+written. Columns named like new ones are replaced (``accept`` keeps them); a very long text is one row of features.
 """
 
 from __future__ import annotations
@@ -19,11 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from evidentia.llm.scratch import Scratch
+from evidentia.llm.scratch import Scratch, unused
 from evidentia.llm.textnum import U, Words, mix, slices
 
-TRAIN_ROWS, BUCKETS, SITE_WEIGHT, ACCEPT, SITES_BROADCAST = 4000, 1 << 18, 0.25, 0.5, 50_000
+TRAIN_ROWS, TRAIN_FEATURES, BUCKETS, SITE_WEIGHT, ACCEPT, SITES_BROADCAST, SALTS = 4000, 16_000_000, 1 << 18, 0.25, 0.5, 50_000, 16
+ADDED = ["p_quality", "p_toxic", "evidence", "site_shift", "posterior", "accepted"]
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -110,7 +113,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, *, row
                 yield pa.RecordBatch.from_arrays([part.column("_id"), pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.array(buckets)), part.column("quality").cast(pa.int32()), part.column("toxic").cast(pa.int32())], names=["id", "x", "quality", "toxic"])
 
     got = sample.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, x array<int>, quality int, toxic int")
-    got = got.orderBy("id").limit(rows).toArrow().to_pydict()  # a bounded sample; order fixes the sums' order
+    # at most ``rows`` of them, so one task may add up their sizes; the order by id fixes the order of the model's sums
+    so_far = F.sum(F.size("x").cast("long")).over(W.orderBy(F.xxhash64("id"), "id", "quality", "toxic").rowsBetween(W.unboundedPreceding, 0))
+    got = got.orderBy("id").limit(rows).withColumn("so_far", so_far).filter(F.col("so_far") <= TRAIN_FEATURES).drop("so_far").orderBy("id").toArrow().to_pydict()
     x = [np.array(v, np.int64) for v in got["x"]]
     return [fit(x, np.array(got[k], bool)) for k in ("quality", "toxic")]
 
@@ -143,37 +148,53 @@ def evidence(df: DataFrame, text_col: str, models: list[tuple[np.ndarray, float]
     return df.mapInArrow(run, schema)
 
 
-def _strength(groups: DataFrame, mean: Column, n: Column, around: Column) -> Column:
+def _strength(groups: DataFrame, mean: Column, n: Column, around: Column) -> float:
     """Method of moments: prior observations k with variance(mean) = v/(k+1) + v/n, v = around (1 - around)."""
     v = around * (1 - around)
     between = F.greatest(F.lit(1e-6), F.sum(n * ((mean - around) ** 2 - v / n)) / F.sum(n))
-    return F.least(F.lit(1e4), F.greatest(F.lit(5.0), F.avg(v) / between - 1))
+    k = groups.agg((F.avg(v) / between - 1).alias("k")).first().k
+    return min(1e4, max(5.0, k)) if k is not None else 5.0
 
 
-def sites(scored: DataFrame, host: str, path: str) -> DataFrame:
-    """(host, path, site_shift): the shrunken posterior of each path, as a shift of log odds from the global mean."""
+def sites(scored: DataFrame, host: str, path: str, scratch: Scratch) -> DataFrame:
+    """(host, path, site_shift): the shrunken posterior of each path, as a shift of log odds from the global mean. Sums by path are written; the global mean
+    and the two strengths are numbers."""
     p = 1 / (1 + F.exp(-F.col("evidence")))
-    by_path = scored.groupBy(host, path).agg(F.count("*").cast("double").alias("n"), F.sum(p).alias("s"))
-    by_host = by_path.groupBy(host).agg(F.sum("n").alias("hn"), F.sum("s").alias("hs"))
-    total = by_host.agg((F.sum("hs") / F.sum("hn")).alias("g"))
-    hosts = by_host.crossJoin(F.broadcast(total))  # one row
-    k = hosts.agg(_strength(hosts, F.col("hs") / F.col("hn"), F.col("hn"), F.col("g")).alias("k"))
-    hosts = hosts.crossJoin(F.broadcast(k)).withColumn("hp", (F.col("hs") + F.col("k") * F.col("g")) / (F.col("hn") + F.col("k"))).select(F.col(host).alias("_h"), "hp", "g")
-    paths = by_path.join(hosts, by_path[host].eqNullSafe(F.col("_h")))
-    k2 = paths.agg(_strength(paths, F.col("s") / F.col("n"), F.col("n"), F.col("hp")).alias("k2"))
-    paths = paths.crossJoin(F.broadcast(k2)).withColumn("pp", (F.col("s") + F.col("k2") * F.col("hp")) / (F.col("n") + F.col("k2")))
+    grouped = scored.groupBy(F.col(f"`{host}`").alias("host"), F.col(f"`{path}`").alias("path")).agg(F.count("*").cast("double").alias("n"), F.sum(p).alias("s"))
+    by_path = scratch.keep(grouped, "paths")
+    by_host = by_path.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs"))
+    g = by_host.agg((F.sum("hs") / F.sum("hn")).alias("g")).first().g
+    g = 0.5 if g is None else float(g)
+    k = _strength(by_host, F.col("hs") / F.col("hn"), F.col("hn"), F.lit(g))
+    hosts = by_host.select(F.col("host").alias("own"), ((F.col("hs") + k * g) / (F.col("hn") + k)).alias("hp"))
+    paths = scratch.keep(by_path.join(hosts, F.col("host").eqNullSafe(F.col("own"))).drop("own"), "shrunken")
+    k2 = _strength(paths, F.col("s") / F.col("n"), F.col("n"), F.col("hp"))
+    pp = (F.col("s") + k2 * F.col("hp")) / (F.col("n") + k2)
     logit = lambda x: F.log(F.greatest(F.lit(1e-6), x) / F.greatest(F.lit(1e-6), 1 - x))
-    return paths.select(F.col(host).alias("_host"), F.col(path).alias("_path"), (logit(F.col("pp")) - logit(F.col("g"))).alias("site_shift"))
+    return paths.select("host", "path", (logit(pp) - logit(F.lit(g))).alias("site_shift"))
 
 
 def classify(df: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", host: str = "source", path: str = "lang", keep_text: bool = True) -> DataFrame:
     """All rows with ``p_quality``, ``p_toxic``, ``evidence``, ``site_shift``, ``posterior`` and ``accepted``."""
     models = train(df, labels, id_col, text_col)
-    slim = scratch.keep(evidence(df.select(host, path, text_col), text_col, models, keep_text=False).select(host, path, "evidence"), "evidence")
-    shifts = scratch.keep(sites(slim, host, path), "sites")
-    scored = evidence(df, text_col, models, keep_text=keep_text)
-    few = shifts.limit(SITES_BROADCAST + 1).count() <= SITES_BROADCAST
-    joined = scored.join(F.broadcast(shifts) if few else shifts, scored[host].eqNullSafe(shifts["_host"]) & scored[path].eqNullSafe(shifts["_path"]), "left")
+    df = df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in ADDED))
+    scored = scratch.keep(evidence(df, text_col, models, keep_text=keep_text), "scored")
+    of_host, of_path, salt, of_salt = (unused(x, scored.columns) for x in ("_host", "_path", "_salt", "_of_salt"))
+    shifts = scratch.keep(sites(scored, host, path, scratch), "sites").withColumnsRenamed({"host": of_host, "path": of_path})
+    same = F.col(f"`{host}`").eqNullSafe(F.col(of_host)) & F.col(f"`{path}`").eqNullSafe(F.col(of_path))
+    if shifts.limit(SITES_BROADCAST + 1).count() <= SITES_BROADCAST:
+        joined = scored.join(F.broadcast(shifts), same, "left")
+    else:  # a site may have a third of all rows
+        dealt = scored.withColumn(salt, F.pmod(F.xxhash64(F.col(f"`{id_col}`"), "evidence"), F.lit(SALTS)))
+        joined = dealt.join(shifts.withColumn(of_salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), same & (F.col(salt) == F.col(of_salt)), "left").drop(salt, of_salt)
     odds = F.col("evidence") + SITE_WEIGHT * F.coalesce("site_shift", F.lit(0.0))
-    out = joined.drop("_host", "_path").withColumn("posterior", 1 / (1 + F.exp(-odds)))
+    out = joined.drop(of_host, of_path).withColumn("posterior", 1 / (1 + F.exp(-odds)))
     return out.withColumn("accepted", F.col("posterior") >= ACCEPT)
+
+
+def accept(df: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", host: str = "source", path: str = "lang") -> DataFrame:
+    """The accepted rows of ``df``, with its columns whatever their names."""
+    place = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    own = labels.withColumnRenamed(id_col, place[id_col])
+    judged = classify(df.toDF(*place.values()), own, scratch, id_col=place[id_col], text_col=place[text_col], host=place[host], path=place[path])
+    return judged.filter("accepted").select(*(F.col(new).alias(old) for old, new in place.items()))
