@@ -5,7 +5,7 @@ Texts become sequences of canonical words: outer punctuation goes, A-Z is lower-
 with those of the benchmark's items. Matches on one diagonal (a document position less an item position) form an occurrence, and so do those of
 several diagonals in order, since words put in or left out move the diagonal, within three times the item's length; each occurrence is judged alone. Its
 coverage is the share of the item's windows that matched, and its slots, the placeholders' values, must be consistent: an item's
-value maps to one value in the occurrence wherever it recurs. So a question asked again with other numbers or names is found, once or several times in a document, and a
+value maps to one value in the occurrence wherever it recurs, but for a share of SLACK of the values (a number may have been mistaken or changed alone). So a question asked again with other numbers or names is found, once or several times in a document, and a
 chance meeting of templates is not. Template windows with fewer than LITERAL plain words say nothing and are left out on both sides.
 
 Besides, windows of the words as they stand, lower-cased and without outer punctuation, are matched in the same way; they have no placeholders and no
@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 
 from evidentia.llm.textnum import U, Words, mix, slices
 
-WINDOW, LITERAL, COVERAGE = 8, 3, 0.5
+WINDOW, LITERAL, COVERAGE, SLACK = 8, 3, 0.5, 0.25
 BLOCK_ITEMS, BLOCK_BYTES = 50_000, 32 << 20
+FOUND = ["matched", "windows", "coverage", "n_slots", "n_inconsistent", "contaminated"]
 #: Units that follow numbers.
 UNITS = "mm cm m km inch inches feet ft yards mile miles mg g kg t lb lbs pounds ounces oz ml l liter liters litre litres gallons s sec seconds min minutes h hour hours day days week weeks month months year years percent % usd eur dollars euros cents mph kmh kph watts w kw volts v amps hz khz mhz ghz".split()
 
@@ -210,7 +211,7 @@ class Templates:
                         if c.kind[from_y + y + j] != PLAIN:
                             slots[int(c.value[from_y + y + j])].add(int(d.value[from_x + x + j]))
                 wrong = sum(len(v) > 1 for v in slots.values())
-                rank = (wrong * 4 <= len(slots), len(chain), -wrong)
+                rank = (wrong <= SLACK * len(slots), len(chain), -wrong)
                 if best is None or rank > best:
                     best = rank
                     out[row, item] = (row, item, len(chain), int(count[item]), len(slots), wrong, rank[0])
@@ -230,6 +231,8 @@ def _blocks(items: DataFrame, item_col: str, item_text: str):
 def matches(docs: DataFrame, id_col: str, text_col: str, items: DataFrame, item_col: str, item_text: str) -> DataFrame:
     """Pairs of documents and items: matched and all windows of the item, coverage, slots, slots that disagree, ``contaminated``."""
     types = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
+    if len({c.lower() for c in (id_col, item_col, *FOUND)}) < 2 + len(FOUND):
+        raise ValueError(f"the ids need names of their own, other than {FOUND}")
     schema = f"`{id_col}` {types[0]}, `{item_col}` {types[1]}, matched long, windows long, coverage double, n_slots long, n_inconsistent long, contaminated boolean"
     src = docs.select(id_col, text_col)
     out = None
@@ -243,7 +246,7 @@ def matches(docs: DataFrame, id_col: str, text_col: str, items: DataFrame, item_
                     part = batch.slice(lo, hi - lo)
                     got = templates.search(part.column(1))
                     r = [g[0] for g in got]
-                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(r, pa.int32())), names.take(pa.array([g[1] for g in got], pa.int32())), *(pa.array(x, t) for x, t in (([g[2] for g in got], pa.int64()), ([g[3] for g in got], pa.int64()), ([g[2] / g[3] for g in got], pa.float64()), ([g[4] for g in got], pa.int64()), ([g[5] for g in got], pa.int64()), ([g[6] for g in got], pa.bool_())))], names=[id_col, item_col, "matched", "windows", "coverage", "n_slots", "n_inconsistent", "contaminated"])
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(r, pa.int32())), names.take(pa.array([g[1] for g in got], pa.int32())), *(pa.array(x, t) for x, t in (([g[2] for g in got], pa.int64()), ([g[3] for g in got], pa.int64()), ([g[2] / g[3] for g in got], pa.float64()), ([g[4] for g in got], pa.int64()), ([g[5] for g in got], pa.int64()), ([g[6] for g in got], pa.bool_())))], names=[id_col, item_col, *FOUND])
 
         found = src.mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
