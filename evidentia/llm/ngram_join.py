@@ -29,8 +29,8 @@ from evidentia.llm.scratch import Scratch
 from evidentia.llm.textnum import U, Words, mix, shingle_sets
 
 K, PERCENT = 3, 90
-#: Set members of the rows that are multiplied with one pivot in one group (one row may have more).
-TILE = 1 << 18
+#: Rows that are multiplied with one pivot in one group, and members of their sets (one row may have more).
+TILE_ROWS, TILE = 128, 1 << 18
 
 
 def lead(n: np.ndarray) -> np.ndarray:
@@ -79,7 +79,7 @@ def components(links: DataFrame, scratch: Scratch, label: str) -> DataFrame:
 
 def _multiply(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links among candidate pairs (a, b, na: the size of a's set): for each column b in tiles of rows, overlap counts in one sparse product."""
-    tiles = pairs.groupBy("b").agg(F.ceil(F.sum("na") / TILE).cast("int").alias("tiles"))
+    tiles = pairs.groupBy("b").agg(F.greatest(F.ceil(F.count("*") / TILE_ROWS), F.ceil(F.sum("na") / TILE)).cast("int").alias("tiles"))
     rows = pairs.join(tiles, "b").select("a", "b", "na", F.pmod(F.xxhash64("a", "b"), F.col("tiles")).cast("int").alias("tile"))
     rows = rows.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
     cols = tiles.join(sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")), "b").withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
