@@ -12,13 +12,12 @@ from pyspark.sql import functions as F
 
 from evidentia.llm import bpe, decontam, ngram_join, quality, secret_scan
 from evidentia.llm.queries import table
-from evidentia.llm.scratch import Scratch
+from evidentia.llm.scratch import Scratch, drop_since, mark
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go: poor or toxic by the posterior."""
-    judged = quality.classify(docs, table(spark, sf_dir, "labels"), Scratch(spark, "quality"))
-    return judged.filter("accepted").select(*docs.columns)
+    return quality.accept(docs, table(spark, sf_dir, "labels"), Scratch(spark, "quality"))
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +55,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; what a stage needed besides its result goes once that is written."""
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        began = mark()
         docs = scratch.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        drop_since(began)
     return docs
