@@ -11,10 +11,11 @@ words the mass of one, so on small corpora it can exceed a true probability.)
 
 Gathering. Words of all texts are counted by the packed exchange: a chunk sends each range its different words, once, with
 their training numbers; a range's task adds up, spells each different word of the corpus once and answers each chunk with counts and scores.
+Words meet by hash and are told apart by their bytes, in the chunk and in the range, and a chunk's answers come back by place.
 No word is hot (one entry per chunk) and no table of words is broadcast; what is broadcast has the vocabulary's size.
 
 Nulls and texts without words are the end token alone. Tables without training rows score by spelling only (N = 0). Ties and repeated rows
-are counted as they come; very long words are spelled by the same recursion. Words are told apart by 64-bit hashes.
+are counted as they come; very long words are spelled by the same recursion.
 """
 
 from __future__ import annotations
@@ -28,13 +29,11 @@ from pyspark.sql import functions as F
 
 from evidentia.llm import exchange as ex
 from evidentia.llm.scratch import Scratch
-from evidentia.llm.textnum import BASE, INVERSE, U, Words, mix, powers
+from evidentia.llm.textnum import BASE, INVERSE, U, Words, equal_groups, give_back, mix, powers
 
-#: Key of the end token, which no word has (words are not empty).
-END = U(0)
-#: Longest piece used, in bytes.
-LONGEST = 16
 PASSES, DISCOUNT, STRENGTH = 2, 0.7, 30.0
+#: Bytes of words that are spelled at once (one word may be longer), and partial sums that one task adds up.
+SPELLED, FAN = 1 << 17, 32
 
 
 @functools.lru_cache(maxsize=2)
@@ -47,7 +46,7 @@ def vocabulary(path: str) -> tuple[list[bytes], np.ndarray]:
     for i in range(sp.get_piece_size()):
         if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)):
             p = sp.id_to_piece(i).replace("▁", " ").encode()
-            if len(p) <= LONGEST and b" " not in p[1:]:
+            if b" " not in p[1:]:  # words have no space within
                 pieces[p] = pieces.get(p, 0) + 1.0 / (10.0 + abs(sp.get_score(i)))
     weights = np.array(list(pieces.values()))
     return list(pieces), weights / weights.sum()
@@ -59,29 +58,36 @@ class Lattice:
     def __init__(self, pieces: list[bytes], log_p: np.ndarray, log_end: float):
         self.log_p, self.log_end = log_p, log_end
         lengths = np.array([len(p) for p in pieces])
-        self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for n in np.unique(lengths):
             ids = np.flatnonzero(lengths == n)
-            block = np.frombuffer(b"".join(pieces[i] for i in ids), np.uint8).reshape(-1, n).astype(U)
-            h = mix(((block + U(1)) * powers(BASE, int(n))).sum(1, dtype=U))
+            block = np.frombuffer(b"".join(pieces[i] for i in ids), np.uint8).reshape(-1, n)
+            h = mix(((block.astype(U) + U(1)) * powers(BASE, int(n))).sum(1, dtype=U))
             order = np.argsort(h)
-            self.by_length[int(n)] = h[order], ids[order]
+            wide = np.zeros((len(ids), -(-int(n) // 8) * 8), np.uint8)
+            wide[:, :n] = block
+            self.by_length[int(n)] = h[order], ids[order], wide[order].view("<u8")
 
     def arcs(self, flat: np.ndarray, offs: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """(length, begin positions, piece ids) of all matches."""
+        """(length, begin positions, piece ids) of all matches; hashes find them, bytes decide."""
         n = len(flat)
         h = np.zeros(n + 1, U)
         np.cumsum((flat.astype(U) + U(1)) * powers(BASE, n), dtype=U, out=h[1:])
         inv = powers(INVERSE, n + 1)
+        eight = np.ndarray(n + 1, "<u8", np.concatenate([flat, np.zeros(8, np.uint8)]), strides=(1,))
         room = np.repeat(offs[1:], np.diff(offs)) - np.arange(n)
         out = []
-        for k, (table, ids) in self.by_length.items():
+        for k, (table, ids, wide) in self.by_length.items():
             at = np.flatnonzero(room >= k)
             if len(at):
                 key = mix((h[at + k] - h[at]) * inv[at])
                 j = np.minimum(np.searchsorted(table, key), len(table) - 1)
                 hit = table[j] == key
-                out.append((k, at[hit], ids[j[hit]]))
+                at, j = at[hit], j[hit]
+                same = np.ones(len(at), bool)
+                for x in range(wide.shape[1]):
+                    same &= (eight[at + 8 * x] ^ wide[j, x]) << U(8 * max(0, 8 - (k - 8 * x))) == 0
+                out.append((k, at[same], ids[j[same]]))
         return out
 
     def forward(self, flat: np.ndarray, offs: np.ndarray, want_counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
@@ -144,18 +150,42 @@ def _spaced(flat: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class Chunk:
-    """Words of a chunk with the end token of each text: different keys, and for each text which keys it has."""
+    """Words of a chunk: the different ones in the order of their keys, and for each word which of them it is."""
 
     def __init__(self, part: pa.Table):
         self.w = w = Words(part.column("text").combine_chunks() if part.column("text").num_chunks != 1 else part.column("text").chunk(0))
-        key = np.where(w.hash == END, U(1), w.hash)
-        self.keys, self.first, self.which = np.unique(key, return_index=True, return_inverse=True)
+        self.first, self.which = equal_groups(w.data, w.start, w.end, w.hash)
+        self.keys = w.hash[self.first]
         self.train = part.column("train").to_numpy(zero_copy_only=False) if part.num_rows else np.zeros(0, bool)
         self.counts = np.bincount(self.which, self.train[w.doc] if len(w.doc) else None, minlength=len(self.keys)).astype(np.int64)
 
 
 SENT = "r int, chunk long, keys binary, counts binary, sizes binary, words binary"
-TABLE = "r int, keys binary, counts binary, sizes binary, words binary"
+#: One row of a range has its different words (no chunk), the others each chunk's places in them.
+TABLE = "r int, chunk long, places binary, counts binary, sizes binary, words binary"
+STATISTICS = "n long, v long, singles long, expected binary"
+
+
+def _statistics(n: int, v: int, singles: int, expected: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (n, v, singles)] + [pa.array([expected.tobytes()], pa.binary())], names=["n", "v", "singles", "expected"])
+
+
+def summed(parts: DataFrame, tasks: int, size: int) -> list:
+    """At most ``FAN`` rows that add up to the statistics of all tasks: sums of sums, so no task and not the driver reads a row for each range."""
+
+    def add(batches):
+        n = v = s = 0
+        expected = np.zeros(size)
+        for batch in batches:
+            for row in batch.to_pylist():
+                n, v, s = n + row["n"], v + row["v"], s + row["singles"]
+                expected = expected + np.frombuffer(row["expected"])
+        yield _statistics(n, v, s, expected)
+
+    while tasks > FAN:
+        tasks = -(-tasks // FAN)
+        parts = parts.repartition(tasks).mapInArrow(add, STATISTICS)
+    return parts.collect()
 
 
 def score(df: DataFrame, id_col: str, text_col: str, train: Column, path: str, scratch: Scratch) -> DataFrame:
@@ -178,68 +208,72 @@ def score(df: DataFrame, id_col: str, text_col: str, train: Column, path: str, s
                 out.append((r, table.column("chunk")[0].as_py(), c.keys[lo:hi].tobytes(), c.counts[lo:hi].astype("<i4").tobytes(), np.diff(ends).astype("<i4").tobytes(), flat.tobytes()))
         return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int32(), pa.int64(), *[pa.binary()] * 4))], names=["r", "chunk", "keys", "counts", "sizes", "words"])
 
-    sent = scratch.keep(chunks.each(words, SENT), "words")
+    sent = chunks.each(words, SENT)
 
     def merged(table: pa.Table) -> pa.Table:
-        """The range's different words, each with its training number and bytes."""
-        keys = np.concatenate([np.frombuffer(x, U) for x in table.column("keys").to_pylist()])
+        """The range's different words, each with its training number and bytes, and for each chunk its words' places among them."""
+        parts = [np.frombuffer(x, U) for x in table.column("keys").to_pylist()]
         counts = np.concatenate([np.frombuffer(x, "<i4") for x in table.column("counts").to_pylist()])
         sizes = np.concatenate([np.frombuffer(x, "<i4") for x in table.column("sizes").to_pylist()]).astype(np.int64)
         flat = np.frombuffer(b"".join(table.column("words").to_pylist()), np.uint8)
         begin = np.cumsum(sizes) - sizes
-        own, first, which = np.unique(keys, return_index=True, return_inverse=True)
+        first, which = equal_groups(flat, begin, begin + sizes, np.concatenate(parts))
         n = sizes[first]
         ends = np.append(0, np.cumsum(n))
         text = flat[np.repeat(begin[first] - ends[:-1], n) + np.arange(ends[-1])]
-        c = np.bincount(which, counts, minlength=len(own)).astype("<i8")
-        return pa.table({"r": table.column("r")[:1], "keys": pa.array([own.tobytes()], pa.binary()), "counts": pa.array([c.tobytes()], pa.binary()), "sizes": pa.array([n.astype("<i4").tobytes()], pa.binary()), "words": pa.array([text.tobytes()], pa.binary())})
+        c = np.bincount(which, counts, minlength=len(first)).astype("<i8")
+        to = np.append(0, np.cumsum([len(p) for p in parts]))
+        places = [which[a:b].astype("<i4").tobytes() for a, b in zip(to[:-1], to[1:], strict=True)]
+        none = [None] * len(parts)
+        columns = [table.column("r").to_pylist()[:1] + table.column("r").to_pylist(), [None, *table.column("chunk").to_pylist()], [None, *places], [c.tobytes(), *none], [n.astype("<i4").tobytes(), *none], [text.tobytes(), *none]]
+        types = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+        give_back()
+        return pa.table([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["r", "chunk", "places", "counts", "sizes", "words"])
 
     known = scratch.keep(ex.by_range(sent, ranges).applyInArrow(merged, TABLE), "table")
     pieces, start_p = vocabulary(path)
 
     def blocks(row: dict, pick: np.ndarray):
-        """Words chosen of a range, in blocks of about half a million bytes, spaced."""
+        """Words chosen of a range, in blocks of SPELLED bytes, spaced."""
         sizes = np.frombuffer(row["sizes"], "<i4").astype(np.int64)
         begin = np.append(0, np.cumsum(sizes))
         flat = np.frombuffer(row["words"], np.uint8)
         lo = 0
         total = np.append(0, np.cumsum(sizes[pick]))
         while lo < len(pick):
-            hi = max(lo + 1, int(np.searchsorted(total, total[lo] + (1 << 19), "right")) - 1)
+            hi = max(lo + 1, int(np.searchsorted(total, total[lo] + SPELLED, "right")) - 1)
             some = pick[lo:hi]
             n = sizes[some]
             ends = np.append(0, np.cumsum(n))
             yield some, *_spaced(flat[np.repeat(begin[some] - ends[:-1], n) + np.arange(ends[-1])], ends)
             lo = hi
 
-    def expect(log_weights: np.ndarray):
-        """Statistics of the ranges in a task: training tokens, different and single words; expected piece counts."""
+    def expect(log_weights: np.ndarray) -> DataFrame:
+        """Statistics of each task's ranges: training tokens, different and single words; expected piece counts."""
 
         def run(batches):
             lattice = Lattice(vocabulary(path)[0], log_weights, 0.0)
+            n = v = singles = 0
+            counts = np.zeros(len(log_weights))
             for batch in batches:
                 for row in batch.to_pylist():
                     c = np.frombuffer(row["counts"], "<i8")
-                    single, counts = np.flatnonzero(c == 1), np.zeros(len(log_weights))
+                    single = np.flatnonzero(c == 1)
                     for some, flat, offs in blocks(row, single):
                         counts += lattice.forward(flat, offs, np.ones(len(some)))[1]
-                    yield pa.RecordBatch.from_arrays([pa.array([int(c.sum())]), pa.array([int((c > 0).sum())]), pa.array([len(single)]), pa.array([counts.tobytes()], pa.binary())], names=["n", "v", "singles", "expected"])
-
-        return known.repartition(ranges, "r").mapInArrow(run, "n long, v long, singles long, expected binary")
+                    n, v, singles = n + int(c.sum()), v + int((c > 0).sum()), singles + len(single)
+                    give_back()
+            yield _statistics(n, v, singles, counts)
 
-    def add(batches):
-        n = v = s = 0
-        expected = np.zeros(len(vocabulary(path)[0]))
-        for batch in batches:
-            for row in batch.to_pylist():
-                n, v, s = n + row["n"], v + row["v"], s + row["singles"]
-                expected = expected + np.frombuffer(row["expected"])
-        yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([v]), pa.array([s]), pa.array([expected.tobytes()], pa.binary())], names=["n", "v", "singles", "expected"])
+        # a task for some ranges each, whatever their files: their words are to be spelled
+        words_of = known.filter("chunk is null").select("r", "counts", "sizes", "words")
+        return words_of.repartition(tasks, "r").mapInArrow(run, STATISTICS)
 
-    # sums of the vocabulary's size: by task, then on the driver for a number of tasks that does not grow
+    tasks = max(8, -(-ranges // 4))
+    # sums of the vocabulary's size: by task, then in a tree, then on the driver for a number of rows that does not grow
     log_p = np.log(start_p)
     for _ in range(PASSES):
-        parts = expect(log_p).coalesce(8).mapInArrow(add, "n long, v long, singles long, expected binary").collect()
+        parts = summed(expect(log_p), tasks, len(pieces))
         n_words, v, singles = (sum(p[k] for p in parts) for k in ("n", "v", "singles"))
         p = sum((np.frombuffer(x.expected) for x in parts), np.zeros(len(pieces))) + start_p * 50.0
         log_p, log_end = np.log(p / (p.sum() + singles + 1)), float(np.log((singles + 1) / (p.sum() + singles + 1)))
@@ -253,19 +287,23 @@ def score(df: DataFrame, id_col: str, text_col: str, train: Column, path: str, s
         whole = np.log(np.maximum(c, 1e-300) / max(1, n)) + np.log1p(-novel)
         return np.logaddexp(np.where(c > 0, whole, -np.inf), np.log(novel) + spelling) / np.log(10)
 
-    def replies(word_table: pa.Table, asked: pa.Table) -> pa.Table:
+    def replies(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        words_row = next(x for x in rows if x["chunk"] is None)
+        asked = [x for x in rows if x["chunk"] is not None]
         lattice = Lattice(vocabulary(path)[0], *model.value)
-        row = word_table.to_pylist()[0]
-        keys, c = np.frombuffer(row["keys"], U), np.frombuffer(row["counts"], "<i8")
-        spelling = np.zeros(len(keys))
-        for some, flat, offs in blocks(row, np.arange(len(keys))):
+        c = np.frombuffer(words_row["counts"], "<i8")
+        spelling = np.zeros(len(c))
+        for some, flat, offs in blocks(words_row, np.arange(len(c))):
             spelling[some] = lattice.forward(flat, offs)[0]
         value = both(c, spelling)
-        at = [np.searchsorted(keys, np.frombuffer(k, U)) for k in asked.column("keys").to_pylist()]
-        return pa.table({"chunk": asked.column("chunk"), "r": asked.column("r"), "counts": pa.array([c[i].tobytes() for i in at], pa.binary()), "scores": pa.array([value[i].tobytes() for i in at], pa.binary())})
+        at = [np.frombuffer(x["places"], "<i4") for x in asked]
+        out = pa.table({"chunk": pa.array([x["chunk"] for x in asked], pa.int64()), "r": pa.array([x["r"] for x in asked], pa.int32()), "counts": pa.array([c[i].tobytes() for i in at], pa.binary()), "scores": pa.array([value[i].tobytes() for i in at], pa.binary())})
+        del spelling, lattice
+        give_back()
+        return out
 
-    answers = ex.by_range(known, ranges).cogroup(ex.by_range(sent.select("r", "chunk", "keys"), ranges)).applyInArrow(replies, "chunk long, r int, counts binary, scores binary")
-    answers = scratch.keep(answers, "answers")
+    answers = ex.by_range(known, ranges).applyInArrow(replies, "chunk long, r int, counts binary, scores binary")
     end_value = float(both(np.array([train_rows]), np.array([log_end]))[0])
     end_base = float(np.log10((train_rows + 1) / base_0))
 
