@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from evidentia.functions.text import normal_tail
-from evidentia.operators.claims import ranked
+from evidentia.operators.claims import before_parts, ranked, sorted_once
+from evidentia.sources.shared import written
 
 
 def year_sums(df: DataFrame, key: str, year: Column, n: Column, **windows: tuple[int, int]) -> DataFrame:
@@ -44,25 +45,36 @@ def auc(df: DataFrame, value: str, positive: str) -> DataFrame:
     return out.withColumn("p", normal_tail(F.col("z")))
 
 
-def ranked_sum(v: DataFrame, value: str) -> DataFrame:
-    """Rows before each value: running sums within range partitions plus the partitions before."""
-    parts = v.orderBy(value).withColumn("_q", F.spark_partition_id())
-    before = parts.groupBy("_q").agg(F.sum("_c").alias("_s"))
-    offsets = before.withColumn("_o", F.coalesce(F.sum("_s").over(W.orderBy("_q").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_s")
-    own = parts.withColumn("_w", F.coalesce(F.sum("_c").over(W.partitionBy("_q").orderBy(value).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    return own.join(F.broadcast(offsets), "_q").withColumn("_before", F.col("_w") + F.col("_o")).drop("_q", "_w", "_o")
-
-
-def matched(cases: DataFrame, controls: DataFrame, key: str, level: str, k: int, width: float) -> DataFrame:
-    """The k controls nearest in level for each case, with replacement: an equi-join on level buckets and their neighbours. Only controls within
-    ``width`` are eligible (calliper matching)."""
-    b = lambda c: F.floor(F.col(c) / width).cast("long")
-    left = cases.select(F.col(key).alias("case"), F.col(level).alias("case_level")).withColumn("_b", F.explode(F.array(b("case_level") - 1, b("case_level"), b("case_level") + 1)))
-    right = controls.select(F.col(key).alias("control"), F.col(level).alias("control_level")).withColumn("_b", b("control_level"))
-    d = F.abs(F.col("case_level") - F.col("control_level"))
-    near = left.join(right, "_b").filter(d <= width).withColumn("distance", d)
+def ranked_sum(v: DataFrame, value: str, amount: str = "_c") -> DataFrame:
+    """``_before``: the sum of ``amount`` over all smaller values (one row for each value): running sums within range partitions plus the partitions before."""
+    parts = sorted_once(v, F.col(value))
+    own = F.coalesce(F.sum(amount).over(W.partitionBy("_part").orderBy("_place").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = before_parts(parts, F.sum(amount))
+    return parts.withColumn("_own", own).join(F.broadcast(offsets), "_part").withColumn("_before", F.col("_own") + F.col("_offset")).drop("_part", "_place", "_own", "_offset")
+
+
+def matched(cases: DataFrame, controls: DataFrame, key: str, level: str, k: int, width: float | None = None) -> DataFrame:
+    """The k controls nearest in level for each case, with replacement; ties go to the smaller key. ``width`` is a calliper, if one is wanted.
+
+    Exact however far the nearest are: the k nearest are among the k controls next above a case's level and the k next below, so
+    controls are ranked both ways, a case's place among them is counted, and the places around it are joined by equality."""
+    left = cases.select(F.col(key).alias("case"), F.col(level).alias("case_level")).filter("case_level is not null")
+    right = written(controls.select(F.col(key).alias("control"), F.col(level).alias("control_level")).filter("control_level is not null"), "controls")
+    n = right.count()
+    counts = left.select(F.col("case_level").alias("v"), F.lit(0).alias("c")).unionByName(right.select(F.col("control_level").alias("v"), F.lit(1).alias("c")))
+    below = ranked_sum(counts.groupBy("v").agg(F.sum("c").alias("_c")), "v").select(F.col("v").alias("case_level"), F.col("_before").alias("below"))
+    placed = left.join(below, "case_level")
+    up = ranked(right, F.col("control_level"), F.col("control"), name="place")
+    down = ranked(right, F.col("control_level").desc(), F.col("control"), name="place")
+    steps = F.sequence(F.lit(1), F.lit(k))
+    above = placed.withColumn("place", F.explode(F.transform(steps, lambda i: F.col("below") + i))).join(up, "place")
+    under = placed.withColumn("place", F.explode(F.transform(steps, lambda i: F.lit(n) - F.col("below") + i))).join(down, "place")
+    under = under.filter("control_level < case_level")
+    near = above.unionByName(under).withColumn("distance", F.abs(F.col("case_level") - F.col("control_level"))).drop("place", "below")
+    if width is not None:
+        near = near.filter(F.col("distance") <= width)
     w = W.partitionBy("case").orderBy("distance", "control")
-    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).drop("_b")
+    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def greedy_matched(cases: DataFrame, controls: DataFrame, key: str, level: str, k: int) -> DataFrame:
@@ -115,6 +127,21 @@ def permutation_p(df: DataFrame, signal: str, outcome: str, tie: str, k: int = 2
     return counted.agg(((F.coalesce(F.sum("ge"), F.lit(k)) + 1) / F.lit(float(k + 1))).alias("p"))
 
 
+def rank_sum(df: DataFrame, signals: list[str], positive: str, tie: str) -> DataFrame:
+    """AUC (and p) of the sum of ordinal ranks over rows that have all signals; ties within a signal by ``tie``."""
+    both = df.filter(" and ".join(f"`{s}` is not null" for s in signals))
+    for i, s in enumerate(signals):
+        both = ranked(both, F.col(s), F.col(tie), name=f"_rank{i}")
+    return auc(both.withColumn("_sum", sum((F.col(f"_rank{i}") for i in range(len(signals))), F.lit(0))), "_sum", positive)
+
+
+def strided(df: DataFrame, n: int, *order: Column) -> DataFrame:
+    """Every so many rows in the order, at least ``n`` of them if there are as many: rows 0, s, 2s, ... with s = max(1, rows // n)."""
+    r = ranked(df, *order, name="_r")
+    stride = max(1, r.count() // n)
+    return r.filter((F.col("_r") - 1) % stride == 0).drop("_r")
+
+
 def seeded_sample(df: DataFrame, key: str, seed: int, n: int) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
 
