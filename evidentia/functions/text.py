@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Trailing legal words of organisation names, and trailing salt words of substance names.
-LEGAL = "INC|LLC|LTD|LIMITED|CORP|CORPORATION|CO|COMPANY|GMBH|AG|SA|NV|BV|PLC|LP|KK|SRL|SPA|PTY"
-SALTS = "hydrochloride|hcl|mesylate|maleate|sodium|potassium|sulfate|phosphate|tosylate|citrate|acetate|fumarate|succinate|tartrate|bromide|monohydrate"
+from evidentia.functions import fixed
 
 
 def norm_key(c: Column) -> Column:
@@ -19,26 +17,117 @@ def split_packed(c: Column, sep: str = "|") -> Column:
     return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "\\Q" + sep + "\\E"), lambda x: F.trim(x)), lambda x: x != "")
 
 
-def organisation(c: Column, canon: list[tuple[str, str]] = (), replace: list[tuple[str, str]] = ()) -> Column:
+def _without_legal(c: Column, legal: list[str]) -> Column:
+    """Spaces made single, and legal words off the end, be it to the last word."""
+    words = "|".join(legal)
+    return F.trim(F.regexp_replace(F.trim(F.regexp_replace(c, r"\s+", " ")), rf"(^|\s+)({words})(\s+({words}))*$", ""))
+
+
+def organisation(c: Column, canon: list[tuple[str, str]] = (), replace: list[tuple[str, str]] = (), *, legal: list[str] = fixed.LEGAL, trustee: str = fixed.TRUSTEE) -> Column:
     """Canonical organisation: replacements, non-ASCII to space, first non-blank part of a ``;`` list, upper case without
-    parentheses and punctuation, legal words off the end; then the first key of ``canon`` that is contained. Trustees are ''."""
+    parentheses and punctuation, legal words off the end; then the first key of ``canon`` that is contained. Trustees and null are ''."""
+    c = F.coalesce(c, F.lit(""))
     for old, new in replace:
         c = F.replace(c, F.lit(old), F.lit(new))
-    c = F.regexp_replace(c, r"[^\x00-\x7F]", " ")
-    c = F.coalesce(F.try_element_at(F.filter(F.transform(F.split(c, ";"), lambda x: F.trim(x)), lambda x: x != ""), F.lit(1)), F.lit(""))
-    c = F.regexp_replace(F.regexp_replace(F.upper(c), r"\([^)]*\)", " "), r"[.,/]", " ")
-    c = F.trim(F.regexp_replace(c, r"\s+", " "))
-    c = F.when(c.rlike(r"WILMINGTON|ANKURA|TRUSTEE|COLLATERAL AGENT"), F.lit("")).otherwise(c)
-    c = F.trim(F.regexp_replace(c, rf"(^|\s+)({LEGAL})(\s+({LEGAL}))*$", ""))
-    out = None
-    for key, name in canon:
-        out = F.when(c.contains(key), F.lit(name)) if out is None else out.when(c.contains(key), F.lit(name))
-    return c if out is None else out.otherwise(c)
-
-
-def base_substance(c: Column) -> Column:
+    c = F.regexp_replace(c, r"[^\x00-\x7F]+", " ")
+    c = F.coalesce(F.try_element_at(F.filter(F.split(c, ";"), lambda x: F.trim(x) != ""), F.lit(1)), F.lit(""))
+    c = F.regexp_replace(F.upper(c), r"\(.*?\)|[.,/]", " ")
+    name = _without_legal(c, legal)
+    out = F.when(c.rlike("(?i)" + trustee), F.lit(""))
+    for key, owner in canon:
+        out = out.when(name.contains(key), F.lit(owner))
+    return out.otherwise(name)
+
+
+def assignee(c: Column, *, legal: list[str] = fixed.LEGAL) -> Column:
+    """The plain form of a name: upper case without parentheses, punctuation and legal words at the end."""
+    return _without_legal(F.regexp_replace(F.upper(F.coalesce(c, F.lit(""))), r"\(.*?\)|[.,/]", " "), legal)
+
+
+def base_substance(c: Column, *, salts: list[str] = fixed.SALTS) -> Column:
     """Lower-cased name without trailing salt words; at least one word stays."""
-    return F.regexp_replace(F.lower(F.trim(c)), rf"(?<=\S)(\s+({SALTS}))+$", "")
+    return F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), r"\s+", " "), rf"(?<=\S)( ({'|'.join(salts)}))+$", "")
+
+
+def surface_form(c: Column) -> Column:
+    """Symbols in upper case; phrases and long words as they are."""
+    return F.when((F.length(c) <= 8) & ~c.contains(" "), F.upper(c)).otherwise(c)
+
+
+def academic(c: Column, words: list[str] = fixed.ACADEMIC) -> Column:
+    """Names with an academic word, or that look like a person's."""
+    low = F.lower(c)
+    hit = F.lit(False)
+    for w in words:
+        hit = hit | low.contains(w)
+    return F.coalesce(hit | person_name(c), F.lit(False))
+
+
+def phase_one(c: Column) -> Column:
+    return F.coalesce(c.rlike(r"(?i)\bphase i\b"), F.lit(False))
+
+
+def title_case(c: Column) -> Column:
+    """Each letter after something that is no letter in upper case, the others in lower case."""
+    chars = F.split(c, "")
+    before = lambda i: F.coalesce(F.try_element_at(chars, i), F.lit(" "))
+    return F.array_join(F.transform(chars, lambda x, i: F.when((i > 0) & before(F.greatest(i, F.lit(1))).rlike(r"\p{L}"), F.lower(x)).otherwise(F.upper(x))), "")
+
+
+def nomenclature(c: Column, name: str = fixed.NOMENCLATURE, against: str = fixed.NOT_NOMENCLATURE, before: int = 28, after: int = 12) -> Column:
+    """Chemical names that follow a bracket, hyphen or digit (and a space at most), each with its context, unless a word of ``against`` is in that."""
+    c = F.coalesce(c, F.lit(""))
+    parts = F.split(c, rf"(?i)(?<=[\])\-0-9]\s?)(?={name})")
+    ends = F.aggregate(parts, F.array().cast("array<int>"), lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + F.length(x))))
+    rest = F.slice(F.arrays_zip(parts.alias("p"), ends.alias("e")), 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+
+    def context(x: Column) -> Column:
+        begin = x["e"] - F.length(x["p"])  # characters before the name
+        size = F.length(F.regexp_extract(x["p"], rf"(?i)^(?:{name})", 0))
+        lead = F.least(begin, F.lit(before))
+        return F.regexp_replace(F.substring(c, begin - lead + 1, lead + size + after), r"^\s+|\s+$", "")
+
+    return F.filter(F.transform(rest, context), lambda x: ~x.rlike("(?i)" + against))
+
+
+def lead_names(c: Column, pattern: str = fixed.LEAD, label: str = fixed.LEAD_LABEL, data: str = fixed.LEAD_DATA) -> Column:
+    """Names in the paragraphs of a description: subscripts repaired, tags unescaped, labels before and data after them cut; different ones in order."""
+    paragraphs = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"(?s)<p>(.*?)</p>"), 1)
+    plain = F.transform(paragraphs, lambda p: F.trim(F.regexp_replace(unescaped(F.regexp_replace(p, r"<(\d+)>", "$1")), r"\s+", " ")))
+    good = F.filter(plain, lambda p: (F.length(p) > 12) & (F.length(p) < 320) & ~p.startswith("[") & p.rlike("(?i)" + pattern))
+    repaired = lambda p: F.regexp_replace(F.replace(F.replace(p, F.lit("/V"), F.lit("N")), F.lit("/v"), F.lit("N")), "(?i)" + label, "")
+    return F.array_distinct(F.transform(good, lambda p: F.trim(F.element_at(F.split(repaired(p), data, 2), 1))))
+
+
+def design_text(outcomes: Column, description: Column, most: int = 4000) -> Column:
+    """Measures, descriptions and time frames of all outcomes (an array of structs), and the first characters of the description."""
+    each = F.transform(outcomes, lambda o: F.concat_ws(" ", F.coalesce(o["measure"], F.lit("")), F.coalesce(o["description"], F.lit("")), F.coalesce(o["timeFrame"], F.lit(""))))
+    return F.concat_ws(" ", F.coalesce(F.array_join(each, " "), F.lit("")), F.substring(F.coalesce(description, F.lit("")), 1, most))
+
+
+def patent_url(number: Column) -> Column:
+    return F.concat(F.lit("https://patents.google.com/patent/"), F.replace(F.coalesce(number, F.lit("")), F.lit("-"), F.lit("")))
+
+
+def trial_url(ident: Column) -> Column:
+    """European numbers begin with the year."""
+    ident = F.coalesce(ident, F.lit(""))
+    return F.when(ident.startswith("20"), F.concat(F.lit("https://euclinicaltrials.eu/ctis-public/#/study/"), ident)).otherwise(F.concat(F.lit("https://clinicaltrials.gov/study/"), ident))
+
+
+def any_of(values: Column, pattern: str) -> Column:
+    """Whether any of an array's values has the pattern; none of an empty one has."""
+    return F.coalesce(F.exists(values, lambda x: F.coalesce(x.rlike("(?i)" + pattern), F.lit(False))), F.lit(False))
+
+
+def all_of(values: Column, pattern: str) -> Column:
+    """Whether all of an array's values have the pattern; all of an empty or missing one have."""
+    return F.coalesce(F.forall(values, lambda x: F.coalesce(x.rlike("(?i)" + pattern), F.lit(False))), F.lit(True))
+
+
+def supported(found: Column, sources: Column) -> Column:
+    """A finding counts only with a source."""
+    return F.coalesce(found, F.lit(False)) & (F.coalesce(F.size(sources), F.lit(0)) > 0)
 
 
 def publication_key(c: Column) -> Column:
@@ -61,13 +150,16 @@ def claim_key(*parts: Column) -> Column:
     return F.substring(F.sha1(F.concat_ws("|", *(F.coalesce(p.cast("string"), F.lit("")) for p in parts))), 1, 16)
 
 
-def strip_tags(c: Column) -> Column:
-    c = F.regexp_replace(c, "<[^>]+>", " ")
+def unescaped(c: Column) -> Column:
     for old, new in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
         c = F.replace(c, F.lit(old), F.lit(new))
     return c
 
 
+def strip_tags(c: Column) -> Column:
+    return unescaped(F.regexp_replace(c, "<[^>]+>", " "))
+
+
 def section_before(c: Column, marker: str) -> Column:
     return F.element_at(F.split(c, "(?i)" + marker, 2), 1)
 
@@ -133,8 +225,9 @@ def smoothed_ratio(recent: Column, base: Column) -> Column:
 
 
 def rescued_json(c: Column, schema: str) -> Column:
-    """JSON from text that may have a fence or words around it: the outermost object."""
-    return F.from_json(F.regexp_extract(c, r"(?s)(\{.*\})", 1), schema)
+    """JSON from text that may have a fence or words around it: the outermost list or object, whichever the schema asks for."""
+    pattern = r"(?s)(\[.*\])" if schema.strip().lower().startswith("array") else r"(?s)(\{.*\})"
+    return F.from_json(F.regexp_extract(c, pattern, 1), schema)
 
 
 def person_name(c: Column) -> Column:

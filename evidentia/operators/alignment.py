@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,41 +34,40 @@ BLOSUM62 = """
 """
 
 
-def _score(a: str, b: str, table: dict[tuple[str, str], int]) -> int:
-    return table.get((a, b), 4 if a == b else -1)
+_TABLE = np.full((256, 256), -1, np.int32)
+np.fill_diagonal(_TABLE, 4)
+for _i, _row in enumerate(BLOSUM62.strip().splitlines()):
+    for _j, _v in enumerate(_row.split()):
+        _TABLE[ord(ORDER[_i]), ord(ORDER[_j])] = int(_v)
 
 
 def align(a: str, b: str, opening: int = -11, extend: int = -1) -> list[int]:
-    """For each place of ``a`` the aligned place of ``b``, or -1 at a gap (Gotoh)."""
-    rows = [list(map(int, r.split())) for r in BLOSUM62.strip().splitlines()]
-    table = {(x, y): rows[i][j] for i, x in enumerate(ORDER) for j, y in enumerate(ORDER)}
-    n, m, low = len(a), len(b), -(10**9)
-    gap = lambda k: opening + extend * (k - 1)
-    best = [[(0, low, low)] + [(low, low, gap(j)) for j in range(1, m + 1)]]
-    for i in range(1, n + 1):
-        row = [(low, gap(i), low)]
-        for j in range(1, m + 1):
-            match = max(best[i - 1][j - 1]) + _score(a[i - 1], b[j - 1], table)
-            up = max(max(best[i - 1][j][0], best[i - 1][j][2]) + opening, best[i - 1][j][1] + extend)
-            side = max(max(row[j - 1][0], row[j - 1][1]) + opening, row[j - 1][2] + extend)
-            row.append((match, up, side))
-        best.append(row)
+    """For each place of ``a`` the aligned place of ``b``, or -1 at a gap (Gotoh). Cells of an anti-diagonal depend on earlier ones only, so each is one step.
+
+    Three scores for each cell: ending in a match (0), in a gap of ``b`` (1, a place of ``a`` alone) and in a gap of ``a`` (2)."""
+    x, y = (np.frombuffer(s.encode("latin-1", "replace"), np.uint8) for s in (a, b))
+    n, m, low = len(x), len(y), -(10**9)
+    v = np.full((3, n + 1, m + 1), low, np.int64)
+    v[0, 0, 0] = 0
+    v[1, 1:, 0] = opening + extend * np.arange(n)
+    v[2, 0, 1:] = opening + extend * np.arange(m)
+    for d in range(2, n + m + 1):
+        i = np.arange(max(1, d - m), min(n, d - 1) + 1)
+        j = d - i
+        v[0, i, j] = v[:, i - 1, j - 1].max(0) + _TABLE[x[i - 1], y[j - 1]]
+        v[1, i, j] = np.maximum(np.maximum(v[0, i - 1, j], v[2, i - 1, j]) + opening, v[1, i - 1, j] + extend)
+        v[2, i, j] = np.maximum(np.maximum(v[0, i, j - 1], v[1, i, j - 1]) + opening, v[2, i, j - 1] + extend)
     out, i, j = [-1] * n, n, m
-    state = max(range(3), key=lambda s: best[n][m][s])
+    state = int(v[:, n, m].argmax())
     while i > 0 or j > 0:
-        v = best[i][j][state]
-        if state == 0:
-            out[i - 1] = j - 1
-            i, j = i - 1, j - 1
-            state = max(range(3), key=lambda s: best[i][j][s])
-        elif state == 1:
-            stay = best[i - 1][j][1] + extend == v
-            i -= 1
-            state = 1 if stay else (0 if best[i][j][0] >= best[i][j][2] else 2)
-        else:
-            stay = best[i][j - 1][2] + extend == v
-            j -= 1
-            state = 2 if stay else (0 if best[i][j][0] >= best[i][j][1] else 1)
+        here = v[state, i, j]
+        i, j, gap = (i - 1, j - 1, None) if state == 0 else (i - 1, j, 1) if state == 1 else (i, j - 1, 2)
+        if gap is None:
+            out[i] = j
+            state = int(v[:, i, j].argmax())
+        elif v[gap, i, j] + extend != here:
+            others = [k for k in (0, 1, 2) if k != gap]
+            state = max(others, key=lambda k: v[k, i, j])
     return out
 
 
@@ -85,7 +85,15 @@ def residue_is(seq: Column, at: Column, residue: str = "C") -> Column:
     return F.substring(seq, at, F.lit(1)) == residue
 
 
-def selectivity(df: DataFrame, target: str, residue: str) -> DataFrame:
-    """Vote over paralogs: shared if any has the residue too, else selective."""
-    rank = F.when(F.col(residue) == "C", 0).otherwise(1)
-    return df.groupBy(target).agg(F.when(F.min(rank) == 0, "shared").otherwise("selective").alias("selectivity"))
+#: Outcomes of the vote, the most selective first.
+VOTES = ["unique-handle", "partial", "conserved-liability"]
+
+
+def selectivity(df: DataFrame, target: str, position: str, residue: str, wanted: str = "C") -> DataFrame:
+    """Per target and position, from the paralogs' residues (null: could not be aligned): none has the wanted one (unique-handle), all have it
+    (conserved-liability), or some (partial); and the target's most selective verdict. Without paralogs, nothing speaks against a position."""
+    has = F.count_if(F.coalesce(F.col(residue) == wanted, F.lit(False)))
+    per = df.groupBy(target, position).agg(F.when(has == 0, VOTES[0]).when(has == F.count("*"), VOTES[2]).otherwise(VOTES[1]).alias("verdict"))
+    rank = F.array_position(F.array(*map(F.lit, VOTES)), F.col("verdict"))
+    best = per.groupBy(target).agg(F.min_by("verdict", rank).alias("selectivity"))
+    return per.join(best, target)

@@ -29,11 +29,14 @@ def bracket(year: Column, brackets: tuple[int, ...] = BRACKETS) -> Column:
     return out
 
 
-def window(df: DataFrame, target: str, player: str, date: str, now: int, top: int = 8) -> DataFrame:
-    """Per target: players, records, first year and its bracket, years since, latest date, first players by name, tier."""
+def window(df: DataFrame, target: str, player: str, date: str, now: int, since: Column | None = None, brackets: tuple[int, ...] = BRACKETS, top: int = 8) -> DataFrame:
+    """Per target with a record from ``since`` on: players, records, latest date and first players by name of those records; first year of all of them, its
+    bracket and years since; tier."""
     y = F.year(date)
-    agg = df.filter(F.col(player).isNotNull()).groupBy(target).agg(F.countDistinct(player).alias("players"), F.count("*").alias("records"), F.min(y).alias("first_year"), F.max(F.col(date).cast("date")).alias("latest"), F.array_join(F.slice(F.array_sort(F.collect_set(F.col(player).cast("string"))), 1, top), ",").alias("names"))
-    return agg.withColumns({"bracket": bracket(F.col("first_year")), "years": F.lit(now) - F.col("first_year"), "window": tier(F.col("players"), **WINDOW)})
+    now_on = F.coalesce(F.col(date) >= since, F.lit(False)) if since is not None else F.lit(True)
+    who, day = F.when(now_on, F.col(player)), F.when(now_on, F.col(date).cast("date"))
+    agg = df.filter(F.col(player).isNotNull()).groupBy(target).agg(F.countDistinct(who).alias("players"), F.count_if(now_on).alias("records"), F.min(y).alias("first_year"), F.max(day).alias("latest"), F.array_join(F.slice(F.array_sort(F.collect_set(who.cast("string"))), 1, top), ",").alias("names"))
+    return agg.filter("records > 0").withColumns({"bracket": bracket(F.col("first_year"), brackets), "years": F.lit(now) - F.col("first_year"), "window": tier(F.col("players"), **WINDOW)})
 
 
 def landscape(df: DataFrame, target: str, player: str, phase: str, rank: dict[str, float]) -> DataFrame:
@@ -43,3 +46,52 @@ def landscape(df: DataFrame, target: str, player: str, phase: str, rank: dict[st
         order = F.when(F.col(phase) == name, F.lit(float(r))).otherwise(order)
     agg = df.groupBy(target).agg(F.countDistinct(player).alias("players"), F.max_by(F.col(phase), F.struct(order, F.col(phase))).alias("furthest"))
     return agg.withColumn("tier", tier(F.col("players"), **LANDSCAPE))
+
+
+def fresh(df: DataFrame, target: str, player: str, date: str, title: str, names: list[str], *, since: Column, latest_since: Column, skip: str, most: int = 3) -> DataFrame:
+    """Fresh filings: targets that a title since then names (one of ``names``, case-folded; titles with the pattern ``skip`` are left out), with at most ``most``
+    players and a latest date of late; latest first, then fewest players."""
+    up = F.upper(title)
+    named = F.lit(False)
+    for n in names:
+        named = named | F.coalesce((F.length(n) > 0) & up.contains(F.upper(n)), F.lit(False))
+    rows = df.filter((F.col(date) >= since) & ~F.coalesce(up.rlike("(?i)" + skip), F.lit(False)) & named & (F.col(player).cast("string") != ""))
+    g = rows.groupBy(target).agg(F.countDistinct(player).alias("players"), F.max(date).alias("latest"), F.count("*").alias("filings"))
+    return g.filter((F.col("players") <= most) & (F.col("latest") >= latest_since)).orderBy(F.col("latest").desc(), "players", target)
+
+
+def buckets(df: DataFrame, *rules: tuple[str, Column], rest: str, name: str = "bucket") -> DataFrame:
+    """Disjoint buckets of one relation: the first rule that holds names it, nothing is dropped."""
+    out = None
+    for label, rule in rules:
+        hit = F.coalesce(rule, F.lit(False))
+        out = F.when(hit, F.lit(label)) if out is None else out.when(hit, F.lit(label))
+    return df.withColumn(name, out.otherwise(F.lit(rest)) if out is not None else F.lit(rest))
+
+
+def flags_of(df: DataFrame, key: str, flags: list[str], most: list[str], order: list[Column]) -> DataFrame:
+    """One row for each key: flags joined by OR, maxima, and the other columns of the first row in the order."""
+    others = [c for c in df.columns if c not in (key, *flags, *most)]
+    first = F.min(F.struct(F.struct(*order).alias("o"), F.struct(*(F.col(c) for c in others) or [F.lit(0).alias("_")]).alias("r"))).alias("_f")
+    g = df.groupBy(key).agg(*(F.bool_or(f).alias(f) for f in flags), *(F.max(m).alias(m) for m in most), first)
+    return g.select(key, *flags, *most, *(F.col(f"_f.r.{c}").alias(c) for c in others))
+
+
+def prior_art(df: DataFrame, key: str, item: str, group: str, kind: str, value: Column) -> DataFrame:
+    """Per key: items, groups, sorted kinds and the best value (of the rows where it is not null)."""
+    return df.groupBy(key).agg(F.count(item).alias("n"), F.countDistinct(group).alias("groups"), F.array_join(F.array_sort(F.collect_set(kind)), ",").alias("kinds"), F.max(value).alias("best"))
+
+
+def opportunities(df: DataFrame, wanted: Column, hits: DataFrame, deny: DataFrame, hit_key: str, deny_key: str) -> DataFrame:
+    """Rows that are wanted, have a hit and are not denied: semi and anti joins (a null in the deny list empties nothing)."""
+    return df.filter(wanted).join(hits.select(hit_key), hit_key, "left_semi").join(deny.select(deny_key), deny_key, "left_anti")
+
+
+def frequencies(df: DataFrame, key: str, value: str, flag: Column) -> DataFrame:
+    """Per key: rows, median and maximum of the value, and the rate of the flag."""
+    return df.groupBy(key).agg(F.count("*").alias("n"), F.median(value).alias("med"), F.avg(flag.cast("int")).alias("rate"), F.max(value).alias("top"))
+
+
+def accelerating(sums: DataFrame, recent: str, base: str, years: tuple[int, int], least: int) -> DataFrame:
+    """Momentum: recent per year against base per year, smoothed by one, for keys with enough recent ones."""
+    return sums.filter(F.col(recent) >= least).withColumn("accel", (F.col(recent) / F.lit(float(years[0]))) / (F.col(base) / F.lit(float(years[1])) + 1))

@@ -11,14 +11,14 @@ from evidentia.operators.crowding import LANE, tier
 
 def unify(df: DataFrame, company: str, target: str, kind: str, date: str, ident: str, saturated: Column | None = None) -> DataFrame:
     """One row per (company, target): first and last event, numbers by kind, cross-linked if both kinds occur, companies on the
-    target, its lane. Undated events sort last and never give the latest date. Rows without a company are left out.
+    target, its lane, and its events (``signals``: date, kind, id) in order. Undated events sort last and never give the latest date. Rows without a company are left out.
 
     Companies per target come from a second aggregation joined back, so no window holds all rows of a popular target."""
     rows = df.filter(F.col(company).isNotNull() & (F.col(company).cast("string") != ""))
     signals = F.array_sort(F.collect_list(F.struct(F.coalesce(F.col(date).cast("string"), F.lit("9999")).alias("d"), F.col(kind).alias("k"), F.col(ident).cast("string").alias("i"))))
     g = rows.groupBy(company, target).agg(signals.alias("s"), F.max(date).alias("latest"), F.min(date).alias("earliest"), F.count_if(F.col(kind) == "patent").alias("n_patents"), F.count_if(F.col(kind) == "clinical").alias("n_trials"))
     peers = g.groupBy(target).agg(F.count("*").alias("n_companies"))
-    out = g.join(peers, target).withColumns({"earliest_kind": F.element_at("s", 1)["k"], "cross_linked": (F.col("n_patents") > 0) & (F.col("n_trials") > 0), "signals": F.size("s").cast("long")})
+    out = g.join(peers, target).withColumns({"earliest_kind": F.element_at("s", 1)["k"], "cross_linked": (F.col("n_patents") > 0) & (F.col("n_trials") > 0), "n_signals": F.size("s").cast("long"), "signals": F.transform("s", lambda x: F.struct(F.when(x["d"] != "9999", x["d"]).alias("date"), x["k"].alias("kind"), x["i"].alias("id")))})
     return out.drop("s").withColumn("lane", tier(F.col("n_companies"), saturated=saturated, **LANE))
 
 
@@ -69,3 +69,33 @@ def digest(df: DataFrame, limit: int, *order: Column) -> DataFrame:
 def upsert(base: DataFrame, more: DataFrame, key: str) -> DataFrame:
     """Base rows stay; rows of ``more`` with new keys are added."""
     return base.unionByName(unseen(more, base, key).select(*base.columns))
+
+
+def top_up(feed: DataFrame, census: DataFrame, hits: DataFrame, key: str, name: Column, *, full: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Both tables with the hits' new keys added (``name``: the normalised key of a row of any of the three); with ``full``, the hits replace the feed."""
+    keyed = hits.withColumn("_k", name).withColumn("_n", F.row_number().over(W.partitionBy("_k").orderBy(key))).filter("_n = 1").drop("_n")
+
+    def add(base: DataFrame) -> DataFrame:
+        new = keyed.join(base.select(name.alias("_k")).distinct(), "_k", "left_anti")
+        return base.unionByName(new.select(*base.columns))
+
+    return keyed.select(*feed.columns) if full else add(feed), add(census)
+
+
+def live(df: DataFrame, url: str, alive: Column) -> DataFrame:
+    """Links that do not answer become empty; ``alive`` is whatever checks them."""
+    return df.withColumn(url, F.when(F.coalesce(alive, F.lit(False)), F.col(url)).otherwise(F.lit("")))
+
+
+def judged(candidates: DataFrame, key: str, facts: DataFrame, verdicts: DataFrame, intel: DataFrame) -> DataFrame:
+    """Wide evidence of each candidate: checked facts override verdicts, and intelligence comes along where there is any. One row per key on each right side."""
+    out = candidates.join(verdicts, key, "left").join(facts.withColumnRenamed("verdict", "_fact"), key, "left").join(intel, key, "left")
+    return out.withColumn("verdict", F.coalesce("_fact", "verdict")).drop("_fact")
+
+
+def small_molecule(df: DataFrame, drugs: str, title: str, not_small: str, probe: str) -> DataFrame:
+    """Records with a drug that may be a small molecule and that are no probe study."""
+    from evidentia.functions.text import all_of, any_of
+
+    text = F.concat(F.coalesce(F.col(drugs), F.array().cast("array<string>")), F.array(F.coalesce(title, F.lit(""))))
+    return df.filter(~all_of(F.col(drugs), not_small) & ~any_of(text, probe))
