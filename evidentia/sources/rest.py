@@ -1,15 +1,24 @@
-"""REST sources as a Python data source: pages are partitions' rows; the transport is pluggable, so tests run offline.
+"""REST sources as a Python data source: rows of pages; the transport is pluggable, so tests run against a local server or a function.
 
-``spark.dataSource.register(RestSource)``, then ``spark.read.format("evidence_rest").option("fetch", "module:function")``. The function takes (options,
-token) and returns (rows, next token or None). Retries with linear waits are here; failing for good fails the task.
+``spark.dataSource.register(RestSource)``, then ``spark.read.format("evidence_rest").option("fetch", "module:function")``. The function takes (options, token) and
+returns (rows, next token or None); ``queries``, a JSON array, gives a partition to each query. Pages are read to the end: a source that wants a bound
+says so (``max_pages``) and says what happens there (``beyond``: "fail", the default, or "stop"). Fetch functions for common protocols are below.
+
+Waits grow linearly; a failure for good fails the task, and Spark's own retries come on top.
 """
 
 from __future__ import annotations
 
+import functools
 import importlib
 import json
 import time
+import urllib.error
+import urllib.parse
+import urllib.request
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
@@ -30,17 +39,22 @@ class RestReader(DataSourceReader):
         self.options = options
 
     def partitions(self) -> list[InputPartition]:
-        """One partition for each of the ``queries`` (a JSON array); each is paged on its own."""
+        """One partition for each of the ``queries``; each is paged on its own."""
         return [InputPartition(q) for q in json.loads(self.options.get("queries", "[null]"))]
 
     def read(self, partition: InputPartition):
-        module, _, name = self.options["fetch"].partition(":")
+        module, _, name = self.options.get("fetch", f"{__name__}:by_token").partition(":")
         fetch = getattr(importlib.import_module(module), name)
+        most = int(self.options["max_pages"]) if "max_pages" in self.options else None
         token, pages = None, 0
-        while pages < int(self.options.get("max_pages", "12")):
+        while True:
+            if most is not None and pages >= most:
+                if self.options.get("beyond", "fail") == "stop":
+                    return
+                raise RuntimeError(f"more than {most} pages; raise max_pages, or set beyond=stop to leave the rest")
             rows, token = self._retry(fetch, {**self.options, "query": partition.value}, token)
             for row in rows:
-                yield str(row.get("id")), json.dumps(row)
+                yield str(row.get(self.options.get("id", "id"))), json.dumps(row)
             pages += 1
             if token is None or not rows:
                 return
@@ -50,8 +64,109 @@ class RestReader(DataSourceReader):
         for i in range(tries):
             try:
                 return fetch(options, token)
+            except urllib.error.HTTPError as e:
+                if i == tries - 1 or e.code != 429 and e.code < 500:
+                    raise
             except OSError:
                 if i == tries - 1:
                     raise
-                time.sleep(float(self.options.get("wait", "1")) * (i + 1))
+            time.sleep(float(self.options.get("wait", "1")) * (i + 1))
         raise AssertionError
+
+
+_tokens: dict[str, str] = {}
+
+
+def _authorised(options: dict[str, str], anew: bool = False) -> dict[str, str]:
+    """A bearer token by client credentials from ``auth_url``, kept by this worker until it is refused."""
+    url = options.get("auth_url")
+    if not url:
+        return {}
+    if anew or url not in _tokens:
+        body = urllib.parse.urlencode({"grant_type": "client_credentials", "client_id": options.get("client_id", ""), "client_secret": options.get("client_secret", "")}).encode()
+        with urllib.request.urlopen(urllib.request.Request(url, data=body), timeout=60) as r:
+            _tokens[url] = json.load(r)["access_token"]
+    return {"Authorization": f"Bearer {_tokens[url]}"}
+
+
+def call(options: dict[str, str], url: str, body: object = None) -> dict:
+    """One JSON answer. 404 is an empty one; after 401 or 403 there is one more try with a new token. GETs may be kept (``memo``)."""
+    if body is None and options.get("memo") == "true":
+        return _memo(url, tuple(sorted((k, v) for k, v in options.items() if isinstance(v, str) and k in ("auth_url", "client_id", "client_secret"))))
+    return _send(options, url, body)
+
+
+@functools.lru_cache(maxsize=10_000)
+def _memo(url: str, options: tuple) -> dict:
+    return _send(dict(options), url, None)
+
+
+def _send(options: dict[str, str], url: str, body: object) -> dict:
+    for anew in (False, True):
+        data = None if body is None else json.dumps(body).encode()
+        head = {"Accept": "application/json", **({"Content-Type": "application/json"} if data else {}), **_authorised(options, anew)}
+        try:
+            with urllib.request.urlopen(urllib.request.Request(url, data=data, headers=head), timeout=60) as r:
+                return json.load(r)
+        except urllib.error.HTTPError as e:
+            if e.code == 404:
+                return {}
+            if anew or e.code not in (401, 403) or "auth_url" not in options:
+                raise
+    raise AssertionError
+
+
+def _at(answer: object, path: str) -> object:
+    """A value by a dotted path; null where there is none."""
+    for name in path.split(".") if path else []:
+        answer = answer.get(name) if isinstance(answer, dict) else None
+    return answer
+
+
+def _url(options: dict[str, str], **more: object) -> str:
+    given = {**json.loads(options.get("params", "{}")), **(options["query"] if isinstance(options.get("query"), dict) else {}), **{k: v for k, v in more.items() if v is not None}}
+    if isinstance(options.get("query"), str):
+        given[options.get("query_param", "query")] = options["query"]
+    return options["url"] + ("?" + urllib.parse.urlencode(given) if given else "")
+
+
+def by_token(options: dict[str, str], token):
+    """GET; rows at ``rows``, the next page's token at ``next`` (sent as ``token_param``). Without a token, one page."""
+    got = call(options, _url(options, **{options.get("token_param", "pageToken"): token}))
+    return _at(got, options.get("rows", "rows")) or [], _at(got, options.get("next", "nextPageToken")) or None
+
+
+def by_page(options: dict[str, str], token):
+    """POST of ``body`` with pagination by number from 1; an empty page ends it."""
+    page = token or 1
+    body = {**json.loads(options.get("body", "{}")), **(options["query"] if isinstance(options.get("query"), dict) else {}), "pagination": {"page": page, "size": int(options.get("size", "50"))}}
+    rows = _at(call(options, options["url"], body), options.get("rows", "data")) or []
+    return rows, page + 1 if rows else None
+
+
+def by_search(options: dict[str, str], token):
+    """POST search: rows sorted by ``sort``, newest first, the first ``limit`` of them."""
+    rows = _at(call(options, options["url"], {**json.loads(options.get("body", "{}")), "query": options.get("query")}), options.get("rows", "data")) or []
+    key = options.get("sort")
+    rows = sorted(rows, key=lambda r: str(_at(r, key) or ""), reverse=True) if key else rows
+    return rows[: int(options["limit"])] if "limit" in options else rows, None
+
+
+def by_graphql(options: dict[str, str], token):
+    """POST of a GraphQL ``document`` with the query as its variables; errors in the answer are failures."""
+    got = call(options, options["url"], {"query": options["document"], "variables": options.get("query") or {}})
+    if got.get("errors"):
+        raise RuntimeError(str(got["errors"])[:500])
+    rows = _at(got, "data." + options["rows"] if options.get("rows") else "data")
+    return rows if isinstance(rows, list) else [rows] if rows else [], None
+
+
+def by_count(options: dict[str, str], token):
+    """One row for a query: its number of records, which the server counts."""
+    got = call(options, _url(options))
+    return [{"id": json.dumps(options.get("query")) if not isinstance(options.get("query"), str) else options["query"], "n": _at(got, options.get("count", "totalCount")) or 0}], None
+
+
+def counts(facts: DataFrame, *keys: str) -> DataFrame:
+    """The same question over stored facts."""
+    return facts.groupBy(*keys).agg(F.count("*").alias("n"))

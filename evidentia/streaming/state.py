@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evidentia.sources import files
+
 
 def source(spark: SparkSession, path: str, schema, *, files: int = 1) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
@@ -38,11 +40,7 @@ def append_new(stream: DataFrame, path: str, checkpoint: str, key: str):
     from evidentia.operators.claims import new_only
 
     def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        try:
-            log = spark.read.schema(batch.schema).parquet(path)
-        except Exception:  # the first batch has no table yet
-            log = batch.limit(0)
+        log = files.or_empty(batch.sparkSession, batch.schema, lambda r: r.parquet(path))  # the first batch has no table yet
         new_only(batch, log, key).write.mode("append").parquet(path)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -53,3 +51,15 @@ def drained(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
     q = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination()
     return df.sparkSession.table(name)
+
+
+def newer(df: DataFrame, date: str, have: DataFrame, have_date: str, lag_days: int = 0) -> DataFrame:
+    """Incremental cursor: rows after the last date there is, less ``lag_days`` for late ones (take what is new of them by key). Without a date
+    all rows are new."""
+    last = have.agg(F.max(have_date)).first()[0]
+    return df if last is None else df.filter(F.col(date) > F.date_sub(F.lit(last).cast("date"), lag_days))
+
+
+def evicted(state: DataFrame, sound) -> DataFrame:
+    """State without entries that can no longer be verified, so that they are looked up again."""
+    return state.filter(F.coalesce(sound, F.lit(False)))
