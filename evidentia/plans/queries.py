@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
+from evidentia.functions import fixed
 from evidentia.functions import text as tx
+from evidentia.operators import alignment as al
 from evidentia.operators import attribution as at
 from evidentia.operators import backtest as bt
 from evidentia.operators import claims as cl
 from evidentia.operators import crowding as cr
 from evidentia.operators import moves as mv
+from evidentia.operators import report as rp
 from evidentia.operators import resolve as rs
+from evidentia.operators import screen as sc
+from evidentia.sources import rest
 from evidentia.streaming import state as st
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,25 +39,17 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-SINCE = "2001-06-01"
-RECENT = f"(SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '{SINCE}')"
-
-
-def recent(spark, d):
-    return t(spark, d, "lineitem").filter(F.col("l_shipdate") >= F.lit(SINCE).cast("timestamp_ntz"))
-
-
 @query(f"""SELECT subject, earliest, sponsors, kinds, n_claims, row_number() OVER (ORDER BY earliest DESC, sponsors, subject) AS rank FROM (
-SELECT l_partkey AS subject, CAST(min(l_shipdate) AS DATE) AS earliest, count(DISTINCT l_suppkey) AS sponsors, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS kinds, count(*) AS n_claims FROM {RECENT} GROUP BY 1)""")
+SELECT l_partkey AS subject, CAST(min(l_shipdate) AS DATE) AS earliest, count(DISTINCT l_suppkey) AS sponsors, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS kinds, count(*) AS n_claims FROM lineitem GROUP BY 1)""")
 def emerging_rank(spark, d):
-    rows = recent(spark, d).select(F.col("l_partkey").alias("subject"), "l_suppkey", F.to_date("l_shipdate").alias("day"), "l_returnflag")
+    rows = t(spark, d, "lineitem").select(F.col("l_partkey").alias("subject"), "l_suppkey", F.to_date("l_shipdate").alias("day"), "l_returnflag")
     out = cl.emerging(rows, "subject", "l_suppkey", "day", "l_returnflag")
     return cl.ranked(out, F.col("earliest").desc(), F.col("sponsors"), F.col("subject"))
 
 
-@query(f"SELECT l_partkey, count(DISTINCT l_returnflag) AS n_kinds FROM {RECENT} GROUP BY 1 HAVING count(DISTINCT l_returnflag) > 1")
+@query(f"SELECT l_partkey, count(DISTINCT l_returnflag) AS n_kinds FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) > 1")
 def corroborated(spark, d):
-    return cl.corroborated(recent(spark, d), "l_partkey", "l_returnflag")
+    return cl.corroborated(t(spark, d, "lineitem"), "l_partkey", "l_returnflag")
 
 
 _CLAIMS = """SELECT *, substr(sha1(concat_ws('|', subject, source, evidence_type, source_record_id)), 1, 16) AS claim_key FROM (
@@ -99,11 +95,11 @@ def resolve_mentions(spark, d):
     return rs.resolve(m, "mention", sym, alias).withColumn("candidates", F.array_join("candidates", ","))
 
 
-@query(r"""SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '([A-Z][a-zA-Z]{1,6})[ .,]', 1))), ',') AS tokens FROM documents WHERE lang = 'en'""")
+@query(r"""SELECT doc_id, array_to_string(list_sort(list_filter(list_distinct(regexp_extract_all(regexp_replace(text, '[^\x00-\x7F]', '_', 'g'), '\b([A-Z][A-Z0-9]{1,6})\b', 1)), lambda x: x NOT IN ('THE', 'AND', 'BEGIN'))), ',') AS tokens FROM documents""")
 def token_extract(spark, d):
-    docs = t(spark, d, "documents").filter("lang = 'en'")
-    got = F.array_sort(F.array_distinct(F.regexp_extract_all("text", F.lit("([A-Z][a-zA-Z]{1,6})[ .,]"), 1)))
-    return docs.select("doc_id", F.array_join(got, ",").alias("tokens"))
+    plain = F.regexp_replace("text", r"[^\x00-\x7F]", "_")  # where a word ends is a matter of ASCII in one engine and of Unicode in the other
+    got = tx.symbols(plain, ["THE", "AND", "BEGIN"])
+    return t(spark, d, "documents").select("doc_id", F.array_join(F.array_sort(got), ",").alias("tokens"))
 
 
 @query("SELECT doc_id, sha1(string_split_regex(text, '(?i) the ')[1]) AS head FROM documents")
@@ -137,11 +133,12 @@ def firm_canonical(spark, d):
     return t(spark, d, "supplier").select("s_suppkey", tx.organisation(name, [("#00000000", "FIRST")]).alias("firm"))
 
 
-@query("SELECT doc_id, contains(upper(text), upper(w)) AS confirmed, regexp_matches(upper(text), '(^|[^A-Z0-9])' || upper(w) || '($|[^A-Z0-9])') AS whole FROM documents, (SELECT 'thing' AS w)")
+@query(r"""SELECT doc_id, contains(up, w) AS confirmed, regexp_matches(up, '(^|[^A-Z0-9])' || w || '($|[^A-Z0-9])') AS whole FROM (
+SELECT doc_id, upper(regexp_replace(text, '[^\x00-\x7F]', '_', 'g')) AS up, CASE lang WHEN 'de' THEN 'DER' WHEN 'fr' THEN 'LES' WHEN 'es' THEN 'QUE' ELSE 'THE' END AS w FROM documents)""")
 def title_confirm(spark, d):
-    docs = t(spark, d, "documents").withColumn("w", F.lit("THING"))
-    up = F.upper("text")
-    return docs.select("doc_id", up.contains(F.col("w")).alias("confirmed"), tx.whole_token(up, F.col("w")).alias("whole"))
+    up = F.upper(F.regexp_replace("text", r"[^\x00-\x7F]", "_"))
+    word = F.when(F.col("lang") == "de", "DER").when(F.col("lang") == "fr", "LES").when(F.col("lang") == "es", "QUE").otherwise("THE")
+    return t(spark, d, "documents").select("doc_id", up.contains(word).alias("confirmed"), tx.whole_token(up, word).alias("whole"))
 
 
 _SUMS = "SELECT l_orderkey, l_partkey, sum(l_quantity) FILTER (l_returnflag = 'A') AS title, sum(l_quantity) FILTER (l_returnflag = 'R') AS claims, sum(l_quantity) FILTER (l_returnflag = 'N') AS body_n, sum(l_quantity) AS total FROM lineitem GROUP BY 1, 2"
@@ -166,10 +163,18 @@ def grade_rules(spark, d):
     return t(spark, d, "documents").select("doc_id", g.alias("grade"))
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders o WHERE EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = o.o_custkey % 1000 OR s.s_suppkey = o.o_orderkey % 5000)")
+_NULLED = "SELECT o_orderkey, nullif(o_custkey % 1000, 3) AS a, nullif(o_orderkey % 5000, 3) AS b FROM orders UNION ALL SELECT NULL, NULL, 1 FROM region UNION ALL SELECT NULL, 1, NULL FROM region UNION ALL SELECT NULL, 9999999, NULL FROM region"
+
+
+@query(f"SELECT o_orderkey, a, b FROM ({_NULLED}) o WHERE EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = o.a OR s.s_suppkey = o.b)")
 def exists_disjunctive(spark, d):
-    o = t(spark, d, "orders").select("o_orderkey", "o_custkey")
-    return at.semi_any(o, [F.col("o_custkey") % 1000, F.col("o_orderkey") % 5000], t(spark, d, "supplier"), "s_suppkey")
+    """With nulls in keys and in whole rows, and repeated rows."""
+    o, r = t(spark, d, "orders"), t(spark, d, "region")
+    rows = o.select("o_orderkey", F.nullif(F.col("o_custkey") % 1000, F.lit(3)).alias("a"), F.nullif(F.col("o_orderkey") % 5000, F.lit(3)).alias("b"))
+    none = F.lit(None).cast("long")
+    for a, b in ((none, F.lit(1)), (F.lit(1), none), (F.lit(9999999), none)):
+        rows = rows.unionByName(r.select(none.alias("o_orderkey"), a.cast("long").alias("a"), b.cast("long").alias("b")))
+    return at.semi_any(rows, [F.col("a"), F.col("b")], t(spark, d, "supplier"), "s_suppkey")
 
 
 @query("SELECT o_custkey, count(*) AS n, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS hits FROM orders WHERE o_orderstatus = 'F' GROUP BY 1 HAVING count(*) >= 3")
@@ -178,29 +183,31 @@ def feed_having_min(spark, d):
     return at.feed(t(spark, d, "orders"), "o_custkey", hits, 3)
 
 
-@query(f"""SELECT l_partkey, players, records, first_year, latest, names, CASE WHEN first_year <= 2012 THEN 2012 END AS bracket, 2026 - first_year AS years, CASE WHEN players <= 2 THEN 'OPEN' WHEN players <= 4 THEN 'CONTESTED' ELSE 'CLOSED' END AS window FROM (
-SELECT l_partkey, count(DISTINCT l_suppkey) AS players, count(*) AS records, CAST(min(year(l_shipdate)) AS INT) AS first_year, CAST(max(l_shipdate) AS DATE) AS latest, array_to_string(list_sort(list(DISTINCT CAST(l_suppkey AS VARCHAR)))[1:8], ',') AS names FROM {RECENT} GROUP BY 1)""")
+@query("""SELECT l_partkey, players, records, first_year, latest, names, CASE WHEN first_year <= 1994 THEN 1994 WHEN first_year <= 1995 THEN 1995 WHEN first_year <= 1998 THEN 1998 END AS bracket, 2026 - first_year AS years, CASE WHEN players <= 2 THEN 'OPEN' WHEN players <= 4 THEN 'CONTESTED' ELSE 'CLOSED' END AS window FROM (
+SELECT l_partkey, count(DISTINCT l_suppkey) FILTER (r) AS players, count(*) FILTER (r) AS records, CAST(min(year(l_shipdate)) AS INT) AS first_year, CAST(max(l_shipdate) FILTER (r) AS DATE) AS latest, array_to_string(list_sort(list(DISTINCT CAST(l_suppkey AS VARCHAR)) FILTER (r))[1:8], ',') AS names FROM (SELECT *, l_shipdate >= TIMESTAMP '2001-06-01' AS r FROM lineitem) GROUP BY 1) WHERE records > 0""")
 def crowding_window(spark, d):
-    return cr.window(recent(spark, d), "l_partkey", "l_suppkey", "l_shipdate", 2026)
+    """Players since a day, as the operator counts them; the first year is that of all records."""
+    return cr.window(t(spark, d, "lineitem"), "l_partkey", "l_suppkey", "l_shipdate", 2026, F.lit("2001-06-01").cast("timestamp_ntz"), (1994, 1995, 1998))
 
 
-@query(f"SELECT l_partkey, count(DISTINCT l_suppkey) AS n, CASE WHEN l_partkey % 97 = 0 THEN 'CROWDED' WHEN count(DISTINCT l_suppkey) <= 1 THEN 'OPEN' WHEN count(DISTINCT l_suppkey) <= 3 THEN 'EMERGING' WHEN count(DISTINCT l_suppkey) <= 10 THEN 'CONTESTED' ELSE 'CROWDED' END AS lane FROM {RECENT} GROUP BY 1")
+@query(f"SELECT l_partkey, count(DISTINCT l_suppkey) AS n, CASE WHEN l_partkey % 97 = 0 THEN 'CROWDED' WHEN count(DISTINCT l_suppkey) <= 1 THEN 'OPEN' WHEN count(DISTINCT l_suppkey) <= 3 THEN 'EMERGING' WHEN count(DISTINCT l_suppkey) <= 10 THEN 'CONTESTED' ELSE 'CROWDED' END AS lane FROM lineitem GROUP BY 1")
 def lane_tiers(spark, d):
-    g = recent(spark, d).groupBy("l_partkey").agg(F.countDistinct("l_suppkey").alias("n"))
+    g = t(spark, d, "lineitem").groupBy("l_partkey").agg(F.countDistinct("l_suppkey").alias("n"))
     return g.withColumn("lane", cr.tier(F.col("n"), saturated=F.col("l_partkey") % 97 == 0, **cr.LANE))
 
 
-@query(f"SELECT l_partkey, count(DISTINCT l_suppkey) AS players, arg_max(l_linestatus, CASE WHEN l_linestatus = 'F' THEN 2 WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS furthest, CASE WHEN count(DISTINCT l_suppkey) <= 1 THEN 'OPEN' WHEN count(DISTINCT l_suppkey) <= 4 THEN 'CONTESTED' ELSE 'CROWDED' END AS tier FROM {RECENT} GROUP BY 1")
+@query(f"SELECT l_partkey, count(DISTINCT l_suppkey) AS players, arg_max(l_linestatus, CASE WHEN l_linestatus = 'F' THEN 2 WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS furthest, CASE WHEN count(DISTINCT l_suppkey) <= 1 THEN 'OPEN' WHEN count(DISTINCT l_suppkey) <= 4 THEN 'CONTESTED' ELSE 'CROWDED' END AS tier FROM lineitem GROUP BY 1")
 def landscape(spark, d):
-    return cr.landscape(recent(spark, d), "l_partkey", "l_suppkey", "l_linestatus", {"F": 2, "O": 1})
+    return cr.landscape(t(spark, d, "lineitem"), "l_partkey", "l_suppkey", "l_linestatus", {"F": 2, "O": 1})
 
 
-@query(f"""WITH m AS (SELECT l_suppkey, l_partkey, CASE WHEN l_returnflag = 'R' THEN 'clinical' ELSE 'patent' END AS kind, CAST(l_shipdate AS DATE) AS day, l_orderkey FROM {RECENT}),
-g AS (SELECT l_suppkey, l_partkey, max(day) AS latest, min(day) AS earliest, count(*) FILTER (kind = 'patent') AS n_patents, count(*) FILTER (kind = 'clinical') AS n_trials, arg_min(kind, (day, kind, CAST(l_orderkey AS VARCHAR))) AS earliest_kind, count(*) AS signals FROM m GROUP BY 1, 2)
+@query(f"""WITH m AS (SELECT l_suppkey, l_partkey, CASE WHEN l_returnflag = 'R' THEN 'clinical' ELSE 'patent' END AS kind, CAST(l_shipdate AS DATE) AS day, l_orderkey FROM lineitem),
+g AS (SELECT l_suppkey, l_partkey, max(day) AS latest, min(day) AS earliest, count(*) FILTER (kind = 'patent') AS n_patents, count(*) FILTER (kind = 'clinical') AS n_trials, arg_min(kind, (day, kind, CAST(l_orderkey AS VARCHAR))) AS earliest_kind, count(*) AS n_signals, string_agg(CAST(day AS VARCHAR) || ' ' || kind || ' ' || l_orderkey, ';' ORDER BY CAST(day AS VARCHAR), kind, CAST(l_orderkey AS VARCHAR)) AS signals FROM m GROUP BY 1, 2)
 SELECT *, n_patents > 0 AND n_trials > 0 AS cross_linked, CASE WHEN n_companies <= 1 THEN 'OPEN' WHEN n_companies <= 3 THEN 'EMERGING' WHEN n_companies <= 10 THEN 'CONTESTED' ELSE 'CROWDED' END AS lane FROM (SELECT *, count(*) OVER (PARTITION BY l_partkey) AS n_companies FROM g)""")
 def unify_moves(spark, d):
-    m = recent(spark, d).select("l_suppkey", "l_partkey", F.when(F.col("l_returnflag") == "R", "clinical").otherwise("patent").alias("kind"), F.to_date("l_shipdate").alias("day"), "l_orderkey")
-    return mv.unify(m, "l_suppkey", "l_partkey", "kind", "day", "l_orderkey")
+    m = t(spark, d, "lineitem").select("l_suppkey", "l_partkey", F.when(F.col("l_returnflag") == "R", "clinical").otherwise("patent").alias("kind"), F.to_date("l_shipdate").alias("day"), "l_orderkey")
+    signals = F.array_join(F.transform("signals", lambda x: F.concat_ws(" ", x["date"], x["kind"], x["id"])), ";")
+    return mv.unify(m, "l_suppkey", "l_partkey", "kind", "day", "l_orderkey").withColumn("signals", signals)
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY CASE l_returnflag WHEN 'A' THEN 0 WHEN 'R' THEN 1 ELSE 2 END, l_shipdate, l_partkey, l_suppkey, l_extendedprice) AS n FROM lineitem) WHERE n = 1""")
@@ -210,13 +217,13 @@ def dedup_moves(spark, d):
 
 
 @query(f"""WITH ev AS (SELECT o_orderkey, o_custkey % 100 AS owner FROM orders), tg AS (SELECT DISTINCT o_orderkey, owner, p FROM (SELECT o_orderkey, owner, unnest([o_orderkey % 500, o_orderkey % 700, owner]) AS p FROM ev)),
-h AS (SELECT DISTINCT l_partkey, l_suppkey FROM {RECENT}), ix AS (SELECT o_orderkey, owner, pos, [o_orderkey % 500, o_orderkey % 700, owner][pos + 1] AS p FROM ev, (SELECT unnest([0, 1, 2]) AS pos)),
+h AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem), ix AS (SELECT o_orderkey, owner, pos, [o_orderkey % 500, o_orderkey % 700, owner][pos + 1] AS p FROM ev, (SELECT unnest([0, 1, 2]) AS pos)),
 lv AS (SELECT o_orderkey, pos, p, CASE WHEN EXISTS (SELECT 1 FROM h WHERE h.l_partkey = p AND h.l_suppkey = owner) THEN 0 WHEN EXISTS (SELECT 1 FROM h WHERE h.l_partkey = p) THEN 1 ELSE 2 END AS lv FROM ix)
 SELECT o_orderkey, CASE b.lv WHEN 0 THEN 'LIKELY' WHEN 1 THEN 'POSSIBLE' ELSE 'NONE' END AS link, CASE WHEN b.lv < 2 THEN b.p END AS link_target FROM (SELECT o_orderkey, arg_min({{'lv': lv, 'p': p}}, lv * 10 + pos) AS b FROM lv GROUP BY 1)""")
 def crosslink_priority(spark, d):
     ev = t(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 100).alias("owner"))
     ev = ev.withColumn("targets", F.array(F.col("o_orderkey") % 500, F.col("o_orderkey") % 700, F.col("owner")))
-    return mv.crosslink(ev, "o_orderkey", "targets", "owner", recent(spark, d), "l_partkey", "l_suppkey")
+    return mv.crosslink(ev, "o_orderkey", "targets", "owner", t(spark, d, "lineitem"), "l_partkey", "l_suppkey")
 
 
 @query("""SELECT c_custkey, CASE (EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderdate >= TIMESTAMP '2001-01-01'))::INT + (c_acctbal > 5000)::INT + (c_mktsegment = 'BUILDING')::INT WHEN 0 THEN 'NOVEL' WHEN 1 THEN 'EMERGING' ELSE 'KNOWN' END AS tier FROM customer""")
@@ -238,9 +245,9 @@ def snapshot_delta(spark, d):
     return mv.snapshot_delta(at_day("1996-01-01"), at_day("1998-01-01"), "o_custkey", "v")
 
 
-@query("SELECT event_id, user_id FROM events e WHERE ts >= TIMESTAMP '2024-01-20' AND NOT EXISTS (SELECT 1 FROM events s WHERE s.ts < TIMESTAMP '2024-01-20' AND s.user_id = e.user_id AND s.event_type = 'purchase')")
+@query("SELECT event_id, user_id FROM events e WHERE ts >= TIMESTAMP '2024-01-03' AND NOT EXISTS (SELECT 1 FROM events s WHERE s.ts < TIMESTAMP '2024-01-03' AND s.user_id = e.user_id AND s.event_type = 'purchase')")
 def diff_unseen(spark, d):
-    e, cut = t(spark, d, "events"), F.lit("2024-01-20").cast("timestamp_ntz")
+    e, cut = t(spark, d, "events"), F.lit("2024-01-03").cast("timestamp_ntz")
     return mv.unseen(e.filter(F.col("ts") >= cut), e.filter((F.col("ts") < cut) & (F.col("event_type") == "purchase")), "user_id").select("event_id", "user_id")
 
 
@@ -252,10 +259,9 @@ def digest_blocks(spark, d):
 
 @query("""SELECT s_suppkey, s_nationkey FROM supplier WHERE s_acctbal > 0 AND s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'R') AND s_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 0)""")
 def opportunity_intersection(spark, d):
-    s = t(spark, d, "supplier").filter("s_acctbal > 0")
     hit = t(spark, d, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_suppkey").alias("s_suppkey"))
     deny = t(spark, d, "nation").filter("n_regionkey = 0").select(F.col("n_nationkey").alias("s_nationkey"))
-    return s.join(hit, "s_suppkey", "left_semi").join(deny, "s_nationkey", "left_anti").select("s_suppkey", "s_nationkey")
+    return cr.opportunities(t(spark, d, "supplier"), F.col("s_acctbal") > 0, hit, deny, "s_suppkey", "s_nationkey").select("s_suppkey", "s_nationkey")
 
 
 @query("""SELECT p_partkey, array_to_string(list_concat(list_transform(list_filter(range(1, 5), lambda i: substr(p_name, i, 1) = 'e'), lambda i: 'front@' || i), list_transform(list_filter(range(5, 11), lambda i: substr(p_name, i, 1) = 'e'), lambda i: 'hinge@' || i)), ',') AS handles FROM part""")
@@ -263,9 +269,9 @@ def pocket_handles(spark, d):
     return t(spark, d, "part").select("p_partkey", F.array_join(tx.positions_of(F.col("p_name"), "e", [("front", 1, 4), ("hinge", 5, 10)]), ",").alias("handles"))
 
 
-@query("SELECT p_type, count(*) AS n, count(DISTINCT p_brand) AS brands, string_agg(DISTINCT p_name, ',' ORDER BY p_name) AS names, max(p_retailprice) FILTER (p_size > 25) AS best FROM part GROUP BY 1")
+@query("SELECT p_type, count(*) AS n, count(DISTINCT p_brand) AS groups, string_agg(DISTINCT p_name, ',' ORDER BY p_name) AS kinds, max(p_retailprice) FILTER (p_size > 25) AS best FROM part GROUP BY 1")
 def prior_art_agg(spark, d):
-    return t(spark, d, "part").groupBy("p_type").agg(F.count("*").alias("n"), F.countDistinct("p_brand").alias("brands"), F.array_join(F.array_sort(F.collect_set("p_name")), ",").alias("names"), F.max(F.when(F.col("p_size") > 25, F.col("p_retailprice"))).alias("best"))
+    return cr.prior_art(t(spark, d, "part"), "p_type", "p_partkey", "p_brand", "p_name", F.when(F.col("p_size") > 25, F.col("p_retailprice")))
 
 
 _YEARS = "SELECT o_custkey, count(*) FILTER (year(o_orderdate) BETWEEN 1998 AND 2001) AS recent, count(*) FILTER (year(o_orderdate) BETWEEN 1995 AND 1997) AS base FROM orders GROUP BY 1"
@@ -274,7 +280,7 @@ _YEARS = "SELECT o_custkey, count(*) FILTER (year(o_orderdate) BETWEEN 1998 AND
 @query(f"SELECT o_custkey, recent, base, round((recent / 2.0::DOUBLE) / (base / 3.0::DOUBLE + 1), 6) AS accel FROM ({_YEARS}) WHERE recent >= 3")
 def momentum_accel(spark, d):
     y = bt.year_sums(t(spark, d, "orders"), "o_custkey", F.year("o_orderdate"), F.lit(1), recent=(1998, 2001), base=(1995, 1997))
-    return y.filter("recent >= 3").withColumn("accel", F.round((F.col("recent") / F.lit(2.0)) / (F.col("base") / F.lit(3.0) + 1), 6))
+    return cr.accelerating(y, "recent", "base", (2, 3), 3).withColumn("accel", F.round("accel", 6))
 
 
 _EMERGE = "SELECT o_custkey, (count(*) FILTER (year(o_orderdate) = 1998) + 1)::DOUBLE / (count(*) FILTER (year(o_orderdate) BETWEEN 1996 AND 1997) + 1) AS signal, count(*) FILTER (year(o_orderdate) >= 2000) >= 3 AS emerged, count(*) FILTER (year(o_orderdate) >= 2000) AS outcome FROM orders GROUP BY 1"
@@ -310,10 +316,10 @@ def auc_mann_whitney(spark, d):
 
 
 @query("""WITH a AS (SELECT c_custkey AS k, c_acctbal AS l FROM customer WHERE c_mktsegment = 'BUILDING'), b AS (SELECT c_custkey AS k, c_acctbal AS l FROM customer WHERE c_mktsegment <> 'BUILDING')
-SELECT "case", control, rank FROM (SELECT a.k AS "case", b.k AS control, CAST(row_number() OVER (PARTITION BY a.k ORDER BY abs(a.l - b.l), b.k) AS INT) AS rank FROM a JOIN b ON abs(a.l - b.l) <= 100) WHERE rank <= 5""")
+SELECT "case", control, rank FROM (SELECT a.k AS "case", b.k AS control, CAST(row_number() OVER (PARTITION BY a.k ORDER BY abs(a.l - b.l), b.k) AS INT) AS rank FROM a JOIN b ON true) WHERE rank <= 5""")
 def matched_controls(spark, d):
     c = t(spark, d, "customer")
-    return bt.matched(c.filter("c_mktsegment = 'BUILDING'"), c.filter("c_mktsegment <> 'BUILDING'"), "c_custkey", "c_acctbal", 5, 100.0).select("case", "control", "rank")
+    return bt.matched(c.filter("c_mktsegment = 'BUILDING'"), c.filter("c_mktsegment <> 'BUILDING'"), "c_custkey", "c_acctbal", 5).select("case", "control", "rank")
 
 
 @query()
@@ -388,15 +394,15 @@ def nested_projection(spark, d):
     return e.groupBy("event_type").agg(F.sum("p.k").alias("k_sum"), F.count("*").alias("n"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, lag(l_shipdate) OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey) <= l_shipdate AS in_order FROM lineitem WHERE l_returnflag = 'R'")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, lag(l_shipdate) OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey, l_shipdate, l_extendedprice) <= l_shipdate AS in_order FROM lineitem")
 def order_check(spark, d):
-    w = W.partitionBy("l_partkey").orderBy("l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey")
-    return t(spark, d, "lineitem").filter("l_returnflag = 'R'").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", (F.lag("l_shipdate").over(w) <= F.col("l_shipdate")).alias("in_order"))
+    checked = cl.out_of_order(t(spark, d, "lineitem"), *map(F.col, ("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice")), key="l_partkey", date="l_shipdate")
+    return checked.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "in_order")
 
 
 @query("SELECT o_orderpriority, count(*) AS n, median(o_totalprice) AS med, round(avg((o_orderstatus = 'F')::INT), 9) AS rate, max(o_totalprice) AS top FROM orders GROUP BY 1")
 def frequency_table(spark, d):
-    return t(spark, d, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"), F.median("o_totalprice").alias("med"), F.round(F.avg((F.col("o_orderstatus") == "F").cast("int")), 9).alias("rate"), F.max("o_totalprice").alias("top"))
+    return cr.frequencies(t(spark, d, "orders"), "o_orderpriority", "o_totalprice", F.col("o_orderstatus") == "F").withColumn("rate", F.round("rate", 9))
 
 
 @query("SELECT doc_id, array_to_string(list_filter(string_split_regex(text, '[.] '), lambda x: contains(x, 'the') AND length(x) > 12 AND length(x) < 320 AND NOT starts_with(x, '['))[1:3], '#') AS leads FROM documents")
@@ -405,7 +411,240 @@ def paragraph_leads(spark, d):
     return t(spark, d, "documents").select("doc_id", F.array_join(F.slice(parts, 1, 3), "#").alias("leads"))
 
 
-@query(f"SELECT l_suppkey, count(DISTINCT l_partkey) AS actors, count(DISTINCT l_returnflag) AS kinds FROM {RECENT} JOIN (SELECT l_suppkey, max(CAST(l_shipdate AS DATE)) AS last FROM {RECENT} GROUP BY 1) USING (l_suppkey) WHERE CAST(l_shipdate AS DATE) >= last - 30 GROUP BY 1 HAVING count(DISTINCT l_partkey) > 1")
+@query(f"SELECT l_suppkey, count(DISTINCT l_partkey) AS actors, count(DISTINCT l_returnflag) AS kinds FROM lineitem JOIN (SELECT l_suppkey, max(CAST(l_shipdate AS DATE)) AS last FROM lineitem GROUP BY 1) USING (l_suppkey) WHERE CAST(l_shipdate AS DATE) >= last - 30 GROUP BY 1 HAVING count(DISTINCT l_partkey) > 1")
 def rollup_corroboration(spark, d):
-    r = recent(spark, d).withColumn("day", F.to_date("l_shipdate"))
+    r = t(spark, d, "lineitem").withColumn("day", F.to_date("l_shipdate"))
     return cl.rolled_up(r, "l_suppkey", "l_partkey", "l_returnflag", "day", 30)
+
+
+# --- attribution with validated mentions ---
+
+_FORMS = "SELECT DISTINCT 'E' || p_size AS entity, upper(trim(p_name)) AS form FROM part WHERE p_type IN ('STANDARD', 'ECONOMY', 'PROMO')"
+_TITLES = "SELECT o_orderkey, upper(p_name) AS title FROM orders JOIN part ON p_partkey = o_custkey"
+
+
+def _forms(spark, d):
+    official = t(spark, d, "part").filter(F.col("p_type").isin("STANDARD", "ECONOMY", "PROMO")).select(F.concat(F.lit("E"), "p_size").alias("entity"), "p_name")
+    return at.surface_forms(official, "entity", ["p_name"], [])
+
+
+def _mentions(spark, d):
+    """Lines of orders as mentions of entities: the part's name must be a form of its entity."""
+    found = t(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.concat(F.lit("E"), "p_size").alias("entity"), "p_name", "p_brand")
+    valid = at.valid_mentions(found, "entity", ["p_name", "p_brand"], _forms(spark, d))
+    records = t(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
+    return at.mention_rows(t(spark, d, "lineitem"), records, valid, record="l_orderkey", mention="l_partkey")
+
+
+_MENTIONS = f"""SELECT l_orderkey, entity, l_returnflag, l_quantity FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN (SELECT p_partkey, 'E' || p_size AS entity, p_name, p_brand FROM part p
+WHERE EXISTS (SELECT 1 FROM ({_FORMS}) f WHERE f.entity = 'E' || p.p_size AND f.form IN (upper(p.p_name), upper(p.p_brand)))) e ON e.p_partkey = l_partkey"""
+
+
+@query(f"SELECT entity, count(*) AS n, sum(l_quantity) AS quantity FROM ({_MENTIONS}) GROUP BY 1")
+def mention_star(spark, d):
+    return _mentions(spark, d).groupBy("entity").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
+
+
+@query(f"""WITH m AS ({_MENTIONS}), s AS (SELECT l_orderkey, entity, sum(l_quantity) FILTER (l_returnflag = 'A') AS title, sum(l_quantity) FILTER (l_returnflag = 'R') AS claims, sum(l_quantity) AS total FROM m GROUP BY 1, 2)
+SELECT DISTINCT s.l_orderkey, s.entity FROM s JOIN ({_TITLES}) t ON t.o_orderkey = s.l_orderkey JOIN ({_FORMS}) f USING (entity) WHERE regexp_matches(t.title, '(^|[^A-Z0-9])' || f.form || '($|[^A-Z0-9])')""")
+def title_theta_semi(spark, d):
+    titles = t(spark, d, "orders").join(t(spark, d, "part"), F.col("p_partkey") == F.col("o_custkey")).select(F.col("o_orderkey").alias("l_orderkey"), "p_name")
+    return at.in_title(_mentions(spark, d), "l_orderkey", "entity", titles, F.col("p_name"), _forms(spark, d))
+
+
+@query(f"""WITH m AS ({_MENTIONS}), s AS (SELECT l_orderkey, m.entity, 'S' || m.entity AS symbol, sum(l_quantity) FILTER (l_returnflag = 'A') AS title, sum(l_quantity) FILTER (l_returnflag = 'R') AS claims, sum(l_quantity) AS total FROM m GROUP BY 1, 2),
+r AS (SELECT * FROM s WHERE coalesce(title, 0) = 0 OR EXISTS (SELECT 1 FROM ({_TITLES}) t JOIN ({_FORMS}) f ON true WHERE t.o_orderkey = s.l_orderkey AND f.entity = s.entity AND regexp_matches(t.title, '(^|[^A-Z0-9])' || f.form || '($|[^A-Z0-9])'))),
+n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY title DESC NULLS LAST, claims DESC NULLS LAST, total DESC NULLS LAST, entity) AS n FROM r)
+SELECT l_orderkey, max(symbol) FILTER (n = 1) AS entity, max(CASE WHEN coalesce(title, 0) > 0 THEN 'title' WHEN coalesce(claims, 0) > 0 THEN 'claims' ELSE 'body' END) FILTER (n = 1) AS conf, coalesce(string_agg(symbol, ',' ORDER BY n) FILTER (n > 1), '') AS others FROM n WHERE n <= 5 GROUP BY 1""")
+def attribution_validated(spark, d):
+    titles = t(spark, d, "orders").join(t(spark, d, "part"), F.col("p_partkey") == F.col("o_custkey")).select(F.col("o_orderkey").alias("l_orderkey"), "p_name")
+    symbols = t(spark, d, "part").select(F.concat(F.lit("E"), "p_size").alias("entity")).distinct().withColumn("symbol", F.concat(F.lit("S"), "entity"))
+    return at.attribute(_mentions(spark, d), "l_orderkey", "entity", "l_returnflag", "l_quantity", {"title": "A", "claims": "R"}, titles, F.col("p_name"), _forms(spark, d), symbols)
+
+
+@query("""SELECT o_orderkey, count(*) AS n, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS hits FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey
+WHERE o_orderdate > TIMESTAMP '1996-06-01' AND substr(o_orderpriority, 1, 2) IN ('1-', '3-') AND p_type IN ('PROMO', 'SMALL') GROUP BY 1 HAVING count(*) >= 3""")
+def compound_feed(spark, d):
+    records = at.recent_of(t(spark, d, "orders"), F.lit("1996-06-01").cast("timestamp_ntz"), "o_orderdate", ["1-", "3-"], "o_orderpriority")
+    hits = F.when(F.col("p_type").isin("PROMO", "SMALL"), F.array("p_brand")).otherwise(F.array().cast("array<string>"))
+    rows = records.join(t(spark, d, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey")).join(t(spark, d, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    return at.feed(rows, "o_orderkey", hits, 3)
+
+
+@query(f"SELECT grade, count(*) AS n, count(*) FILTER (lang IN ('en', 'fr')) AS n_by_confidence FROM ({ORACLE['grade_rules']}) JOIN (SELECT doc_id, lang FROM documents) USING (doc_id) GROUP BY 1")
+def regrade_census(spark, d):
+    docs = t(spark, d, "documents")
+    targets = docs.select("doc_id", F.when(F.col("lang") == "en", "title").when(F.col("lang") == "fr", "claims").otherwise("body").alias("conf"), F.col("source").alias("radar"), F.lit("none").alias("grade"))
+    g = at.grade(F.col("conf"), F.col("text"), radar=F.col("radar") == "src7", exclude="licensed", degrader="token =", implausible="@mail", method="method|[|]")
+    return at.census(at.regrade(targets, docs.select("doc_id", "text"), "doc_id", g))
+
+
+# --- claims from text and names ---
+
+_WORDS = "SELECT DISTINCT upper(split_part(p_name, ' ', 1)) AS key, 'W:' || split_part(p_name, ' ', 1) AS id FROM part"
+
+
+@query(rf"""WITH a AS (SELECT upper(split_part(p_name, ' ', 2)) AS key, list_sort(list(DISTINCT p_type)) AS ids FROM part GROUP BY 1), m AS (SELECT p_partkey, unnest(list_distinct(regexp_extract_all(upper(p_name), '\b([A-Z][A-Z0-9]{{1,6}})\b', 1))) AS key FROM part)
+SELECT p_partkey, coalesce(w.id, a.ids[1]) AS entity, 'A' AS path FROM m LEFT JOIN ({_WORDS}) w USING (key) LEFT JOIN a USING (key) WHERE key <> 'RED' AND (w.id IS NOT NULL OR len(a.ids) = 1)
+UNION ALL SELECT p_partkey, 'B:' || p_type, 'B' FROM part WHERE p_type IN ('PROMO', 'LARGE')""")
+def mention_explode(spark, d):
+    part = t(spark, d, "part")
+    words = part.select(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("w"), F.split_part("p_name", F.lit(" "), F.lit(2)).alias("v"), "p_type")
+    sym, _ = rs.index(words.select(F.concat(F.lit("W:"), "w").alias("id"), "w").distinct(), "id", "w")
+    targets = part.select(F.col("p_type").alias("name"), F.concat(F.lit("B:"), "p_type").alias("id")).filter(F.col("name").isin("PROMO", "LARGE"))
+    got = cl.mentions(part, F.upper("p_name"), F.array("p_type"), sym, rs.aliases(words, "v", "p_type"), targets, stop=["RED"])
+    return got.select("p_partkey", "entity", "path")
+
+
+@query("""SELECT s_suppkey AS claim, lower(s_name) AS mention, CAST(s_suppkey AS VARCHAR) AS subject, 'v2' AS resolver_version FROM supplier WHERE s_nationkey <> 3""")
+def canonical_projection(spark, d):
+    sup = t(spark, d, "supplier")
+    sym, alias = rs.index(sup.filter("s_nationkey <> 3"), "s_suppkey", "s_name")
+    log = sup.select(F.col("s_suppkey").alias("claim"), F.lower("s_name").alias("mention"), F.lit("old").alias("subject"))
+    return cl.projected(log, "mention", sym, alias, "v2")
+
+
+@query("SELECT event_id, user_id FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-20' - 10 AND CAST(ts AS DATE) <= DATE '2024-01-20'")
+def trailing_window(spark, d):
+    e = t(spark, d, "events").withColumn("day", F.to_date("ts"))
+    return cl.trailing(e, "day", F.lit("2024-01-20").cast("date"), 10).select("event_id", "user_id")
+
+
+@query("SELECT o_orderkey FROM orders WHERE CAST(o_orderdate AS DATE) > (SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem WHERE l_shipdate < TIMESTAMP '2000-01-01') - 7")
+def incremental_cursor(spark, d):
+    have = t(spark, d, "lineitem").filter(F.col("l_shipdate") < F.lit("2000-01-01").cast("timestamp_ntz")).select(F.to_date("l_shipdate").alias("day"))
+    return st.newer(t(spark, d, "orders").withColumn("day", F.to_date("o_orderdate")), "day", have, "day", 7).select("o_orderkey")
+
+
+# --- screening, cascades, buckets ---
+
+_DESCRIPTION = "'<p>Example ' || p_size || ': N-(' || p_name || ')acrylamide as a white solid</p><p>poly' || p_type || ' 2-acrylamide gel</p><p>' || repeat('3-chloroacetamide and (epoxide) ' || p_brand || ' for the tests; ', p_size % 5) || '</p>'"
+_HITS = r"(acryl|prop-?2-?en|2-?propen)amide|(propiol|but-?2-?yn)amide|chloroacetamide|vinyl[\s-]?sulfon(amide|e)|epoxide|maleimid"
+
+
+@query(rf"""WITH d AS (SELECT p_partkey, p_name, regexp_replace({_DESCRIPTION}, '<[^>]+>', ' ', 'g') AS t, len(list_distinct(list_filter(regexp_extract_all({_DESCRIPTION}, '<p>(.*?)</p>', 1), lambda p: length(trim(p)) > 12 AND length(trim(p)) < 320 AND regexp_matches(p, '(?i)acrylamide')))) AS leads FROM part WHERE p_type IN ('PROMO', 'SMALL')),
+h AS (SELECT p_partkey, t, i, length(regexp_extract(substr(t, i), '(?i)^({_HITS})')) AS n FROM (SELECT p_partkey, t, unnest(range(1, length(t) + 1)) AS i FROM d) WHERE regexp_matches(substr(t, i), '(?i)^({_HITS})') AND i > 1 AND regexp_matches(substr(t, greatest(1, i - 2), i - greatest(1, i - 2)), '[\])\-0-9]\s?$')),
+k AS (SELECT p_partkey, count(*) AS n FROM h WHERE NOT regexp_matches(trim(substr(t, greatest(1, i - 28), i - greatest(1, i - 28) + n + 12)), '(?i)\b(gel|poly|polymer|excipient|column|purification|resin|hydrogel|coating)\b') GROUP BY 1)
+SELECT p_partkey, CAST(n AS INT) AS mentions, CAST(leads AS INT) AS lead_names, n >= 3 AS needs_images FROM k JOIN d USING (p_partkey) WHERE n >= 3""")
+def patent_screen(spark, d):
+    part = t(spark, d, "part").withColumn("office", F.when(F.col("p_type") == "PROMO", "WO1").when(F.col("p_type") == "SMALL", "EP2").otherwise("US3"))
+    some = F.repeat(F.concat(F.lit("3-chloroacetamide and (epoxide) "), "p_brand", F.lit(" for the tests; ")), F.col("p_size") % 5)
+    text = F.concat(F.lit("<p>Example "), "p_size", F.lit(": N-("), "p_name", F.lit(")acrylamide as a white solid</p><p>poly"), "p_type", F.lit(" 2-acrylamide gel</p><p>"), some, F.lit("</p>"))
+    out = sc.screen(part.select("p_partkey", "p_name", "office", text.alias("description"), F.lit(None).cast("string").alias("claims")), "office", F.col("p_name"), "description", "claims")
+    return out.select("p_partkey", "mentions", "lead_names", "needs_images")
+
+
+@query("""SELECT doc_id, CASE WHEN lang = 'en' THEN 'LIKELY' WHEN regexp_matches(text, '(?i)token =') THEN 'LIKELY' WHEN score >= 4 THEN 'FINGERPRINT' WHEN lang = 'de' THEN 'POSSIBLE' ELSE 'NONE' END AS level FROM (
+SELECT *, 3 * (text ILIKE '%licensed under%')::INT + 2 * (text ILIKE '%@mail%')::INT + 2 * regexp_matches(text, '[0-9]{4}')::INT + regexp_matches(text, ' [|] ')::INT AS score FROM documents)""")
+def trial_cascade(spark, d):
+    link = F.when(F.col("lang") == "en", "LIKELY").when(F.col("lang") == "de", "POSSIBLE").otherwise("NONE")
+    score, _ = tx.fingerprint(F.col("text"), RULES)
+    return t(spark, d, "documents").select("doc_id", mv.cascade(link, F.col("text").rlike("(?i)token ="), score).alias("level"))
+
+
+@query("SELECT bucket, count(*) AS n FROM (SELECT CASE WHEN c_acctbal > 9000 THEN 'traps' WHEN c_mktsegment = 'BUILDING' THEN 'novel' ELSE 'others' END AS bucket FROM customer) GROUP BY 1")
+def disjoint_buckets(spark, d):
+    return cr.buckets(t(spark, d, "customer"), ("traps", F.col("c_acctbal") > 9000), ("novel", F.col("c_mktsegment") == "BUILDING"), rest="others").groupBy("bucket").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT l_partkey, bool_or(l_returnflag = 'R') AS returned, bool_or(l_linestatus = 'O') AS open, max(l_quantity) AS l_quantity, arg_min(l_suppkey, (l_shipdate, l_orderkey, l_linenumber, l_suppkey)) AS l_suppkey FROM lineitem GROUP BY 1""")
+def flags_by_key(spark, d):
+    rows = t(spark, d, "lineitem").select("l_partkey", (F.col("l_returnflag") == "R").alias("returned"), (F.col("l_linestatus") == "O").alias("open"), "l_quantity", "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber")
+    return cr.flags_of(rows, "l_partkey", ["returned", "open"], ["l_quantity"], [F.col(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey")]).select("l_partkey", "returned", "open", "l_quantity", "l_suppkey")
+
+
+@query("""SELECT p_partkey, len(list_filter([p_name, p_type], lambda x: regexp_matches(x, '(?i)red|promo'))) > 0 AS any_hit, len(list_filter([p_name, p_type], lambda x: NOT regexp_matches(x, '(?i)r'))) = 0 AS all_hit FROM part""")
+def array_any_all(spark, d):
+    values = F.array("p_name", "p_type")
+    return t(spark, d, "part").select("p_partkey", tx.any_of(values, "red|promo").alias("any_hit"), tx.all_of(values, "r").alias("all_hit"))
+
+
+@query("SELECT l_partkey, l_linenumber, verdict, first(verdict) OVER (PARTITION BY l_partkey ORDER BY CASE verdict WHEN 'unique-handle' THEN 0 WHEN 'partial' THEN 1 ELSE 2 END) AS selectivity FROM (SELECT l_partkey, l_linenumber, CASE count(*) FILTER (l_returnflag = 'A') WHEN 0 THEN 'unique-handle' WHEN count(*) THEN 'conserved-liability' ELSE 'partial' END AS verdict FROM lineitem GROUP BY 1, 2)")
+def residue_vote(spark, d):
+    return al.selectivity(t(spark, d, "lineitem"), "l_partkey", "l_linenumber", "l_returnflag", "A")
+
+
+# --- filings, dossier, digest, top-up ---
+
+@query("""SELECT l_partkey, count(DISTINCT l_suppkey) AS players, CAST(max(l_shipdate) AS DATE) AS latest, count(*) AS filings FROM lineitem JOIN part ON p_partkey = l_partkey
+WHERE l_shipdate >= TIMESTAMP '2001-03-01' AND NOT regexp_matches(p_type, 'MEDIUM') AND contains(upper(p_name || ' ' || p_brand), upper(split_part(p_name, ' ', 2))) GROUP BY 1 HAVING count(DISTINCT l_suppkey) <= 3 AND CAST(max(l_shipdate) AS DATE) >= DATE '2001-06-01'""")
+def fresh_filings(spark, d):
+    rows = t(spark, d, "lineitem").join(t(spark, d, "part"), F.col("p_partkey") == F.col("l_partkey")).withColumns({"day": F.to_date("l_shipdate"), "target_name": F.split_part("p_name", F.lit(" "), F.lit(2)), "none": F.lit("")})
+    title = F.concat_ws(" ", "p_name", "p_brand", F.when(F.col("p_type") == "MEDIUM", F.lit("medium")))
+    return cr.fresh(rows, "l_partkey", "l_suppkey", "day", title, [F.col("none"), F.col("target_name")], since=F.lit("2001-03-01").cast("date"), latest_since=F.lit("2001-06-01").cast("date"), skip="medium")
+
+
+_LANES = "SELECT c_custkey, c_name, c_mktsegment, c_nationkey, o.latest, o.n, CASE WHEN o.n <= 8 THEN 'OPEN' WHEN o.n <= 10 THEN 'EMERGING' ELSE 'CROWDED' END AS lane FROM customer JOIN (SELECT o_custkey, count(*) AS n, CAST(max(o_orderdate) AS DATE) AS latest FROM orders GROUP BY 1) o ON o_custkey = c_custkey"
+
+
+def _lanes(spark, d):
+    o = t(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"), F.to_date(F.max("o_orderdate")).alias("latest"))
+    lane = F.when(F.col("n") <= 8, "OPEN").when(F.col("n") <= 10, "EMERGING").otherwise("CROWDED")
+    return t(spark, d, "customer").join(o, "c_custkey").withColumn("lane", lane)
+
+
+@query(f"""WITH f AS (SELECT *, c_nationkey % 3 > 0 AS names, CASE c_mktsegment WHEN 'BUILDING' THEN 'TRAP' WHEN 'MACHINERY' THEN 'OPEN' WHEN 'FURNITURE' THEN 'TAKEN' END AS v FROM ({_LANES}) WHERE lane IN ('OPEN', 'EMERGING') ORDER BY latest DESC, c_custkey, c_name LIMIT 12)
+SELECT CAST(row_number() OVER (ORDER BY names DESC, CASE WHEN names THEN CASE v WHEN 'OPEN' THEN 0 WHEN 'TAKEN' THEN 2 WHEN 'TRAP' THEN 3 ELSE 1 END ELSE 1 END, latest DESC, c_custkey, c_name) AS INT) AS rank, c_custkey AS target,
+'## ' || c_custkey || ' - ' || lane || ', ' || n || ' filer(s), ' || CASE WHEN NOT names THEN 'mis-attributed' ELSE coalesce(v, '?') END || chr(10) || '- **Who is moving:** ' || c_name || ' (' || latest || ')' || chr(10) || '- **Title confirms target:** ' || CASE WHEN names THEN 'yes' ELSE 'no, verify' END || chr(10) || '- **prior art:** ' || CASE WHEN n > 7 THEN n::VARCHAR ELSE 'none on record' END AS section FROM f""")
+def move_dossier(spark, d):
+    v = F.when(F.col("c_mktsegment") == "BUILDING", "TRAP").when(F.col("c_mktsegment") == "MACHINERY", "OPEN").when(F.col("c_mktsegment") == "FURNITURE", "TAKEN")
+    return rp.dossier(_lanes(spark, d), "c_custkey", "c_name", "latest", "lane", "n", names=F.col("c_nationkey") % 3 > 0, verdict=v, verdicts=fixed.VERDICTS, prior_art=F.when(F.col("n") > 7, F.col("n")))
+
+
+@query(f"""WITH f AS (SELECT *, CASE WHEN c_mktsegment = 'BUILDING' THEN 3 WHEN n <= 6 AND c_name <> 'Customer#000000007' THEN 1 ELSE 2 END AS block FROM ({_LANES}) WHERE lane <> 'CROWDED'),
+k AS (SELECT *, row_number() OVER (ORDER BY block, latest DESC, c_custkey, c_name) AS rank FROM (SELECT * FROM f ORDER BY block, latest DESC, c_custkey, c_name LIMIT 400))
+SELECT block, CAST(rank AS INT) AS rank, '- *' || c_custkey || '*' || CASE WHEN block = 3 THEN ' (' || latest || ') - ' || c_name || ' has a new move, but skip it: the angle is taken.' ELSE ' - ' || CASE WHEN c_custkey = 7 THEN c_name || ' + others' WHEN n > 7 THEN c_name || ', ' || lower(c_mktsegment)[1:0] || upper(c_mktsegment[1:1]) || lower(c_mktsegment[2:]) ELSE c_name END || ' (' || latest || ').' END AS line, greatest(0, (SELECT count(*) FROM f) - 400) AS overflow FROM k""")
+def digest_report(spark, d):
+    rows = _lanes(spark, d).filter("lane <> 'CROWDED'").withColumn("filers", F.when(F.col("n") > 7, F.array("c_name", "c_mktsegment")).otherwise(F.array("c_name")))
+    return rp.digest(rows, "c_custkey", "c_name", "latest", "filers", novel=F.col("n") <= 6, trap=F.col("c_mktsegment") == "BUILDING", limit=400, softened=[7])
+
+
+@query("SELECT 'feed' AS which, count(*) AS n FROM (SELECT c_name FROM customer WHERE c_nationkey < 10 UNION SELECT c_name FROM customer WHERE c_acctbal > 5000) UNION ALL SELECT 'census', count(*) FROM (SELECT c_name FROM customer WHERE c_nationkey < 5 UNION SELECT c_name FROM customer WHERE c_acctbal > 5000) UNION ALL SELECT 'replaced', count(*) FROM customer WHERE c_acctbal > 5000")
+def top_up_upsert(spark, d):
+    """Hits come twice, in two spellings of their key."""
+    c = t(spark, d, "customer").select("c_name", "c_acctbal", "c_nationkey")
+    hits = c.filter("c_acctbal > 5000")
+    hits = hits.unionByName(hits.withColumn("c_name", F.lower("c_name")))
+    key = F.upper("c_name")
+    feed, census = mv.top_up(c.filter("c_nationkey < 10"), c.filter("c_nationkey < 5"), hits, "c_name", key)
+    replaced, _ = mv.top_up(c.filter("c_nationkey < 10"), c.filter("c_nationkey < 5"), hits, "c_name", key, full=True)
+    out = None
+    for name, df in (("feed", feed), ("census", census), ("replaced", replaced)):
+        row = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("which"), "n")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("""SELECT c_custkey, coalesce(f.v, CASE WHEN o.n > 12 THEN 'BUSY' END) AS verdict, o.latest FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n, CAST(max(o_orderdate) AS DATE) AS latest FROM orders GROUP BY 1) o ON o_custkey = c_custkey LEFT JOIN (SELECT c_custkey AS k, 'FACT' AS v FROM customer WHERE c_mktsegment = 'BUILDING') f ON f.k = c_custkey""")
+def judged_ranking(spark, d):
+    c = t(spark, d, "customer").select("c_custkey")
+    lanes = t(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"), F.to_date(F.max("o_orderdate")).alias("latest"))
+    facts = t(spark, d, "customer").filter("c_mktsegment = 'BUILDING'").select("c_custkey", F.lit("FACT").alias("verdict"))
+    return mv.judged(c, "c_custkey", facts, lanes.select("c_custkey", F.when(F.col("n") > 12, "BUSY").alias("verdict")), lanes.select("c_custkey", "latest")).select("c_custkey", "verdict", "latest")
+
+
+# --- statistics, samples, counts, forms ---
+
+@query(f"""WITH r AS (SELECT emerged, row_number() OVER (ORDER BY signal, o_custkey) + row_number() OVER (ORDER BY o_custkey % 97, o_custkey) AS v FROM (SELECT * FROM ({_EMERGE}))), k AS (SELECT emerged, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0::DOUBLE AS rk FROM r)
+SELECT round((rs - np * (np + 1) / 2) / (np * nn), 9) AS auc FROM (SELECT sum(rk) FILTER (emerged) AS rs, CAST(count(*) FILTER (emerged) AS DOUBLE) AS np, CAST(count(*) FILTER (NOT emerged) AS DOUBLE) AS nn FROM k)""")
+def rank_sum_auc(spark, d):
+    rows = _emerge(spark, d).withColumn("other", F.col("o_custkey") % 97)
+    return bt.rank_sum(rows, ["signal", "other"], "emerged", "o_custkey").select(F.round("auc", 9).alias("auc"))
+
+
+@query("SELECT c_custkey FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1 AS r, count(*) OVER () AS n FROM customer) WHERE r % greatest(1, n // 40) = 0")
+def strided_sample(spark, d):
+    return bt.strided(t(spark, d, "customer"), 40, F.col("c_acctbal"), F.col("c_custkey")).select("c_custkey")
+
+
+@query("SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2")
+def count_only(spark, d):
+    return rest.counts(t(spark, d, "orders"), "o_orderstatus", "o_orderpriority")
+
+
+@query("""SELECT s_suppkey, upper(s_name) AS assignee, CASE WHEN length(s_name) <= 8 AND NOT contains(s_name, ' ') THEN upper(s_name) ELSE s_name END AS form, 'https://patents.google.com/patent/' || s_name AS patent, CASE WHEN s_suppkey % 2 = 0 THEN 'https://euclinicaltrials.eu/ctis-public/#/study/20' || s_suppkey ELSE 'https://clinicaltrials.gov/study/NCT' || s_suppkey END AS trial, s_nationkey < 5 AS phase, 'Supplier O''Neil-' || s_suppkey || 'X' AS title FROM supplier""")
+def scalar_forms(spark, d):
+    s = t(spark, d, "supplier")
+    trial = F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("20"), "s_suppkey")).otherwise(F.concat(F.lit("NCT"), "s_suppkey"))
+    phase = F.when(F.col("s_nationkey") < 5, "Phase I and Phase II").otherwise("Phase III")
+    return s.select("s_suppkey", tx.assignee(F.concat("s_name", F.lit(" (US) Co., KGaA, LLP"))).alias("assignee"), tx.surface_form(F.col("s_name")).alias("form"), tx.patent_url(F.concat(F.lit("-"), "s_name")).alias("patent"), tx.trial_url(trial).alias("trial"), tx.phase_one(phase).alias("phase"), tx.title_case(F.concat(F.lit("SUPPLIER o'neil-"), "s_suppkey", F.lit("x"))).alias("title"))
