@@ -29,10 +29,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evidentia.llm.scratch import small_batches
 from evidentia.llm.textnum import Spans, equal_groups, packed, raw, slices
 
 #: Bounds of the tables: token pairs, and pieces with their length; bytes of a long piece between emissions; bytes of text at once.
-PAIRS, PIECES, PIECE_BYTES, FLUSH, BATCH = 1_000_000, 600_000, 48, 4096, 1 << 19
+PAIRS, PIECES, PIECE_BYTES, FLUSH, BATCH = 500_000, 300_000, 48, 4096, 1 << 19
 
 
 class Transducer:
@@ -341,6 +342,7 @@ def encode(df: DataFrame, text_col: str, path: str, pattern: str, *, ids_col: st
     of the text that the streaming state machine decodes from them. Columns of these names are replaced; all others pass through.
 
     One Arrow pass without a shuffle; a task holds one batch's texts and ids."""
+    small_batches(df.sparkSession)
     added = [(ids_col, "binary"), (n_col, "long"), *([(decoded_col, "binary")] if decoded_col else [])]
     own = {c for c, _ in added}
     src = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in own or c == text_col])

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evidentia.llm.scratch import small_batches
 from evidentia.llm.textnum import U, Words, mix, slices
 
 WINDOW, LITERAL, COVERAGE, SLACK = 8, 3, 0.5, 0.25
@@ -220,6 +221,7 @@ class Templates:
 
 def _blocks(items: DataFrame, item_col: str, item_text: str):
     """The items in broadcast blocks whose number follows from their size."""
+    small_batches(items.sparkSession)
     sizes = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(item_text)), F.lit(0))).first()
     blocks = max(1, -(-sizes[0] // BLOCK_ITEMS), -(-int(sizes[1]) // BLOCK_BYTES))
     own = items.select(F.col(item_col).alias("item"), F.col(item_text).alias("text"))

@@ -36,6 +36,18 @@ def unused(name: str, columns: list[str]) -> str:
     return name
 
 
+#: Bytes of an Arrow batch between the JVM and Python.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches of at most BATCH_BYTES (one row may be longer), unless the session has a limit of its own: texts make 64 MB, the default, of a few
+    thousand rows, and both sides hold a batch whole, several times over."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(limit, None) is None:
+        spark.conf.set(limit, BATCH_BYTES)
+
+
 class Scratch:
     """One folder per operator call; ``drop()`` removes it once the call's result has been written elsewhere."""
 
@@ -44,6 +56,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.uri, self._n = spark, f"{base_uri(spark)}/{name}-{uuid.uuid4().hex}", 0
         Scratch._open.append(self)
+        small_batches(spark)
 
     def path(self, name: str) -> str:
         self._n += 1

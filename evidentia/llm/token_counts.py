@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from evidentia.llm.scratch import small_batches
 from evidentia.llm.textnum import Spans, equal_groups, raw, slices
 
 #: Parts kept in the table, bytes of the longest one kept, and bytes of a batch.
@@ -88,6 +89,7 @@ def counter(path: str) -> Counter:
 def count_tokens(df: DataFrame, text_col: str, path: str, *, n_col: str = "n_tokens", bytes_col: str = "n_bytes") -> DataFrame:
     """Add each text's length in UTF-8 bytes and in tokens of the tokenizer at ``path`` (``.json`` or ``.model``), without
     the text itself: one Arrow pass, no shuffle. Columns of these names are replaced."""
+    small_batches(df.sparkSession)
     kept = [f for f in df.schema if f.name not in (text_col, n_col, bytes_col)]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{bytes_col}` long", f"`{n_col}` long"])
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.scratch import unused
+from evidentia.llm.scratch import small_batches, unused
 from evidentia.llm.textnum import U, mix
 
 SHARD_KEYS, BROADCAST_BYTES, SALTS = 200_000, 8 << 20, 32
@@ -120,6 +120,7 @@ def cascades(universe: DataFrame, key: Column, listed: Column, shards: int) -> D
 
 def apply_cascades(df: DataFrame, key: Column, filters: DataFrame, shards: int, *, out_col: str = "listed") -> DataFrame:
     """Add the exact membership of each row's key; a column named like the new one is replaced."""
+    small_batches(df.sparkSession)
     names = [unused(x, df.columns) for x in ("_a", "_b", "_shard", "_salt")]
     of_a, of_b, of_shard, salt = names
     df = _keyed(df, key, shards, names[:3])
