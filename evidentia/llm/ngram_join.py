@@ -151,7 +151,8 @@ def _classes(src: DataFrame, id_col: str, text_col: str, scratch: Scratch, k: in
 
     sets = scratch.keep(chunks.with_replies(both, survivors, "node long, n long, tokens array<long>"), "sets")
     spread = sets.select("node", "n", F.explode("tokens").alias("t"))
-    df_of = spread.groupBy("t").agg(F.count("*").alias("df")).filter("df > 1")
+    # sides of joins on a shingle are written first: only joins of plain tables are split by Spark where a shingle has very many rows
+    df_of = scratch.keep(spread.groupBy("t").agg(F.count("*").alias("df")).filter("df > 1"), "frequencies")
     prefix = spread.join(df_of, "t").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("common"))
     alone = F.col("n") - F.size("common")
     room = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone
@@ -160,12 +161,13 @@ def _classes(src: DataFrame, id_col: str, text_col: str, scratch: Scratch, k: in
 
     size_ok = F.least("n", "n2") * 100 >= percent * F.greatest("n", "n2")
     pivots = blocks.groupBy("t").agg(F.min(F.struct("pos", "node", "n")).alias("p"), F.count("*").alias("members")).filter("members > 1").select("t", F.col("p.node").alias("node2"), F.col("p.n").alias("n2"))
+    pivots = scratch.keep(pivots, "pivots")
     first = blocks.join(pivots, "t").filter((F.col("node") != F.col("node2")) & size_ok).select(F.col("node").alias("a"), F.col("node2").alias("b"), F.col("n").alias("na")).distinct()
     links = scratch.keep(_multiply(scratch.keep(first, "first"), sets, percent), "links")
     comp = components(links, scratch, "components")
 
-    labelled = blocks.join(comp, "node", "left").select("t", "node", "n", "pos", F.coalesce("c", "node").alias("c"))
-    mixed = labelled.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("t")
+    labelled = scratch.keep(blocks.join(comp, "node", "left").select("t", "node", "n", "pos", F.coalesce("c", "node").alias("c")), "labelled")
+    mixed = scratch.keep(labelled.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("t"), "mixed-blocks")
     left = scratch.keep(labelled.join(mixed, "t"), "mixed")
     right = left.select("t", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("c").alias("c2"))
     # with i and j members before the first one in common, at most min(n - i, m - j) can be shared
