@@ -105,6 +105,34 @@ SELECT page_id, host, path, rule,
 FROM r
 """
 
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) >= 3 THEN array_to_string(ws[i:i + 2], ' ') ELSE array_to_string(ws, ' ') END AS shingle
+  FROM (SELECT doc_id, ws, unnest(range(1, CASE WHEN len(ws) >= 3 THEN len(ws) - 1 WHEN len(ws) > 0 THEN 2 ELSE 1 END)) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+linked AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id, n.n
+"""
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, length(hex(encode(coalesce(text, '')))) // 2 AS n FROM documents),
+windows AS (SELECT doc_id, i, md5(substr(h, 2 * i - 1, 400)) AS m FROM (SELECT doc_id, h, unnest(range(1, n - 198)) AS i FROM d)),
+again AS (SELECT m FROM windows GROUP BY m HAVING count(*) > 1),
+starts AS (SELECT doc_id, i, i > 200 + lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) AS opens FROM windows WHERE m IN (SELECT m FROM again)),
+runs AS (SELECT doc_id, min(i) AS a, max(i) + 199 AS b FROM (SELECT doc_id, i, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS k FROM starts) GROUP BY doc_id, k),
+cuts AS (SELECT doc_id, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b, sum(b - a + 1) AS gone FROM runs GROUP BY doc_id),
+parts AS (SELECT d.doc_id, h, n, coalesce(gone, 0)::BIGINT AS gone, list_concat(coalesce(a, []), [n + 1]) AS a, list_concat([0], coalesce(b, [])) AS b FROM d LEFT JOIN cuts USING (doc_id))
+SELECT doc_id, n AS n_bytes, gone AS n_removed, len(a) - 1 AS n_spans, sha256(unhex(array_to_string(list_transform(range(1, len(a) + 1), lambda k: substr(h, 2 * b[k] + 1, 2 * (a[k] - b[k] - 1))), ''))) AS kept_sha256
+FROM parts
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -119,4 +147,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: Operators without an entry cannot be said in SQL; tests/llm holds them against brute force.
-ORACLE: dict[str, str] = {"op4_url_filter": OP4_SQL}
+ORACLE: dict[str, str] = {"op1_ngram_join": OP1_SQL, "op4_url_filter": OP4_SQL, "op6_suffix_dedup": OP6_SQL}

@@ -226,6 +226,21 @@ def test_secrets_by_hand(spark):
         assert x.text == t and x._secrets == "s"
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_queries_against_their_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for table in ("documents", "pages"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{DIR}/{table}.parquet'")
+    expect = con.sql(queries.ORACLE[name])
+    got = queries.QUERIES[name](spark, DIR)
+    assert sorted(got.columns) == sorted(expect.columns)
+    key = sorted(got.columns)
+    rows = sorted((tuple(r[c] for c in key) for r in got.collect()), key=str)
+    assert rows == sorted((tuple(r) for r in con.sql(f"SELECT {', '.join(key)} FROM ({queries.ORACLE[name]})").fetchall()), key=str)
+
+
 def test_scratch_folders_go(spark, tmp_path):
     began = mark()
     s = Scratch(spark, "t")
