@@ -12,6 +12,16 @@ def norm_key(c: Column) -> Column:
     return F.upper(F.trim(c))
 
 
+def first_or(c: Column, default: str = "") -> Column:
+    """The first element of an array; of an empty or missing one, the default."""
+    return F.coalesce(F.try_element_at(c, F.lit(1)), F.lit(default))
+
+
+def json_field(c: Column, path: str, kind: str, default: object = None) -> Column:
+    """A nested field of a JSON text by its path ($.a.b); where it is missing or of another kind, the default."""
+    return F.coalesce(F.get_json_object(c, path).try_cast(kind), F.lit(default).cast(kind))
+
+
 def split_packed(c: Column, sep: str = "|") -> Column:
     """Packed list to array without empty parts; null is an empty array."""
     return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "\\Q" + sep + "\\E"), lambda x: F.trim(x)), lambda x: x != "")
@@ -193,6 +203,11 @@ def guarded(c: Column, strong: str, word: str, negation: str) -> Column:
     return F.coalesce(c.rlike("(?i)" + strong) | (c.rlike("(?i)" + word) & ~c.rlike("(?i)" + negation)), F.lit(False))
 
 
+def leads(c: Column, sep: str, keep: str, low: int = 12, high: int = 320, most: int = 3) -> Column:
+    """The first parts that hold ``keep``, of a length between the bounds, and that are no numbered paragraph."""
+    return F.slice(F.filter(F.split(c, sep), lambda x: x.contains(keep) & (F.length(x) > low) & (F.length(x) < high) & ~x.startswith("[")), 1, most)
+
+
 def snippet(c: Column, pattern: str, n: int = 40) -> Column:
     return F.substring(F.regexp_extract(c, "(?i)" + pattern, 0), 1, n)
 

@@ -99,3 +99,23 @@ def small_molecule(df: DataFrame, drugs: str, title: str, not_small: str, probe:
 
     text = F.concat(F.coalesce(F.col(drugs), F.array().cast("array<string>")), F.array(F.coalesce(title, F.lit(""))))
     return df.filter(~all_of(F.col(drugs), not_small) & ~any_of(text, probe))
+
+
+def widened(base: DataFrame, key: str, *sides: tuple[DataFrame, dict[str, object]]) -> DataFrame:
+    """Wide evidence: each side (one row per key) joined to the left by the key, its columns with their defaults where there is no row."""
+    for side, defaults in sides:
+        base = base.join(side, key, "left").fillna({c: v for c, v in defaults.items() if v is not None})
+    return base
+
+
+def by_alias(df: DataFrame, packed: str, position: Column, *values: str) -> DataFrame:
+    """(key, values): rows exploded by their packed keys; of several rows with one key the last by position counts."""
+    from evidentia.functions.text import split_packed
+
+    rows = df.select(F.explode(split_packed(F.col(packed))).alias("key"), F.struct(position.alias("_at"), *(F.col(v) for v in values)).alias("r"))
+    return rows.groupBy("key").agg(F.max("r").alias("r")).select("key", *(F.col(f"r.{v}") for v in values))
+
+
+def in_report_order(df: DataFrame, cross_linked: str, earliest_kind: str, earliest: str, *tie: str) -> DataFrame:
+    """Chained stable sorts as one: cross-linked first, then those that a trial began, then the latest beginning; ties by key."""
+    return df.orderBy(F.col(cross_linked).desc(), (F.col(earliest_kind) == "clinical").desc(), F.col(earliest).desc_nulls_last(), *tie)

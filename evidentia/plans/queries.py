@@ -308,11 +308,14 @@ def spearman_ordinal(spark, d):
     return bt.spearman(_emerge(spark, d), "signal", "outcome", "o_custkey").select(F.round("rho", 9).alias("rho"))
 
 
-@query("""WITH j AS (SELECT n_chars AS v, quality FROM documents JOIN labels USING (doc_id)), r AS (SELECT quality, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0::DOUBLE AS rk FROM j)
-SELECT round((rs - np * (np + 1) / 2) / (np * nn), 9) AS auc FROM (SELECT sum(rk) FILTER (quality = 1) AS rs, CAST(count(*) FILTER (quality = 1) AS DOUBLE) AS np, CAST(count(*) FILTER (quality = 0) AS DOUBLE) AS nn FROM r)""")
+@query("""WITH j AS (SELECT n_chars AS v, quality FROM documents JOIN labels USING (doc_id)), r AS (SELECT quality, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0::DOUBLE AS rk FROM j),
+s AS (SELECT sum(rk) FILTER (quality = 1) - count(*) FILTER (quality = 1) * (count(*) FILTER (quality = 1) + 1) / 2.0::DOUBLE AS u, CAST(count(*) FILTER (quality = 1) AS DOUBLE) AS np, CAST(count(*) FILTER (quality = 0) AS DOUBLE) AS nn FROM r),
+z AS (SELECT u / (np * nn) AS auc, (u - np * nn / 2) / sqrt(np * nn * (np + nn + 1) / 12) AS z FROM s), q AS (SELECT auc, z, 1 / (1 + 0.2316419 * abs(z)) AS t FROM z),
+p AS (SELECT auc, z, t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429)))) * exp(-z * z / 2) / 2.5066282746310002 AS tail FROM q)
+SELECT round(auc, 9) AS auc, round(z, 6) AS z, round(CASE WHEN z >= 0 THEN tail ELSE 1 - tail END, 6) AS p FROM p""")
 def auc_mann_whitney(spark, d):
     j = t(spark, d, "documents").select("doc_id", "n_chars").join(t(spark, d, "labels"), "doc_id")
-    return bt.auc(j.withColumn("pos", F.col("quality") == 1), "n_chars", "pos").select(F.round("auc", 9).alias("auc"))
+    return bt.auc(j.withColumn("pos", F.col("quality") == 1), "n_chars", "pos").select(F.round("auc", 9).alias("auc"), F.round("z", 6).alias("z"), F.round("p", 6).alias("p"))
 
 
 @query("""WITH a AS (SELECT c_custkey AS k, c_acctbal AS l FROM customer WHERE c_mktsegment = 'BUILDING'), b AS (SELECT c_custkey AS k, c_acctbal AS l FROM customer WHERE c_mktsegment <> 'BUILDING')
@@ -341,10 +344,10 @@ def cohort_asof(spark, d):
 
 @query("""SELECT c_custkey, n_name, r_name, coalesce(o.n, 0) AS n_orders, coalesce(CASE WHEN o.n > 12 THEN 'BUSY' END, c_mktsegment) AS verdict FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) o ON o_custkey = c_custkey""")
 def evidence_wide(spark, d):
-    n = t(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
-    c, na, r = t(spark, d, "customer"), t(spark, d, "nation"), t(spark, d, "region")
-    j = c.join(na, c.c_nationkey == na.n_nationkey, "left").join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left").join(n, "c_custkey", "left")
-    return j.select("c_custkey", "n_name", "r_name", F.coalesce("n", F.lit(0)).cast("long").alias("n_orders"), F.coalesce(F.when(F.col("n") > 12, "BUSY"), "c_mktsegment").alias("verdict"))
+    n = t(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n_orders"), F.when(F.count("*") > 12, "BUSY").alias("busy"))
+    places = t(spark, d, "nation").join(t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left").select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "r_name")
+    wide = mv.widened(mv.widened(t(spark, d, "customer"), "c_nationkey", (places, {})), "c_custkey", (n, {"n_orders": 0}))
+    return wide.select("c_custkey", "n_name", "r_name", "n_orders", F.coalesce("busy", "c_mktsegment").alias("verdict"))
 
 
 _A, _B = "SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F'", "SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'P'"
@@ -381,17 +384,18 @@ def event_session(spark, d):
     return st.sessions(e, "ts", "12 hours", "user_id").select(F.col("start").cast("timestamp_ntz").alias("start"), "user_id", "n")
 
 
-@query()
+@query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(spark, d):
+    """One file, so one batch: each pair comes once, whichever of its rows comes first."""
     static = t(spark, d, "events")
     e = st.timed(spark.readStream.schema(static.schema).parquet(f"{d}/events.parquet*"), "ts", "1 day").select("ts", "user_id", "event_type")
-    return st.drained(st.first_seen(e, ["user_id", "event_type"]), "evidentia_stream_dedup")
+    return st.drained(st.first_seen(e, ["user_id", "event_type"]), "evidentia_stream_dedup").select("user_id", "event_type")
 
 
 @query("SELECT event_type, sum(CAST(json_extract(props, '$.k') AS BIGINT))::BIGINT AS k_sum, count(*) AS n FROM events GROUP BY 1")
 def nested_projection(spark, d):
-    e = t(spark, d, "events").withColumn("p", F.from_json("props", "k bigint"))
-    return e.groupBy("event_type").agg(F.sum("p.k").alias("k_sum"), F.count("*").alias("n"))
+    e = t(spark, d, "events").withColumn("k", tx.json_field(F.col("props"), "$.k", "bigint", 0))
+    return e.groupBy("event_type").agg(F.sum("k").alias("k_sum"), F.count("*").alias("n"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, lag(l_shipdate) OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey, l_shipdate, l_extendedprice) <= l_shipdate AS in_order FROM lineitem")
@@ -407,8 +411,7 @@ def frequency_table(spark, d):
 
 @query("SELECT doc_id, array_to_string(list_filter(string_split_regex(text, '[.] '), lambda x: contains(x, 'the') AND length(x) > 12 AND length(x) < 320 AND NOT starts_with(x, '['))[1:3], '#') AS leads FROM documents")
 def paragraph_leads(spark, d):
-    parts = F.filter(F.split("text", "[.] "), lambda x: x.contains("the") & (F.length(x) > 12) & (F.length(x) < 320) & ~x.startswith("["))
-    return t(spark, d, "documents").select("doc_id", F.array_join(F.slice(parts, 1, 3), "#").alias("leads"))
+    return t(spark, d, "documents").select("doc_id", F.array_join(tx.leads(F.col("text"), "[.] ", "the"), "#").alias("leads"))
 
 
 @query(f"SELECT l_suppkey, count(DISTINCT l_partkey) AS actors, count(DISTINCT l_returnflag) AS kinds FROM lineitem JOIN (SELECT l_suppkey, max(CAST(l_shipdate AS DATE)) AS last FROM lineitem GROUP BY 1) USING (l_suppkey) WHERE CAST(l_shipdate AS DATE) >= last - 30 GROUP BY 1 HAVING count(DISTINCT l_partkey) > 1")
@@ -648,3 +651,27 @@ def scalar_forms(spark, d):
     trial = F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("20"), "s_suppkey")).otherwise(F.concat(F.lit("NCT"), "s_suppkey"))
     phase = F.when(F.col("s_nationkey") < 5, "Phase I and Phase II").otherwise("Phase III")
     return s.select("s_suppkey", tx.assignee(F.concat("s_name", F.lit(" (US) Co., KGaA, LLP"))).alias("assignee"), tx.surface_form(F.col("s_name")).alias("form"), tx.patent_url(F.concat(F.lit("-"), "s_name")).alias("patent"), tx.trial_url(trial).alias("trial"), tx.phase_one(phase).alias("phase"), tx.title_case(F.concat(F.lit("SUPPLIER o'neil-"), "s_suppkey", F.lit("x"))).alias("title"))
+
+
+@query("""SELECT key, arg_max(s_suppkey, (s_acctbal, s_suppkey)) AS s_suppkey FROM (SELECT s_suppkey, s_acctbal, unnest(['N' || s_nationkey, 'B' || (s_suppkey % 7)]) AS key FROM supplier) GROUP BY 1""")
+def alias_last_wins(spark, d):
+    rows = t(spark, d, "supplier").withColumn("packed", F.concat(F.lit("N"), "s_nationkey", F.lit("||B"), F.col("s_suppkey") % 7))
+    return mv.by_alias(rows, "packed", F.col("s_acctbal"), "s_suppkey")
+
+
+@query("""SELECT l_suppkey, l_partkey, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (ORDER BY n_patents > 0 AND n_trials > 0 DESC, earliest_kind = 'clinical' DESC, earliest DESC, l_suppkey, l_partkey) AS rank FROM (
+SELECT l_suppkey, l_partkey, min(CAST(l_shipdate AS DATE)) AS earliest, count(*) FILTER (l_returnflag <> 'R') AS n_patents, count(*) FILTER (l_returnflag = 'R') AS n_trials, arg_min(CASE WHEN l_returnflag = 'R' THEN 'clinical' ELSE 'patent' END, (CAST(l_shipdate AS DATE), CASE WHEN l_returnflag = 'R' THEN 'clinical' ELSE 'patent' END)) AS earliest_kind FROM lineitem GROUP BY 1, 2)) WHERE rank <= 50""")
+def moves_in_order(spark, d):
+    m = t(spark, d, "lineitem").select("l_suppkey", "l_partkey", F.when(F.col("l_returnflag") == "R", "clinical").otherwise("patent").alias("kind"), F.to_date("l_shipdate").alias("day"), "l_orderkey")
+    top = mv.in_report_order(mv.unify(m, "l_suppkey", "l_partkey", "kind", "day", "l_orderkey"), "cross_linked", "earliest_kind", "earliest", "l_suppkey", "l_partkey").limit(50)
+    order = [F.col("cross_linked").desc(), (F.col("earliest_kind") == "clinical").desc(), F.col("earliest").desc(), F.col("l_suppkey"), F.col("l_partkey")]
+    return cl.ranked(top, *order).select("l_suppkey", "l_partkey", F.col("rank").cast("int").alias("rank"))
+
+
+@query("""SELECT n_regionkey, count(DISTINCT f) AS firms, CASE WHEN count(DISTINCT f) <= 1 THEN 'OPEN' WHEN count(DISTINCT f) <= 3 THEN 'EMERGING' WHEN count(DISTINCT f) <= 10 THEN 'CONTESTED' ELSE 'CROWDED' END AS lane FROM (SELECT n_regionkey, 'OWNER ' || (s_suppkey % 20) AS f FROM supplier JOIN nation ON n_nationkey = s_nationkey) GROUP BY 1""")
+def firms_normalised(spark, d):
+    """Spellings of one owner count once."""
+    s = t(spark, d, "supplier").join(t(spark, d, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
+    spelling = F.concat(F.lit("Owner "), F.col("s_suppkey") % 20, F.when(F.col("s_suppkey") % 2 == 0, ", Inc.").otherwise(" (US) LLC"))
+    g = s.withColumn("firm", tx.organisation(spelling)).groupBy("n_regionkey").agg(F.countDistinct("firm").alias("firms"))
+    return g.withColumn("lane", cr.tier(F.col("firms"), **cr.LANE))

@@ -205,3 +205,26 @@ def test_top_up_links_and_cascade(spark):
     assert [r.u for r in mv.live(spark.createDataFrame([("a", True), ("b", None)], "u string, ok boolean"), "u", F.col("ok")).collect()] == ["a", ""]
     df = spark.createDataFrame([("LIKELY", False, 0), ("POSSIBLE", True, 0), ("POSSIBLE", False, 4), ("NONE", False, 3)], "l string, c boolean, f int")
     assert [r[0] for r in df.select(mv.cascade(F.col("l"), F.col("c"), F.col("f"))).collect()] == ["LIKELY", "LIKELY", "FINGERPRINT", "NONE"]
+
+
+def test_first_or_and_nested_fields(spark):
+    assert column(spark, [["a", "b"], [], None], tx.first_or, "array<string>") == ["a", "", ""]
+    texts = ['{"a": {"b": 3}}', '{"a": {}}', '{"a": {"b": "x"}}', "no json", None]
+    assert column(spark, texts, lambda c: tx.json_field(c, "$.a.b", "int", 0)) == [3, 0, 0, 0, 0]
+    long = "the " * 100
+    assert column(spark, [f"[1] the long enough one. the second long part. short. {long}. the third long part. the fourth long part", None], lambda c: tx.leads(c, "[.] ", "the")) == [["the second long part", "the third long part", "the fourth long part"], None]
+
+
+def test_wide_evidence_and_order(spark):
+    base = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    n = spark.createDataFrame([("a", 3)], "k string, n int")
+    v = spark.createDataFrame([("b", "x")], "k string, v string")
+    assert sorted((tuple(r) for r in mv.widened(base, "k", (n, {"n": 0}), (v, {"v": None})).collect()), key=str) == sorted([("a", 3, None), ("b", 0, "x"), (None, 0, None)], key=str)
+    rows = [("p", False, "patent", "2024-02-01"), ("q", True, "patent", "2020-01-01"), ("r", True, "clinical", "2019-01-01"), ("s", False, "patent", None), ("t", False, "clinical", "2024-01-01")]
+    df = spark.createDataFrame(rows, "k string, x boolean, e string, d string")
+    assert [r.k for r in mv.in_report_order(df, "x", "e", "d", "k").collect()] == ["r", "q", "t", "p", "s"]
+    assert [r.overflow for r in mv.digest(df, 3, F.col("k")).collect()] == [2, 2, 2]
+    facts = spark.createDataFrame([("p", "TAKEN")], "k string, verdict string")
+    verdicts = spark.createDataFrame([("p", "OPEN"), ("q", "TRAP")], "k string, verdict string")
+    got = {r.k: (r.verdict, r.note) for r in mv.judged(df.select("k"), "k", facts, verdicts, spark.createDataFrame([("q", "n")], "k string, note string")).collect()}
+    assert got == {"p": ("TAKEN", None), "q": ("TRAP", "n"), "r": (None, None), "s": (None, None), "t": (None, None)}
