@@ -59,7 +59,7 @@ def to_png(data: bytes) -> bytes:
         return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
 
     head = struct.pack(">IIBBBBB", WIDTH, len(rows), 8, 0, 0, 0, 0)
-    return _SIGNATURE + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(filtered, 1)) + chunk(b"IEND", b"")
+    return _SIGNATURE + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(filtered, 6)) + chunk(b"IEND", b"")
 
 
 def png_header(first: bytes) -> tuple[int, int, int]:
