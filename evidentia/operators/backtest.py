@@ -18,10 +18,9 @@ def year_sums(df: DataFrame, key: str, year: Column, n: Column, **windows: tuple
 def tertile_lift(df: DataFrame, outcome: str, *order: Column) -> DataFrame:
     """Outcome rates of the first and last third by the order, k = max(1, n // 3), and their lift."""
     r = ranked(df, *order, name="_r")
-    n = r.agg(F.count("*").alias("_n"))
-    k = F.greatest(F.lit(1), F.floor(F.col("_n") / 3))
-    j = r.crossJoin(F.broadcast(n))
-    out = j.agg(F.avg(F.when(F.col("_r") <= k, F.col(outcome).cast("double"))).alias("top"), F.avg(F.when(F.col("_r") > F.col("_n") - k, F.col(outcome).cast("double"))).alias("bottom"))
+    n = r.count()
+    k = max(1, n // 3)
+    out = r.agg(F.avg(F.when(F.col("_r") <= k, F.col(outcome).cast("double"))).alias("top"), F.avg(F.when(F.col("_r") > n - k, F.col(outcome).cast("double"))).alias("bottom"))
     return out.withColumn("lift", F.col("top") / (F.col("bottom") + 1e-9))
 
 

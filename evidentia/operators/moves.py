@@ -61,9 +61,8 @@ def unseen(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
 
 
 def digest(df: DataFrame, limit: int, *order: Column) -> DataFrame:
-    """The first ``limit`` rows with the number left over. The count is one pre-aggregated row."""
-    total = df.agg(F.count("*").alias("_t"))
-    return df.orderBy(*order).limit(limit).crossJoin(F.broadcast(total)).withColumn("overflow", F.greatest(F.lit(0).cast("long"), F.col("_t") - limit)).drop("_t")
+    """The first ``limit`` rows with the number left over."""
+    return df.orderBy(*order).limit(limit).withColumn("overflow", F.lit(max(0, df.count() - limit)).cast("long"))
 
 
 def upsert(base: DataFrame, more: DataFrame, key: str) -> DataFrame:
