@@ -118,6 +118,17 @@ def test_smallest_places_in_parts():
     assert (suffix_dedup.sliding_argmin(h, 101, bits=9) == whole).all() and (h[whole] == [h[p : p + 101].min() for p in range(4900)]).all()
 
 
+def test_passages_in_very_long_texts(spark):
+    """Texts of more than a chunk, with one passage in common that stands between signs of its own."""
+    r = random.Random(12)
+    noise = lambda n: "".join(r.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    passage, a, b = noise(300), noise(2_300_000), noise(900_000)
+    rows = [(1, a + "<" + passage + ">" + noise(500), 7), (2, "[" + passage + "]", 7), (3, b + "{" + passage + "}" + noise(1_500_000) + "(" + passage + ")", 7), (4, None, 7), (5, noise(199), 7)]
+    df = spark.createDataFrame(rows, "id long, text string, kept int")
+    got = {x.id: [tuple(s) for s in x.spans] for x in suffix_dedup.dedup(df, "id", "text", Scratch(spark, "t")).collect()}
+    assert got == {i: [(k + 1, 300) for k, c in enumerate(t or "") if c in "<[{("] for i, t, _ in rows}
+
+
 def spell(word, pieces, longest, p, end):
     """Probability of a word by forward sums, and the expected number of each piece."""
     b = b" " + word
@@ -134,7 +145,7 @@ def test_model_score_word_by_word(spark, twins):
     r = random.Random(8)
     some = ["сентября", "the", "naïve", "Straße", "don't", "сентябрь", "a", "zz", "internationalization"]
     texts = [" ".join(r.choice(some) if r.random() < 0.5 else "".join(r.choice("abcdeß") for _ in range(r.randint(1, 6))) for _ in range(r.randint(0, 25))) for _ in range(50)]
-    texts += [None, "", "  ", texts[3], texts[3], thue_morse(64, "a", "b") + " " + thue_morse(64, "b", "a")]
+    texts += [None, "", "  ", texts[3], texts[3], "lorem ipsum the " * 4000, thue_morse(64, "a", "b") + " " + thue_morse(64, "b", "a")]
     path = P.path("piece_bpe_32k.model")
     names, start = lattice_lm.vocabulary(path)
     pieces, longest = {x: i for i, x in enumerate(names)}, max(map(len, names))
@@ -156,11 +167,12 @@ def test_model_score_word_by_word(spark, twins):
         p, end = counts / total, (len(single) + 1) / total
     n = sum(c.values()) + len(train)
     novel = len(single) / n
+    known = {w: spell(w, pieces, longest, p, end)[0] for words in tokens for w in set(words)}
     of = lambda seen, spelled: (1 - novel) * seen / n + novel * spelled
     for i, words in enumerate(tokens):
         used, total = collections.Counter(), 0.0
         for k, w in enumerate([*words, None]):
-            base = of(len(train), end) if w is None else of(c[w], spell(w, pieces, longest, p, end)[0])
+            base = of(len(train), end) if w is None else of(c[w], known[w])
             own = max(0.0, used[w] - lattice_lm.DISCOUNT) if used[w] else 0.0
             total += math.log10((own + (lattice_lm.STRENGTH + lattice_lm.DISCOUNT * len(used)) * base) / (k + lattice_lm.STRENGTH))
             used[w] += 1
