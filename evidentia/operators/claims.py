@@ -17,7 +17,7 @@ CLAIM = T.StructType([T.StructField(n, T.StringType()) for n in ("subject", "evi
 def build(df: DataFrame, *, subject: Column, evidence_type: Column, source: Column, record: Column, actor: Column, valid_time: Column, observed_at: Column, path: Column) -> DataFrame:
     cols = {"subject": subject, "evidence_type": evidence_type, "source": source, "source_record_id": record, "actor": actor, "path": path}
     out = df.select(*(c.cast("string").alias(n) for n, c in cols.items()), valid_time.cast("date").alias("valid_time"), observed_at.cast("date").alias("observed_at"))
-    keyed = out.withColumn("claim_key", claim_key(F.col("subject"), F.col("source"), F.col("evidence_type"), F.col("source_record_id")))
+    keyed = out.withColumn("claim_key", claim_key(F.col("source"), F.col("source_record_id"), F.col("evidence_type"), F.col("subject")))
     return keyed.select(*CLAIM.names)
 
 

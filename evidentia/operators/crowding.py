@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
+
+from evidentia.functions.text import positions_of
 
 
 def tier(n: Column, steps: list[tuple[int, str]], above: str, saturated: Column | None = None) -> Column:
@@ -95,3 +98,14 @@ def frequencies(df: DataFrame, key: str, value: str, flag: Column) -> DataFrame:
 def accelerating(sums: DataFrame, recent: str, base: str, years: tuple[int, int], least: int) -> DataFrame:
     """Momentum: recent per year against base per year, smoothed by one, for keys with enough recent ones."""
     return sums.filter(F.col(recent) >= least).withColumn("accel", (F.col(recent) / F.lit(float(years[0]))) / (F.col(base) / F.lit(float(years[1])) + 1))
+
+
+def pockets(df: DataFrame, key: str, group: str, sequence: str, length: int, letter: str, regions: list[tuple[str, int, int]], order: list[str]) -> DataFrame:
+    """One row per key: of its sequences of the right length with the letter in a region, the one whose best region comes first in ``order`` (ties by group), with
+    all its handles (region@position)."""
+    handles = positions_of(F.col(sequence), letter, regions)
+    rows = df.filter(F.length(sequence) == length).withColumn("handles", handles).filter(F.size("handles") > 0)
+    region = lambda h: F.substring_index(h, "@", 1)
+    best = rows.withColumn("_best", F.array_min(F.transform("handles", lambda h: F.struct(F.array_position(F.array(*map(F.lit, order)), region(h)).alias("r"), region(h).alias("n")))))
+    one = best.withColumn("_n", F.row_number().over(W.partitionBy(key).orderBy("_best.r", group))).filter("_n = 1")
+    return one.select(key, group, "handles", F.col("_best.n").alias("best"))

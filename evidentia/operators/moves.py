@@ -28,14 +28,16 @@ def best_of(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
 
 
 def crosslink(events: DataFrame, event: str, targets: str, owner: str, index: DataFrame, idx_target: str, idx_owner: str) -> DataFrame:
-    """Per event: LIKELY if its own owner holds one of its targets (the first such), POSSIBLE if anyone does, else none."""
-    t = events.select(event, owner, F.posexplode(targets).alias("pos", "_t"))
+    """Per event: LIKELY if its own owner holds one of its targets (the first such), POSSIBLE if anyone does, else NONE with the first target, if it has any. An
+    owner without a name holds nothing, but what it holds is held by someone."""
+    t = events.select(event, owner, F.posexplode_outer(targets).alias("pos", "_t"))
     held = index.groupBy(idx_target).agg(F.collect_set(idx_owner).alias("_o")).withColumnRenamed(idx_target, "_t")
     j = t.join(held, "_t", "left")
-    level = F.when(F.array_contains("_o", F.col(owner)), 0).when(F.size("_o") > 0, 1).otherwise(2)
+    own = F.array_contains("_o", F.col(owner)) & (F.col(owner).cast("string") != "")
+    level = F.when(own, 0).when(F.size("_o") > 0, 1).otherwise(2)
     best = j.groupBy(event).agg(F.min_by(F.struct("_t", level.alias("lv")), F.struct(level, "pos")).alias("b"))
     name = F.when(F.col("b.lv") == 0, "LIKELY").when(F.col("b.lv") == 1, "POSSIBLE").otherwise("NONE")
-    return best.select(event, name.alias("link"), F.when(F.col("b.lv") < 2, F.col("b._t")).alias("link_target"))
+    return best.select(event, name.alias("link"), F.col("b._t").alias("link_target"))
 
 
 def cascade(link: Column, class_hit: Column, fingerprint: Column, least: int = 4) -> Column:

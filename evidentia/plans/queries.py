@@ -52,7 +52,7 @@ def corroborated(spark, d):
     return cl.corroborated(t(spark, d, "lineitem"), "l_partkey", "l_returnflag")
 
 
-_CLAIMS = """SELECT *, substr(sha1(concat_ws('|', subject, source, evidence_type, source_record_id)), 1, 16) AS claim_key FROM (
+_CLAIMS = """SELECT *, substr(sha1(concat_ws('|', source, source_record_id, evidence_type, subject)), 1, 16) AS claim_key FROM (
 SELECT CAST(o_custkey AS VARCHAR) AS subject, 'order' AS evidence_type, 'orders' AS source, CAST(o_orderkey AS VARCHAR) AS source_record_id, o_orderpriority AS actor, CAST(o_orderdate AS DATE) AS valid_time, DATE '2002-01-01' AS observed_at, 'A' AS path FROM orders
 UNION ALL SELECT CAST(user_id AS VARCHAR), event_type, 'events', CAST(event_id AS VARCHAR), '', CAST(ts AS DATE), DATE '2024-02-01', 'B' FROM events)"""
 
@@ -219,7 +219,7 @@ def dedup_moves(spark, d):
 @query(f"""WITH ev AS (SELECT o_orderkey, o_custkey % 100 AS owner FROM orders), tg AS (SELECT DISTINCT o_orderkey, owner, p FROM (SELECT o_orderkey, owner, unnest([o_orderkey % 500, o_orderkey % 700, owner]) AS p FROM ev)),
 h AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem), ix AS (SELECT o_orderkey, owner, pos, [o_orderkey % 500, o_orderkey % 700, owner][pos + 1] AS p FROM ev, (SELECT unnest([0, 1, 2]) AS pos)),
 lv AS (SELECT o_orderkey, pos, p, CASE WHEN EXISTS (SELECT 1 FROM h WHERE h.l_partkey = p AND h.l_suppkey = owner) THEN 0 WHEN EXISTS (SELECT 1 FROM h WHERE h.l_partkey = p) THEN 1 ELSE 2 END AS lv FROM ix)
-SELECT o_orderkey, CASE b.lv WHEN 0 THEN 'LIKELY' WHEN 1 THEN 'POSSIBLE' ELSE 'NONE' END AS link, CASE WHEN b.lv < 2 THEN b.p END AS link_target FROM (SELECT o_orderkey, arg_min({{'lv': lv, 'p': p}}, lv * 10 + pos) AS b FROM lv GROUP BY 1)""")
+SELECT o_orderkey, CASE b.lv WHEN 0 THEN 'LIKELY' WHEN 1 THEN 'POSSIBLE' ELSE 'NONE' END AS link, b.p AS link_target FROM (SELECT o_orderkey, arg_min({{'lv': lv, 'p': p}}, lv * 10 + pos) AS b FROM lv GROUP BY 1)""")
 def crosslink_priority(spark, d):
     ev = t(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 100).alias("owner"))
     ev = ev.withColumn("targets", F.array(F.col("o_orderkey") % 500, F.col("o_orderkey") % 700, F.col("owner")))
@@ -675,3 +675,32 @@ def firms_normalised(spark, d):
     spelling = F.concat(F.lit("Owner "), F.col("s_suppkey") % 20, F.when(F.col("s_suppkey") % 2 == 0, ", Inc.").otherwise(" (US) LLC"))
     g = s.withColumn("firm", tx.organisation(spelling)).groupBy("n_regionkey").agg(F.countDistinct("firm").alias("firms"))
     return g.withColumn("lane", cr.tier(F.col("firms"), **cr.LANE))
+
+
+_HANDLES = "list_concat(list_transform(list_filter(range(1, 5), lambda i: substr(p_name, i, 1) = 'e'), lambda i: 'front@' || i), list_transform(list_filter(range(5, 11), lambda i: substr(p_name, i, 1) = 'e'), lambda i: 'hinge@' || i))"
+
+
+@query(f"""SELECT p_brand, p_partkey, array_to_string(h, ',') AS handles, CASE WHEN b = 1 THEN 'hinge' ELSE 'front' END AS best FROM (
+SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY b, p_partkey) AS n FROM (SELECT p_brand, p_partkey, h, CASE WHEN contains(array_to_string(h, ','), 'hinge') THEN 1 ELSE 2 END AS b FROM (SELECT *, {_HANDLES} AS h FROM part WHERE length(p_name) = 10) WHERE len(h) > 0)) WHERE n = 1""")
+def pocket_selection(spark, d):
+    got = cr.pockets(t(spark, d, "part"), "p_brand", "p_partkey", "p_name", 10, "e", [("front", 1, 4), ("hinge", 5, 10)], ["hinge", "front"])
+    return got.withColumn("handles", F.array_join("handles", ","))
+
+
+@query(f"""SELECT h.o_custkey, h.recent, round(h.accel, 6) AS accel, c_name, coalesce(l.n, 0) AS late FROM (SELECT o_custkey, recent, (recent / 2.0::DOUBLE) / (base / 3.0::DOUBLE + 1) AS accel FROM ({_YEARS}) WHERE recent >= 3 ORDER BY accel DESC, o_custkey LIMIT 40) h
+LEFT JOIN customer ON c_custkey = h.o_custkey LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01' GROUP BY 1) l ON l.o_custkey = h.o_custkey""")
+def momentum_hot(spark, d):
+    """The hottest 40, with what else is known of them."""
+    o = t(spark, d, "orders")
+    y = bt.year_sums(o, "o_custkey", F.year("o_orderdate"), F.lit(1), recent=(1998, 2001), base=(1995, 1997))
+    hot = cr.accelerating(y, "recent", "base", (2, 3), 3).orderBy(F.col("accel").desc(), "o_custkey").limit(40)
+    late = o.filter(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz")).groupBy("o_custkey").agg(F.count("*").alias("late"))
+    wide = mv.widened(hot, "o_custkey", (t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name"), {}), (late, {"late": 0}))
+    return wide.select("o_custkey", "recent", F.round("accel", 6).alias("accel"), "c_name", "late")
+
+
+@query(f"""SELECT subject, source_record_id, path, substr(sha1(concat_ws('|', 'parts', source_record_id, 'patent', subject)), 1, 16) AS claim_key FROM (SELECT entity AS subject, CAST(p_partkey AS VARCHAR) AS source_record_id, path FROM ({ORACLE['mention_explode']}))""")
+def claims_from_text(spark, d):
+    found = mention_explode(spark, d)
+    claims = cl.build(found, subject=F.col("entity"), evidence_type=F.lit("patent"), source=F.lit("parts"), record=F.col("p_partkey"), actor=F.lit(""), valid_time=F.lit(None), observed_at=F.lit("2024-01-01"), path=F.col("path"))
+    return claims.select("subject", "source_record_id", "path", "claim_key")

@@ -228,3 +228,16 @@ def test_wide_evidence_and_order(spark):
     verdicts = spark.createDataFrame([("p", "OPEN"), ("q", "TRAP")], "k string, verdict string")
     got = {r.k: (r.verdict, r.note) for r in mv.judged(df.select("k"), "k", facts, verdicts, spark.createDataFrame([("q", "n")], "k string, note string")).collect()}
     assert got == {"p": ("TAKEN", None), "q": ("TRAP", "n"), "r": (None, None), "s": (None, None), "t": (None, None)}
+
+
+def test_claim_key_of_a_saved_claim(spark):
+    df = spark.createDataFrame([("HGNC:4552", "trial", "ctgov", "NCT04094896", "A")], "s string, e string, c string, r string, p string")
+    out = cl.build(df, subject=F.col("s"), evidence_type=F.col("e"), source=F.col("c"), record=F.col("r"), actor=F.lit(None), valid_time=F.lit("2019-09-19"), observed_at=F.lit("2026-06-17"), path=F.col("p"))
+    assert out.first().claim_key == "02be4f0977f29d33"
+
+
+def test_links_of_trials_to_owners(spark):
+    events = spark.createDataFrame([(1, "A", ["x", "y"]), (2, "B", ["x", "z"]), (3, "", ["x"]), (4, "C", ["q", "r"]), (5, "C", []), (6, None, None)], "id int, owner string, targets array<string>")
+    index = spark.createDataFrame([("y", "A"), ("x", ""), ("z", "A")], "t string, o string")
+    got = {r.id: (r.link, r.link_target) for r in mv.crosslink(events, "id", "targets", "owner", index, "t", "o").collect()}
+    assert got == {1: ("LIKELY", "y"), 2: ("POSSIBLE", "x"), 3: ("POSSIBLE", "x"), 4: ("NONE", "q"), 5: ("NONE", None), 6: ("NONE", None)}
