@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.functions.text import base_substance, norm_key, split_packed
+from evidentia.functions.text import base_substance, norm_key, split_packed, unsuppressed
 
 
 def index(entities: DataFrame, id_col: str, symbol: str, packed_aliases: list[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -45,3 +45,12 @@ def resolve_substance(names: DataFrame, name: str, parents: DataFrame, targets:
     got = named.select(*names.columns, many.alias("_many"), F.explode_outer(F.when(~many, F.coalesce("_t", "_f"))).alias("symbol"))
     r = resolve(got, "symbol", symbols, alias)
     return r.withColumn("outcome", F.when(F.col("_many"), "AMBIGUOUS").otherwise(F.col("outcome"))).drop("_many")
+
+
+def named_targets(df: DataFrame, key: str, text, symbols: DataFrame, alias: DataFrame, labels: DataFrame, stop: list[str] = ()) -> DataFrame:
+    """(key, targets): the sorted symbols (``labels``: id, symbol) that a text's upper-case tokens of three to eight signs resolve to, without stop words and
+    without tokens that only name a status; what is ambiguous names nothing. Texts without targets have an empty array."""
+    tokens = F.array_except(unsuppressed(text, 2, 7), F.array(*map(F.lit, stop)).cast("array<string>"))
+    found = resolve(df.select(key, F.explode(tokens).alias("mention")), "mention", symbols, alias).filter("outcome = 'RESOLVED'")
+    named = found.join(labels.select(F.col("id").cast("string").alias("id"), "symbol"), "id").groupBy(key).agg(F.array_sort(F.collect_set("symbol")).alias("targets"))
+    return df.select(key).join(named, key, "left").withColumn("targets", F.coalesce("targets", F.array().cast("array<string>")))

@@ -241,3 +241,20 @@ def test_links_of_trials_to_owners(spark):
     index = spark.createDataFrame([("y", "A"), ("x", ""), ("z", "A")], "t string, o string")
     got = {r.id: (r.link, r.link_target) for r in mv.crosslink(events, "id", "targets", "owner", index, "t", "o").collect()}
     assert got == {1: ("LIKELY", "y"), 2: ("POSSIBLE", "x"), 3: ("POSSIBLE", "x"), 4: ("NONE", "q"), 5: ("NONE", None), 6: ("NONE", None)}
+
+
+def test_targets_in_a_trial(spark):
+    genes = spark.createDataFrame([("1", "BTK", ""), ("2", "EGFR", "HER1"), ("3", "ERBB2", "HER2"), ("4", "AAA1", "DUP"), ("5", "BBB1", "DUP"), ("6", "AML", "")], "id string, symbol string, alias string")
+    sym, alias = rs.index(genes, "id", "symbol", ["alias"])
+    df = spark.createDataFrame([(1, "BTK and HER1 in NSCLC and AML, HER2-negative, DUP; Phase 1 HER2 low"), (2, "nothing"), (3, None)], "n int, t string")
+    got = {r.n: r.targets for r in rs.named_targets(df, "n", F.col("t"), sym, alias, genes, ["NSCLC", "AML"]).collect()}
+    assert got == {1: ["BTK", "EGFR"], 2: [], 3: []}
+
+
+def test_claims_in_xml(spark):
+    from evidentia.functions import xml
+
+    st36 = '<c xmlns="urn:x"><claim><claim-text>1. A  compound\n of X.</claim-text></claim><claim><claim-text>2. It of <claim-ref>claim 1</claim-ref>.</claim-text></claim><claim><claim-text>3. A method.</claim-text></claim><claim>4. As in claims 1-2.</claim></c>'
+    ops = "<r><claims><claim><claim-text>1. A compound,</claim-text><claim-text>with Y.</claim-text><claim-text>2. The compound of claim 1.</claim-text><claim-text>3. A use.</claim-text></claim></claims></r>"
+    got = column(spark, [st36, ops, "<r/>", "no xml", None], xml.independent_claims)
+    assert got == [["1. A compound of X.", "3. A method."], ["1. A compound, with Y.", "3. A use."], [], [], []]
