@@ -7,6 +7,7 @@ import xml.etree.ElementTree as ET
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 _BACK = re.compile(r"\bclaims?\s+\d+", re.IGNORECASE)
 _NUMBERED = re.compile(r"\d+\.\s")
@@ -40,6 +41,6 @@ def claims_of(document: str | None) -> list[str]:
     return [t for t in map(_plain, own) if not _BACK.search(t)]
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def independent_claims(documents: pd.Series) -> pd.Series:
     return documents.map(claims_of)
