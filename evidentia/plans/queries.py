@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from evidentia.operators import moves as mv
 from evidentia.operators import report as rp
 from evidentia.operators import resolve as rs
 from evidentia.operators import screen as sc
-from evidentia.sources import rest
+from evidentia.sources import files, rest, shared
 from evidentia.streaming import state as st
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -704,3 +705,46 @@ def claims_from_text(spark, d):
     found = mention_explode(spark, d)
     claims = cl.build(found, subject=F.col("entity"), evidence_type=F.lit("patent"), source=F.lit("parts"), record=F.col("p_partkey"), actor=F.lit(""), valid_time=F.lit(None), observed_at=F.lit("2024-01-01"), path=F.col("path"))
     return claims.select("subject", "source_record_id", "path", "claim_key")
+
+
+# --- sinks and streams, written and read back ---
+
+def _folder(spark, name):
+    return f"{shared.base_uri(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(f"SELECT source, path, count(*) AS n, min(valid_time) AS first, max(claim_key) AS last_key FROM ({_CLAIMS}) GROUP BY 1, 2")
+def claim_log_append(spark, d):
+    """The log after all claims were appended once in part and once whole: each is there once."""
+    claims, at_path = _claims(spark, d), _folder(spark, "claim-log")
+    for part in (claims.filter("path = 'A'"), claims):
+        files.append_new(part, at_path, cl.CLAIM)
+    log = files.json_lines(spark, at_path, cl.CLAIM)
+    return log.groupBy("source", "path").agg(F.count("*").alias("n"), F.min("valid_time").alias("first"), F.max("claim_key").alias("last_key"))
+
+
+@query("SELECT DISTINCT user_id FROM events")
+def stream_append(spark, d):
+    """A stream appended by key, run again from its beginning: nothing comes twice."""
+    schema, out = t(spark, d, "events").schema, _folder(spark, "stream-log")
+    for run in ("first", "again"):
+        st.append_new(st.source(spark, f"{d}/events.parquet*", schema), out, _folder(spark, f"checkpoint-{run}"), "user_id").awaitTermination()
+    return spark.read.schema(schema).parquet(out).select("user_id")
+
+
+@query("SELECT user_id, props, min(ts) AS earliest, max(ts) AS latest, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS kinds, count(DISTINCT event_type) > 1 AS cross_linked FROM events GROUP BY 1, 2")
+def stream_merged_moves(spark, d):
+    """Moves of a pair merged as they come, whatever their source."""
+    events = st.source(spark, f"{d}/events.parquet*", t(spark, d, "events").schema)
+    merged = st.drained(st.merged_moves(events, "user_id", "props", "event_type", "ts"), "evidentia_merged_moves", "complete")
+    return merged.withColumn("kinds", F.array_join("kinds", ","))
+
+
+@query("SELECT p_brand, count(*) AS n, max(p_retailprice) AS top FROM part GROUP BY 1")
+def state_versions(spark, d):
+    """Keyed state: the newest whole version is read, whatever older ones hold."""
+    state = t(spark, d, "part").groupBy("p_brand").agg(F.count("*").alias("n"), F.max("p_retailprice").alias("top"))
+    at_path = _folder(spark, "state")
+    files.replace_state(state.limit(3), at_path, 9)
+    files.replace_state(state, at_path, 10)
+    return files.newest_state(spark, at_path, state.schema)
