@@ -33,7 +33,7 @@ from evidentia.llm.scratch import small_batches
 from evidentia.llm.textnum import Spans, equal_groups, packed, raw, slices
 
 #: Bounds of the tables: token pairs, and pieces with their length; bytes of a long piece between emissions; bytes of text at once.
-PAIRS, PIECES, PIECE_BYTES, FLUSH, BATCH = 500_000, 300_000, 48, 4096, 1 << 19
+PAIRS, PIECES, PIECE_BYTES, FLUSH, BATCH = 500_000, 400_000, 48, 4096, 1 << 19
 
 
 class Transducer:
@@ -207,7 +207,9 @@ def split(points: np.ndarray) -> np.ndarray:
 class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer, self.pattern = Transducer(ranks), pattern
-        self.known: dict[bytes, bytes] = {}  # packed ids: an array for each piece would take three times the memory
+        # packed ids (an array for each piece would take three times the memory) of the pieces met of late, and of those before
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         size = np.zeros(max(ranks.values()) + 1, np.int64)
         for b, t in ranks.items():
             size[t] = len(b)
@@ -215,11 +217,14 @@ class Encoder:
         self.flat = np.frombuffer(b"".join(b for b, _ in sorted(ranks.items(), key=lambda x: x[1])), np.uint8)
 
     def piece(self, piece: bytes) -> bytes:
-        one = self.transducer.ranks.get(piece)
-        ids = one.to_bytes(4, "little") if one is not None else np.array(self.transducer.run(piece), "<u4").tobytes()
+        """Ids of a piece that is not among those met of late: the half of the table that was filled before is looked at, and goes when this one is full."""
+        ids = self.older.get(piece)
+        if ids is None:
+            one = self.transducer.ranks.get(piece)
+            ids = one.to_bytes(4, "little") if one is not None else np.array(self.transducer.run(piece), "<u4").tobytes()
         if len(piece) <= PIECE_BYTES:
-            if len(self.known) >= PIECES:
-                self.known.clear()
+            if len(self.known) >= PIECES // 2:
+                self.older, self.known = self.known, {}
             self.known[piece] = ids
         return ids
 
@@ -242,11 +247,10 @@ class Encoder:
 
     def _gather(self, data: np.ndarray, offs: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         first, which = equal_groups(data, begin, end, Spans(data)(begin, end))
-        whole, known = data.tobytes(), self.known
-        got = []
+        whole, got = data.tobytes(), []
         for b, e in zip(begin[first].tolist(), end[first].tolist(), strict=True):
             p = whole[b:e]
-            ids = known.get(p)
+            ids = self.known.get(p)
             got.append(self.piece(p) if ids is None else ids)
         size = np.fromiter(map(len, got), np.int64, len(got)) // 4
         where = np.cumsum(size) - size
