@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from evidentia.functions.text import all_of, any_of, split_packed
 from evidentia.operators.crowding import LANE, tier
 
 
@@ -96,8 +97,6 @@ def judged(candidates: DataFrame, key: str, facts: DataFrame, verdicts: DataFram
 
 def small_molecule(df: DataFrame, drugs: str, title: str, not_small: str, probe: str) -> DataFrame:
     """Records with a drug that may be a small molecule and that are no probe study."""
-    from evidentia.functions.text import all_of, any_of
-
     text = F.concat(F.coalesce(F.col(drugs), F.array().cast("array<string>")), F.array(F.coalesce(title, F.lit(""))))
     return df.filter(~all_of(F.col(drugs), not_small) & ~any_of(text, probe))
 
@@ -111,8 +110,6 @@ def widened(base: DataFrame, key: str, *sides: tuple[DataFrame, dict[str, object
 
 def by_alias(df: DataFrame, packed: str, position: Column, *values: str) -> DataFrame:
     """(key, values): rows exploded by their packed keys; of several rows with one key the last by position counts."""
-    from evidentia.functions.text import split_packed
-
     rows = df.select(F.explode(split_packed(F.col(packed))).alias("key"), F.struct(position.alias("_at"), *(F.col(v) for v in values)).alias("r"))
     return rows.groupBy("key").agg(F.max("r").alias("r")).select("key", *(F.col(f"r.{v}") for v in values))
 

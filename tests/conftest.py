@@ -16,4 +16,7 @@ def spark():
     session = SparkSession.builder.master("local[8]").config("spark.driver.memory", "8g").config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    from evidentia.sources import shared
+
+    shared.drop()
     session.stop()
