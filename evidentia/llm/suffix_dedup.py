@@ -86,12 +86,16 @@ class Anchored:
         return mix((self.prefix[start + n] - self.prefix[start]) * self.inverse[start] + U(n))
 
 
-def _runs(c: Anchored, counts: np.ndarray, keys: np.ndarray, ranges: int, many: int) -> tuple[dict[int, bytes], list[np.ndarray], np.ndarray]:
-    """Front-coded sorted runs by range, and for each range its suffixes' anchors; and the anchors that are hot.
+def _occurrences(c: Anchored, counts: np.ndarray) -> np.ndarray:
+    """Numbers of the anchors' strings in the corpus, from the replies to the chunk's different ones."""
+    return counts[np.searchsorted(np.unique(c.key), c.key)] if len(c.key) else np.zeros(0, np.uint8)
+
+
+def _runs(c: Anchored, use: np.ndarray, ranges: int) -> tuple[dict[int, bytes], bytes]:
+    """Front-coded sorted runs of the anchors ``use`` by range, and the anchors of each suffix in the order of the runs, packed: how many
+    suffixes, how many anchors each has, and the anchors.
 
     A suffix is what follows the anchor in its windows, a zero byte, and what lies before it in reverse: so the order by suffix comes first."""
-    n = counts[np.searchsorted(keys, c.key)] if len(keys) else np.zeros(len(c.at), np.uint8)
-    hot, use = np.flatnonzero(n >= many), np.flatnonzero((n >= 2) & (n < many))
     first = np.searchsorted(c.of, np.arange(len(c.at)))  # windows of an anchor lie in a row
     last = np.searchsorted(c.of, np.arange(len(c.at)), "right") - 1
     b = ex.bounds(np.sort(c.key[use]), ranges)
@@ -111,9 +115,10 @@ def _runs(c: Anchored, counts: np.ndarray, keys: np.ndarray, ranges: int, many:
             same = common(before, right, 0)
             made.append(np.array([same, len(right) - same, len(left), min(len(items[right, left]), 255)], "<u2").tobytes() + right[same:] + left)
             before = right
-            members.append((r, items[right, left]))
+            members.append(items[right, left])
         out[r] = b"".join(made)
-    return out, members, hot
+    sizes = [len(m) for m in members]
+    return out, np.array([len(members), *sizes, *(a for m in members for a in m)], "<i4").tobytes()
 
 
 def common(a: bytes, b: bytes, at: int) -> int:
@@ -255,12 +260,14 @@ def dedup(df: DataFrame, id_col: str, text_col: str, scratch: Scratch, *, hot_fr
     def suffixes(pointer: pa.Table, reply: pa.Table) -> pa.Table:
         chunk = pointer.column("chunk")[0].as_py()
         c = Anchored(ex.load(pointer).column("text"))
-        runs, _, hot = _runs(c, ex.answer(reply), np.unique(c.key), ranges, hot_from)
-        windows = c.window[np.isin(c.of, hot)]
+        n = _occurrences(c, ex.answer(reply))
+        runs, members = _runs(c, np.flatnonzero((n >= 2) & (n < hot_from)), ranges)
+        windows = c.window[np.isin(c.of, np.flatnonzero(n >= hot_from))]
         counted = ex.to_rows(chunk, *ex.counted(c.hash(windows, LENGTH)), ranges)
         sorted_runs = pa.table({"r": pa.array(list(runs), pa.int32()), "chunk": pa.array([chunk] * len(runs), pa.int64()), "keys": pa.array([zlib.compress(x, 1) for x in runs.values()], pa.binary()), "counts": pa.array([b""] * len(runs), pa.binary())})
-        out = pa.concat_tables([counted, sorted_runs])
-        return out.append_column("kind", pa.array([3] * counted.num_rows + [2] * len(runs), pa.int32()))
+        own = pa.table({"r": pa.array([0], pa.int32()), "chunk": pa.array([chunk], pa.int64()), "keys": pa.array([zlib.compress(members, 1)], pa.binary()), "counts": pa.array([b""], pa.binary())})
+        out = pa.concat_tables([counted, sorted_runs, own])
+        return out.append_column("kind", pa.array([3] * counted.num_rows + [2] * len(runs) + [4], pa.int32()))
 
     sent = scratch.keep(chunks.with_replies(replies, suffixes, ex.KEYS + ", kind int"), "runs")
     merged = ex.by_range(sent.filter("kind = 2"), ranges).applyInArrow(resolve, "chunk long, r int, counts binary").withColumn("kind", F.lit(2))
@@ -269,11 +276,12 @@ def dedup(df: DataFrame, id_col: str, text_col: str, scratch: Scratch, *, hot_fr
     def cut(pointer: pa.Table, reply: pa.Table) -> pa.Table:
         part = ex.load(pointer)
         c = Anchored(part.column("text"))
-        _, members, hot = _runs(c, ex.answer(_kind(reply, 1)), np.unique(c.key), ranges, hot_from)
+        hot = np.flatnonzero(_occurrences(c, ex.answer(_kind(reply, 1))) >= hot_from)
         recurs = np.zeros((len(c.at), OFFSETS), bool)
-        bits = ex.answer(_kind(reply, 2)).reshape(-1, (OFFSETS + 7) // 8)
-        for (_, group), b in zip(members, np.unpackbits(bits, axis=1)[:, :OFFSETS].astype(bool), strict=True):
-            recurs[group] = b
+        bits = np.unpackbits(ex.answer(_kind(reply, 2)).reshape(-1, (OFFSETS + 7) // 8), axis=1)[:, :OFFSETS].astype(bool)
+        members = np.frombuffer(zlib.decompress(_kind(reply, 4).column("counts")[0].as_py()), "<i4")
+        sizes, anchors = members[1 : 1 + members[0]], members[1 + members[0] :]
+        recurs[anchors] = np.repeat(bits, sizes, axis=0)
         dup = recurs[c.of, c.anchor - c.window] if len(c.window) else np.zeros(0, bool)
         at = np.flatnonzero(np.isin(c.of, hot))
         if len(at):
@@ -298,5 +306,6 @@ def dedup(df: DataFrame, id_col: str, text_col: str, scratch: Scratch, *, hot_fr
         spans = pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.StructArray.from_arrays([pa.array(begin - c.offs[doc], pa.int64()), pa.array(end - begin, pa.int64())], names=["start", "length"]))
         return pa.table({"id": part.column("id"), "n_bytes": np.diff(c.offs), "kept": packed(c.data[~gone], kept_before[c.offs]), "spans": spans})
 
-    everything = replies.unionByName(scratch.keep(merged.unionByName(hot_counts), "recurring"))
+    own = sent.filter("kind = 4").select("chunk", "r", F.col("keys").alias("counts"), "kind")
+    everything = replies.unionByName(scratch.keep(merged.unionByName(hot_counts), "recurring")).unionByName(own)
     return chunks.with_replies(everything, cut, f"id {id_type}, n_bytes long, kept binary, spans array<struct<start:long,length:long>>").withColumnRenamed("id", id_col)
