@@ -163,7 +163,7 @@ def slices(arr: pa.Array, most: int = BLOCK) -> Iterator[tuple[int, int]]:
 
 
 class Words:
-    """Words of a slice of texts: ``data`` (lower-cased bytes), ``start``/``end`` in it, ``doc`` (row of each word), ``hash``."""
+    """Words of a slice of texts: ``data`` (lower-cased bytes), ``start``/``end`` in it, ``doc`` (row of each word), ``hash`` on request."""
 
     def __init__(self, arr: pa.Array):
         data, offs = raw(arr)
@@ -181,7 +181,14 @@ class Words:
         self.end = np.flatnonzero(end) + 1
         self.doc = np.searchsorted(offs, self.start, "right") - 1
         self.first = np.searchsorted(self.doc, np.arange(self.rows + 1))  # words of row i: first[i]:first[i+1]
-        self.hash = Spans(self.data)(self.start, self.end)
+        self._hash: np.ndarray | None = None
+
+    @property
+    def hash(self) -> np.ndarray:
+        """Hashes of the words, made when they are first asked for."""
+        if self._hash is None:
+            self._hash = (self._spans or Spans(self.data))(self.start, self.end)
+        return self._hash
 
     def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of parts of words, comparable with ``hash``."""
