@@ -68,7 +68,6 @@ def components(links: DataFrame, scratch: Scratch, label: str) -> DataFrame:
     while True:
         near = both.join(comp, both.b == comp.node).groupBy("a").agg(F.min("c").alias("m"))
         step = comp.join(near, comp.node == near.a, "left").select("node", F.col("c").alias("old"), F.least("c", F.coalesce("m", "c")).alias("c"))
-        step = scratch.keep(step, label)
         up = step.select(F.col("node").alias("n2"), F.col("c").alias("c2"))
         jumped = scratch.keep(step.join(up, step.c == up.n2, "left").select("node", "old", F.least("c", F.coalesce("c2", "c")).alias("c")), label)
         changed = jumped.filter("old <> c").limit(1).count()
