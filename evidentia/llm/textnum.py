@@ -59,19 +59,28 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 def powers_mod(base: int, prime: int, n: int) -> np.ndarray:
+    """Powers modulo a prime; those for a block of text are kept."""
     have = _POWERS.get((prime, base))
     if have is None or len(have) < n:
-        have = np.ones(max(n, BLOCK + 1024), np.uint32)
+        have = np.ones(max(n, min(BLOCK, 64 * n)) + 1024, np.uint32)
         m = 1
         while m < len(have):
             some = have[m : 2 * m]
             some[:] = have[: len(some)] * U(pow(base, m, prime)) % U(prime)
             m *= 2
-        if n <= POWERS:
+        if len(have) <= BLOCK + 2048:
             _POWERS[prime, base] = have
     return have[:n]
 
 
+def powers_at(base: int, prime: int, places: np.ndarray) -> np.ndarray:
+    """Powers at some places, as products of two from small tables."""
+    if not len(places):
+        return np.zeros(0, U)
+    low, high = powers_mod(base, prime, 1024), powers_mod(pow(base, 1024, prime), prime, (int(places.max()) >> 10) + 1)
+    return low[places & 1023] * high[places >> 10].astype(U) % U(prime)
+
+
 class Spans:
     """Hashes of parts of ``data``: polynomials modulo the two primes of a family, their values and the length mixed to 64 bits."""
 
@@ -89,8 +98,7 @@ class Spans:
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         out = np.zeros(len(start), U)
         for (prime, base), h in zip(self.family, self.sums, strict=True):
-            inverse = powers_mod(pow(base, -1, prime), prime, len(h))
-            out = (out << U(31)) | (h[end] - h[start]) % U(prime) * inverse[start] % U(prime)
+            out = (out << U(31)) | (h[end] - h[start]) % U(prime) * powers_at(pow(base, -1, prime), prime, start) % U(prime)
         return mix(out + (end - start).astype(U) * U(0xD6E8FEB86659FD93))
 
 
