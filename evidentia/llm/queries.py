@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidentia.llm import bpe, decontam, lattice_lm, media, ngram_join, quality, secret_scan, suffix_dedup, token_counts, url_filter
+from evidentia.llm import bpe, decontam, importance, lattice_lm, media, ngram_join, quality, secret_scan, suffix_dedup, token_counts, url_filter
 from evidentia.llm.scratch import Scratch
 
 
@@ -84,6 +84,11 @@ def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(docs, "doc_id", "text", train, public_tokenizers.path("piece_bpe_32k.model"), Scratch(spark, "lattice"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance.resample(docs, "doc_id", "text", target, "text", Scratch(spark, "importance"))
+
+
 OP4_SQL = r"""
 WITH p AS (
   SELECT page_id,
@@ -144,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_token_counts": op9_token_counts,
     "op10_lattice_lm": op10_lattice_lm,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 #: Operators without an entry cannot be said in SQL; tests/llm holds them against brute force.
