@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidentia.llm import bpe, decontam, importance, lattice_lm, media, ngram_join, quality, secret_scan, suffix_dedup, token_counts, url_filter
+from evidentia.llm import bpe, conversations, decontam, importance, lattice_lm, media, ngram_join, quality, secret_scan, suffix_dedup, token_counts, url_filter
 from evidentia.llm.scratch import Scratch
 
 
@@ -84,6 +84,13 @@ def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(docs, "doc_id", "text", train, public_tokenizers.path("piece_bpe_32k.model"), Scratch(spark, "lattice"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    rows = conversations.damaged(turns, "conv_id", "turn", "role", "text")
+    script = conversations.repair(rows, turns.select(F.col("conv_id").alias("conv")))
+    return conversations.digests(script).withColumnRenamed("conv", "conv_id")
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return importance.resample(docs, "doc_id", "text", target, "text", Scratch(spark, "importance"))
@@ -138,6 +145,47 @@ SELECT doc_id, n AS n_bytes, gone AS n_removed, len(a) - 1 AS n_spans, sha256(un
 FROM parts
 """
 
+OP11_SQL = r"""
+WITH RECURSIVE
+coded AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+bits AS (SELECT *, flatten(list_transform(string_split(key, ''), lambda c: list_transform(range(8), lambda i: (ascii(c) >> i::INT) & 1))) AS b FROM coded),
+dealt AS (SELECT conv_id, turn, role, text, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(b, lambda x: x::BIGINT)), lambda c, x: xor(c >> 1, 3988292384::BIGINT * xor(c & 1, x)))) % 20 AS n FROM bits),
+damaged AS (SELECT conv_id, turn, CASE n WHEN 4 THEN 'user' ELSE role END AS role, CASE n WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE n WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM dealt WHERE n <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS p, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS ink FROM damaged),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 AS again, role[1:1] AS i, lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY p) AS before FROM placed),
+r AS (SELECT *, CASE WHEN ink = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN ink[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM seen),
+ends AS (SELECT c.conv_id, coalesce(max(p), 0) + 1 AS p FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM c.conv_id GROUP BY 1),
+back AS (
+  SELECT conv_id, p, 0 AS c0, 10 AS c1, 5 AS c2, 0 AS c3 FROM ends
+  UNION ALL
+  SELECT conv_id, p, least(b0, 5 + b2, 10 + b3), least(b1, 5 + b2, 10 + b3), least(b2, 5 + b3), least(b3, 5 + b2) FROM (
+    SELECT r.conv_id, r.p,
+      CASE WHEN x THEN 2 + c0 ELSE least(2 + c0, CASE i WHEN 's' THEN t + c1 WHEN 'u' THEN t + c2 ELSE 99999999 END, 1 + t + c2) END AS b0,
+      CASE WHEN x THEN 2 + c1 ELSE least(2 + c1, CASE i WHEN 'u' THEN t + c2 ELSE 99999999 END, 1 + t + c2) END AS b1,
+      CASE WHEN x THEN 2 + c2 ELSE least(2 + c2, CASE i WHEN 'a' THEN t + c3 ELSE 99999999 END, 1 + t + c3) END AS b2,
+      CASE WHEN x THEN 2 + c3 ELSE least(2 + c3, CASE i WHEN 'u' THEN t + c2 ELSE 99999999 END, 1 + t + c2) END AS b3
+    FROM back JOIN (SELECT *, fault IN ('blank', 'duplicate') AS x, 5 * (fault = 'truncated')::INT AS t FROM r) r ON r.conv_id IS NOT DISTINCT FROM back.conv_id AND r.p = back.p - 1)),
+togo AS (SELECT conv_id, p, [c0, c1, c2, c3] AS c FROM back),
+options AS (
+  SELECT r.conv_id, r.p, s, fault, role, text, now.c[s + 1] AS c, now.c AS cs, nxt.c AS cn, 5 * (fault = 'truncated')::INT AS t, fault IN ('blank', 'duplicate') AS x, [2, 2, 3, 2][s + 1] AS f,
+    CASE i WHEN 's' THEN CASE s WHEN 0 THEN 1 END WHEN 'u' THEN CASE WHEN s <> 2 THEN 2 END WHEN 'a' THEN CASE s WHEN 2 THEN 3 END END AS k
+  FROM r JOIN togo now ON now.conv_id IS NOT DISTINCT FROM r.conv_id AND now.p = r.p JOIN togo nxt ON nxt.conv_id IS NOT DISTINCT FROM r.conv_id AND nxt.p = r.p + 1, (SELECT unnest([0, 1, 2, 3]) AS s)
+  UNION ALL
+  SELECT conv_id, p, s, 'end', NULL, NULL, [0, 10, 5, 0][s + 1], [0, 10, 5, 0], [0, 0, 0, 0], 0, false, [2, 2, 3, 2][s + 1], NULL FROM ends, (SELECT unnest([0, 1, 2, 3]) AS s)),
+edits AS (
+  SELECT *, CASE WHEN fault = 'end' THEN CASE WHEN s IN (1, 2) THEN 'I' END WHEN c = 2 + cn[s + 1] THEN 'D' WHEN c = 5 + cs[f + 1] THEN 'I' WHEN NOT x AND k IS NOT NULL AND c = t + cn[k + 1] THEN 'K' ELSE 'R' END AS e FROM options),
+walk AS (
+  SELECT conv_id, 1::BIGINT AS p, 0 AS s, 0 AS n, '' AS e, 0 AS cost, NULL::VARCHAR AS turn FROM ends
+  UNION ALL
+  SELECT w.conv_id, CASE WHEN o.e = 'I' THEN w.p ELSE w.p + 1 END, CASE o.e WHEN 'D' THEN w.s WHEN 'K' THEN o.k ELSE o.f END, w.n + 1, o.e, CASE o.e WHEN 'D' THEN 2 WHEN 'I' THEN 5 WHEN 'K' THEN o.t ELSE 1 + o.t END,
+    CASE o.e WHEN 'D' THEN NULL WHEN 'K' THEN o.role || ':' || o.text ELSE CASE o.f WHEN 2 THEN 'user:' ELSE 'assistant:' END || CASE o.e WHEN 'R' THEN o.text ELSE '' END END
+  FROM walk w JOIN edits o ON o.conv_id IS NOT DISTINCT FROM w.conv_id AND o.p = w.p AND o.s = w.s WHERE o.e IS NOT NULL),
+done AS (SELECT conv_id, sum(cost)::BIGINT AS cost, string_agg(e, '' ORDER BY n) AS audit, sha256(coalesce(string_agg(turn, chr(10) ORDER BY n) FILTER (turn IS NOT NULL), '')) AS repaired_sha256 FROM walk GROUP BY 1),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY 1)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, repaired_sha256
+FROM done d LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -149,8 +197,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_token_counts": op9_token_counts,
     "op10_lattice_lm": op10_lattice_lm,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
 #: Operators without an entry cannot be said in SQL; tests/llm holds them against brute force.
-ORACLE: dict[str, str] = {"op1_ngram_join": OP1_SQL, "op4_url_filter": OP4_SQL, "op6_suffix_dedup": OP6_SQL}
+ORACLE: dict[str, str] = {"op1_ngram_join": OP1_SQL, "op4_url_filter": OP4_SQL, "op6_suffix_dedup": OP6_SQL, "op11_conversation_repair": OP11_SQL}
