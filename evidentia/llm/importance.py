@@ -32,6 +32,8 @@ from evidentia.llm.scratch import Scratch
 from evidentia.llm.textnum import _LOWER, U, give_back, mix, raw, slices
 
 LONGEST, BUCKETS, LEAST_WORDS, PERCENT, SEED, PASSES = 3, 10_000, 20, 5, 42, 2
+#: For the edges of ranges: chunks (and one more for every eight ranges), and the features of each length taken from each.
+EDGE_CHUNKS, SAMPLE = 16, 400
 _INSIDE = np.zeros(256, bool)
 _INSIDE[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 _SPACE_CRC = np.uint32(zlib.crc32(b" "))
@@ -75,75 +77,123 @@ def hashed_words(df: DataFrame, text_col: str, *keep: str) -> DataFrame:
 
 
 class Features:
-    """The different features of a chunk, ordered by range, with their numbers, and the features of each text."""
+    """The different features of a chunk by length, each in the order of its words' hashes, with their numbers, and the features of each text."""
 
-    def __init__(self, part: pa.Table, ranges: int):
+    def __init__(self, part: pa.Table):
         crc, size = (np.frombuffer(raw(part.column(c))[0], np.uint32) for c in ("crc", "size"))
         n = part.column("n_words").to_numpy()
-        doc = np.repeat(np.arange(len(n)), n)
-        target = part.column("target").to_numpy(zero_copy_only=False)[doc]
-        key, word = np.unique(crc.astype(U) << U(32) | size, return_inverse=True)
-        m, columns, self.docs, self.places, counts, known, mixed = len(key), [], [], [], [], 0, U(0)
-        own, run, at = word, np.arange(m)[:, None], np.arange(len(word))
-        hash_of = mix(key + U(1))
+        doc = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        self.target = part.column("target").to_numpy(zero_copy_only=False)
+        key = crc.astype(U) << U(32) | size
+        self.hash, word = np.unique(mix(key), return_inverse=True)
+        m = max(1, len(self.hash))
+        self.key = np.empty(len(self.hash), U)
+        self.key[word] = key
+        self.m, self.n_docs, self.kinds, self.own, self.docs = m, len(n), [], [], []
+        own, kinds, at = word, np.arange(len(self.hash)), np.arange(len(word))
         for k in range(1, LONGEST + 1):
             if k > 1:  # each run of k words is one of k - 1 and the word after it
-                more = np.flatnonzero(at + k - 1 < len(word))
+                more = np.flatnonzero(at < len(word) - k + 1)
                 more = more[doc[at[more]] == doc[at[more] + k - 1]]
                 at = at[more]
                 kinds, own = np.unique(own[more] * m + word[at + k - 1], return_inverse=True)
-                run = np.hstack([run[kinds // m], (kinds % m)[:, None]]) if len(kinds) else np.zeros((0, k), np.int64)
-            columns.append(np.hstack([run, np.full((len(run), LONGEST - k), -1)]))
+            self.kinds.append(kinds)
+            self.own.append(own)
             self.docs.append(doc[at])
-            self.places.append(own + known)
-            known += len(run)
-            side = target[at]
-            counts.append(np.stack([np.bincount(own[~side], minlength=len(run)), np.bincount(own[side], minlength=len(run))]))
-        runs = np.concatenate(columns).astype(np.int64)
-        mixed = np.zeros(len(runs), U)
-        for j in range(LONGEST):
-            mixed = mixed * U(0x9FB21C651E98DF25) + np.where(runs[:, j] >= 0, hash_of[runs[:, j]], U(0)) if m else mixed
-        self.r = ((mix(mixed) >> U(32)) * U(ranges) >> U(32)).astype(np.int32)
-        self.order = np.argsort(self.r, kind="stable")
-        self.key, self.runs, self.counts, self.n_docs = key, runs, np.concatenate(counts, axis=1), len(n)
-
-    def rows(self, chunk: int, ranges: int, part: int) -> pa.Table:
-        """A packed row for each range of this part of the dictionary."""
-        pick = self.order[self.r[self.order] % PASSES == part]
-        r = self.r[pick]
-        none = self.runs[pick] < 0
-        keys = np.where(none, U(0), self.key[np.where(none, 0, self.runs[pick])]) if len(pick) else np.zeros((0, LONGEST), U)
-        table = np.empty((len(pick), 2 * LONGEST + 2), "<u4")
-        table[:, :LONGEST], table[:, LONGEST : 2 * LONGEST] = keys >> U(32), keys & U(0xFFFFFFFF)
-        table[:, 2 * LONGEST :] = self.counts[:, pick].T
-        edges = np.flatnonzero(np.append(True, np.diff(r) != 0)) if len(r) else np.zeros(0, np.int64)
-        ends = np.append(edges[1:], len(r))
-        out = [pack(table[a:b]) for a, b in zip(edges.tolist(), ends.tolist(), strict=True)]
-        return pa.table([pa.array(r[edges], pa.int32()), pa.array([chunk] * len(out), pa.int64()), pa.array(out, pa.binary())], names=["r", "chunk", "features"])
-
-    def weights(self, buckets: np.ndarray, gains: np.ndarray) -> np.ndarray:
+
+    def words(self, k: int, some: np.ndarray) -> list[np.ndarray]:
+        """The words (places in ``hash``) of some features of k words."""
+        out = []
+        for j in range(k - 1, 0, -1):
+            code = self.kinds[j][some]
+            out.append(code % self.m)
+            some = code // self.m
+        return [some, *out[::-1]]
+
+    def cuts(self, edges: np.ndarray) -> list[np.ndarray]:
+        """Where each range begins among the features of each length. An edge is as many hashes as the longest feature has words; a feature goes by its hashes, a shorter one before the
+        longer ones that begin with it."""
+        out = [[] for _ in range(LONGEST)]
+        for edge in edges:
+            at, exact = 0, True  # of the features of k words that begin before the edge does, and whether one is its beginning
+            for k in range(LONGEST):
+                place = int(np.searchsorted(self.hash, edge[k]))
+                there = place < len(self.hash) and self.hash[place] == edge[k]
+                if k == 0:
+                    low = place
+                elif exact:
+                    low = int(np.searchsorted(self.kinds[k], at * self.m + place))
+                    there = there and low < len(self.kinds[k]) and self.kinds[k][low] == at * self.m + place
+                else:
+                    low = int(np.searchsorted(self.kinds[k], at * self.m))
+                exact = exact and bool(there)
+                at = low
+                out[k].append(low + (exact and k < LONGEST - 1))
+        return [np.concatenate([[0], np.array(x, np.int64), [len(kinds)]]).astype(np.int64) for x, kinds in zip(out, self.kinds, strict=True)]
+
+    def rows(self, chunk: int, edges: np.ndarray, ranges: range) -> pa.Table:
+        """A packed row for each of these ranges of the dictionary that has features here."""
+        cuts, tables = self.cuts(edges), []
+        for k in range(1, LONGEST + 1):
+            low, high = int(cuts[k - 1][ranges.start]), int(cuts[k - 1][ranges.stop])
+            some = np.arange(low, high)
+            side = self.target[self.docs[k - 1]]
+            own = self.own[k - 1]
+            counts = [np.bincount(own[pick], minlength=len(self.kinds[k - 1]))[low:high] for pick in (~side, side)]
+            keys = [self.key[w] for w in self.words(k, some)]
+            tables.append(np.stack([*((x >> U(32)).astype("<u4") for x in keys), *((x & U(0xFFFFFFFF)).astype("<u4") for x in keys), *(x.astype("<u4") for x in counts)], axis=1))
+        out = []
+        for r in ranges:
+            parts = [t[c[r] - c[ranges.start] : c[r + 1] - c[ranges.start]] for t, c in zip(tables, cuts, strict=True)]
+            if any(map(len, parts)):
+                out.append((r, pack(parts)))
+        return pa.table([pa.array([r for r, _ in out], pa.int32()), pa.array([chunk] * len(out), pa.int64()), pa.array([x for _, x in out], pa.binary())], names=["r", "chunk", "features"])
+
+    def weights(self, buckets: np.ndarray, edges: np.ndarray, gains: np.ndarray) -> np.ndarray:
         """Sums of gains by text; ``buckets`` come in the order of the packed rows."""
-        gain = np.empty(len(self.r), np.int64)
-        gain[self.order] = gains[buckets]
-        total = np.zeros(self.n_docs)
-        for doc, place in zip(self.docs, self.places, strict=True):
-            if len(doc):
-                total += np.bincount(doc, gain[place], minlength=self.n_docs)
+        cuts, total, gain = self.cuts(edges), np.zeros(self.n_docs), gains[buckets]
+        begin = np.cumsum(np.stack([np.diff(c) for c in cuts], axis=1).ravel())
+        begin = np.append(0, begin)[:-1].reshape(-1, LONGEST)  # by range, then length
+        for k in range(LONGEST):
+            n = np.diff(cuts[k])
+            own = gain[np.repeat(begin[:, k] - cuts[k][:-1], n) + np.arange(cuts[k][-1])]
+            total += np.bincount(self.docs[k], own[self.own[k]], minlength=self.n_docs) if len(self.docs[k]) else 0
         return total.astype(np.int64)
 
+    def sample(self, most: int) -> np.ndarray:
+        """Hashes of some features, evenly spaced (at most ``most`` of the commonest length), 0 where there is no further word."""
+        out, every = [], max(map(len, self.kinds)) // most + 1
+        for k in range(1, LONGEST + 1):
+            some = np.arange(every // 2, len(self.kinds[k - 1]), every)
+            h = np.zeros((len(some), LONGEST), U)
+            for j, w in enumerate(self.words(k, some)):
+                h[:, j] = self.hash[w]
+            out.append(h)
+        return np.concatenate(out)
+
 
-def pack(table: np.ndarray) -> bytes:
-    """Columns of numbers by their bytes, differences from the row before, compressed."""
-    delta = table.copy()
-    delta[1:, :LONGEST] ^= table[:-1, :LONGEST]
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(delta.view(np.uint8).T).tobytes())
+def pack(parts: list[np.ndarray]) -> bytes:
+    """Columns of numbers by their bytes, as differences from the row before, compressed; parts by length."""
+    flat = [np.array([len(p) for p in parts], "<u4").view(np.uint8)]
+    for k, p in enumerate(parts, 1):
+        delta = p.copy()
+        delta[1:, : 2 * k] ^= p[:-1, : 2 * k]
+        flat.append(delta.view(np.uint8).T.ravel())
+    return zstandard.ZstdCompressor(level=1).compress(np.concatenate(flat).tobytes())
 
 
 def unpack(blob: bytes) -> np.ndarray:
+    """Words' CRCs and lengths (0 where there is no further word) and numbers of a packed row's features."""
     flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    width = 4 * (2 * LONGEST + 2)
-    table = np.ascontiguousarray(flat.reshape(width, -1).T).view("<u4")
-    table[:, :LONGEST] = np.bitwise_xor.accumulate(table[:, :LONGEST], axis=0)
+    sizes = flat[: 4 * LONGEST].view("<u4").tolist()
+    table, at, row = np.zeros((sum(sizes), 2 * LONGEST + 2), "<u4"), 4 * LONGEST, 0
+    for k, n in enumerate(sizes, 1):
+        width = 4 * (2 * k + 2)
+        part = np.ascontiguousarray(flat[at : at + n * width].reshape(width, n).T).view("<u4")
+        words = np.bitwise_xor.accumulate(part[:, : 2 * k], axis=0)
+        own = table[row : row + n]
+        own[:, :k], own[:, LONGEST : LONGEST + k], own[:, 2 * LONGEST :] = words[:, :k], words[:, k:], part[:, 2 * k :]
+        at, row = at + n * width, row + n
     return table
 
 
@@ -191,11 +241,13 @@ def counted(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     table = np.concatenate(parts)
     words = table[:, : 2 * LONGEST]
     key = np.zeros(len(table), U)
-    for j in range(2 * LONGEST):
-        key = (key + words[:, j] + U(1)) * U(0x9FB21C651E98DF25)
+    for j in range(LONGEST):
+        key = (key + (words[:, j].astype(U) << U(32) | words[:, LONGEST + j]) + U(1)) * U(0x9FB21C651E98DF25)
         key ^= key >> U(29)
-    _, first, which = np.unique(key, return_index=True, return_inverse=True)
-    if not np.array_equal(words[first][which], words):  # two features of one key
+    _, which = np.unique(key, return_inverse=True)
+    first = np.empty(int(which.max(initial=-1)) + 1, np.int64)
+    first[which] = np.arange(len(which))
+    if not np.array_equal(words[first[which]], words):  # two features of one key
         _, first, which = np.unique(words, axis=0, return_index=True, return_inverse=True)
     which = which.ravel()
     sums = np.stack([np.bincount(which, table[:, 2 * LONGEST + i], minlength=len(first)) for i in (0, 1)])
@@ -215,10 +267,12 @@ def weighted(docs: DataFrame, id_col: str, text_col: str, target: DataFrame, tar
     both = source.unionByName(target.select(F.lit(None).cast(id_type).alias("id"), F.col(target_text).alias("text"), F.lit(True).alias("target")))
     rows = ex.store_chunks(hashed_words(both, "text", "id", "target"), "crc", scratch)
     chunks = ex.Chunks(rows, scratch)
-    ranges = ex.ranges_for(int(rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]) // 4 * LONGEST * 3 // 5)
+    features = int(rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]) // 4 * LONGEST * 3 // 5
+    ranges = -(-ex.ranges_for(features) // PASSES) * PASSES
+    edges = spark.sparkContext.broadcast(range_edges(chunks, ranges))
 
-    def sent(part: int):
-        return lambda pointer: Features(ex.load(pointer), ranges).rows(pointer.column("chunk")[0].as_py(), ranges, part)
+    def sent(some: range):
+        return lambda pointer: Features(ex.load(pointer)).rows(pointer.column("chunk")[0].as_py(), edges.value, some)
 
     def answered(table: pa.Table) -> pa.Table:
         parts = [unpack(x) for x in table.column("features").to_pylist()]
@@ -230,10 +284,10 @@ def weighted(docs: DataFrame, id_col: str, text_col: str, target: DataFrame, tar
         sums = np.stack([np.bincount(bucket, x, minlength=BUCKETS) for x in (s, t)]).astype("<i8")
         return pa.table([pa.array([None, *table.column("chunk").to_pylist()], pa.int64()), pa.array([None, *table.column("r").to_pylist()], pa.int32()), pa.array([small.compress(sums.tobytes()), *replies], pa.binary())], names=["chunk", "r", "buckets"])
 
-    replies = None
+    replies, each = None, ranges // PASSES
     for part in range(PASSES):
-        asked = chunks.each(sent(part), "r int, chunk long, features binary")
-        reply = scratch.keep(ex.by_range(asked, ranges).applyInArrow(lambda t: ex._trimmed(answered, t), "chunk long, r int, buckets binary"), f"buckets-{part}")
+        asked = chunks.each(sent(range(part * each, (part + 1) * each)), "r int, chunk long, features binary")
+        reply = scratch.keep(ex.by_range(asked, each).applyInArrow(lambda t: ex._trimmed(answered, t), "chunk long, r int, buckets binary"), f"buckets-{part}")
         replies = reply if replies is None else replies.unionByName(reply)
         del asked
         _release(docs)
@@ -247,7 +301,7 @@ def weighted(docs: DataFrame, id_col: str, text_col: str, target: DataFrame, tar
         plain = zstandard.ZstdDecompressor()
         buckets = [np.frombuffer(plain.decompress(got[i]), np.uint8).reshape(2, -1).T.astype("<u2") for i in order]
         buckets = np.concatenate(buckets) if buckets else np.zeros((0, 2), "<u2")
-        weight = Features(part, ranges).weights(buckets[:, 0] | buckets[:, 1] << 8, gains.value)
+        weight = Features(part).weights(buckets[:, 0] | buckets[:, 1] << 8, edges.value, gains.value)
         out = pa.table([part.column("id"), part.column("n_words"), pa.array(weight)], names=["id", "n_words", "weight"])
         return out.filter(pa.array(~part.column("target").to_numpy(zero_copy_only=False)))
 
@@ -257,6 +311,21 @@ def weighted(docs: DataFrame, id_col: str, text_col: str, target: DataFrame, tar
     return got.select("id", "n_words", features.cast("long").alias("n_features"), "weight")
 
 
+def range_edges(chunks: ex.Chunks, ranges: int) -> np.ndarray:
+    """Edges of ranges with about as many features each, from some features of some chunks; results don't depend on them."""
+    some = chunks.df.orderBy(F.xxhash64("chunk"), "chunk").limit(EDGE_CHUNKS + ranges // 8)
+
+    def run(pointer: pa.Table) -> pa.Table:
+        return pa.table([pa.array([Features(ex.load(pointer)).sample(SAMPLE).astype("<u8").tobytes()], pa.binary())], names=["hashes"])
+
+    got = [np.frombuffer(x.hashes, "<u8").reshape(-1, LONGEST) for x in some.groupBy("chunk").applyInArrow(lambda p: ex._trimmed(run, p), "hashes binary").collect()]
+    found = np.concatenate([np.zeros((0, LONGEST), U), *got])
+    if not len(found):
+        return np.array([[(r << 64) // ranges, 0, 0][:LONGEST] for r in range(1, ranges)], U).reshape(-1, LONGEST)
+    found = found[np.lexsort(found.T[::-1])]
+    return found[np.arange(1, ranges) * len(found) // ranges]
+
+
 def bucket_gains(replies: DataFrame) -> np.ndarray:
     """Gains by bucket from the ranges' sums: added up by task, then by bucket; ``BUCKETS`` rows come to the driver."""
 
