@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidentia.llm import bpe, conversations, decontam, importance, lattice_lm, media, ngram_join, quality, secret_scan, suffix_dedup, token_counts, url_filter
+from evidentia.llm import bpe, conversations, decontam, importance, lattice_lm, media, ngram_join, pii, quality, secret_scan, suffix_dedup, token_counts, url_filter
 from evidentia.llm.scratch import Scratch
 
 
@@ -91,6 +91,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.digests(script).withColumnRenamed("conv", "conv_id")
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"), "doc_id", "text", Scratch(spark, "pii"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return importance.resample(docs, "doc_id", "text", target, "text", Scratch(spark, "importance"))
@@ -198,6 +204,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_lattice_lm": op10_lattice_lm,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_personal_data": op12_personal_data,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
