@@ -178,10 +178,10 @@ def exists_disjunctive(spark, d):
     return at.semi_any(rows, [F.col("a"), F.col("b")], t(spark, d, "supplier"), "s_suppkey")
 
 
-@query("SELECT o_custkey, count(*) AS n, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS hits FROM orders WHERE o_orderstatus = 'F' GROUP BY 1 HAVING count(*) >= 3")
+@query("SELECT o_custkey, count(*) AS n, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS hits, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_order, max(o_totalprice) AS top FROM orders WHERE o_orderstatus = 'F' GROUP BY 1 HAVING count(*) >= 3")
 def feed_having_min(spark, d):
     hits = F.when(F.col("o_orderstatus") == "F", F.array("o_orderpriority")).otherwise(F.array().cast("array<string>"))
-    return at.feed(t(spark, d, "orders"), "o_custkey", hits, 3)
+    return at.feed(t(spark, d, "orders"), "o_custkey", hits, 3, last_order=F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")), top=F.max("o_totalprice"))
 
 
 @query("""SELECT l_partkey, players, records, first_year, latest, names, CASE WHEN first_year <= 1994 THEN 1994 WHEN first_year <= 1995 THEN 1995 WHEN first_year <= 1998 THEN 1998 END AS bracket, 2026 - first_year AS years, CASE WHEN players <= 2 THEN 'OPEN' WHEN players <= 4 THEN 'CONTESTED' ELSE 'CLOSED' END AS window FROM (
@@ -385,12 +385,20 @@ def event_session(spark, d):
     return st.sessions(e, "ts", "12 hours", "user_id").select(F.col("start").cast("timestamp_ntz").alias("start"), "user_id", "n")
 
 
+def _several_files(spark, d):
+    """The events in four files by time, for streams that take a file for each batch."""
+    at_path = _folder(spark, "events")
+    t(spark, d, "events").repartitionByRange(4, "ts").write.parquet(at_path)
+    return at_path
+
+
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(spark, d):
-    """One file, so one batch: each pair comes once, whichever of its rows comes first."""
-    static = t(spark, d, "events")
-    e = st.timed(spark.readStream.schema(static.schema).parquet(f"{d}/events.parquet*"), "ts", "1 day").select("ts", "user_id", "event_type")
-    return st.drained(st.first_seen(e, ["user_id", "event_type"]), "evidentia_stream_dedup").select("user_id", "event_type")
+    """Each pair comes once, in whichever batch it comes first."""
+    schema, out = t(spark, d, "events").schema, _folder(spark, "first-seen")
+    events = st.source(spark, _several_files(spark, d), schema).select("user_id", "event_type")
+    st.drained(st.first_seen(events, ["user_id", "event_type"]), out, _folder(spark, "checkpoint"))
+    return spark.read.schema("user_id long, event_type string").parquet(out)
 
 
 @query("SELECT event_type, sum(CAST(json_extract(props, '$.k') AS BIGINT))::BIGINT AS k_sum, count(*) AS n FROM events GROUP BY 1")
@@ -457,7 +465,8 @@ def title_theta_semi(spark, d):
 
 
 @query(f"""WITH m AS ({_MENTIONS}), s AS (SELECT l_orderkey, m.entity, 'S' || m.entity AS symbol, sum(l_quantity) FILTER (l_returnflag = 'A') AS title, sum(l_quantity) FILTER (l_returnflag = 'R') AS claims, sum(l_quantity) AS total FROM m GROUP BY 1, 2),
-r AS (SELECT * FROM s WHERE coalesce(title, 0) = 0 OR EXISTS (SELECT 1 FROM ({_TITLES}) t JOIN ({_FORMS}) f ON true WHERE t.o_orderkey = s.l_orderkey AND f.entity = s.entity AND regexp_matches(t.title, '(^|[^A-Z0-9])' || f.form || '($|[^A-Z0-9])'))),
+named AS (SELECT DISTINCT s.l_orderkey, s.entity FROM s JOIN ({_TITLES}) t ON t.o_orderkey = s.l_orderkey JOIN ({_FORMS}) f ON f.entity = s.entity WHERE s.title > 0 AND contains(t.title, f.form) AND regexp_matches(t.title, '(^|[^A-Z0-9])' || f.form || '($|[^A-Z0-9])')),
+r AS (SELECT s.* FROM s LEFT JOIN named ON named.l_orderkey = s.l_orderkey AND named.entity = s.entity WHERE coalesce(title, 0) = 0 OR named.entity IS NOT NULL),
 n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY title DESC NULLS LAST, claims DESC NULLS LAST, total DESC NULLS LAST, entity) AS n FROM r)
 SELECT l_orderkey, max(symbol) FILTER (n = 1) AS entity, max(CASE WHEN coalesce(title, 0) > 0 THEN 'title' WHEN coalesce(claims, 0) > 0 THEN 'claims' ELSE 'body' END) FILTER (n = 1) AS conf, coalesce(string_agg(symbol, ',' ORDER BY n) FILTER (n > 1), '') AS others FROM n WHERE n <= 5 GROUP BY 1""")
 def attribution_validated(spark, d):
@@ -735,9 +744,10 @@ def stream_append(spark, d):
 @query("SELECT user_id, props, min(ts) AS earliest, max(ts) AS latest, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS kinds, count(DISTINCT event_type) > 1 AS cross_linked FROM events GROUP BY 1, 2")
 def stream_merged_moves(spark, d):
     """Moves of a pair merged as they come, whatever their source."""
-    events = st.source(spark, f"{d}/events.parquet*", t(spark, d, "events").schema)
-    merged = st.drained(st.merged_moves(events, "user_id", "props", "event_type", "ts"), "evidentia_merged_moves", "complete")
-    return merged.withColumn("kinds", F.array_join("kinds", ","))
+    events = st.source(spark, _several_files(spark, d), t(spark, d, "events").schema)
+    merged, out = st.merged_moves(events, "user_id", "props", "event_type", "ts"), _folder(spark, "merged-moves")
+    st.upserted(merged, out, _folder(spark, "checkpoint"))
+    return st.latest(spark, out, ["user_id", "props"], merged.schema).withColumn("kinds", F.array_join("kinds", ","))
 
 
 @query("SELECT p_brand, count(*) AS n, max(p_retailprice) AS top FROM part GROUP BY 1")

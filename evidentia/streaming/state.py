@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evidentia.sources import files
 
@@ -17,7 +18,8 @@ def timed(df: DataFrame, ts: str, delay: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
-def first_seen(df: DataFrame, keys: list[str], *, within_watermark: bool = True) -> DataFrame:
+def first_seen(df: DataFrame, keys: list[str], *, within_watermark: bool = False) -> DataFrame:
+    """The first row of each key. Keys are kept for good, unless ``within_watermark`` asks for state that forgets what is older than the watermark (a key may then come again)."""
     return df.dropDuplicatesWithinWatermark(keys) if within_watermark else df.dropDuplicates(keys)
 
 
@@ -46,11 +48,26 @@ def append_new(stream: DataFrame, path: str, checkpoint: str, key: str):
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def drained(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a stream over what is there now and return its rows (for smoke runs)."""
-    q = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return df.sparkSession.table(name)
+def drained(df: DataFrame, path: str, checkpoint: str) -> None:
+    """Run a stream over what is there now and append its rows to a table on shared storage; run again, it goes on from its checkpoint."""
+    df.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def upserted(df: DataFrame, path: str, checkpoint: str) -> None:
+    """Run a stream of changed rows over what is there now: each batch's rows go to a folder of its own, numbered, so that a batch that is run again replaces itself (``latest`` reads them)."""
+
+    def write(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={n}")
+
+    df.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def latest(spark: SparkSession, path: str, keys: list[str], schema) -> DataFrame:
+    """The last version of each key that ``upserted`` wrote."""
+    rows = files.or_empty(spark, T.StructType([*schema.fields, T.StructField("batch", T.LongType())]), lambda r: r.parquet(path))
+    rest = [f.name for f in schema.fields if f.name not in keys]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_r"))
+    return newest.select(*keys, *(F.col(f"_r.{c}").alias(c) for c in rest))
 
 
 def newer(df: DataFrame, date: str, have: DataFrame, have_date: str, lag_days: int = 0) -> DataFrame:
