@@ -31,7 +31,7 @@ from evidentia.llm import exchange as ex
 from evidentia.llm.scratch import Scratch
 from evidentia.llm.textnum import _LOWER, U, give_back, mix, raw, slices
 
-LONGEST, BUCKETS, LEAST_WORDS, PERCENT, SEED, PASSES = 3, 10_000, 20, 5, 42, 2
+LONGEST, BUCKETS, LEAST_WORDS, PERCENT, SEED, PASSES = 3, 10_000, 20, 5, 42, 3
 #: For the edges of ranges: chunks (and one more for every eight ranges), and the features of each length taken from each.
 EDGE_CHUNKS, SAMPLE = 16, 400
 _INSIDE = np.zeros(256, bool)
@@ -79,7 +79,8 @@ def hashed_words(df: DataFrame, text_col: str, *keep: str) -> DataFrame:
 class Features:
     """The different features of a chunk by length, each in the order of its words' hashes, with their numbers, and the features of each text."""
 
-    def __init__(self, part: pa.Table):
+    def __init__(self, part: pa.Table, first: U | None = None, last: U | None = None):
+        """Of the features whose first word's hash lies between two bounds, if they are given."""
         crc, size = (np.frombuffer(raw(part.column(c))[0], np.uint32) for c in ("crc", "size"))
         n = part.column("n_words").to_numpy()
         doc = np.repeat(np.arange(len(n), dtype=np.int32), n)
@@ -91,6 +92,11 @@ class Features:
         self.key[word] = key
         self.m, self.n_docs, self.kinds, self.own, self.docs = m, len(n), [], [], []
         own, kinds, at = word, np.arange(len(self.hash)), np.arange(len(word))
+        if first is not None or last is not None:
+            low = 0 if first is None else np.searchsorted(self.hash, first)
+            high = len(self.hash) if last is None else np.searchsorted(self.hash, last, "right")
+            at = np.flatnonzero((word >= low) & (word < high))
+            own = word[at]
         for k in range(1, LONGEST + 1):
             if k > 1:  # each run of k words is one of k - 1 and the word after it
                 more = np.flatnonzero(at < len(word) - k + 1)
@@ -133,20 +139,25 @@ class Features:
 
     def rows(self, chunk: int, edges: np.ndarray, ranges: range) -> pa.Table:
         """A packed row for each of these ranges of the dictionary that has features here."""
-        cuts, tables = self.cuts(edges), []
-        for k in range(1, LONGEST + 1):
-            low, high = int(cuts[k - 1][ranges.start]), int(cuts[k - 1][ranges.stop])
-            some = np.arange(low, high)
-            side = self.target[self.docs[k - 1]]
-            own = self.own[k - 1]
-            counts = [np.bincount(own[pick], minlength=len(self.kinds[k - 1]))[low:high] for pick in (~side, side)]
-            keys = [self.key[w] for w in self.words(k, some)]
-            tables.append(np.stack([*((x >> U(32)).astype("<u4") for x in keys), *((x & U(0xFFFFFFFF)).astype("<u4") for x in keys), *(x.astype("<u4") for x in counts)], axis=1))
-        out = []
+        cuts, words, counts = self.cuts(edges), [], []
+        begin = [int(c[ranges.start]) for c in cuts]
+        for k in range(LONGEST):
+            low, high = begin[k], int(cuts[k][ranges.stop])
+            side, own = self.target[self.docs[k]], self.own[k]
+            words.append(self.words(k + 1, np.arange(low, high)))
+            counts.append([np.bincount(own[pick], minlength=len(self.kinds[k]))[low:high].astype("<u4") for pick in (~side, side)])
+        out, used, name = [], np.zeros(self.m, bool), np.zeros(self.m, "<u4")
         for r in ranges:
-            parts = [t[c[r] - c[ranges.start] : c[r + 1] - c[ranges.start]] for t, c in zip(tables, cuts, strict=True)]
-            if any(map(len, parts)):
-                out.append((r, pack(parts)))
+            some = [slice(int(c[r]) - b, int(c[r + 1]) - b) for c, b in zip(cuts, begin, strict=True)]
+            if any(x.stop > x.start for x in some):
+                own = [[w[x] for w in ws] for ws, x in zip(words, some, strict=True)]
+                for ws in own:
+                    for w in ws:
+                        used[w] = True
+                table = np.flatnonzero(used)
+                used[table] = False
+                name[table] = np.arange(len(table))
+                out.append((r, pack(self.key[table], [[name[w] for w in ws] for ws in own], [[c[x] for c in cs] for cs, x in zip(counts, some, strict=True)])))
         return pa.table([pa.array([r for r, _ in out], pa.int32()), pa.array([chunk] * len(out), pa.int64()), pa.array([x for _, x in out], pa.binary())], names=["r", "chunk", "features"])
 
     def weights(self, buckets: np.ndarray, edges: np.ndarray, gains: np.ndarray) -> np.ndarray:
@@ -172,29 +183,43 @@ class Features:
         return np.concatenate(out)
 
 
-def pack(parts: list[np.ndarray]) -> bytes:
-    """Columns of numbers by their bytes, as differences from the row before, compressed; parts by length."""
-    flat = [np.array([len(p) for p in parts], "<u4").view(np.uint8)]
-    for k, p in enumerate(parts, 1):
-        delta = p.copy()
-        delta[1:, : 2 * k] ^= p[:-1, : 2 * k]
-        flat.append(delta.view(np.uint8).T.ravel())
+def _planes(x: np.ndarray) -> np.ndarray:
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.ravel()
+
+
+def pack(table: np.ndarray, words: list[list[np.ndarray]], counts: list[list[np.ndarray]]) -> bytes:
+    """Features by length, compressed: a table of their words' CRCs and lengths, their words' places in it (as differences from the feature before), and their numbers."""
+    flat = [np.array([len(table), *(len(c[0]) for c in counts)], "<u4").view(np.uint8), _planes(table >> U(32)), _planes(table & U(0xFFFFFFFF))]
+    for ws, cs in zip(words, counts, strict=True):
+        for w in ws:
+            delta = w.copy()
+            delta[1:] ^= w[:-1]
+            flat.append(_planes(delta))
+        flat += map(_planes, cs)
     return zstandard.ZstdCompressor(level=1).compress(np.concatenate(flat).tobytes())
 
 
-def unpack(blob: bytes) -> np.ndarray:
-    """Words' CRCs and lengths (0 where there is no further word) and numbers of a packed row's features."""
+def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Words (CRC and length in one number, 0 where there is no further word) and numbers of a packed row's features: an array for each place of a word, and for each side."""
     flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    sizes = flat[: 4 * LONGEST].view("<u4").tolist()
-    table, at, row = np.zeros((sum(sizes), 2 * LONGEST + 2), "<u4"), 4 * LONGEST, 0
+    at = 4 * (LONGEST + 1)
+    m, *sizes = flat[:at].view("<u4").tolist()
+
+    def column(n: int) -> np.ndarray:
+        nonlocal at
+        at += 4 * n
+        return np.ascontiguousarray(flat[at - 4 * n : at].reshape(4, n).T).view("<u4").ravel()
+
+    table = column(m).astype(U) << U(32)
+    table |= column(m)
+    words, numbers, row = np.zeros((LONGEST, sum(sizes)), U), np.zeros((2, sum(sizes)), "<u4"), 0
     for k, n in enumerate(sizes, 1):
-        width = 4 * (2 * k + 2)
-        part = np.ascontiguousarray(flat[at : at + n * width].reshape(width, n).T).view("<u4")
-        words = np.bitwise_xor.accumulate(part[:, : 2 * k], axis=0)
-        own = table[row : row + n]
-        own[:, :k], own[:, LONGEST : LONGEST + k], own[:, 2 * LONGEST :] = words[:, :k], words[:, k:], part[:, 2 * k :]
-        at, row = at + n * width, row + n
-    return table
+        for j in range(k):
+            words[j, row : row + n] = table[np.bitwise_xor.accumulate(column(n))]
+        for side in (0, 1):
+            numbers[side, row : row + n] = column(n)
+        row += n
+    return words, numbers
 
 
 def _after_zeros() -> np.ndarray:
@@ -226,32 +251,31 @@ def joined_crc(crc: np.ndarray, more: np.ndarray, size: np.ndarray) -> np.ndarra
     return crc ^ more
 
 
-def feature_crc(table: np.ndarray) -> np.ndarray:
-    """CRC-32 of features from their words' (columns: CRCs, then lengths, 0 where there is no further word)."""
-    crc = table[:, 0].copy()
-    for j in range(1, LONGEST):
-        some = np.flatnonzero(table[:, LONGEST + j])
+def feature_crc(words: np.ndarray) -> np.ndarray:
+    """CRC-32 of features from their words' CRCs and lengths."""
+    crc = (words[0] >> U(32)).astype(np.uint32)
+    for more in words[1:]:
+        some = np.flatnonzero(more)
         spaced = _apply(_ZEROS[0], crc[some]) ^ _SPACE_CRC
-        crc[some] = joined_crc(spaced, table[some, j], table[some, LONGEST + j])
+        crc[some] = joined_crc(spaced, (more[some] >> U(32)).astype(np.uint32), more[some].astype(np.uint32))
     return crc
 
 
-def counted(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different features of a range's parts: which one each entry is, their words, and their numbers in the source and the target."""
-    table = np.concatenate(parts)
-    words = table[:, : 2 * LONGEST]
-    key = np.zeros(len(table), U)
-    for j in range(LONGEST):
-        key = (key + (words[:, j].astype(U) << U(32) | words[:, LONGEST + j]) + U(1)) * U(0x9FB21C651E98DF25)
+    words, numbers = (np.concatenate(x, axis=1) for x in zip(*parts, strict=True))
+    key = np.zeros(words.shape[1], U)
+    for w in words:
+        key = (key + w + U(1)) * U(0x9FB21C651E98DF25)
         key ^= key >> U(29)
-    _, which = np.unique(key, return_inverse=True)
-    first = np.empty(int(which.max(initial=-1)) + 1, np.int64)
+    kinds, which = np.unique(key, return_inverse=True)
+    first = np.empty(len(kinds), np.int64)
     first[which] = np.arange(len(which))
-    if not np.array_equal(words[first[which]], words):  # two features of one key
-        _, first, which = np.unique(words, axis=0, return_index=True, return_inverse=True)
-    which = which.ravel()
-    sums = np.stack([np.bincount(which, table[:, 2 * LONGEST + i], minlength=len(first)) for i in (0, 1)])
-    return which, words[first], sums.astype(np.int64)
+    if not all(np.array_equal(w[first][which], w) for w in words):  # two features of one key
+        _, first, which = np.unique(words, axis=1, return_index=True, return_inverse=True)
+        which = which.ravel()
+    sums = np.stack([np.bincount(which, n, minlength=len(first)) for n in numbers])
+    return which, words[:, first], sums.astype(np.int64)
 
 
 def _release(df: DataFrame) -> None:
@@ -272,13 +296,18 @@ def weighted(docs: DataFrame, id_col: str, text_col: str, target: DataFrame, tar
     edges = spark.sparkContext.broadcast(range_edges(chunks, ranges))
 
     def sent(some: range):
-        return lambda pointer: Features(ex.load(pointer)).rows(pointer.column("chunk")[0].as_py(), edges.value, some)
+        def run(pointer: pa.Table) -> pa.Table:
+            first = edges.value[some.start - 1][0] if some.start else None
+            last = edges.value[some.stop - 1][0] if some.stop < ranges else None
+            return Features(ex.load(pointer), first, last).rows(pointer.column("chunk")[0].as_py(), edges.value, some)
+
+        return run
 
     def answered(table: pa.Table) -> pa.Table:
         parts = [unpack(x) for x in table.column("features").to_pylist()]
         which, words, (s, t) = counted(parts)
         bucket = (feature_crc(words) % BUCKETS).astype("<u2")
-        ends = np.append(0, np.cumsum([len(p) for p in parts]))
+        ends = np.append(0, np.cumsum([p.shape[1] for p, _ in parts]))
         small = zstandard.ZstdCompressor(level=1)
         replies = [small.compress(np.ascontiguousarray(bucket[which[a:b]].view(np.uint8).reshape(-1, 2).T).tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
         sums = np.stack([np.bincount(bucket, x, minlength=BUCKETS) for x in (s, t)]).astype("<i8")
