@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import gc
 import math
+import time
 import zlib
 from collections.abc import Iterator
 
@@ -279,9 +280,11 @@ def counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def _release(df: DataFrame) -> None:
-    """Let go of the shuffle files of finished jobs: Spark removes them once the driver has collected what refers to them."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    """Let go of the shuffle files of finished jobs: Spark removes them once both languages have collected what refers to them (a first time what Python held, then the rest)."""
+    for _ in range(2):
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def weighted(docs: DataFrame, id_col: str, text_col: str, target: DataFrame, target_text: str, scratch: Scratch) -> DataFrame:
