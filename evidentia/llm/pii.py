@@ -307,3 +307,7 @@ def find(df: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> DataFra
 def listed(spans: Column) -> Column:
     """Spans as kind:start:end, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def same_as(kind: str):
+    return lambda k: k == kind
