@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import decimal
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -76,54 +80,60 @@ def matched(cases: DataFrame, controls: DataFrame, key: str, level: str, k: int,
     return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def greedy_matched(cases: DataFrame, controls: DataFrame, key: str, level: str, k: int) -> DataFrame:
-    """Greedy matching without replacement in the order of case keys: sequential by definition, so one group; for cohorts of thousands."""
-    import pandas as pd
-
-    both = cases.select(F.col(key).alias("key"), F.col(level).cast("double").alias("level"), F.lit(True).alias("is_case")).unionByName(controls.select(F.col(key).alias("key"), F.col(level).cast("double").alias("level"), F.lit(False).alias("is_case")))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        import bisect
-
-        pool = sorted(pdf[~pdf.is_case][["level", "key"]].itertuples(index=False, name=None))
-        out = []
-        for c in pdf[pdf.is_case].sort_values("key").itertuples():
-            i = bisect.bisect_left(pool, (c.level,))
-            for _ in range(min(k, len(pool))):
-                lo, hi = i - 1, i
-                if hi >= len(pool) or lo >= 0 and c.level - pool[lo][0] <= pool[hi][0] - c.level:
-                    hi = lo
-                    i -= 1
-                out.append((c.key, pool[hi][1], abs(pool[hi][0] - c.level)))
-                del pool[hi]
-        return pd.DataFrame(out, columns=["case", "control", "distance"])
-
-    kind = both.schema["key"].dataType.simpleString()
-    return both.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(run, f"case {kind}, control {kind}, distance double")
-
-
-def permutation_p(df: DataFrame, signal: str, outcome: str, tie: str, k: int = 2000, seed: int = 11, tasks: int = 32) -> DataFrame:
-    """(ge + 1) / (k + 1): permutations of the outcomes whose Spearman value (ordinal ranks, ties by ``tie``) reaches that of the data. The ranks are permutations of
-    the same numbers, so their products' sums are compared, as integers. Each task gets all rows, three columns of them, and its share of the permutations."""
-    import numpy as np
-    import pandas as pd
-
-    rows = df.select(F.col(tie).alias("tie"), F.col(signal).cast("double").alias("x"), F.col(outcome).cast("double").alias("y"), F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))).alias("task"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("tie", kind="stable")
-        n, first, y = len(pdf), int(pdf["task"].iloc[0]), pdf["y"].to_numpy()
-        by_signal = np.argsort(pdf["x"].to_numpy(), kind="stable")
-        x = np.empty(n, np.int64)
-        centred = np.arange(n) - n // 2
-        x[by_signal] = centred
-        value = lambda y: int(x[np.argsort(y, kind="stable")] @ centred)
-        observed = value(y)
-        ge = sum(value(np.random.default_rng([seed, i]).permutation(y)) >= observed for i in range(first, k, tasks))
-        return pd.DataFrame({"ge": [ge]})
-
-    counted = rows.groupBy("task").applyInPandas(run, "ge long")
-    return counted.agg(((F.coalesce(F.sum("ge"), F.lit(k)) + 1) / F.lit(float(k + 1))).alias("p"))
+#: A prime below 2^32, and multipliers whose products with what they meet stay below 2^63.
+PRIME, SPREAD, STIR = 4294967291, 2654435761, 1540483477
+#: Rounds of the keyed bijection, and permutations that a task works on at once.
+FEISTEL, AT_ONCE = 4, 16
+
+
+def keyed_places(places: np.ndarray, permutation: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """Where keyed bijections of 0 to n - 1 put some places (last axis; one bijection for each row of ``permutation``): a Feistel network over the two halves of a place's bits, walked on until it
+    falls below n."""
+    half = max(1, (max(1, n - 1).bit_length() + 1) // 2)
+    mask = (1 << half) - 1
+    x = np.broadcast_to(places, np.broadcast_shapes(places.shape, permutation.shape)).astype(np.int64)
+    key = np.broadcast_to(permutation, x.shape)
+    todo = np.ones(x.shape, bool)
+    while todo.any():
+        left, right, k = x[todo] >> half, x[todo] & mask, key[todo]
+        for r in range(FEISTEL):
+            f = (right * SPREAD + k * FEISTEL + r + seed) % PRIME * STIR % PRIME >> 9
+            left, right = right, left ^ f & mask
+        x[todo] = left << half | right
+        todo[todo] = x[todo] >= n
+    return x
+
+
+def permutation_p(df: DataFrame, signal: str, outcome: str, tie: str, k: int = 2000, seed: int = 11) -> DataFrame:
+    """(ge + 1) / (k + 1): permutations whose Spearman value (ordinal ranks, ties by ``tie``) reaches that of the data. The ranks are permutations of the same numbers, so the sums of
+    their products are compared, exactly.
+
+    A permutation is a keyed bijection of the outcomes' ranks: each row finds for itself the rank that it gets, and adds its products to the sums; no task holds more than its rows, and what is
+    shuffled are k sums a task."""
+    both = ranked(ranked(df.select(F.col(signal).alias("_s"), F.col(outcome).alias("_o"), F.col(tie).alias("_t")), F.col("_s"), F.col("_t"), name="_x"), F.col("_o"), F.col("_t"), name="_y")
+    rows = written(both.select((F.col("_x") - 1).alias("x"), (F.col("_y") - 1).alias("y")), "ranks")
+    n = rows.count()
+
+    def run(batches):
+        sums = [0] * (k + 1)  # the last: of the data
+        for batch in batches:
+            x, y = (batch.column(i).to_numpy().astype(np.int64) for i in (0, 1))
+            centred = x - n // 2
+            for lo in range(0, len(x), 1 << 16):
+                cx, cy = centred[lo : lo + (1 << 16)], y[lo : lo + (1 << 16)]
+                for p in range(0, k, AT_ONCE):
+                    got = keyed_places(cy, np.arange(p, min(k, p + AT_ONCE))[:, None], n, seed)
+                    for i, (low, high) in enumerate(zip((got & 0xFFFF) @ cx, (got >> 16) @ cx, strict=True)):
+                        sums[p + i] += int(low) + (int(high) << 16)
+                sums[k] += int((cy & 0xFFFF) @ cx) + (int((cy >> 16) @ cx) << 16)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k + 1)), pa.array([decimal.Decimal(s) for s in sums], pa.decimal128(38, 0))], names=["p", "s"])
+
+    total = rows.mapInArrow(run, "p long, s decimal(38,0)").groupBy("p").agg(F.sum("s").alias("s"))
+    observed = F.max(F.when(F.col("p") == k, F.col("s")))
+    of_data = total.agg(observed).first()[0]  # one number
+    if of_data is None:
+        return rows.sparkSession.createDataFrame([(1.0,)], "p double")
+    return total.filter(F.col("p") < k).agg(((F.count_if(F.col("s") >= F.lit(of_data)) + 1) / F.lit(float(k + 1))).alias("p"))
 
 
 def rank_sum(df: DataFrame, signals: list[str], positive: str, tie: str) -> DataFrame:

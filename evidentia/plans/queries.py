@@ -15,6 +15,7 @@ from evidentia.operators import attribution as at
 from evidentia.operators import backtest as bt
 from evidentia.operators import claims as cl
 from evidentia.operators import crowding as cr
+from evidentia.operators import matching as mt
 from evidentia.operators import moves as mv
 from evidentia.operators import report as rp
 from evidentia.operators import resolve as rs
@@ -326,13 +327,26 @@ def matched_controls(spark, d):
     return bt.matched(c.filter("c_mktsegment = 'BUILDING'"), c.filter("c_mktsegment <> 'BUILDING'"), "c_custkey", "c_acctbal", 5).select("case", "control", "rank")
 
 
-@query()
+@query("""WITH RECURSIVE a AS (SELECT s_suppkey AS k, s_acctbal AS l, row_number() OVER (ORDER BY s_suppkey) AS o FROM supplier WHERE s_nationkey < 5), b AS (SELECT s_suppkey AS k, s_acctbal AS l, row_number() OVER (ORDER BY s_acctbal, s_suppkey) AS place FROM supplier WHERE s_nationkey >= 5),
+steps AS (SELECT a.k, a.l, row_number() OVER (ORDER BY o, i) AS n FROM a, (SELECT unnest([1, 2]) AS i)),
+g AS (SELECT 0::BIGINT AS n, []::BIGINT[] AS used, NULL::BIGINT AS "case", NULL::BIGINT AS control UNION ALL
+SELECT n, list_append(used, p), k, p FROM (SELECT s.n, g.used, s.k, arg_min(b.k, (abs(b.l - s.l), b.l >= s.l, CASE WHEN b.l < s.l THEN -b.place ELSE b.place END)) AS p FROM g JOIN steps s ON s.n = g.n + 1 JOIN b ON NOT list_contains(g.used, b.k) GROUP BY 1, 2, 3))
+SELECT "case", control, abs(x.s_acctbal - y.s_acctbal) AS distance FROM g JOIN supplier x ON x.s_suppkey = "case" JOIN supplier y ON y.s_suppkey = control""")
 def matched_controls_greedy(spark, d):
     s = t(spark, d, "supplier")
-    return bt.greedy_matched(s.filter("s_nationkey < 5"), s.filter("s_nationkey >= 5"), "s_suppkey", "s_acctbal", 2)
+    return mt.greedy_matched(s.filter("s_nationkey < 5"), s.filter("s_nationkey >= 5"), "s_suppkey", "s_acctbal", 2)
 
 
-@query()
+_STEP = "({r} * 2654435761 + p * 4 + {i} + 7) % 4294967291 * 1540483477 % 4294967291 >> 9"
+
+
+@query(f"""WITH RECURSIVE r AS (SELECT row_number() OVER (ORDER BY signal, o_custkey) - 1 AS x, row_number() OVER (ORDER BY emerged, o_custkey) - 1 AS y, count(*) OVER () AS n FROM ({_EMERGE})),
+h AS (SELECT greatest(1, (length(to_base(greatest(1, max(n) - 1), 2)) + 1) // 2)::INT AS h FROM r),
+walk AS (SELECT x, n, p, y AS z, true AS open FROM r, (SELECT unnest(range(2000)) AS p) UNION ALL
+SELECT x, n, p, z, z >= n FROM (SELECT x, n, p, (l << h) | d AS z FROM (SELECT x, n, p, h, c AS l, xor(b, ({_STEP.format(r='c', i=3)}) & m) AS d FROM (SELECT *, xor(a, ({_STEP.format(r='b', i=2)}) & m) AS c FROM (SELECT *, xor(d, ({_STEP.format(r='a', i=1)}) & m) AS b FROM (
+SELECT *, xor(l, ({_STEP.format(r='d', i=0)}) & m) AS a FROM (SELECT x, n, p, h, (1 << h) - 1 AS m, z >> h AS l, z & ((1 << h) - 1) AS d FROM walk, h WHERE open)))))) ),
+s AS (SELECT p, sum((x - n // 2) * z) AS s FROM walk WHERE NOT open GROUP BY 1)
+SELECT (count(*) FILTER (s >= (SELECT sum((x - n // 2) * y) FROM r)) + 1) / 2001.0::DOUBLE AS p FROM s""")
 def permutation_test(spark, d):
     return bt.permutation_p(_emerge(spark, d).select("o_custkey", "signal", "emerged"), "signal", "emerged", "o_custkey", 2000, 7)
 
@@ -385,10 +399,14 @@ def event_session(spark, d):
     return st.sessions(e, "ts", "12 hours", "user_id").select(F.col("start").cast("timestamp_ntz").alias("start"), "user_id", "n")
 
 
-def _several_files(spark, d):
-    """The events in four files by time, for streams that take a file for each batch."""
-    at_path = _folder(spark, "events")
-    t(spark, d, "events").repartitionByRange(4, "ts").write.parquet(at_path)
+def _several_files(spark, d, n=4):
+    """The events in some files by time, written one after the other: streams that take a file for each batch take them in this order."""
+    at_path, events = _folder(spark, "events"), t(spark, d, "events")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    edges = [low + (high - low) * i / n for i in range(1, n)] if low is not None else []
+    part = sum((F.when(F.col("ts") >= F.lit(e), 1).otherwise(0) for e in edges), F.lit(0))
+    for i in range(n):
+        events.filter(part == i).coalesce(1).write.mode("append").parquet(at_path)
     return at_path
 
 
