@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evidentia.llm.scratch import small_batches
+
 #: Costs of edits, and of keeping or re-assigning a truncated row.
 REROLE, DELETE, INSERT, TRUNCATED = 1, 2, 5, 5
 #: States: nothing yet, after s, after u, after a. Where an initial leads, which state a user's or assistant's turn leads to (the only one that fits), and costs at the end.
@@ -135,11 +137,9 @@ class _Out:
         self.rows, self.size = [], 0
 
 
-def repair(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The edit script of each conversation of ``ids`` (column conv), in order and one conversation after the other within a partition: a row with place 0 and no edit that opens it, then one row for each
-    edit, with the fault of the edited row (blank, duplicate, truncated), whether its role's initial may not follow the one before, the edit's cost, and the repaired turn's role and text (null if it goes).
-    ``rows``: conv, turn (long), role, text, as ``damaged`` gives them."""
-    kind = ids.schema["conv"].dataType.simpleString()
+def _stream(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """What the walk needs of each conversation in its order: an opening row, then for each cell its costs, then its texts."""
+    small_batches(rows.sparkSession)
     none = lambda *names: [F.lit(None).cast(k).alias(n) for n, k in names]
     costs = with_costs(cells(rows)).withColumn("text", F.lit(None).cast("string")).withColumn("kind", F.lit(1))
     flags = (("blank", "boolean"), ("truncated", "boolean"), ("again", "boolean"), ("before", "array<long>"), ("after", "array<long>"))
@@ -147,98 +147,104 @@ def repair(rows: DataFrame, ids: DataFrame) -> DataFrame:
     opening = ids.select("conv").distinct().select("conv", *none(("turn", "long"), ("role", "string"), ("h", "binary"), *flags, ("text", "string")), F.lit(0).alias("kind"))
     stream = costs.unionByName(texts).unionByName(opening).repartition("conv")
     # the opening row first: it has no role
-    stream = stream.sortWithinPartitions("conv", F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("h").asc_nulls_first(), "kind")
+    return stream.sortWithinPartitions("conv", F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("h").asc_nulls_first(), "kind")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, conv, state, place, last, cell, first = None, None, START, 0, None, None, True
 
-        def insert(at: int) -> int:
-            nonlocal place
-            place += 1
-            out.add(conv, place, None, "I", None, None, INSERT, NAMES[at], "")
-            return at
-
-        def end() -> None:
-            s = state
-            while s not in (START, ASSISTANT):
-                s = insert(NEXT[s])
-
-        for batch in batches:
-            if out is None:
-                out = _Out(pa.schema([pa.field("conv", batch.schema.field("conv").type), ("place", pa.int64()), ("turn", pa.int64()), ("edit", pa.string()), ("fault", pa.string()), ("illegal", pa.bool_()), ("cost", pa.int64()), ("role", pa.string()), ("text", pa.string())]))
-            t = batch.to_pydict()
-            for own, turn, role, kind, text, blank, truncated, again, before, after in zip(*(t[n] for n in ("conv", "turn", "role", "kind", "text", "blank", "truncated", "again", "before", "after")), strict=True):
-                if kind == 0:
-                    end()
-                    conv, state, place, last, cell = own, START, 0, None, None
-                    out.add(conv, 0, None, None, None, None, 0, None, None)
-                elif kind == 1:
-                    cell, first = (blank, truncated, again, before, after), True
-                else:
-                    blank, truncated, again, before, after = cell
-                    illegal = last is not None and last + role[:1] not in LEGAL
-                    last = role[:1]
-                    fault = "blank" if blank else "duplicate" if again or not first else "truncated" if truncated else None
-                    edit = "D"
-                    if fault not in ("blank", "duplicate"):
+def repair(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The edit script of each conversation of ``ids`` (column conv), in order and one conversation after the other within a partition: a row with place 0 and no edit that opens it, then one row for each
+    edit, with the fault of the edited row (blank, duplicate, truncated), whether its role's initial may not follow the one before, the edit's cost, and the repaired turn's role and text (null if it goes).
+    ``rows``: conv, turn (long), role, text, as ``damaged`` gives them."""
+    return _stream(rows, ids).mapInArrow(_walk, f"conv {ids.schema['conv'].dataType.simpleString()}, {SCRIPT}")
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    out, conv, state, place, last, cell, first = None, None, START, 0, None, None, True
+
+    def insert(at: int) -> int:
+        nonlocal place
+        place += 1
+        out.add(conv, place, None, "I", None, None, INSERT, NAMES[at], "")
+        return at
+
+    def end() -> None:
+        s = state
+        while s not in (START, ASSISTANT):
+            s = insert(NEXT[s])
+
+    for batch in batches:
+        if out is None:
+            out = _Out(pa.schema([pa.field("conv", batch.schema.field("conv").type), ("place", pa.int64()), ("turn", pa.int64()), ("edit", pa.string()), ("fault", pa.string()), ("illegal", pa.bool_()), ("cost", pa.int64()), ("role", pa.string()), ("text", pa.string())]))
+        t = batch.to_pydict()
+        for own, turn, role, kind, text, blank, truncated, again, before, after in zip(*(t[n] for n in ("conv", "turn", "role", "kind", "text", "blank", "truncated", "again", "before", "after")), strict=True):
+            if kind == 0:
+                end()
+                conv, state, place, last, cell = own, START, 0, None, None
+                out.add(conv, 0, None, None, None, None, 0, None, None)
+            elif kind == 1:
+                cell, first = (blank, truncated, again, before, after), True
+            else:
+                blank, truncated, again, before, after = cell
+                illegal = last is not None and last + role[:1] not in LEGAL
+                last = role[:1]
+                fault = "blank" if blank else "duplicate" if again or not first else "truncated" if truncated else None
+                edit = "D"
+                if fault not in ("blank", "duplicate"):
+                    edit, to = edit_at(state, last, truncated, before, after)
+                    while edit == "I":
+                        state = insert(to)
                         edit, to = edit_at(state, last, truncated, before, after)
-                        while edit == "I":
-                            state = insert(to)
-                            edit, to = edit_at(state, last, truncated, before, after)
-                        state = to
-                    first = False
-                    place += 1
-                    cost = {"D": DELETE, "K": TRUNCATED * truncated, "R": REROLE + TRUNCATED * truncated}[edit]
-                    kept = role if edit == "K" else NAMES[state] if edit == "R" else None
-                    out.add(conv, place, turn, edit, fault, illegal, cost, kept, None if edit == "D" else text)
-                if out.full():
-                    yield from out.flush()
-        if out is not None:
-            end()
-            yield from out.flush()
-
-    return stream.mapInArrow(run, f"conv {kind}, {SCRIPT}")
-
-
-def digests(script: DataFrame) -> DataFrame:
-    """One row for each conversation of an edit script as ``repair`` gives it: gaps in turns, faults, illegal neighbours, cost, audit (initials of the edits) and the SHA-256
-    of the repaired turns. A stream again: the script comes in order."""
-    kind = script.schema["conv"].dataType.simpleString()
-    names = ["conv", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done, now = [], None
-
-        def close() -> None:
-            if now is not None:
-                seen = 0 if now["low"] is None else now["turn"] - now["low"] + 1 - now["turns"]
-                done.append((now["conv"], seen, *(now[n] for n in ("blank", "duplicate", "truncated", "illegal", "cost")), "".join(now["audit"]), now["sha"].hexdigest()))
-
-        for batch in batches:
-            t = batch.to_pydict()
-            for conv, place, turn, edit, fault, illegal, cost, role, text in zip(*(t[n] for n in ("conv", "place", "turn", "edit", "fault", "illegal", "cost", "role", "text")), strict=True):
-                if not place:
-                    close()
-                    now = {"conv": conv, "low": None, "turn": None, "turns": 0, "blank": 0, "duplicate": 0, "truncated": 0, "illegal": 0, "cost": 0, "audit": [], "sha": hashlib.sha256(), "any": False}
-                    continue
-                if turn is not None:
-                    now["turns"] += turn != now["turn"]
-                    now["low"] = turn if now["low"] is None else now["low"]
-                    now["turn"] = turn
-                if fault:
-                    now[fault] += 1
-                now["illegal"] += bool(illegal)
-                now["cost"] += cost
-                now["audit"].append(edit)
-                if role is not None:
-                    now["sha"].update((("\n" if now["any"] else "") + f"{role}:{text}").encode())
-                    now["any"] = True
-            if done:
-                yield pa.RecordBatch.from_arrays([pa.array(c, batch.schema.field("conv").type if i == 0 else pa.string() if i > 6 else pa.int64()) for i, c in enumerate(zip(*done, strict=True))], names=names)
-                done = []
-            last = batch.schema.field("conv").type
-        close()
+                    state = to
+                first = False
+                place += 1
+                cost = {"D": DELETE, "K": TRUNCATED * truncated, "R": REROLE + TRUNCATED * truncated}[edit]
+                kept = role if edit == "K" else NAMES[state] if edit == "R" else None
+                out.add(conv, place, turn, edit, fault, illegal, cost, kept, None if edit == "D" else text)
+            if out.full():
+                yield from out.flush()
+    if out is not None:
+        end()
+        yield from out.flush()
+
+
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The digests of an edit script that comes in order."""
+    names, done, now, last = ["conv", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"], [], None, None
+
+    def close() -> None:
+        if now is not None:
+            seen = 0 if now["low"] is None else now["turn"] - now["low"] + 1 - now["turns"]
+            done.append((now["conv"], seen, *(now[n] for n in ("blank", "duplicate", "truncated", "illegal", "cost")), "".join(now["audit"]), now["sha"].hexdigest()))
+
+    for batch in batches:
+        t = batch.to_pydict()
+        for conv, place, turn, edit, fault, illegal, cost, role, text in zip(*(t[n] for n in ("conv", "place", "turn", "edit", "fault", "illegal", "cost", "role", "text")), strict=True):
+            if not place:
+                close()
+                now = {"conv": conv, "low": None, "turn": None, "turns": 0, "blank": 0, "duplicate": 0, "truncated": 0, "illegal": 0, "cost": 0, "audit": [], "sha": hashlib.sha256(), "any": False}
+                continue
+            if turn is not None:
+                now["turns"] += turn != now["turn"]
+                now["low"] = turn if now["low"] is None else now["low"]
+                now["turn"] = turn
+            if fault:
+                now[fault] += 1
+            now["illegal"] += bool(illegal)
+            now["cost"] += cost
+            now["audit"].append(edit)
+            if role is not None:
+                now["sha"].update((("\n" if now["any"] else "") + f"{role}:{text}").encode())
+                now["any"] = True
         if done:
-            yield pa.RecordBatch.from_arrays([pa.array(c, last if i == 0 else pa.string() if i > 6 else pa.int64()) for i, c in enumerate(zip(*done, strict=True))], names=names)
-
-    return script.mapInArrow(run, f"conv {kind}, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string")
+            yield pa.RecordBatch.from_arrays([pa.array(c, batch.schema.field("conv").type if i == 0 else pa.string() if i > 6 else pa.int64()) for i, c in enumerate(zip(*done, strict=True))], names=names)
+            done = []
+        last = batch.schema.field("conv").type
+    close()
+    if done:
+        yield pa.RecordBatch.from_arrays([pa.array(c, last if i == 0 else pa.string() if i > 6 else pa.int64()) for i, c in enumerate(zip(*done, strict=True))], names=names)
+
+
+def digests(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """One row for each conversation of ``ids``, from its edit script (``repair``), which is folded as it comes: gaps in turns, faults, illegal neighbours, cost, audit (initials of the edits)
+    and the SHA-256 of the repaired turns."""
+    schema = f"conv {ids.schema['conv'].dataType.simpleString()}, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
+    return _stream(rows, ids).mapInArrow(lambda batches: _fold(_walk(batches)), schema)

@@ -87,8 +87,7 @@ def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     rows = conversations.damaged(turns, "conv_id", "turn", "role", "text")
-    script = conversations.repair(rows, turns.select(F.col("conv_id").alias("conv")))
-    return conversations.digests(script).withColumnRenamed("conv", "conv_id")
+    return conversations.digests(rows, turns.select(F.col("conv_id").alias("conv"))).withColumnRenamed("conv", "conv_id")
 
 
 def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
