@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from evidentia.operators import lifecycle as lc
 from evidentia.plans.queries import _folder, _several_files, query, t
+from evidentia.sources import commits
 from evidentia.streaming import keyed as ky
 from evidentia.streaming import state as st
 
@@ -32,3 +34,55 @@ def stream_upgraded_moves(spark, d):
     rows = spark.read.schema("user_id long, event_type string, earliest timestamp, latest timestamp, kinds string, cross_linked boolean").parquet(out)
     newest = rows.groupBy("user_id", "event_type").agg(F.max_by(F.struct("earliest", "latest", "kinds", "cross_linked"), F.struct(F.size(F.split("kinds", ",")), "latest", F.negative(F.unix_micros("earliest")))).alias("m"))
     return newest.select("user_id", F.col("event_type").alias("kind"), F.col("m.earliest").cast("timestamp_ntz").alias("earliest"), F.col("m.latest").cast("timestamp_ntz").alias("latest"), "m.kinds", "m.cross_linked")
+
+
+# --- identifiers, claims in two times, joint commits ---
+
+_RENAMED = "SELECT s_suppkey AS old, s_suppkey // 3 AS new, CASE WHEN s_suppkey % 5 = 0 THEN 2 ELSE 1 END AS version FROM supplier WHERE s_suppkey > 2 AND s_nationkey <> 7"
+
+
+@query(f"""WITH RECURSIVE c AS (SELECT old, new FROM ({_RENAMED}) WHERE version <= 1), r AS (SELECT old AS id, new AS tip FROM c UNION ALL SELECT id, new FROM r JOIN c ON c.old = r.tip)
+SELECT p.l_suppkey AS original, coalesce(x.tip, p.l_suppkey) AS l_suppkey, p.n, 'v1' AS id_version FROM (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1) p LEFT JOIN (SELECT id, tip FROM r WHERE tip NOT IN (SELECT old FROM c)) x ON x.id = p.l_suppkey""")
+def canonical_ids(spark, d):
+    """Suppliers renamed and merged in chains (each into a third of its number), as version 1 of the identifiers knows it."""
+    s = t(spark, d, "supplier").filter("s_suppkey > 2 and s_nationkey <> 7")
+    renamed = s.select(F.col("s_suppkey").alias("old"), F.floor(F.col("s_suppkey") / 3).alias("new"), F.when(F.col("s_suppkey") % 5 == 0, 2).otherwise(1).alias("version"))
+    names = lc.canonical_ids(lc.by_version(renamed, "old", "new", "version", F.lit(1)), "old", "new")
+    claims = t(spark, d, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n"))
+    return lc.as_canonical(claims, "l_suppkey", names, "v1")
+
+
+_TWO_TIMES = "SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS valid, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INT) AS observed, o_orderpriority AS v, o_orderkey AS o FROM orders"
+
+
+@query(f"""WITH c AS (SELECT k, valid, observed, v, o, lead(observed) OVER (PARTITION BY k, valid ORDER BY observed) AS until FROM (SELECT *, row_number() OVER (PARTITION BY k, valid, observed ORDER BY o DESC) AS n FROM ({_TWO_TIMES})) WHERE n = 1),
+f AS (SELECT k, valid, min(observed) AS since FROM c GROUP BY 1, 2),
+stops AS (SELECT c.k, c.valid, c.observed, greatest(c.observed, f.since) AS tip FROM c JOIN f ON f.k = c.k AND f.valid > c.valid AND (c.until IS NULL OR f.since < c.until) UNION SELECT k, valid, observed, observed FROM c),
+nexts AS (SELECT s.k, s.valid, s.observed, s.tip, min(f.valid) AS valid_to FROM stops s LEFT JOIN f ON f.k = s.k AND f.valid > s.valid AND f.since <= s.tip GROUP BY 1, 2, 3, 4),
+kept AS (SELECT *, lag(valid_to) OVER w AS before, row_number() OVER w AS i FROM nexts WINDOW w AS (PARTITION BY k, valid, observed ORDER BY tip))
+SELECT c.k, c.valid, x.tip AS observed, c.v, c.o, x.valid_to, coalesce(lead(x.tip) OVER (PARTITION BY x.k, x.valid, x.observed ORDER BY x.tip), c.until) AS observed_to FROM (SELECT * FROM kept WHERE i = 1 OR valid_to IS DISTINCT FROM before) x JOIN c USING (k, valid, observed)""")
+def claim_rectangles(spark, d):
+    """Orders as claims about their day, observed up to 399 days later and in any order."""
+    o = t(spark, d, "orders")
+    day = F.to_date("o_orderdate")
+    claims = o.select(F.col("o_custkey").alias("k"), day.alias("valid"), F.date_add(day, (F.col("o_orderkey") % 400).cast("int")).alias("observed"), F.col("o_orderpriority").alias("v"), F.col("o_orderkey").alias("o"))
+    return lc.rectangles(claims, "k", "valid", "observed", "o")
+
+
+@query(f"""SELECT k, v FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY valid DESC, observed DESC, o DESC) AS n FROM ({_TWO_TIMES}) WHERE valid <= DATE '1999-03-01' AND observed <= DATE '1999-06-01') WHERE n = 1""")
+def claims_as_of_both(spark, d):
+    """What was known in June to hold in March."""
+    day = lambda x: F.lit(x).cast("date")
+    return lc.as_of_both(claim_rectangles(spark, d), "valid", "observed", day("1999-03-01"), day("1999-06-01")).select("k", "v")
+
+
+@query("SELECT 'feed' AS name, count(*) AS n, max(c_custkey) AS last FROM customer WHERE c_nationkey < 10 OR c_acctbal > 5000 UNION ALL SELECT 'census', count(*), max(c_custkey) FROM customer WHERE c_nationkey < 5 OR c_acctbal > 5000")
+def feed_and_census(spark, d):
+    """Feed and census change together: a second version adds the same hits to both, and readers see both or neither."""
+    c, at_path = t(spark, d, "customer").select("c_custkey", "c_acctbal", "c_nationkey"), _folder(spark, "joint")
+    commits.commit(spark, at_path, {"feed": c.filter("c_nationkey < 10"), "census": c.filter("c_nationkey < 5")}, 0)
+    hits = c.filter("c_acctbal > 5000")
+    commits.update(spark, at_path, lambda tables: {n: x.unionByName(hits.join(x, "c_custkey", "left_anti").select(*x.columns)) for n, x in tables.items()})
+    _, tables = commits.read(spark, at_path)
+    rows = [tables[n].agg(F.count("*").alias("n"), F.max("c_custkey").alias("last")).select(F.lit(n).alias("name"), "n", "last") for n in ("feed", "census")]
+    return rows[0].unionByName(rows[1])
