@@ -17,7 +17,7 @@ def stream_changes(spark, d):
     """Changes of each user's state as they come, over several batches: how many, and the last one."""
     ky.with_state_store(spark)
     events, out = st.source(spark, _several_files(spark, d), t(spark, d, "events").schema), _folder(spark, "changes")
-    st.drained(ky.changes(events, "user_id", "event_type", "ts"), out, _folder(spark, "checkpoint"))
+    st.appended(ky.changes(events, "user_id", "event_type", "ts"), out, _folder(spark, "checkpoint"))
     got = spark.read.schema("user_id long, at timestamp, before string, after string, status string").parquet(out)
     counts = [F.count_if(F.col("status") == s).alias(n) for s, n in (("CHANGED", "changed"), ("NEW", "started"))]
     return got.groupBy("user_id").agg(*counts, F.max_by("after", F.struct("at", "after")).alias("last"))
@@ -30,7 +30,7 @@ def stream_upgraded_moves(spark, d):
     files, out, checkpoint = _several_files(spark, d), _folder(spark, "moves"), _folder(spark, "checkpoint")
     for _ in range(2):
         events = st.source(spark, files, t(spark, d, "events").schema).withColumn("ts", F.col("ts").cast("timestamp"))
-        st.drained(ky.upgraded_moves(events, "user_id", "event_type", "props", "ts"), out, checkpoint)
+        st.appended(ky.upgraded_moves(events, "user_id", "event_type", "props", "ts"), out, checkpoint)
     rows = spark.read.schema("user_id long, event_type string, earliest timestamp, latest timestamp, kinds string, cross_linked boolean").parquet(out)
     newest = rows.groupBy("user_id", "event_type").agg(F.max_by(F.struct("earliest", "latest", "kinds", "cross_linked"), F.struct(F.size(F.split("kinds", ",")), "latest", F.negative(F.unix_micros("earliest")))).alias("m"))
     return newest.select("user_id", F.col("event_type").alias("kind"), F.col("m.earliest").cast("timestamp_ntz").alias("earliest"), F.col("m.latest").cast("timestamp_ntz").alias("latest"), "m.kinds", "m.cross_linked")

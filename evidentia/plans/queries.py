@@ -415,7 +415,7 @@ def stream_dedup(spark, d):
     """Each pair comes once, in whichever batch it comes first."""
     schema, out = t(spark, d, "events").schema, _folder(spark, "first-seen")
     events = st.source(spark, _several_files(spark, d), schema).select("user_id", "event_type")
-    st.drained(st.first_seen(events, ["user_id", "event_type"]), out, _folder(spark, "checkpoint"))
+    st.appended(st.first_seen(events, ["user_id", "event_type"]), out, _folder(spark, "checkpoint"))
     return spark.read.schema("user_id long, event_type string").parquet(out)
 
 

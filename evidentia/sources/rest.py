@@ -4,11 +4,19 @@
 returns (rows, next token or None); ``queries``, a JSON array, gives a partition to each query. Pages are read to the end: a source that wants a bound
 says so (``max_pages``) and says what happens there (``beyond``: "fail", the default, or "stop"). Fetch functions for common protocols are below.
 
+Rows have the columns of the reader's schema (by name, from the row's JSON; ``id`` and ``body``, the whole row, if no schema is given). ``pushdown``, a JSON object
+{column: {operator: parameter}}, says which conditions the server can test: they go out as request parameters, the others are left to Spark (this needs
+``spark.sql.python.filterPushdown.enabled``).
+
+As a stream (``spark.readStream``), a query is read up to where the server says it is: ``latest`` is a URL whose answer has the highest ``cursor`` of a query, rows carry their own at ``cursor_of``, and a
+batch asks for those after ``cursor_param`` up to ``until_param``. Offsets hold a cursor for each query, so a batch can be read again, and a restart goes on after the last one.
+
 Waits grow linearly; a failure for good fails the task, and Spark's own retries come on top.
 """
 
 from __future__ import annotations
 
+import datetime
 import functools
 import importlib
 import json
@@ -16,10 +24,12 @@ import time
 import urllib.error
 import urllib.parse
 import urllib.request
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
+from pyspark.sql.types import StructType
 
 
 class RestSource(DataSource):
@@ -31,18 +41,40 @@ class RestSource(DataSource):
         return "id string, body string"
 
     def reader(self, schema) -> DataSourceReader:
-        return RestReader(dict(self.options))
+        return RestReader(dict(self.options), schema)
 
+    def streamReader(self, schema) -> DataSourceStreamReader:  # noqa: N802
+        return RestStream(dict(self.options), schema)
 
-class RestReader(DataSourceReader):
-    def __init__(self, options: dict[str, str]):
-        self.options = options
 
-    def partitions(self) -> list[InputPartition]:
-        """One partition for each of the ``queries``; each is paged on its own."""
-        return [InputPartition(q) for q in json.loads(self.options.get("queries", "[null]"))]
+#: Operators of the conditions that Spark offers.
+OPERATORS = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
+_PLAIN = {"string": str, "long": int, "integer": int, "double": float, "boolean": bool}
 
-    def read(self, partition: InputPartition):
+
+def _sent(value: object) -> str:
+    return value.isoformat() if hasattr(value, "isoformat") else str(value)
+
+
+class _Pages:
+    """Rows of the pages of a query, in the columns of a schema."""
+
+    def __init__(self, options: dict[str, str], schema: StructType | None = None):
+        self.options, self.pushed = options, {}
+        self.columns = [(f.name, f.dataType.typeName()) for f in schema.fields] if schema is not None else [("id", "string"), ("body", "string")]
+
+    def row(self, row: dict) -> tuple:
+        out = []
+        for name, kind in self.columns:
+            v = str(row.get(self.options.get("id", "id"))) if name == "id" else json.dumps(row) if name == "body" and "body" not in row else row.get(name)
+            if v is not None and kind in ("date", "timestamp"):
+                v = datetime.date.fromisoformat(str(v)[:10]) if kind == "date" else datetime.datetime.fromisoformat(str(v))
+            out.append(v if v is None or kind not in _PLAIN else json.dumps(v) if kind == "string" and isinstance(v, dict | list) else _PLAIN[kind](v))
+        return tuple(out)
+
+    def rows(self, query: object, **more: object):
+        given = {**json.loads(self.options.get("params", "{}")), **self.pushed, **more}
+        options = {**self.options, "params": json.dumps(given), "query": query}
         module, _, name = self.options.get("fetch", f"{__name__}:by_token").partition(":")
         fetch = getattr(importlib.import_module(module), name)
         most = int(self.options["max_pages"]) if "max_pages" in self.options else None
@@ -52,9 +84,8 @@ class RestReader(DataSourceReader):
                 if self.options.get("beyond", "fail") == "stop":
                     return
                 raise RuntimeError(f"more than {most} pages; raise max_pages, or set beyond=stop to leave the rest")
-            rows, token = self._retry(fetch, {**self.options, "query": partition.value}, token)
-            for row in rows:
-                yield str(row.get(self.options.get("id", "id"))), json.dumps(row)
+            rows, token = self._retry(fetch, options, token)
+            yield from rows
             pages += 1
             if token is None or not rows:
                 return
@@ -74,6 +105,54 @@ class RestReader(DataSourceReader):
         raise AssertionError
 
 
+class RestReader(_Pages, DataSourceReader):
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:  # noqa: N802
+        """Conditions that the server tests become parameters; the others are given back."""
+        known = json.loads(self.options.get("pushdown", "{}"))
+        for f in filters:
+            name = known.get(".".join(f.attribute), {}).get(OPERATORS.get(type(f))) if hasattr(f, "attribute") else None
+            if name and name not in self.pushed:
+                self.pushed[name] = _sent(f.value)
+            else:
+                yield f
+
+    def partitions(self) -> list[InputPartition]:
+        """One partition for each of the ``queries``; each is paged on its own."""
+        return [InputPartition(q) for q in json.loads(self.options.get("queries", "[null]"))]
+
+    def read(self, partition: InputPartition):
+        for row in self.rows(partition.value):
+            yield self.row(row)
+
+
+class RestStream(_Pages, DataSourceStreamReader):
+    """Rows of each query by their cursor. An offset is {query: cursor}; the query is its JSON text."""
+
+    def _queries(self) -> list[str]:
+        return [json.dumps(q, sort_keys=True) for q in json.loads(self.options.get("queries", "[null]"))]
+
+    def initialOffset(self) -> dict:  # noqa: N802
+        return {q: int(self.options.get("from", "0")) for q in self._queries()}
+
+    def latestOffset(self) -> dict:  # noqa: N802
+        found = {}
+        for q in self._queries():
+            options = {**self.options, "url": self.options["latest"], "query": json.loads(q)}
+            answer = self._retry(lambda o, _: call(o, _url(o)), options, None)
+            found[q] = int(_at(answer, self.options.get("cursor", "cursor")) or 0)
+        return found
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        return [InputPartition((q, int(start.get(q, 0)), int(to))) for q, to in end.items() if int(to) > int(start.get(q, 0))]
+
+    def read(self, partition: InputPartition):
+        query, start, end = partition.value
+        name = self.options.get("cursor_of", "cursor")
+        for row in self.rows(json.loads(query), **{self.options.get("cursor_param", "after"): start, self.options.get("until_param", "until"): end}):
+            if start < int(row[name]) <= end:  # a server that ignores a bound gives more
+                yield self.row(row)
+
+
 _tokens: dict[str, str] = {}
 
 

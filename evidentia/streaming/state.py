@@ -48,11 +48,18 @@ def append_new(stream: DataFrame, path: str, checkpoint: str, key: str):
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def drained(df: DataFrame, path: str, checkpoint: str) -> None:
+def appended(df: DataFrame, path: str, checkpoint: str) -> None:
     """Run a stream over what is there now and append its rows to a table on shared storage; run again, it goes on from its checkpoint."""
     df.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def drained(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
+    """Run a stream over what is there now and return its rows through the driver: for smoke runs on a few rows; ``appended`` and ``upserted`` are for others."""
+    q = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return df.sparkSession.table(name)
+
+
 def upserted(df: DataFrame, path: str, checkpoint: str) -> None:
     """Run a stream of changed rows over what is there now: each batch's rows go to a folder of its own, numbered, so that a batch that is run again replaces itself (``latest`` reads them)."""
 
