@@ -22,7 +22,8 @@ ACADEMIC = ["univers", "hospital", "national", "institut", "college", "medical c
 #: Patterns of the quality grade: out of scope, another modality, implausible symbols, methods.
 EXCLUDE = r"SARS|\bCOV|CORONAVIR|ANTIVIR|\bVIRUS\b|VIRAL|\b3CL\b|\bMPRO\b|MAIN PROTEASE|HEPATITIS|\bHBV\b|\bHIV\b|INFLUENZA|ANTIBACTER|\bBACTERIAL|ANTIFUNG|ANTIBOD|ANTIGEN.BINDING|BISPECIFIC|NANOBODY|IMMUNOCONJUG|FUSION PROTEIN|CAR.T|VACCINE|OLIGONUCLEOT|SIRNA|\bMRNA\b|APTAMER|POLYMER|HYDROGEL|COPOLYMER|MICROCAPSULE|NANOPARTICLE|\bCOATING|\bRESIN\b|COSMETIC|SYNTHESIS OF|PROCESS FOR PREPAR|\bINTERMEDIATE\b"
 DEGRADER = r"PROTAC|DEGRADER|MODULATORS? OF PROTEOLYSIS|MOLECULAR GLUE|PROTEOLYSIS.TARGETING|GLUTARIMIDE|PIPERIDINE-?2,6-?DIONE|OXOISOINDOLIN|CEREBLON|\bCRBN\b|THALIDOMIDE|LENALIDOMIDE|POMALIDOMIDE"
-IMPLAUSIBLE = r"^(?:(?:OR\d|TAS2R\d|OR\d+[A-Z])|(?:NRN1L?|TPO|THPO)$|COL\d)"
+IMPLAUSIBLE = r"^(OR\d|TAS2R\d|OR\d+[A-Z])"
+NOT_TARGET = r"^(?:NRN1L?|TPO|THPO)$|^COL\d"
 METHOD = r"^\s*METHODS?\b|COMBINATION|THERAPY|DOSING|REGIMEN|RESISTAN|COMPRISING A\b"
 #: Design fingerprint: weights and patterns; suspect from the threshold on.
 FINGERPRINT = {

@@ -22,6 +22,11 @@ def json_field(c: Column, path: str, kind: str, default: object = None) -> Colum
     return F.coalesce(F.get_json_object(c, path).try_cast(kind), F.lit(default).cast(kind))
 
 
+def least_of(values: Column, keep, value) -> Column:
+    """The least value of those elements of a nested list that are kept (null if none is): ``keep`` and ``value`` are functions of an element."""
+    return F.array_min(F.transform(F.filter(values, keep), value))
+
+
 def split_packed(c: Column, sep: str = "|") -> Column:
     """Packed list to array without empty parts; null is an empty array."""
     return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "\\Q" + sep + "\\E"), lambda x: F.trim(x)), lambda x: x != "")

@@ -1,46 +1,39 @@
-"""Texts out of XML, in Arrow batches: whole subtrees and namespaces are beyond XPath functions."""
+"""Claims out of patent XML as Columns. A claim is independent if it names no other: a relation between a claim and its text, so claims become an array and those that
+refer to another are filtered from it."""
 
 from __future__ import annotations
 
-import re
-import xml.etree.ElementTree as ET
-
-import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
 
-_BACK = re.compile(r"\bclaims?\s+\d+", re.IGNORECASE)
-_NUMBERED = re.compile(r"\d+\.\s")
+from evidentia.functions.text import unescaped
+
+#: What begins a numbered unit, and a reference to other claims.
+NUMBER, REFERENCE = r"^\s*\d+\.\s", r"(?i)\bclaims?\s+\d+"
 
 
-def _name(element: ET.Element) -> str:
-    return element.tag.rpartition("}")[2]
+def _inside(c: Column, tag: str) -> Column:
+    """What stands in each element of a name, whatever its prefix; elements of one name are taken as not nested."""
+    return F.regexp_extract_all(c, F.lit(rf"(?s)<(?:[\w.-]+:)?{tag}(?:\s[^>]*)?>(.*?)</(?:[\w.-]+:)?{tag}\s*>"), F.lit(1))
 
 
-def _plain(element: ET.Element) -> str:
-    return " ".join("".join(element.itertext()).split())
+def plain(c: Column) -> Column:
+    """Text without tags, its white space single."""
+    return F.trim(F.regexp_replace(unescaped(F.regexp_replace(c, "<[^>]*>", "")), r"\s+", " "))
 
 
-def claims_of(document: str | None) -> list[str]:
-    """Claims that do not refer to another: elements ``claim``, or, if there is one with several lines (``claim-text``), the units that begin with a number."""
-    try:
-        root = ET.fromstring(document or "")
-    except ET.ParseError:
-        return []
-    claims = [e for e in root.iter() if _name(e) == "claim"]
-    lines = [_plain(e) for e in claims[0].iter() if _name(e) == "claim-text"] if len(claims) == 1 else []
-    if len(lines) > 1:
-        units: list[str] = []
-        for line in lines:
-            if units and not _NUMBERED.match(line):
-                units[-1] += " " + line
-            else:
-                units.append(line)
-        return [u for u in units if not _BACK.search(u)]
-    own = [e for e in claims if not any(_name(x) == "claim-ref" for x in e.iter())]
-    return [t for t in map(_plain, own) if not _BACK.search(t)]
+def numbered(lines: Column) -> Column:
+    """Lines joined to units; a unit begins at a line with a number (and the first at the first line)."""
+    marked = F.transform(lines, lambda x: F.when(x.rlike(NUMBER), F.concat(F.lit("\x01"), x)).otherwise(x))
+    return F.filter(F.transform(F.split(F.array_join(marked, " "), "\x01"), F.trim), lambda x: x != "")
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def independent_claims(documents: pd.Series) -> pd.Series:
-    return documents.map(claims_of)
+def independent_claims(c: Column) -> Column:
+    """Claims that do not refer to another: those of the elements ``claim``, without the ones that hold a ``claim-ref``; a single ``claim`` with several ``claim-text`` is a list of numbered units.
+    Without claims, and of null, an empty array."""
+    bodies = _inside(F.coalesce(c, F.lit("")), "claim")
+    lines = F.transform(_inside(F.element_at(bodies, 1), "claim-text"), plain)
+    one_by_one = F.transform(F.filter(bodies, lambda x: ~x.rlike(r"<(?:[\w.-]+:)?claim-ref\b")), plain)
+    is_list = (F.size(bodies) == 1) & (F.size(F.when(F.size(bodies) == 1, lines)) > 1)
+    texts = F.when(is_list, numbered(lines)).otherwise(one_by_one)
+    return F.filter(texts, lambda x: ~x.rlike(REFERENCE))

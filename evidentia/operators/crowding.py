@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from evidentia.functions.text import positions_of
+from evidentia.functions.text import academic, positions_of
 
 
 def tier(n: Column, steps: list[tuple[int, str]], above: str, saturated: Column | None = None) -> Column:
@@ -38,8 +38,14 @@ def window(df: DataFrame, target: str, player: str, date: str, now: int, since:
     y = F.year(date)
     now_on = F.coalesce(F.col(date) >= since, F.lit(False)) if since is not None else F.lit(True)
     who, day = F.when(now_on, F.col(player)), F.when(now_on, F.col(date).cast("date"))
-    agg = df.filter(F.col(player).isNotNull()).groupBy(target).agg(F.countDistinct(who).alias("players"), F.count_if(now_on).alias("records"), F.min(y).alias("first_year"), F.max(day).alias("latest"), F.array_join(F.slice(F.array_sort(F.collect_set(who.cast("string"))), 1, top), ",").alias("names"))
-    return agg.filter("records > 0").withColumns({"bracket": bracket(F.col("first_year"), brackets), "years": F.lit(now) - F.col("first_year"), "window": tier(F.col("players"), **WINDOW)})
+    rows = df.filter(F.col(player).isNotNull())
+    agg = rows.groupBy(target).agg(F.countDistinct(who).alias("players"), F.count_if(now_on).alias("records"), F.min(y).alias("first_year"), F.max(day).alias("latest"))
+    # the first players by name, without an array of all of them: Spark cuts each task's share of a target to ``top`` before the shuffle
+    each = rows.filter(now_on).select(target, F.col(player).cast("string").alias("_name")).distinct()
+    some = each.withColumn("_n", F.row_number().over(W.partitionBy(target).orderBy("_name"))).filter(F.col("_n") <= top)
+    names = some.groupBy(target).agg(F.array_join(F.array_sort(F.collect_list("_name")), ",").alias("names"))
+    agg = agg.filter("records > 0").join(names, target, "left")
+    return agg.withColumns({"bracket": bracket(F.col("first_year"), brackets), "years": F.lit(now) - F.col("first_year"), "window": tier(F.col("players"), **WINDOW)})
 
 
 def landscape(df: DataFrame, target: str, player: str, phase: str, rank: dict[str, float]) -> DataFrame:
@@ -51,6 +57,35 @@ def landscape(df: DataFrame, target: str, player: str, phase: str, rank: dict[st
     return agg.withColumn("tier", tier(F.col("players"), **LANDSCAPE))
 
 
+def competition(programs: DataFrame, filers: DataFrame, entries: DataFrame, target: str, sponsor: str, phase: str, rank: dict[str, float], drug: str, covalent: str) -> DataFrame:
+    """Per target of any of the three: the registry's programs (industry sponsors, with the furthest phase and first drug of the leading one), entries found elsewhere, crowding by the larger number of
+    the two, and the covalent lane, contested if someone filed or an entry is covalent. ``filers`` has a row for each filing."""
+    order = F.lit(0.0)
+    for name, r in rank.items():
+        order = F.when(F.col(phase) == name, F.lit(float(r))).otherwise(order)
+    industry = programs.filter(F.col(sponsor).isNotNull() & (F.trim(sponsor) != "") & ~academic(F.col(sponsor)))
+    each = industry.groupBy(target, sponsor).agg(F.max(order).alias("_r"), F.max_by(F.col(phase), F.struct(order, F.col(phase))).alias("_p"), F.min(drug).alias("_d"))
+    lead = F.min_by(F.struct(F.col("_p").alias("p"), F.col("_d").alias("d"), F.col(sponsor).alias("s")), F.struct(-F.col("_r"), F.col(sponsor)))
+    clinical = each.groupBy(target).agg(F.count("*").alias("n_clinical"), lead.alias("_lead"))
+    found = entries.groupBy(target).agg(F.count("*").alias("n_landscape"), F.bool_or(F.coalesce(F.col(covalent), F.lit(False))).alias("_covalent"))
+    filed = filers.select(target).distinct().withColumn("_filed", F.lit(True))
+    out = clinical.join(found, target, "full_outer").join(filed, target, "full_outer").fillna({"n_clinical": 0, "n_landscape": 0, "_covalent": False, "_filed": False})
+    out = out.withColumn("crowding", tier(F.greatest("n_clinical", "n_landscape"), **LANDSCAPE)).withColumn("covalent_lane", F.when(F.col("_covalent") | F.col("_filed"), "contested").otherwise("open"))
+    return out.select(target, "n_clinical", "n_landscape", F.col("_lead.s").alias("leader"), F.col("_lead.p").alias("phase"), F.col("_lead.d").alias("drug"), "crowding", "covalent_lane")
+
+
+def opportunity_table(entities: DataFrame, ident: str, aliases: DataFrame, sites: DataFrame, flags: list[str], wanted: str, proven: str, closed: DataFrame, toxic: DataFrame, order: list[Column]) -> DataFrame:
+    """Entities that are wanted, under their symbols (``aliases``: key, symbol; one row for each key), one row for each symbol: flags joined by OR, the largest number of sites (``sites``: a row for
+    each), and the other columns of the first by ``order``. ``bucket``: what is proven and not closed is an opportunity, or a toxic one; the rest is other."""
+    n = sites.groupBy(ident).agg(F.count("*").alias("n_sites"))
+    named = entities.filter(F.coalesce(F.col(wanted), F.lit(False))).join(aliases.withColumnRenamed("key", ident), ident).join(n, ident, "left").fillna({"n_sites": 0})
+    listed = lambda df, name: df.select("symbol").distinct().withColumn(name, F.lit(True))
+    known = named.join(listed(closed, "closed"), "symbol", "left").join(listed(toxic, "toxic"), "symbol", "left").fillna({"closed": False, "toxic": False})
+    one = flags_of(known, "symbol", [*flags, "closed", "toxic"], ["n_sites"], order)
+    hit = F.coalesce(F.col(proven), F.lit(False)) & ~F.col("closed")
+    return one.withColumn("bucket", F.when(hit & ~F.col("toxic"), "opportunity").when(hit, "toxic").otherwise("other"))
+
+
 def fresh(df: DataFrame, target: str, player: str, date: str, title: str, names: list[str], *, since: Column, latest_since: Column, skip: str, most: int = 3) -> DataFrame:
     """Fresh filings: targets that a title since then names (one of ``names``, case-folded; titles with the pattern ``skip`` are left out), with at most ``most``
     players and a latest date of late; latest first, then fewest players."""

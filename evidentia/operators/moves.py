@@ -32,10 +32,10 @@ def crosslink(events: DataFrame, event: str, targets: str, owner: str, index: Da
     """Per event: LIKELY if its own owner holds one of its targets (the first such), POSSIBLE if anyone does, else NONE with the first target, if it has any. An
     owner without a name holds nothing, but what it holds is held by someone."""
     t = events.select(event, owner, F.posexplode_outer(targets).alias("pos", "_t"))
-    held = index.groupBy(idx_target).agg(F.collect_set(idx_owner).alias("_o")).withColumnRenamed(idx_target, "_t")
-    j = t.join(held, "_t", "left")
-    own = F.array_contains("_o", F.col(owner)) & (F.col(owner).cast("string") != "")
-    level = F.when(own, 0).when(F.size("_o") > 0, 1).otherwise(2)
+    pairs = index.select(F.col(idx_target).alias("_t"), F.col(idx_owner).alias(owner)).filter(F.col(owner).isNotNull()).distinct()
+    held = pairs.select("_t").distinct().withColumn("_held", F.lit(True))
+    j = t.join(pairs.filter(F.col(owner).cast("string") != "").withColumn("_own", F.lit(True)), ["_t", owner], "left").join(held, "_t", "left")
+    level = F.when(F.col("_own"), 0).when(F.col("_held"), 1).otherwise(2)
     best = j.groupBy(event).agg(F.min_by(F.struct("_t", level.alias("lv")), F.struct(level, "pos")).alias("b"))
     name = F.when(F.col("b.lv") == 0, "LIKELY").when(F.col("b.lv") == 1, "POSSIBLE").otherwise("NONE")
     return best.select(event, name.alias("link"), F.col("b._t").alias("link_target"))
@@ -46,6 +46,26 @@ def cascade(link: Column, class_hit: Column, fingerprint: Column, least: int = 4
     return F.when(link == "LIKELY", "LIKELY").when(class_hit, "LIKELY").when(fingerprint >= least, "FINGERPRINT").otherwise(link)
 
 
+def covalency(link: Column, class_hit: Column, fingerprint: Column, published: Column, web_claim: Column, web_sources: Column, least: int = 4) -> Column:
+    """All levels of the cascade, each upgrading what the ones before left open: link, class word, fingerprint (of NONE or POSSIBLE), publications (of anything below LIKELY), and the
+    web, where a claim with a source makes LIKELY and one without makes POSSIBLE of NONE."""
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    level = F.when(yes(class_hit), "LIKELY").otherwise(link)
+    level = F.when((F.coalesce(fingerprint, F.lit(0)) >= least) & level.isin("NONE", "POSSIBLE"), "FINGERPRINT").otherwise(level)
+    level = F.when(yes(published) & (level != "LIKELY"), "LIKELY").otherwise(level)
+    cited = F.coalesce(web_sources, F.lit(0)) > 0
+    return F.when(yes(web_claim) & (level != "LIKELY") & cited, "LIKELY").when(yes(web_claim) & (level == "NONE"), "POSSIBLE").otherwise(level)
+
+
+def publications(refs: DataFrame, trial: str, position: str, ident: str, papers: DataFrame, paper: str, title: str, abstract: str, most: int = 5) -> DataFrame:
+    """(trial, text): titles and abstracts of a trial's first publications, in order. References without a paper count among the first, and give no text."""
+    first = refs.filter(F.col(ident).isNotNull()).withColumn("_n", F.row_number().over(W.partitionBy(trial).orderBy(position, ident))).filter(F.col("_n") <= most)
+    text = F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(abstract, F.lit("")))
+    both = first.join(papers.select(F.col(paper).alias(ident), text.alias("_text")), ident)
+    texts = F.array_sort(F.collect_list(F.struct("_n", "_text")))
+    return both.groupBy(trial).agg(F.array_join(F.transform(texts, lambda x: x["_text"]), " ").alias("text"))
+
+
 def novelty(*flags: Column) -> Column:
     n = sum((F.coalesce(f, F.lit(False)).cast("int") for f in flags), F.lit(0))
     return F.when(n == 0, "NOVEL").when(n == 1, "EMERGING").otherwise("KNOWN")

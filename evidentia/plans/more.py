@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from evidentia.functions import fixed
+from evidentia.functions import text as tx
+from evidentia.operators import attribution as at
+from evidentia.operators import crowding as cr
 from evidentia.operators import lifecycle as lc
-from evidentia.plans.queries import _folder, _several_files, query, t
+from evidentia.operators import moves as mv
+from evidentia.plans.queries import RULES, _folder, _several_files, query, t
 from evidentia.sources import commits
 from evidentia.streaming import keyed as ky
 from evidentia.streaming import state as st
@@ -86,3 +91,86 @@ def feed_and_census(spark, d):
     _, tables = commits.read(spark, at_path)
     rows = [tables[n].agg(F.count("*").alias("n"), F.max("c_custkey").alias("last")).select(F.lit(n).alias("name"), "n", "last") for n in ("feed", "census")]
     return rows[0].unionByName(rows[1])
+
+
+# --- landscape, opportunities, cascade with all levels ---
+
+_PROGRAMS = "SELECT l_partkey AS target, CASE l_suppkey % 5 WHEN 0 THEN 'University ' || l_suppkey WHEN 1 THEN 'John Smith' ELSE 'Sponsor ' || l_suppkey END AS sponsor, l_shipmode AS phase, 'D' || l_linenumber AS drug FROM (SELECT *, CASE l_returnflag WHEN 'A' THEN 'PHASE3' WHEN 'R' THEN 'PHASE2' ELSE 'NA' END AS l_shipmode FROM lineitem)"
+
+
+@query(f"""WITH p AS ({_PROGRAMS}), e AS (SELECT target, sponsor, max(CASE phase WHEN 'PHASE3' THEN 3 WHEN 'PHASE2' THEN 2 ELSE 0 END) AS r, min(drug) AS d FROM p WHERE sponsor LIKE 'Sponsor%' GROUP BY 1, 2),
+c AS (SELECT target, count(*) AS n_clinical, arg_min({{'s': sponsor, 'p': CASE r WHEN 3 THEN 'PHASE3' WHEN 2 THEN 'PHASE2' ELSE 'NA' END, 'd': d}}, (-r, sponsor)) AS lead FROM e GROUP BY 1),
+l AS (SELECT o_custkey AS target, count(*) AS n_landscape, bool_or(o_orderstatus = 'P') AS covalent FROM orders GROUP BY 1), f AS (SELECT DISTINCT p_partkey AS target FROM part WHERE p_size > 40),
+a AS (SELECT target, coalesce(n_clinical, 0) AS n_clinical, coalesce(n_landscape, 0) AS n_landscape, lead, coalesce(covalent, false) OR f.target IS NOT NULL AS contested FROM c FULL JOIN l USING (target) FULL JOIN f USING (target))
+SELECT target, n_clinical, n_landscape, lead.s AS leader, lead.p AS phase, lead.d AS drug, CASE WHEN greatest(n_clinical, n_landscape) <= 1 THEN 'OPEN' WHEN greatest(n_clinical, n_landscape) <= 4 THEN 'CONTESTED' ELSE 'CROWDED' END AS crowding, CASE WHEN contested THEN 'contested' ELSE 'open' END AS covalent_lane FROM a""")
+def competition(spark, d):
+    """Registry programs without academic and personal sponsors, entries found elsewhere, filers."""
+    li = t(spark, d, "lineitem")
+    kind, who = F.col("l_suppkey") % 5, F.col("l_suppkey").cast("string")
+    sponsor = F.when(kind == 0, F.concat(F.lit("University "), who)).when(kind == 1, "John Smith").otherwise(F.concat(F.lit("Sponsor "), who))
+    phase = F.when(F.col("l_returnflag") == "A", "PHASE3").when(F.col("l_returnflag") == "R", "PHASE2").otherwise("NA")
+    programs = li.select(F.col("l_partkey").alias("target"), sponsor.alias("sponsor"), phase.alias("phase"), F.concat(F.lit("D"), F.col("l_linenumber").cast("string")).alias("drug"))
+    entries = t(spark, d, "orders").select(F.col("o_custkey").alias("target"), (F.col("o_orderstatus") == "P").alias("covalent"))
+    filers = t(spark, d, "part").filter("p_size > 40").select(F.col("p_partkey").alias("target"))
+    return cr.competition(programs, filers, entries, "target", "sponsor", "phase", {"PHASE3": 3, "PHASE2": 2}, "drug", "covalent")
+
+
+@query("""WITH a AS (SELECT key, arg_max(symbol, pos) AS symbol FROM (SELECT unnest(['S' || s_suppkey, 'S' || (s_suppkey + 7)]) AS key, 'G' || (s_suppkey // 3) AS symbol, s_suppkey AS pos FROM supplier) GROUP BY 1),
+n AS (SELECT 'S' || l_suppkey AS id, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1),
+e AS (SELECT 'S' || s_suppkey AS id, s_suppkey, s_acctbal > 3000 AS fda, s_nationkey % 2 = 0 AS chembl, s_acctbal > 0 AS ligandable FROM supplier),
+k AS (SELECT a.symbol, e.*, coalesce(n.n, 0) AS sites, EXISTS (SELECT 1 FROM customer WHERE c_nationkey = 3 AND 'G' || c_custkey = a.symbol) AS closed, EXISTS (SELECT 1 FROM customer WHERE c_nationkey = 5 AND 'G' || c_custkey = a.symbol) AS toxic FROM e JOIN a ON a.key = e.id LEFT JOIN n ON n.id = e.id WHERE ligandable)
+SELECT symbol, bool_or(fda) AS fda, bool_or(chembl) AS chembl, bool_or(closed) AS closed, bool_or(toxic) AS toxic, max(sites) AS n_sites, arg_min(id, s_suppkey) AS id, CASE WHEN bool_or(fda) AND NOT bool_or(closed) AND NOT bool_or(toxic) THEN 'opportunity' WHEN bool_or(fda) AND NOT bool_or(closed) THEN 'toxic' ELSE 'other' END AS bucket FROM k GROUP BY 1""")
+def opportunity_table(spark, d):
+    """Entities under the symbols of their packed aliases, flags merged, against what is closed and toxic."""
+    s = t(spark, d, "supplier")
+    name = lambda c, x: F.concat(F.lit(x), c.cast("string"))
+    aliases = mv.by_alias(s.select(F.concat_ws("|", name(F.col("s_suppkey"), "S"), name(F.col("s_suppkey") + 7, "S")).alias("packed"), name(F.floor(F.col("s_suppkey") / 3), "G").alias("symbol"), "s_suppkey"), "packed", F.col("s_suppkey"), "symbol")
+    entities = s.select(name(F.col("s_suppkey"), "S").alias("id"), "s_suppkey", (F.col("s_acctbal") > 3000).alias("fda"), (F.col("s_nationkey") % 2 == 0).alias("chembl"), (F.col("s_acctbal") > 0).alias("ligandable"))
+    sites = t(spark, d, "lineitem").filter("l_returnflag = 'A'").select(name(F.col("l_suppkey"), "S").alias("id"))
+    symbols = lambda nation: t(spark, d, "customer").filter(F.col("c_nationkey") == nation).select(name(F.col("c_custkey"), "G").alias("symbol"))
+    out = cr.opportunity_table(entities, "id", aliases, sites, ["fda", "chembl"], "ligandable", "fda", symbols(3), symbols(5), [F.col("s_suppkey")])
+    return out.select("symbol", "fda", "chembl", "closed", "toxic", "n_sites", "id", "bucket")
+
+
+@query("""WITH p AS (SELECT page_id % 499 AS doc_id, string_agg(url || ' ' || regexp_replace(html, '<[^>]*>', ' ', 'g'), ' ' ORDER BY page_id) AS t FROM (SELECT *, row_number() OVER (PARTITION BY page_id % 499 ORDER BY page_id) AS n FROM pages) WHERE n <= 5 GROUP BY 1),
+d AS (SELECT doc_id, n_chars, CASE WHEN regexp_matches(text, '(?i)token =') THEN 'LIKELY' WHEN lang = 'en' THEN 'LIKELY' WHEN lang = 'de' THEN 'POSSIBLE' ELSE 'NONE' END AS a,
+3 * (text ILIKE '%licensed under%')::INT + 2 * (text ILIKE '%@mail%')::INT + 2 * regexp_matches(text, '[0-9]{4}')::INT + regexp_matches(text, ' [|] ')::INT AS score FROM documents),
+f AS (SELECT *, CASE WHEN score >= 4 AND a IN ('NONE', 'POSSIBLE') THEN 'FINGERPRINT' ELSE a END AS b FROM d),
+g AS (SELECT f.*, CASE WHEN b <> 'LIKELY' AND coalesce(regexp_matches(t, '(?i)method') OR (regexp_matches(t, '(?i)der') AND NOT regexp_matches(t, '(?i)und')), false) THEN 'LIKELY' ELSE b END AS c FROM f LEFT JOIN p USING (doc_id))
+SELECT doc_id, CASE WHEN n_chars % 7 = 0 AND c <> 'LIKELY' AND n_chars % 2 = 0 THEN 'LIKELY' WHEN n_chars % 7 = 0 AND c = 'NONE' THEN 'POSSIBLE' ELSE c END AS level FROM g""")
+def covalency_cascade(spark, d):
+    """All levels: link, class word, fingerprint, the first five publications of each (pages), and the web with and without a source."""
+    docs, pages = t(spark, d, "documents"), t(spark, d, "pages")
+    refs = pages.select((F.col("page_id") % 499).alias("doc_id"), F.col("page_id").alias("pmid"))
+    papers = pages.select("page_id", "url", F.regexp_replace("html", "<[^>]*>", " ").alias("abstract"))
+    texts = mv.publications(refs, "doc_id", "pmid", "pmid", papers, "page_id", "url", "abstract").withColumnRenamed("text", "published")
+    score, _ = tx.fingerprint(F.col("text"), RULES)
+    link = F.when(F.col("lang") == "en", "LIKELY").when(F.col("lang") == "de", "POSSIBLE").otherwise("NONE")
+    known = tx.guarded(F.col("published"), "method", "der", "und")
+    level = mv.covalency(link, F.col("text").rlike("(?i)token ="), score, known, F.col("n_chars") % 7 == 0, F.when(F.col("n_chars") % 2 == 0, 1))
+    return docs.join(texts, "doc_id", "left").select("doc_id", level.alias("level"))
+
+
+@query("SELECT l_orderkey, min(CAST(l_shipdate AS DATE)) FILTER (l_returnflag = 'R') AS first_return FROM lineitem GROUP BY 1")
+def first_of_nested(spark, d):
+    """The first date among those elements of a nested list that are of one kind."""
+    nested = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_returnflag", F.to_date("l_shipdate").alias("day"))).alias("lines"))
+    first = tx.least_of(F.col("lines"), lambda x: x["l_returnflag"] == "R", lambda x: x["day"])
+    return nested.select("l_orderkey", first.alias("first_return"))
+
+
+_SAID = ["Compounds as SARS inhibitors", "Bifunctional degrader of {}", "Methods of treating {}", "Inhibitors of {} kinase", "Combination therapy with {}", "Antibody conjugates", "Glutarimide compounds", "Pyrimidines as {} modulators"]
+
+
+@query(f"""SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'trusted' WHEN regexp_matches(title, '(?i){fixed.EXCLUDE}') THEN 'excluded' WHEN regexp_matches(title, '(?i){fixed.DEGRADER}') THEN 'degrader' WHEN regexp_matches(symbol, '(?i){fixed.IMPLAUSIBLE}') OR regexp_matches(symbol, '(?i){fixed.NOT_TARGET}') THEN 'candidate' WHEN conf = 'title' AND NOT regexp_matches(title, '(?i){fixed.METHOD}') THEN 'trusted' ELSE 'candidate' END AS grade FROM (
+SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'title' WHEN 1 THEN 'claims' ELSE 'body' END AS conf, [{', '.join(f"'OR{i}A', 'COL{i}', 'EGFR{i}'" for i in range(3))}][o_custkey % 9 + 1] AS symbol, replace([{', '.join(f"'{x}'" for x in _SAID)}][o_orderkey % {len(_SAID)} + 1], '{{}}', o_orderpriority) AS title FROM orders)""")
+def grade_titles(spark, d):
+    """The patterns of the grade themselves, over titles made of the tables' values."""
+    symbols = F.array(*[F.lit(x) for i in range(3) for x in (f"OR{i}A", f"COL{i}", f"EGFR{i}")])
+    said = F.array(*map(F.lit, _SAID))
+    at_ = lambda c, n: (F.col(c) % n + 1).cast("int")
+    o = t(spark, d, "orders").withColumns({"symbol": F.element_at(symbols, at_("o_custkey", 9)), "title": F.replace(F.element_at(said, at_("o_orderkey", len(_SAID))), F.lit("{}"), F.col("o_orderpriority"))})
+    conf = F.when(F.col("o_orderkey") % 3 == 0, "title").when(F.col("o_orderkey") % 3 == 1, "claims").otherwise("body")
+    implausible = F.col("symbol").rlike("(?i)" + fixed.IMPLAUSIBLE) | F.col("symbol").rlike("(?i)" + fixed.NOT_TARGET)
+    grade = at.grade(conf, F.col("title"), radar=F.col("o_orderkey") % 11 == 0, exclude=fixed.EXCLUDE, degrader=fixed.DEGRADER, implausible=implausible, method=fixed.METHOD)
+    return o.select("o_orderkey", grade.alias("grade"))
