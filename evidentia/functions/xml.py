@@ -25,7 +25,7 @@ def plain(c: Column) -> Column:
 def numbered(lines: Column) -> Column:
     """Lines joined to units; a unit begins at a line with a number (and the first at the first line)."""
     marked = F.transform(lines, lambda x: F.when(x.rlike(NUMBER), F.concat(F.lit("\x01"), x)).otherwise(x))
-    return F.filter(F.transform(F.split(F.array_join(marked, " "), "\x01"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.array_join(marked, " "), "\x01"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def independent_claims(c: Column) -> Column:

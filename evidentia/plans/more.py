@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evidentia.functions import fixed
 from evidentia.functions import text as tx
+from evidentia.functions import xml as xm
+from evidentia.operators import alignment as al
 from evidentia.operators import attribution as at
+from evidentia.operators import backtest as bt
 from evidentia.operators import crowding as cr
 from evidentia.operators import lifecycle as lc
 from evidentia.operators import moves as mv
+from evidentia.operators import resolve as rs
 from evidentia.plans.queries import RULES, _folder, _several_files, query, t
-from evidentia.sources import commits
+from evidentia.sources import commits, files
 from evidentia.streaming import keyed as ky
 from evidentia.streaming import state as st
 
@@ -174,3 +179,115 @@ def grade_titles(spark, d):
     implausible = F.col("symbol").rlike("(?i)" + fixed.IMPLAUSIBLE) | F.col("symbol").rlike("(?i)" + fixed.NOT_TARGET)
     grade = at.grade(conf, F.col("title"), radar=F.col("o_orderkey") % 11 == 0, exclude=fixed.EXCLUDE, degrader=fixed.DEGRADER, implausible=implausible, method=fixed.METHOD)
     return o.select("o_orderkey", grade.alias("grade"))
+
+
+# --- forms of single values ---
+
+_BASE = "SELECT s_suppkey AS k, s_name AS n, s_acctbal AS b, s_nationkey AS c FROM supplier"
+
+
+@query(f"""SELECT k, lower(n) AS base, 'US' || (1000 + k) AS publication, DATE '2020-01-01' + k::INT % 300 AS compact, DATE '2021-03-01' + k::INT % 28 AS slashed, k * 1000.0::DOUBLE + 0.5 AS number, 'Supplier covalent ' || k AS snippet, CASE WHEN k % 3 = 0 THEN '-' ELSE n END AS first,
+k % 2 = 0 OR k % 7 = 1 AS academic, k % 5 > 1 AS supported, CASE WHEN k % 2 = 0 THEN 'u' || k ELSE '' END AS link, CAST(k % 4 AS INT) AS n_rescued, k % 3 = 1 AS residue, 'KRAS,T' || k AS tokens, 'm' || k || ' d' || k || ' 1y' AS design FROM ({_BASE})""")
+def value_forms(spark, d):
+    """Names, numbers, dates, lists and links in the forms that sources have them in, each back to its value."""
+    s = t(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("n"))
+    k = F.col("k")
+    text = lambda *c: F.concat(*(x if not isinstance(x, str) else F.lit(x) for x in c))
+    kk = k.cast("string")
+    salt = F.element_at(F.array(*map(F.lit, [" Hydrochloride", " mesylate  monohydrate", "", " sodium"])), (k % 4 + 1).cast("int"))
+    day = lambda start, n: F.date_add(F.lit(start).cast("date"), (k % n).cast("int"))
+    outcomes = F.array(F.struct(text("m", kk).alias("measure"), text("d", kk).alias("description"), F.lit("1y").alias("timeFrame")))
+    sponsor = F.when(k % 2 == 0, text("Hospital ", kk)).when(k % 7 == 1, "Anna Miller").otherwise(text("Maker ", kk, " Ltd"))
+    values = {
+        "base": tx.base_substance(text(F.col("n"), salt)),
+        "publication": tx.publication_key(text("US-", (k + 1000).cast("string"), "-A1")),
+        "compact": tx.compact_date(F.date_format(day("2020-01-01", 300), "yyyyMMdd")),
+        "slashed": tx.slashed_date(text("seen ", F.date_format(day("2021-03-01", 28), "dd/MM/yyyy"), " there")),
+        "number": tx.number(text(kk, ",000.5")),
+        "snippet": tx.snippet(text("a Supplier covalent ", kk, " of"), r"supplier covalent \d+"),
+        "first": tx.first_or(F.when(k % 3 == 0, F.array().cast("array<string>")).otherwise(F.array("n", F.lit("x"))), "-"),
+        "academic": tx.academic(sponsor),
+        "supported": tx.supported(F.when(k % 5 != 1, True), F.when(k % 5 > 0, F.array("n")).otherwise(F.array().cast("array<string>"))),
+        "n_rescued": F.size(tx.rescued_json(text("Here: ```json\n[", F.array_join(F.transform(F.filter(F.sequence(F.lit(0), k % 4), lambda i: i > 0), lambda i: text('{"a": ', i.cast("string"), "}")), ", "), "]\n``` so"), "array<struct<a:int>>")),
+        "residue": al.residue_is(F.when(k % 3 == 1, "AC").otherwise("CA"), F.lit(2)),
+        "tokens": F.array_join(tx.unsuppressed(text("KRAS HER2-negative T", kk, " EGFR mutant"), 1, 7), ","),
+        "design": F.trim(tx.design_text(outcomes, F.lit(""))),
+    }
+    linked = mv.live(s.withColumn("link", text("u", kk)), "link", F.when(k % 2 == 0, True))
+    return linked.select("k", "link", *(c.alias(name) for name, c in values.items()))
+
+
+@query("""SELECT p_partkey, concat_ws('|', '1. A ' || p_name || ' of ' || p_size || '.', CASE WHEN p_size % 2 = 0 THEN '3. A use & a ' || p_brand || '.' END) AS blob, concat_ws('|', 'A ' || p_name || ' of ' || p_size || '.', CASE WHEN p_size % 2 = 0 THEN 'A use of ' || p_brand || '.' END) AS plain FROM part""")
+def independent_claims(spark, d):
+    """Claims of documents in XML (one blob of numbered lines, or an element each) and in plain text."""
+    p = t(spark, d, "part")
+    even = F.col("p_size") % 2 == 0
+    one, size = F.concat(F.lit("1. A "), F.col("p_name"), F.lit(" of ")), F.col("p_size").cast("string")
+    use = F.when(even, F.concat(F.lit("3. A use &amp; a <b>"), F.col("p_brand"), F.lit("</b>."))).otherwise(F.lit("3. The thing of claims 1-2."))
+    blob = F.concat(F.lit('<r xmlns:x="u"><x:claims><x:claim id="c"><x:claim-text>'), one, F.lit("</x:claim-text><x:claim-text>\n"), size, F.lit(".</x:claim-text><x:claim-text>2. The thing of Claim 1,</x:claim-text><x:claim-text>but green.</x:claim-text><x:claim-text>"), use, F.lit("</x:claim-text></x:claim></x:claims></r>"))
+    each = F.concat(F.lit("<claims><claim><claim-text>"), one, size, F.lit(".</claim-text></claim><claim><claim-text>2. That of <claim-ref>it</claim-ref>.</claim-text></claim><claim><claim-text>"), use, F.lit("</claim-text></claim></claims>"))
+    doc = F.when(F.col("p_partkey") % 2 == 0, blob).otherwise(each)
+    text = F.concat(F.lit("1. A "), "p_name", F.lit(" of "), size, F.lit(".\n2. That of claim 1.\n 3. "), F.when(even, F.concat(F.lit("A use of "), "p_brand", F.lit("."))).otherwise("One as in Claims 1 and 2."))
+    return p.select("p_partkey", F.array_join(xm.independent_claims(doc), "|").alias("blob"), F.array_join(tx.independent_claims(text), "|").alias("plain"))
+
+
+@query("""WITH n AS (SELECT p_partkey, lower(trim(p_name)) AS base FROM part), pa AS (SELECT lower(trim(p_name)) AS base, list(DISTINCT p_brand) AS parents FROM part WHERE p_size > 45 GROUP BY 1),
+tg AS (SELECT p_brand AS parent, list_sort(list(DISTINCT 'Supplier#' || lpad(CAST(p_partkey % 50 AS VARCHAR), 9, '0'))) AS t FROM part WHERE p_size % 10 = 0 GROUP BY 1), fb AS (SELECT lower(trim(p_name)) AS base, list_sort(list(DISTINCT p_type)) AS f FROM part WHERE p_size < 3 GROUP BY 1),
+j AS (SELECT p_partkey, len(parents) > 1 AS many, CASE WHEN len(parents) > 1 THEN NULL ELSE coalesce(t, f) END AS s FROM n LEFT JOIN pa USING (base) LEFT JOIN tg ON tg.parent = CASE WHEN len(parents) = 1 THEN parents[1] END LEFT JOIN fb USING (base)),
+e AS (SELECT p_partkey, many, unnest(CASE WHEN s IS NULL THEN [NULL] ELSE s END) AS symbol FROM j)
+SELECT p_partkey, symbol, CASE WHEN coalesce(many, false) THEN 'AMBIGUOUS' WHEN s_suppkey IS NOT NULL THEN 'RESOLVED' ELSE 'UNRESOLVED' END AS outcome, CAST(s_suppkey AS VARCHAR) AS id FROM e LEFT JOIN supplier ON upper(s_name) = upper(symbol)""")
+def substance_cascade(spark, d):
+    """Names to their only parent, the parent's targets, or else a fallback's, each resolved."""
+    p, s = t(spark, d, "part"), t(spark, d, "supplier")
+    parents = p.filter("p_size > 45").select(F.concat("p_name", F.lit(" sodium")).alias("name"), F.col("p_brand").alias("parent"))
+    targets = p.select(F.col("p_brand").alias("parent"), F.concat(F.lit("Supplier#"), F.lpad((F.col("p_partkey") % 50).cast("string"), 9, "0")).alias("symbol"), F.when(F.col("p_size") % 10 == 0, "SINGLE PROTEIN").otherwise("FAMILY").alias("kind"))
+    fallback = p.filter("p_size < 3").select(F.col("p_name").alias("name"), F.col("p_type").alias("symbol"))
+    sym, alias = rs.index(s, "s_suppkey", "s_name")
+    names = p.select("p_partkey", F.concat("p_name", F.lit(" Hydrochloride")).alias("drug"))
+    return rs.resolve_substance(names, "drug", parents, targets, fallback, sym, alias).select("p_partkey", "symbol", "outcome", "id")
+
+
+@query("""SELECT c_custkey FROM (SELECT c_custkey, c_mktsegment, sum((c_mktsegment = 'BUILDING')::INT) OVER (ORDER BY c_acctbal DESC, c_custkey) AS k, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS n FROM customer) WHERE n <= 800 AND c_mktsegment = 'BUILDING' AND k <= 40""")
+def screened_until(spark, d):
+    """Early exit: in order, until 40 pass or 800 were looked at."""
+    return bt.until(t(spark, d, "customer"), F.col("c_mktsegment") == "BUILDING", 40, 800, F.col("c_acctbal").desc(), F.col("c_custkey")).select("c_custkey")
+
+
+# --- files, written and read back ---
+
+
+@query("""SELECT 'tab' AS how, count(*) AS n, max(s_name) AS last FROM supplier UNION ALL SELECT 'comma', count(*), max(s_name) FROM supplier UNION ALL SELECT 'json', count(*), max(s_name) FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT 'keys', count(*), max('K' || s_suppkey) FROM supplier
+UNION ALL SELECT 'xml', count(*), max(s_name) FROM supplier UNION ALL SELECT 'snapshot', count(*), max(s_name) FROM supplier WHERE s_suppkey > 3 UNION ALL SELECT 'pointer', 1, 'v2' UNION ALL SELECT 'dated', count(*), max(s_name) FROM supplier WHERE s_suppkey <= 40""")
+def file_round_trips(spark, d):
+    """A table through each kind of file."""
+    s, at_path, out = t(spark, d, "supplier").select("s_suppkey", "s_name"), _folder(spark, "files"), []
+    text = s.select(F.col("s_suppkey").cast("string").alias("k"), F.col("s_name").alias("v"))
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.StringType())])
+
+    def seen(how, df):
+        out.append(df.agg(F.count("*").alias("n"), F.max("v").alias("last")).select(F.lit(how).alias("how"), "n", "last"))
+
+    for how, sep in (("tab", "\t"), ("comma", ",")):
+        text.write.option("sep", sep).option("header", True).csv(f"{at_path}/{how}")
+        seen(how, files.delimited(spark, f"{at_path}/{how}", ["k", "v"], sep))
+    files.overwrite_json(text, f"{at_path}/json")
+    files.overwrite_json(s.filter("s_suppkey % 2 = 0").select(F.col("s_suppkey").cast("string").alias("k"), F.col("s_name").alias("v")), f"{at_path}/json")  # replaces the first
+    seen("json", files.json_lines(spark, f"{at_path}/json", schema))
+    text.select(F.concat(F.lit("K"), "k", F.lit(" (x)\tmore"))).write.text(f"{at_path}/keys")
+    seen("keys", files.key_list(spark, f"{at_path}/keys").withColumnRenamed("key", "v"))
+    text.write.format("xml").option("rowTag", "row").option("rootTag", "rows").save(f"{at_path}/xml")
+    seen("xml", files.xml(spark, f"{at_path}/xml", "row", schema))
+    for day, low in (("2024-01-05", 0), ("2024-02-01", 3)):
+        text.filter(F.col("k").cast("int") > low).write.parquet(f"{at_path}/snapshots/{day}/t")
+    newest = files.latest_snapshot(spark, f"{at_path}/snapshots", "t")
+    seen("snapshot", files.parquet(spark, f"{at_path}/snapshots/{newest}/t", ["v"]))
+    for v in ("v1", "v2"):
+        files.write_pointer(spark, f"{at_path}/pointer", v)
+    seen("pointer", files.constant(spark, [(files.read_pointer(spark, f"{at_path}/pointer"),)], "v string"))
+    files.dated_snapshot(text.filter(F.col("k").cast("int") <= 9), f"{at_path}/dated", "2024-03-01")
+    files.dated_snapshot(text.filter(F.col("k").cast("int") <= 40), f"{at_path}/dated", "2024-03-01")
+    seen("dated", spark.read.schema(schema).parquet(f"{at_path}/dated/run_date=2024-03-01"))
+    rows = out[0]
+    for row in out[1:]:
+        rows = rows.unionByName(row)
+    return rows
