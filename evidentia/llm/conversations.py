@@ -151,14 +151,14 @@ def _stream(rows: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def repair(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The edit script of each conversation of ``ids`` (column conv), in order and one conversation after the other within a partition: a row with place 0 and no edit that opens it, then one row for each
+    """The edit script of each conversation of ``ids`` (column conv) and ``rows``, in order and one conversation after the other within a partition: a row with place 0 and no edit that opens it, then one row for each
     edit, with the fault of the edited row (blank, duplicate, truncated), whether its role's initial may not follow the one before, the edit's cost, and the repaired turn's role and text (null if it goes).
     ``rows``: conv, turn (long), role, text, as ``damaged`` gives them."""
     return _stream(rows, ids).mapInArrow(_walk, f"conv {ids.schema['conv'].dataType.simpleString()}, {SCRIPT}")
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    out, conv, state, place, last, cell, first = None, None, START, 0, None, None, True
+    out, conv, state, place, last, cell, first, begun = None, None, START, 0, None, None, True, False
 
     def insert(at: int) -> int:
         nonlocal place
@@ -176,13 +176,13 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = _Out(pa.schema([pa.field("conv", batch.schema.field("conv").type), ("place", pa.int64()), ("turn", pa.int64()), ("edit", pa.string()), ("fault", pa.string()), ("illegal", pa.bool_()), ("cost", pa.int64()), ("role", pa.string()), ("text", pa.string())]))
         t = batch.to_pydict()
         for own, turn, role, kind, text, blank, truncated, again, before, after in zip(*(t[n] for n in ("conv", "turn", "role", "kind", "text", "blank", "truncated", "again", "before", "after")), strict=True):
-            if kind == 0:
+            if kind == 0 or own != conv or not begun:  # an opening row, or rows of a conversation that has none
                 end()
-                conv, state, place, last, cell = own, START, 0, None, None
+                conv, state, place, last, cell, begun = own, START, 0, None, None, True
                 out.add(conv, 0, None, None, None, None, 0, None, None)
-            elif kind == 1:
+            if kind == 1:
                 cell, first = (blank, truncated, again, before, after), True
-            else:
+            elif kind == 2:
                 blank, truncated, again, before, after = cell
                 illegal = last is not None and last + role[:1] not in LEGAL
                 last = role[:1]
