@@ -82,14 +82,14 @@ def matched(cases: DataFrame, controls: DataFrame, key: str, level: str, k: int,
 
 #: A prime below 2^32, and multipliers whose products with what they meet stay below 2^63.
 PRIME, SPREAD, STIR = 4294967291, 2654435761, 1540483477
-#: Rounds of the keyed bijection, and permutations that a task works on at once.
-FEISTEL, AT_ONCE = 4, 16
+#: Rounds of the keyed bijection, the least bits of a half (networks of fewer make some orders only), and permutations that a task works on at once.
+FEISTEL, LEAST_HALF, AT_ONCE = 4, 4, 16
 
 
 def keyed_places(places: np.ndarray, permutation: np.ndarray, n: int, seed: int) -> np.ndarray:
     """Where keyed bijections of 0 to n - 1 put some places (last axis; one bijection for each row of ``permutation``): a Feistel network over the two halves of a place's bits, walked on until it
     falls below n."""
-    half = max(1, (max(1, n - 1).bit_length() + 1) // 2)
+    half = max(LEAST_HALF, (max(1, n - 1).bit_length() + 1) // 2)
     mask = (1 << half) - 1
     x = np.broadcast_to(places, np.broadcast_shapes(places.shape, permutation.shape)).astype(np.int64)
     key = np.broadcast_to(permutation, x.shape)

@@ -341,7 +341,7 @@ _STEP = "({r} * 2654435761 + p * 4 + {i} + 7) % 4294967291 * 1540483477 % 429496
 
 
 @query(f"""WITH RECURSIVE r AS (SELECT row_number() OVER (ORDER BY signal, o_custkey) - 1 AS x, row_number() OVER (ORDER BY emerged, o_custkey) - 1 AS y, count(*) OVER () AS n FROM ({_EMERGE})),
-h AS (SELECT greatest(1, (length(to_base(greatest(1, max(n) - 1), 2)) + 1) // 2)::INT AS h FROM r),
+h AS (SELECT greatest(4, (length(to_base(greatest(1, max(n) - 1), 2)) + 1) // 2)::INT AS h FROM r),
 walk AS (SELECT x, n, p, y AS z, true AS open FROM r, (SELECT unnest(range(2000)) AS p) UNION ALL
 SELECT x, n, p, z, z >= n FROM (SELECT x, n, p, (l << h) | d AS z FROM (SELECT x, n, p, h, c AS l, xor(b, ({_STEP.format(r='c', i=3)}) & m) AS d FROM (SELECT *, xor(a, ({_STEP.format(r='b', i=2)}) & m) AS c FROM (SELECT *, xor(d, ({_STEP.format(r='a', i=1)}) & m) AS b FROM (
 SELECT *, xor(l, ({_STEP.format(r='d', i=0)}) & m) AS a FROM (SELECT x, n, p, h, (1 << h) - 1 AS m, z >> h AS l, z & ((1 << h) - 1) AS d FROM walk, h WHERE open)))))) ),
