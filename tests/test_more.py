@@ -1,7 +1,6 @@
 """Gold cases of the text functions with their full lists, ranks over many wide rows, and operators against plain versions."""
 
 import random
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,8 +121,8 @@ def test_nomenclature_and_leads(spark):
         "4-(x)  acrylamide": [],  # two spaces
         "3-vinyl sulfone resin": [],  # a word against it, close behind
         "3-vinyl sulfone, as told far away: resin": ["3-vinyl sulfone, as told fa"],  # twelve characters behind only
-        "resin; a long way before it comes 3-epoxide": ["long way before it comes 3-epoxide"[-28 - 7 :]],
-        "1-maleimide and 2-chloroacetamide": ["1-maleimide and 2-chl", "1-maleimide and 2-chloroacetamide"],
+        "resin; a long way before it comes 3-epoxide": ["long way before it comes 3-epoxide"],
+        "1-maleimide and 2-chloroacetamide": ["1-maleimide and 2-chlo", "1-maleimide and 2-chloroacetamide"],
         "[a]propiolamide": ["[a]propiolamide"],
         "": [],
     }
