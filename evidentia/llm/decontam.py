@@ -6,10 +6,11 @@ with those of the benchmark's items. Matches on one diagonal (a document positio
 several diagonals in order, since words put in or left out move the diagonal, within three times the item's length; each occurrence is judged alone. Its
 coverage is the share of the item's windows that matched, and its slots, the placeholders' values, must be consistent: an item's
 value maps to one value in the occurrence wherever it recurs, but for a share of SLACK of the values (a number may have been mistaken or changed alone). So a question asked again with other numbers or names is found, once or several times in a document, and a
-chance meeting of templates is not. Template windows with fewer than LITERAL plain words say nothing and are left out on both sides.
+chance meeting of templates is not. Template windows without a plain word, and short ones (of items of fewer than WINDOW words) with fewer than LITERAL, say nothing and are left out on both sides.
 
 Besides, windows of the words as they stand, lower-cased and without outer punctuation, are matched in the same way; they have no placeholders and no
-LITERAL bound, so copies word for word are found whatever the item is made of and however it is capitalised or spaced. Number-heavy items with other numbers are not found.
+bound on plain words, so copies word for word are found whatever the item is made of and however it is capitalised or spaced. What stays out of reach: other numbers in items
+of numbers alone, and in short ones with fewer than LITERAL plain words.
 
 Items shorter than WINDOW words are one shorter window, down to a single word, which is then found wherever it stands. Null and empty texts
 match nothing. Repeated items or documents give their own rows, a pair's row is of its best occurrence: contaminated, then most windows, then fewest slots that disagree. The item table is sent to the tasks in
@@ -109,7 +110,8 @@ class Canonical:
         good = doc[:n] == doc[k - 1 : k - 1 + n]
         if not literal:
             plain = np.append(0, np.cumsum(self.kind == PLAIN))
-            good &= plain[k:] - plain[:-k] >= LITERAL
+            n_plain = plain[k:] - plain[:-k]
+            good &= (n_plain >= LITERAL) | ((k == WINDOW) & (n_plain >= 1))
         at = np.flatnonzero(good)
         return mix(h[at] + U(k)), at
 

@@ -274,3 +274,29 @@ def test_joined_crcs():
         a, b = (bytes(r.randrange(256) for _ in range(r.choice([0, 1, 5, 300, 70_000]))) for _ in range(2))
         got = im.joined_crc(np.array([zlib.crc32(a)], np.uint32), np.array([zlib.crc32(b)], np.uint32), np.array([len(b)], np.uint32))
         assert int(got[0]) == zlib.crc32(a + b)
+
+
+# --- re-parameterised benchmark items ---
+
+
+def test_items_full_of_numbers_are_found_with_other_numbers():
+    """Recall on items of which a tenth to two thirds of the words are numbers, asked again with other numbers inside other text; and what is only like them stays."""
+    import pyarrow as pa
+
+    from evidentia.llm import decontam
+
+    r = random.Random(9)
+    words = ["".join(r.choice("aeioustrnlm") for _ in range(r.randint(3, 9))) for _ in range(400)]
+    prose = lambda n: " ".join(r.choice(words) for _ in range(n))
+    items = [" ".join(str(r.randint(2, 999)) if r.random() < share else r.choice(words) for _ in range(r.randint(9, 40))) for share in (0.1, 0.3, 0.5, 0.66) for _ in range(40)]
+    items += ["Compute 12 + 15 + 19 + 23 + 31 + 47 + 52", "Solve 3 x + 7 = 22 for x"]
+    table = decontam.Templates(items)
+    found = 0
+    for i, item in enumerate(items):
+        other = {}
+        again = re.sub(r"\d+", lambda m, other=other: other.setdefault(m[0], str(r.randint(1000, 9999))), item)
+        got = table.search(pa.array([f"{prose(60)}. {again}. And {prose(60)}"]))
+        found += any(g[1] == i and g[6] for g in got)
+    assert found >= 0.95 * len(items)
+    clean = [prose(300) for _ in range(50)] + [" ".join(str(r.randint(1, 99)) for _ in range(300)) for _ in range(10)] + ["row " + " ".join(f"{r.randint(1, 99)} {r.choice(words)}" for _ in range(100)) for _ in range(10)]
+    assert not table.search(pa.array(clean))
