@@ -97,43 +97,71 @@ def keyed_places(places: np.ndarray, permutation: np.ndarray, n: int, seed: int)
     while todo.any():
         left, right, k = x[todo] >> half, x[todo] & mask, key[todo]
         for r in range(FEISTEL):
-            f = (right * SPREAD + k * FEISTEL + r + seed) % PRIME * STIR % PRIME >> 9
+            f = (right * SPREAD + k * FEISTEL + r + seed) % PRIME
+            f = (f ^ f >> 16) * STIR % PRIME
+            f = (f ^ f >> 13) * STIR % PRIME >> 9
             left, right = right, left ^ f & mask
         x[todo] = left << half | right
         todo[todo] = x[todo] >= n
     return x
 
 
+#: Rows of a segment, and different outcomes that may have ties.
+SEGMENT, MOST_OUTCOMES = 1 << 16, 100_000
+
+
 def permutation_p(df: DataFrame, signal: str, outcome: str, tie: str, k: int = 2000, seed: int = 11) -> DataFrame:
-    """(ge + 1) / (k + 1): permutations whose Spearman value (ordinal ranks, ties by ``tie``) reaches that of the data. The ranks are permutations of the same numbers, so the sums of
-    their products are compared, exactly.
-
-    A permutation is a keyed bijection of the outcomes' ranks: each row finds for itself the rank that it gets, and adds its products to the sums; no task holds more than its rows, and what is
-    shuffled are k sums a task."""
-    both = ranked(ranked(df.select(F.col(signal).alias("_s"), F.col(outcome).alias("_o"), F.col(tie).alias("_t")), F.col("_s"), F.col("_t"), name="_x"), F.col("_o"), F.col("_t"), name="_y")
-    rows = written(both.select((F.col("_x") - 1).alias("x"), (F.col("_y") - 1).alias("y")), "ranks")
-    n = rows.count()
-
-    def run(batches):
-        sums = [0] * (k + 1)  # the last: of the data
-        for batch in batches:
-            x, y = (batch.column(i).to_numpy().astype(np.int64) for i in (0, 1))
-            centred = x - n // 2
-            for lo in range(0, len(x), 1 << 16):
-                cx, cy = centred[lo : lo + (1 << 16)], y[lo : lo + (1 << 16)]
-                for p in range(0, k, AT_ONCE):
-                    got = keyed_places(cy, np.arange(p, min(k, p + AT_ONCE))[:, None], n, seed)
-                    for i, (low, high) in enumerate(zip((got & 0xFFFF) @ cx, (got >> 16) @ cx, strict=True)):
-                        sums[p + i] += int(low) + (int(high) << 16)
-                sums[k] += int((cy & 0xFFFF) @ cx) + (int((cy >> 16) @ cx) << 16)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k + 1)), pa.array([decimal.Decimal(s) for s in sums], pa.decimal128(38, 0))], names=["p", "s"])
-
-    total = rows.mapInArrow(run, "p long, s decimal(38,0)").groupBy("p").agg(F.sum("s").alias("s"))
-    observed = F.max(F.when(F.col("p") == k, F.col("s")))
-    of_data = total.agg(observed).first()[0]  # one number
-    if of_data is None:
-        return rows.sparkSession.createDataFrame([(1.0,)], "p double")
-    return total.filter(F.col("p") < k).agg(((F.count_if(F.col("s") >= F.lit(of_data)) + 1) / F.lit(float(k + 1))).alias("p"))
+    """(ge + 1) / (k + 1): permutations of the outcomes whose Spearman value (ordinal ranks, ties by ``tie``) reaches that of the data. The ranks are permutations of the same numbers, so
+    the sums of their products are compared, exactly.
+
+    A permutation is a keyed bijection of the rows' places by ``tie``: each row finds for itself whose outcome it gets. Its rank among equal outcomes is the number of such rows before it; a segment of
+    SEGMENT rows counts within itself, and what segments before it hold is added to its sums afterwards. So no task holds more than a segment, and what is shuffled are, for each segment and
+    permutation, three numbers for each different outcome: at most MOST_OUTCOMES of them, unless all differ (then nothing is tied, and one number does)."""
+    both = df.select(F.col(signal).alias("_s"), F.col(outcome).cast("double").alias("_o"), F.col(tie).alias("_t"))
+    for name, order in (("_x", [F.col("_s"), F.col("_t")]), ("_y", [F.col("_o"), F.col("_t")]), ("_i", [F.col("_t")])):
+        both = ranked(both, *order, name=name)
+    rows = written(both.select((F.col("_x") - 1).alias("x"), (F.col("_y") - 1).alias("y"), (F.col("_i") - 1).alias("i"), F.col("_o").alias("o")), "ranks")
+    spark, n = rows.sparkSession, rows.count()
+    if not n:
+        return spark.createDataFrame([(1.0,)], "p double")
+    kinds = rows.groupBy("o").agg(F.min("y").alias("y"))
+    starts = np.array([0])
+    tied = kinds.count() < n
+    if tied:
+        starts = np.array(sorted(r.y for r in kinds.limit(MOST_OUTCOMES + 1).select("y").collect()))
+        if len(starts) > MOST_OUTCOMES:
+            raise ValueError(f"more than {MOST_OUTCOMES} different outcomes with ties among them")
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("i")
+        at, seg = table.column("i").to_numpy(), int(table.column("seg")[0].as_py())
+        x = table.column("x").to_numpy() - n // 2
+        out = []
+        for p in range(0, k, AT_ONCE):
+            got = keyed_places(at, np.arange(p, min(k, p + AT_ONCE))[:, None], n, seed)
+            for j, place in enumerate(got):
+                if not tied:  # a row's rank is the place
+                    out.append((p + j, 0, int((place & 0xFFFF) @ x) + (int((place >> 16) @ x) << 16), 0, 0))
+                    continue
+                kind = np.searchsorted(starts, place, "right") - 1
+                order = np.argsort(kind, kind="stable")
+                many = np.bincount(kind, minlength=len(starts))
+                before = np.empty(len(kind), np.int64)
+                before[order] = np.arange(len(kind)) - (np.cumsum(many) - many)[kind[order]]
+                within, own = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+                np.add.at(within, kind, before * x)
+                np.add.at(own, kind, x)
+                out += [(p + j, c, int(within[c]), int(own[c]), int(many[c])) for c in np.flatnonzero(many).tolist()]
+        columns = list(zip(*out, strict=True)) or [()] * 5
+        number = pa.decimal128(38, 0)
+        return pa.table([pa.array([seg] * len(out), pa.int64()), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), *(pa.array([decimal.Decimal(v) for v in c], number) for c in columns[2:4]), pa.array(columns[4], pa.int64())], names=["seg", "p", "kind", "within", "own", "many"])
+
+    parts = rows.withColumn("seg", F.floor(F.col("i") / SEGMENT)).groupBy("seg").applyInArrow(run, "seg long, p long, kind long, within decimal(38,0), own decimal(38,0), many long")
+    earlier = F.coalesce(F.sum("many").over(W.partitionBy("p", "kind").orderBy("seg").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    begin = spark.createDataFrame([(i, int(y)) for i, y in enumerate(starts)], "kind long, start long")
+    summed = parts.withColumn("before", earlier).join(begin, "kind").groupBy("p").agg(F.sum(F.col("within") + (F.col("start") + F.col("before")).cast("decimal(19,0)") * F.col("own").cast("decimal(18,0)")).alias("s"))
+    of_data = rows.agg(F.sum((F.col("x") - n // 2).cast("decimal(18,0)") * F.col("y").cast("decimal(18,0)"))).first()[0]  # one number
+    return summed.agg(((F.count_if(F.col("s") >= F.lit(of_data)) + 1) / F.lit(float(k + 1))).alias("p"))
 
 
 def rank_sum(df: DataFrame, signals: list[str], positive: str, tie: str) -> DataFrame:

@@ -337,15 +337,20 @@ def matched_controls_greedy(spark, d):
     return mt.greedy_matched(s.filter("s_nationkey < 5"), s.filter("s_nationkey >= 5"), "s_suppkey", "s_acctbal", 2)
 
 
-_STEP = "({r} * 2654435761 + p * 4 + {i} + 7) % 4294967291 * 1540483477 % 4294967291 >> 9"
+def _stirred(r, i):
+    """A round of the keyed bijection, in SQL."""
+    v = f"(({r} * 2654435761 + p * 4 + {i} + 7) % 4294967291)"
+    v = f"(xor({v}, {v} >> 16) * 1540483477 % 4294967291)"
+    return f"((xor({v}, {v} >> 13) * 1540483477 % 4294967291 >> 9) & m)"
 
 
-@query(f"""WITH RECURSIVE r AS (SELECT row_number() OVER (ORDER BY signal, o_custkey) - 1 AS x, row_number() OVER (ORDER BY emerged, o_custkey) - 1 AS y, count(*) OVER () AS n FROM ({_EMERGE})),
+@query(f"""WITH RECURSIVE r AS (SELECT emerged, row_number() OVER (ORDER BY signal, o_custkey) - 1 AS x, row_number() OVER (ORDER BY emerged, o_custkey) - 1 AS y, row_number() OVER (ORDER BY o_custkey) - 1 AS i, count(*) OVER () AS n FROM ({_EMERGE})),
 h AS (SELECT greatest(4, (length(to_base(greatest(1, max(n) - 1), 2)) + 1) // 2)::INT AS h FROM r),
-walk AS (SELECT x, n, p, y AS z, true AS open FROM r, (SELECT unnest(range(2000)) AS p) UNION ALL
-SELECT x, n, p, z, z >= n FROM (SELECT x, n, p, (l << h) | d AS z FROM (SELECT x, n, p, h, c AS l, xor(b, ({_STEP.format(r='c', i=3)}) & m) AS d FROM (SELECT *, xor(a, ({_STEP.format(r='b', i=2)}) & m) AS c FROM (SELECT *, xor(d, ({_STEP.format(r='a', i=1)}) & m) AS b FROM (
-SELECT *, xor(l, ({_STEP.format(r='d', i=0)}) & m) AS a FROM (SELECT x, n, p, h, (1 << h) - 1 AS m, z >> h AS l, z & ((1 << h) - 1) AS d FROM walk, h WHERE open)))))) ),
-s AS (SELECT p, sum((x - n // 2) * z) AS s FROM walk WHERE NOT open GROUP BY 1)
+walk AS (SELECT x, i, n, p, i AS z, true AS open FROM r, (SELECT unnest(range(2000)) AS p) UNION ALL
+SELECT x, i, n, p, z, z >= n FROM (SELECT x, i, n, p, (c << h) | xor(b, {_stirred('c', 3)}) AS z FROM (SELECT *, xor(a, {_stirred('b', 2)}) AS c FROM (SELECT *, xor(d, {_stirred('a', 1)}) AS b FROM (
+SELECT *, xor(l, {_stirred('d', 0)}) AS a FROM (SELECT x, i, n, p, h, (1 << h) - 1 AS m, z >> h AS l, z & ((1 << h) - 1) AS d FROM walk, h WHERE open)))))),
+k AS (SELECT p, w.x, w.n, row_number() OVER (PARTITION BY p ORDER BY r.emerged, w.i) - 1 AS rank FROM walk w JOIN r ON r.y = w.z WHERE NOT open),
+s AS (SELECT p, sum((x - n // 2) * rank) AS s FROM k GROUP BY 1)
 SELECT (count(*) FILTER (s >= (SELECT sum((x - n // 2) * y) FROM r)) + 1) / 2001.0::DOUBLE AS p FROM s""")
 def permutation_test(spark, d):
     return bt.permutation_p(_emerge(spark, d).select("o_custkey", "signal", "emerged"), "signal", "emerged", "o_custkey", 2000, 7)

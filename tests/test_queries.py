@@ -6,6 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
+from evidentia.plans import more  # noqa: F401  registers its queries
 from evidentia.plans.queries import ORACLE, QUERIES
 
 DIR = "/root/testdata/sf0.001"
