@@ -291,3 +291,21 @@ def file_round_trips(spark, d):
     for row in out[1:]:
         rows = rows.unionByName(row)
     return rows
+
+
+# --- alignment inside a vote ---
+
+_SEQUENCE = "regexp_replace(upper(p_name || p_type || p_brand), '[^ACDEFGHIKLMNPQRSTVWY]', '', 'g')"
+_RESIDUE = f"CASE WHEN length({_SEQUENCE}) < 5 THEN '-' WHEN p_partkey % 3 = 1 THEN CASE substr({_SEQUENCE}, 5, 1) WHEN 'E' THEN 'W' ELSE 'E' END ELSE substr({_SEQUENCE}, 5, 1) END"
+
+
+@query(f"""SELECT p_brand, p_size, verdict, first(verdict) OVER (PARTITION BY p_brand ORDER BY CASE verdict WHEN 'unique-handle' THEN 0 WHEN 'partial' THEN 1 ELSE 2 END) AS selectivity FROM (
+SELECT p_brand, p_size, CASE count(*) FILTER (residue = 'E') WHEN 0 THEN 'unique-handle' WHEN count(*) THEN 'conserved-liability' ELSE 'partial' END AS verdict FROM (SELECT p_brand, p_size, {_RESIDUE} AS residue FROM part) GROUP BY 1, 2)""")
+def paralog_vote(spark, d):
+    """The residue that each paralog (the sequence itself, with another residue at the place, or with residues before it) has where the sequence has its fifth, found by alignment, and the votes."""
+    p = t(spark, d, "part")
+    a = F.regexp_replace(F.upper(F.concat("p_name", "p_type", "p_brand")), "[^ACDEFGHIKLMNPQRSTVWY]", "")
+    other = F.concat(F.substring("a", 1, 4), F.when(F.substring("a", 5, 1) == "E", "W").otherwise("E"), F.expr("substring(a, 6)"))
+    b = F.when(F.col("p_partkey") % 3 == 0, F.col("a")).when(F.col("p_partkey") % 3 == 1, other).otherwise(F.concat(F.lit("WWWW"), "a"))
+    rows = p.withColumn("a", a).select("p_brand", "p_size", al.aligned_residue("a", F.lit(5), b).alias("residue"))
+    return al.selectivity(rows, "p_brand", "p_size", "residue", "E")

@@ -142,3 +142,22 @@ def test_all_levels_of_the_cascade(spark):
     refs = spark.createDataFrame([(1, i, f"p{i}") for i in range(8)] + [(2, 0, None), (3, 0, "gone")], "t int, pos int, pmid string")
     papers = spark.createDataFrame([(f"p{i}", f"T{i}", None if i == 1 else f"A{i}") for i in range(8) if i != 2], "id string, title string, abstract string")
     assert {r.t: r.text for r in mv.publications(refs, "t", "pos", "pmid", papers, "id", "title", "abstract").collect()} == {1: "T0 A0 T1  T3 A3 T4 A4"}
+
+
+def test_batched_alignment_equals_one_at_a_time():
+    """Sequences with parts left out, put in and exchanged, and strangers; bands from one diagonal on."""
+    from evidentia.operators import alignment as al
+
+    r, a, b = random.Random(1), [], []
+    some = lambda n: "".join(r.choice(al.ORDER) for _ in range(n))
+    for _ in range(150):
+        x = y = some(r.choice([0, 1, 3, 10, 40, 90]))
+        for _ in range(r.choice([0, 1, 3])):
+            k, n = r.randint(0, len(y)), r.choice([1, 2, 8, 25])
+            y = r.choice([y[:k] + y[k + n :], y[:k] + some(n) + y[k:], y[:k] + some(1) + y[k + 1 :]])
+        a.append(x)
+        b.append(some(r.choice([0, 1, 5, 60])) if r.random() < 0.2 else y)
+    want = [al.align(x, y) if x or y else [] for x, y in zip(a, b, strict=True)]
+    for band in (1, 16):
+        assert [list(g) for g in al.align_many(a, b, band=band)] == [list(w) for w in want]
+    assert al.align_many([], []) == []
