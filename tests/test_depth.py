@@ -93,6 +93,39 @@ def test_changes_come_once_over_restarts(spark, tmp_path):
     assert rows == {(1, 1, None, "a", "NEW"), (2, 1, None, "x", "NEW"), (1, 3, "a", "c", "CHANGED"), (1, 4, "c", "b", "CHANGED"), (3, 3, None, None, "NEW"), (3, 7, None, "z", "CHANGED"), (None, 7, None, "n", "NEW")} and got == [2, 5, 7]
 
 
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_moves_and_changes_of_many_keys_in_few_buckets(spark, tmp_path, buckets):
+    """Keys that share a bucket keep their own state over batches; kinds with commas, times and parts of keys that are null, and numbers of 19 digits beside them stay what they are."""
+    ky.with_state_store(spark)
+    r, big = random.Random(buckets), 2**60
+    when = lambda: r.choice([None] + [dt.datetime(2024, 1, 1, 0, 0, 0, i) for i in range(1, 40)] + [dt.datetime(1800, 1, 1)])
+    batches = [[(r.choice([None, big + 1, big + 2, *range(60)]), r.choice(["x", None, '"', "a,b"]), r.choice(["k", "k,l", "", None, "l"]), when()) for _ in range(200)] for _ in range(3)]
+    schema, src = "c long, t string, kind string, at timestamp", str(tmp_path / "in")
+    seen, verdicts, moves, want_changes, out = {}, {}, [], [], str(tmp_path / "out")
+    last = dt.datetime(9999, 1, 1)
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        before = {k: (set(d), set(s)) for k, (d, s) in seen.items()}
+        for c, t, kind, at in rows:
+            days, kinds = seen.setdefault((c, t), (set(), set()))
+            days |= {at} - {None}
+            kinds |= {kind} - {None}
+        for k in {(c, t) for c, t, _, _ in rows}:
+            (days, kinds), old = seen[k], before.get(k)
+            ends = lambda x: (min(x, default=None), max(x, default=None))
+            if old is None or len(kinds) > len(old[1]) or ends(days) != ends(old[0]):
+                moves.append((*k, *ends(days), ",".join(sorted(kinds)), len(kinds) > 1, "NEW" if old is None else "UPGRADED" if len(kinds) > len(old[1]) else "EXTENDED"))
+        for c, _, kind, at in sorted(rows, key=lambda x: (x[3] or last, x[2] is None, x[2] or "")):
+            if c not in verdicts or verdicts[c] != kind:
+                want_changes.append((c, at, verdicts.get(c), kind, "CHANGED" if c in verdicts else "NEW"))
+            verdicts[c] = kind
+    stream = lambda: st.source(spark, src, spark.createDataFrame([], schema).schema)
+    for name, f, want in (("moves", ky.upgraded_moves(stream(), "c", "t", "kind", "at", buckets=buckets), moves), ("changes", ky.changes(stream(), "c", "kind", "at", buckets=buckets), want_changes)):
+        st.appended(f, f"{out}/{name}", str(tmp_path / name))
+        got = [tuple(x) for x in spark.read.parquet(f"{out}/{name}").collect()]
+        assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(want) > 100
+
+
 def test_first_seen_over_batches(spark, tmp_path):
     schema, src = "k long, v string", str(tmp_path / "in")
     for i in range(3):
