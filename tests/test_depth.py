@@ -194,3 +194,28 @@ def test_batched_alignment_equals_one_at_a_time():
     for band in (1, 16):
         assert [list(g) for g in al.align_many(a, b, band=band)] == [list(w) for w in want]
     assert al.align_many([], []) == []
+
+
+def test_state_of_a_bucket_is_dropped_key_by_key():
+    """A key that rests longer than the time to live is new again, though its bucket had rows meanwhile."""
+    import pandas as pd
+
+    class Held:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Clock:
+        def __init__(self, now):
+            self.getCurrentProcessingTimeInMs = lambda: now
+
+    p = ky._Verdicts(100)
+    p.held = Held()
+    run = lambda now, *rows: [tuple(x)[0::4] for x in pd.concat(p.handleInputRows((0,), iter([pd.DataFrame(rows, columns=["row_key", "row_at", "row_verdict"])]), Clock(now))).itertuples(index=False)]
+    assert run(1000, ("a", 1, "x"), ("b", 1, "x")) == [("a", "NEW"), ("b", "NEW")]
+    assert run(1060, ("a", 2, "x")) == []
+    assert run(1120, ("a", 3, "y"), ("b", 3, "x")) == [("a", "CHANGED"), ("b", "NEW")]
