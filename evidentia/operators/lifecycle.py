@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -46,26 +48,48 @@ def by_version(changes: DataFrame, old: str, new: str, version: str, upto: Colum
 
 def successors(dates: DataFrame, key: str, date: str, known: str) -> DataFrame:
     """(key, date, _from, _to, valid_to): for each date of a key, which later date of it comes next, by what is known; a stretch for each change. A new date changes the successor of the one before it
-    only, so there are at most twice as many stretches as dates. A group is one key's different dates, which the calendar bounds."""
-    kinds = {c: dates.schema[c].dataType.simpleString() for c in (key, date, known)}
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(date).reset_index(drop=True)
-        day, since, n = pdf[date].tolist(), pdf[known].tolist(), len(pdf)
-        before, after, out = list(range(-1, n - 1)), [*range(1, n), -1], []
-        for i in sorted(range(n), key=lambda i: since[i], reverse=True):  # taken out again, the last known first
-            p, q = before[i], after[i]
-            out.append((i, since[i], q))
-            if p >= 0:
-                out.append((p, since[i], i))
-                after[p] = q
-            if q >= 0:
-                before[q] = p
-        return pd.DataFrame([(pdf[key][0], day[i], at, day[q] if q >= 0 else None) for i, at, q in out], columns=[key, date, "_from", "valid_to"])
-
-    found = dates.groupBy(key).applyInPandas(run, f"`{key}` {kinds[key]}, `{date}` {kinds[date]}, _from {kinds[known]}, valid_to {kinds[date]}")
-    once = found.groupBy(key, date, "_from").agg(F.min("valid_to").alias("valid_to"))
-    return once.withColumn("_to", F.lead("_from").over(W.partitionBy(key, date).orderBy("_from")))
+    only, so there are at most twice as many stretches as dates.
+
+    One pass over the keys' dates in order, many keys to a batch. What is kept is a stack of the dates of one key that have no later date known as early (earlier dates are known earlier in it), each with the
+    start of the stretch that was found last, which ends the next one: the calendar bounds it."""
+    once = dates.groupBy(key, date).agg(F.min(known).alias(known))
+    kinds = {c: once.schema[c].dataType.simpleString() for c in (key, date, known)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, stack, out = None, [], []
+
+        def told(schema: pa.Schema) -> pa.RecordBatch:
+            types = [schema.field(i).type for i in (0, 1, 2, 2, 1)]
+            columns = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)] if out else [pa.array([], t) for t in types]
+            out.clear()
+            return pa.RecordBatch.from_arrays(columns, names=[key, date, "_from", "_to", "valid_to"])
+
+        def close() -> None:
+            out.extend((now, day, since, end, None) for day, since, end in stack)
+            stack.clear()
+
+        for batch in batches:
+            for k, day, since in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if k != now and (k == k or now == now):  # NaN is one key
+                    close()
+                    now = k
+                while stack and stack[-1][1] >= since:
+                    before = stack.pop()
+                    out.append((k, before[0], before[1], before[2], day))
+                    if before[1] == since:
+                        break
+                else:
+                    if stack:
+                        out.append((k, stack[-1][0], since, stack[-1][2], day))
+                        stack[-1][2] = since
+                stack.append([day, since, None])
+            yield told(schema := batch.schema)
+        close()
+        if out:
+            yield told(schema)
+
+    sorted_dates = once.repartition(key).sortWithinPartitions(key, date)
+    return sorted_dates.mapInArrow(run, f"`{key}` {kinds[key]}, `{date}` {kinds[date]}, _from {kinds[known]}, _to {kinds[known]}, valid_to {kinds[date]}")
 
 
 def rectangles(claims: DataFrame, key: str, valid: str, observed: str, *tie: str) -> DataFrame:
@@ -76,7 +100,7 @@ def rectangles(claims: DataFrame, key: str, valid: str, observed: str, *tie: str
     rows = claims.filter(" and ".join(f"`{c}` is not null" for c in (key, valid, observed)))
     rows = rows.withColumn("_n", F.row_number().over(W.partitionBy(key, valid, observed).orderBy(*order))).filter("_n = 1").drop("_n")
     rows = rows.withColumn("_until", F.lead(observed).over(W.partitionBy(key, valid).orderBy(observed)))
-    next_dates = successors(rows.groupBy(key, valid).agg(F.min(observed).alias(observed)), key, valid, observed)
+    next_dates = successors(rows, key, valid, observed)
     both = rows.join(next_dates, [key, valid]).filter((F.col("_until").isNull() | (F.col("_from") < F.col("_until"))) & (F.col("_to").isNull() | (F.col("_to") > F.col(observed))))
     out = both.withColumn("observed_to", F.least("_until", "_to")).withColumn(observed, F.greatest(F.col(observed), F.col("_from")))
     return out.select(*claims.columns, "valid_to", "observed_to")

@@ -167,6 +167,32 @@ def test_rectangles_answer_as_the_claims_do(spark):
     assert lc.as_of_both(rects, "valid", "observed", F.lit(day(5)), F.lit(day(20))).count() == 3
 
 
+def test_successors_of_many_keys_pass_in_batches(spark):
+    """Ties and keys that go on from one batch to the next, against a plain version; no call for each key."""
+    r = random.Random(8)
+    day = lambda i: dt.date(2024, 1, 1) + dt.timedelta(i)
+    dates = {(f"k{r.randrange(40)}", day(r.randrange(25))): day(r.randrange(12)) for _ in range(500)}
+    want = set()
+    for (k, d), since in dates.items():
+        later = sorted((x, s) for (q, x), s in dates.items() if q == k and x > d)
+        stretches = []
+        for at in sorted({since, *(s for _, s in later if s > since)}):
+            after = next((x for x, s in later if s <= at), None)
+            if not stretches or stretches[-1][1] != after:
+                stretches.append((at, after))
+        ends = [*(a for a, _ in stretches[1:]), None]
+        want |= {(k, d, a, b, x) for (a, x), b in zip(stretches, ends, strict=True)}
+    df = spark.createDataFrame([(k, d, s) for (k, d), s in dates.items()], "k string, d date, s date")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = lc.successors(df, "k", "d", "s")
+        rows = [tuple(x) for x in got.select("k", "d", "_from", "_to", "valid_to").collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert set(rows) == want and len(rows) == len(want) > len(dates)
+    assert "FlatMapGroups" not in got._jdf.queryExecution().toString()
+
+
 def test_all_levels_of_the_cascade(spark):
     rows = [("NONE", False, 0, None, None, None, "NONE"), ("NONE", True, 0, False, False, 0, "LIKELY"), ("POSSIBLE", False, 4, False, None, None, "FINGERPRINT"), ("POSSIBLE", False, 4, True, None, None, "LIKELY"), ("NONE", None, None, True, None, None, "LIKELY"), ("NONE", False, 0, False, True, 0, "POSSIBLE"), ("NONE", False, 0, False, True, 2, "LIKELY"), ("POSSIBLE", False, 3, False, True, None, "POSSIBLE"), ("LIKELY", False, 9, True, True, 0, "LIKELY"), ("FINGERPRINT", False, 0, None, True, 1, "LIKELY")]
     df = spark.createDataFrame(rows, "link string, c boolean, f int, p boolean, w boolean, s int, want string")
