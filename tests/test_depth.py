@@ -33,6 +33,24 @@ def test_windows_meet_forms_as_a_search_would(spark):
     assert at.in_title(df(pairs, "rec int, ent string"), "rec", "ent", df(titles, "rec int, title string"), F.col("title"), df([], "entity string, form string")).count() == 0
 
 
+def test_rows_of_a_task_are_bounded_by_parts(spark, monkeypatch):
+    """With many rows the parts follow their number and the results stay: titles in 13 parts, and attribution."""
+    monkeypatch.setattr(at, "ROWS", 100)
+    r = random.Random(4)
+    rows = spark.createDataFrame([(r.randrange(300), f"E{r.randrange(6)}", r.choice("AR"), 1.0) for _ in range(1250)], "rec int, entity string, field string, n double")
+    titles = spark.createDataFrame([(i, f"about e{i % 6} and e{i % 4}") for i in range(300)], "rec int, title string")
+    forms = spark.createDataFrame([(f"E{i}", f"E{i}") for i in range(6)], "entity string, form string")
+    symbols = spark.createDataFrame([(f"E{i}", f"S{i}") for i in range(6)], "entity string, symbol string")
+    parts = at.parts_for(rows)
+    assert parts == 13 and at.parts_for(rows.limit(300)) is None
+    got = at.in_title(rows, "rec", "entity", titles, F.col("title"), forms, parts)
+    want = {(x.rec, x.entity) for x in rows.collect() if x.entity in (f"E{x.rec % 6}", f"E{x.rec % 4}")}
+    assert {tuple(x) for x in got.collect()} == want and got.count() == len(want) and got.rdd.getNumPartitions() == 13
+    both = [at.attribute(rows, "rec", "entity", "field", "n", {"title": "A", "claims": "R"}, titles, F.col("title"), forms, symbols, parts=p) for p in (None, parts)]
+    plain, dealt = (sorted(map(tuple, x.collect()), key=repr) for x in both)
+    assert plain == dealt and len(plain) > 200 and both[1].rdd.getNumPartitions() == 13
+
+
 def greedy_by_hand(cases, controls, k):
     """One after the other, as the operator says."""
     pool = sorted((v, c) for c, v in controls if v is not None)
