@@ -110,3 +110,12 @@ def as_of_both(rects: DataFrame, valid: str, observed: str, day: Column, known:
     """What was known at ``known`` to hold at ``day``: one row for each key."""
     inside = lambda at, start, end: (F.col(start) <= at) & (F.col(end).isNull() | (F.col(end) > at))
     return rects.filter(inside(day, valid, "valid_to") & inside(known, observed, "observed_to"))
+
+
+def known_to_hold(claims: DataFrame, key: str, valid: str, observed: str, day: Column, known: Column, *tie: str) -> DataFrame:
+    """The claims whose rectangles ``as_of_both`` would find, without the rectangles of all other times: what was observed by ``known`` about ``day`` or before it, and of that the last by date, observation
+    and ``tie`` for each key. Each task keeps one row of a key before the shuffle, so a key of very many claims is no larger than others."""
+    rows = claims.filter((F.col(valid) <= day) & (F.col(observed) <= known) & F.col(key).isNotNull())
+    rest = [c for c in claims.columns if c != key]
+    newest = rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(valid, observed, *tie)).alias("_r"))
+    return newest.select(*(F.col(c) if c == key else F.col(f"_r.{c}").alias(c) for c in claims.columns))

@@ -65,6 +65,11 @@ def canonical_ids(spark, d):
 _TWO_TIMES = "SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS valid, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INT) AS observed, o_orderpriority AS v, o_orderkey AS o FROM orders"
 
 
+def _two_times(spark, d):
+    day = F.to_date("o_orderdate")
+    return t(spark, d, "orders").select(F.col("o_custkey").alias("k"), day.alias("valid"), F.date_add(day, (F.col("o_orderkey") % 400).cast("int")).alias("observed"), F.col("o_orderpriority").alias("v"), F.col("o_orderkey").alias("o"))
+
+
 @query(f"""WITH c AS (SELECT k, valid, observed, v, o, lead(observed) OVER (PARTITION BY k, valid ORDER BY observed) AS until FROM (SELECT *, row_number() OVER (PARTITION BY k, valid, observed ORDER BY o DESC) AS n FROM ({_TWO_TIMES})) WHERE n = 1),
 f AS (SELECT k, valid, min(observed) AS since FROM c GROUP BY 1, 2),
 stops AS (SELECT c.k, c.valid, c.observed, greatest(c.observed, f.since) AS tip FROM c JOIN f ON f.k = c.k AND f.valid > c.valid AND (c.until IS NULL OR f.since < c.until) UNION SELECT k, valid, observed, observed FROM c),
@@ -73,17 +78,14 @@ kept AS (SELECT *, lag(valid_to) OVER w AS before, row_number() OVER w AS i FROM
 SELECT c.k, c.valid, x.tip AS observed, c.v, c.o, x.valid_to, coalesce(lead(x.tip) OVER (PARTITION BY x.k, x.valid, x.observed ORDER BY x.tip), c.until) AS observed_to FROM (SELECT * FROM kept WHERE i = 1 OR valid_to IS DISTINCT FROM before) x JOIN c USING (k, valid, observed)""")
 def claim_rectangles(spark, d):
     """Orders as claims about their day, observed up to 399 days later and in any order."""
-    o = t(spark, d, "orders")
-    day = F.to_date("o_orderdate")
-    claims = o.select(F.col("o_custkey").alias("k"), day.alias("valid"), F.date_add(day, (F.col("o_orderkey") % 400).cast("int")).alias("observed"), F.col("o_orderpriority").alias("v"), F.col("o_orderkey").alias("o"))
-    return lc.rectangles(claims, "k", "valid", "observed", "o")
+    return lc.rectangles(_two_times(spark, d), "k", "valid", "observed", "o")
 
 
 @query(f"""SELECT k, v FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY valid DESC, observed DESC, o DESC) AS n FROM ({_TWO_TIMES}) WHERE valid <= DATE '1999-03-01' AND observed <= DATE '1999-06-01') WHERE n = 1""")
 def claims_as_of_both(spark, d):
     """What was known in June to hold in March."""
     day = lambda x: F.lit(x).cast("date")
-    return lc.as_of_both(claim_rectangles(spark, d), "valid", "observed", day("1999-03-01"), day("1999-06-01")).select("k", "v")
+    return lc.known_to_hold(_two_times(spark, d), "k", "valid", "observed", day("1999-03-01"), day("1999-06-01"), "o").select("k", "v")
 
 
 @query("SELECT 'feed' AS name, count(*) AS n, max(c_custkey) AS last FROM customer WHERE c_nationkey < 10 OR c_acctbal > 5000 UNION ALL SELECT 'census', count(*), max(c_custkey) FROM customer WHERE c_nationkey < 5 OR c_acctbal > 5000")

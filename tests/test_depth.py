@@ -185,6 +185,26 @@ def test_rectangles_answer_as_the_claims_do(spark):
     assert lc.as_of_both(rects, "valid", "observed", F.lit(day(5)), F.lit(day(20))).count() == 3
 
 
+def test_one_pair_of_times_needs_no_rectangles(spark):
+    """What one asks of claims equals what one asks of their rectangles, with ties, null parts and equal rows; a key leaves a task as one row, and all is done in one exchange without Python."""
+    from evidentia.plans import more
+
+    r = random.Random(7)
+    day = lambda i: dt.date(2024, 1, 1) + dt.timedelta(i)
+    maybe = lambda x: None if r.random() < 0.05 else x
+    rows = [(maybe(float(r.choice(["nan", 0, 1, 2]))), maybe(day(r.randrange(10))), maybe(day(r.randrange(20))), maybe("ab"[i % 2]), maybe(i // 3)) for i in range(300)]
+    claims = spark.createDataFrame(rows, "k double, valid date, observed date, v string, n int").repartition(5)
+    rects = lc.rectangles(claims, "k", "valid", "observed", "n", "v").cache()
+    for valid, known in itertools.product((-1, 4, 11), (7, 19)):
+        both = F.lit(day(valid)), F.lit(day(known))
+        want = sorted(repr((x.k, x.valid, x.v, x.n)) for x in lc.as_of_both(rects, "valid", "observed", *both).collect())
+        got = lc.known_to_hold(claims, "k", "valid", "observed", *both, "n", "v")
+        assert sorted(repr((x.k, x.valid, x.v, x.n)) for x in got.collect()) == want and got.columns == claims.columns
+    assert len(want) == 4
+    plan = more.claims_as_of_both(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_max_by" in plan and "MapInArrow" not in plan and "Join" not in plan
+
+
 def test_successors_of_many_keys_pass_in_batches(spark):
     """Ties and keys that go on from one batch to the next, against a plain version; no call for each key."""
     r = random.Random(8)
