@@ -26,7 +26,8 @@ SELECT user_id, count(*) FILTER (n > 1) AS changed, count(*) FILTER (n = 1) AS s
 def stream_changes(spark, d):
     """Changes of each user's state as they come, over several batches: how many, and the last one."""
     ky.with_state_store(spark)
-    events, out = st.source(spark, _several_files(spark, d), t(spark, d, "events").schema), _folder(spark, "changes")
+    path, k = _several_files(spark, d)
+    events, out = st.source(spark, path, t(spark, d, "events").schema, files=k), _folder(spark, "changes")
     st.appended(ky.changes(events, "user_id", "event_type", "ts"), out, _folder(spark, "checkpoint"))
     got = spark.read.schema("user_id long, at timestamp, before string, after string, status string").parquet(out)
     counts = [F.count_if(F.col("status") == s).alias(n) for s, n in (("CHANGED", "changed"), ("NEW", "started"))]
@@ -37,9 +38,9 @@ def stream_changes(spark, d):
 def stream_upgraded_moves(spark, d):
     """Moves with state, over several batches and a restart in between: the last row of each pair."""
     ky.with_state_store(spark)
-    files, out, checkpoint = _several_files(spark, d), _folder(spark, "moves"), _folder(spark, "checkpoint")
+    (path, k), out, checkpoint = _several_files(spark, d), _folder(spark, "moves"), _folder(spark, "checkpoint")
     for _ in range(2):
-        events = st.source(spark, files, t(spark, d, "events").schema).withColumn("ts", F.col("ts").cast("timestamp"))
+        events = st.source(spark, path, t(spark, d, "events").schema, files=k).withColumn("ts", F.col("ts").cast("timestamp"))
         st.appended(ky.upgraded_moves(events, "user_id", "event_type", "props", "ts"), out, checkpoint)
     rows = spark.read.schema("user_id long, event_type string, earliest timestamp, latest timestamp, kinds string, cross_linked boolean").parquet(out)
     newest = rows.groupBy("user_id", "event_type").agg(F.max_by(F.struct("earliest", "latest", "kinds", "cross_linked"), F.struct(F.size(F.split("kinds", ",")), "latest", F.negative(F.unix_micros("earliest")))).alias("m"))

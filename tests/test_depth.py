@@ -144,6 +144,49 @@ def test_moves_and_changes_of_many_keys_in_few_buckets(spark, tmp_path, buckets)
         assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(want) > 100
 
 
+def test_turns_of_several_files_are_batches(spark, tmp_path):
+    """A turn's files are written by several tasks, all turns have as many of them, and a stream takes a turn for each batch; where a turn has few rows there is a file for each."""
+    from evidentia.plans import queries as pq
+
+    start = dt.datetime(2024, 1, 1)
+    for name, many, want in (("even", [100] * 8, 3), ("uneven", [397, 1, 1, 1], 1)):
+        rows = [(start + dt.timedelta(minutes=600 * i + j),) for i, n in enumerate(many) for j in range(n)]
+        rows[-1] = (start + dt.timedelta(minutes=600 * len(many) - 1),)
+        spark.createDataFrame(rows, "ts timestamp_ntz").repartition(3).write.parquet(str(tmp_path / name / "events.parquet"))
+        path, k = pq._several_files(spark, str(tmp_path / name), rows=80)
+        assert k == want
+        st.upserted(st.source(spark, path, "ts timestamp_ntz", files=k).groupBy("ts").count(), str(tmp_path / name / "out"), str(tmp_path / name / "cp"))
+        got = spark.read.parquet(str(tmp_path / name / "out")).groupBy("batch").agg(F.min("ts").alias("a"), F.max("ts").alias("b"), F.sum("count").alias("n")).orderBy("batch").collect()
+        assert len(got) == 4 and sum(r.n for r in got) == sum(many) and all(x.b < y.a for x, y in itertools.pairwise(got))
+
+
+def test_verdicts_of_a_bucket_are_told_apart_at_once():
+    """Rows of many keys in one call against a plain loop: nulls, ties and keys that come again; the call loops over keys, not over rows."""
+    import pandas as pd
+
+    class Held:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    r, p, known = random.Random(11), ky._Verdicts(None), {}
+    p.held = Held()
+    for _ in range(20):
+        rows = [(f"k{r.randrange(9)}", r.choice([ky.NEVER, 1, 2, 3]), r.choice([None, "", "a", "b", "\U0001d4b3", "\uffff"])) for _ in range(r.choice([1, 5, 200]))]
+        want = []
+        for k, at_, v in sorted(rows, key=lambda x: (x[0], x[1], x[2] is None, x[2] or "")):
+            if k not in known or known[k] != v:
+                want.append((k, at_, known.get(k), v, "CHANGED" if k in known else "NEW"))
+            known[k] = v
+        got = pd.concat(p.handleInputRows((0,), iter([pd.DataFrame(rows, columns=["row_key", "row_at", "row_verdict"])]), None))
+        assert sorted(map(repr, got.astype(object).itertuples(index=False, name=None))) == sorted(map(repr, want))
+    assert dict(zip(p.held.value[0], p.held.value[2], strict=True)) == known
+
+
 def test_first_seen_over_batches(spark, tmp_path):
     schema, src = "k long, v string", str(tmp_path / "in")
     for i in range(3):
